@@ -1,0 +1,197 @@
+"""Skew-safe per-key sequence computations.
+
+A plain ``Window.partitionBy(user)`` sends every row of a user to one task; one hot user
+(a third of all rows) then becomes one task. The helpers here split every key's history
+into time blocks (default: one day) and compute per-row results in two levels:
+
+1. a small per-(key, block) table, pre-aggregated map-side, with an exclusive prefix
+   over blocks (a window over *blocks*, whose count per key is bounded by the time span,
+   not by the row count);
+2. the rows, exchanged once on (key, block), where a window inside one block finishes
+   the computation.
+
+The results equal the single-window formulation exactly (tests compare them on data with
+ties and nulls), but no task ever holds more than one key-block of rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+DAY_US = 86_400_000_000
+
+
+def ts_micros(c) -> Column:
+    """Microseconds since the epoch for TIMESTAMP or TIMESTAMP_NTZ (session zone UTC)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def _block(us: Column, block_us: int) -> Column:
+    return F.floor(us / F.lit(block_us)).cast("bigint")
+
+
+def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+                      frames: Mapping[str, tuple[int, int]], block_us: int = DAY_US) -> DataFrame:
+    """Per-row sum and count of ``value`` over RANGE frames on ``ts_us``.
+
+    ``frames`` maps an output prefix to inclusive offsets ``(lo, hi)`` in microseconds,
+    i.e. rows of the same key with ``ts + lo <= ts' <= ts + hi`` (peers included, like a
+    SQL RANGE frame). Adds ``{name}_sum`` (NULL when the frame is empty) and
+    ``{name}_cnt``.
+
+    Each frame is S(ts+hi+1) - S(ts+lo), where S(p) is the sum over the key's rows
+    with ts' < p. S at a point is evaluated by a zero-valued marker row placed in the
+    point's block: prefix over earlier blocks (small table) + prefix inside the block.
+    """
+    points: list[int] = sorted({o for lo, hi in frames.values() for o in (lo, hi + 1)})
+    own = 1  # S(ts+1) = everything up to and including the row's own timestamp (+ peers)
+    marker_pts = [p for p in points if p != own]
+
+    cols = df.columns
+    base = df.select(
+        F.col(key).alias("_k"), F.col(ts_us).cast("bigint").alias("_t"), F.col(id_col).alias("_id"),
+        F.col(value).cast("double").alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
+
+    real = base.select("_k", "_id", "_t", "_v", F.lit(1).alias("_n"), F.lit(own).alias("_pt"), "_row")
+    marks = (base.select("_k", "_id", "_t", F.explode(F.array(*[F.lit(p) for p in marker_pts])).alias("_pt"))
+             .select("_k", "_id", (F.col("_t") + F.col("_pt")).alias("_t"),
+                     F.lit(0.0).alias("_v"), F.lit(0).alias("_n"), "_pt",
+                     F.lit(None).cast(base.schema["_row"].dataType).alias("_row"))
+             ) if marker_pts else None
+    u = real if marks is None else real.unionByName(marks)
+    u = u.withColumn("_b", _block(F.col("_t"), block_us))
+
+    # level 1: per (key, block) totals -> exclusive prefix over blocks
+    blocks = u.groupBy("_k", "_b").agg(F.sum("_v").alias("_bs"), F.sum("_n").alias("_bn"))
+    wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_k", "_b", F.coalesce(F.sum("_bs").over(wb), F.lit(0.0)).alias("_ps"),
+                           F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_pn"))
+
+    # level 2: rows exchanged on (key, block); in-block prefix. Real rows take peers
+    # (frame to 0), markers take strictly earlier rows (frame to -1).
+    u = u.join(blocks, ["_k", "_b"], "inner")
+    w = Window.partitionBy("_k", "_b").orderBy("_t")
+    incl = w.rangeBetween(Window.unboundedPreceding, 0)
+    excl = w.rangeBetween(Window.unboundedPreceding, -1)
+    is_real = F.col("_n") == 1
+    in_s = F.when(is_real, F.sum("_v").over(incl)).otherwise(F.sum("_v").over(excl))
+    in_n = F.when(is_real, F.sum("_n").over(incl)).otherwise(F.sum("_n").over(excl))
+    u = u.select("_id", "_pt", "_row",
+                 (F.col("_ps") + F.coalesce(in_s, F.lit(0.0))).alias("_S"),
+                 (F.col("_pn") + F.coalesce(in_n, F.lit(0))).alias("_N"))
+
+    # gather the points of each row back (one exchange on the row id)
+    aggs = [F.any_value("_row", ignoreNulls=True).alias("_row")]
+    for p in points:
+        aggs.append(F.sum(F.when(F.col("_pt") == p, F.col("_S"))).alias(f"_S{_tag(p)}"))
+        aggs.append(F.sum(F.when(F.col("_pt") == p, F.col("_N"))).alias(f"_N{_tag(p)}"))
+    g = u.groupBy("_id").agg(*aggs)
+    out = [F.col(f"_row.`{c}`").alias(c) for c in cols]
+    for name, (lo, hi) in frames.items():
+        n = (F.col(f"_N{_tag(hi + 1)}") - F.col(f"_N{_tag(lo)}")).cast("bigint")
+        s = F.col(f"_S{_tag(hi + 1)}") - F.col(f"_S{_tag(lo)}")
+        out.append(F.when(n > 0, s).alias(f"{name}_sum"))
+        out.append(n.alias(f"{name}_cnt"))
+    return g.select(*out)
+
+
+def _tag(p: int) -> str:
+    return f"m{-p}" if p < 0 else f"p{p}"
+
+
+def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+                   block_us: int = DAY_US, out: str = "prev_value", has_prev: str = "has_prev") -> DataFrame:
+    """lag(value) over key ordered by (ts, id), computed per (key, block).
+
+    The first row of a block takes the last value of the latest earlier block of the
+    key (small per-block table, ``max_by`` + window over blocks).
+    """
+    b = _block(F.col(ts_us), block_us)
+    d = df.withColumn("_b", b)
+    last = d.groupBy(F.col(key).alias("_k"), "_b").agg(
+        F.max_by(F.col(value), F.struct(F.col(ts_us), F.col(id_col))).alias("_last"))
+    wb = Window.partitionBy("_k").orderBy("_b")
+    last = last.select("_k", "_b", F.lag("_last").over(wb).alias("_pb_last"),
+                       (F.row_number().over(wb) > 1).alias("_pb_has"))
+    d = d.join(last, (d[key] == last["_k"]) & (d["_b"] == last["_b"]), "inner").drop(last["_b"]).drop("_k")
+    w = Window.partitionBy(key, "_b").orderBy(ts_us, id_col)
+    rn = F.row_number().over(w)
+    return (d.withColumn(out, F.when(rn == 1, F.col("_pb_last")).otherwise(F.lag(value).over(w)))
+             .withColumn(has_prev, (rn > 1) | F.col("_pb_has"))
+             .drop("_b", "_pb_last", "_pb_has"))
+
+
+NULL_KEY = "\u0000"  # map keys cannot be NULL; a NULL value is tracked under this key
+
+
+def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+               block_us: int = DAY_US, out: str = "prior_mode", has_prior: str = "has_prior") -> DataFrame:
+    """Modal ``value`` over the key's strictly earlier rows (by (ts, id)); count ties go
+    to the earliest first-seen value. NULL is a value of its own.
+
+    Single-window form: k = running count of (key, value); fp = first position of
+    (key, value); mode = max(struct(k, -fp, value)) over earlier rows. Here the max is
+    split per day: the small (key, value, block) table gives each block's starting mode
+    and each value's count before the block; the in-block part is a window per
+    (key, block).
+    """
+    v = F.coalesce(F.col(value).cast("string"), F.lit(NULL_KEY))
+    d = df.withColumn("_b", _block(F.col(ts_us), block_us)).withColumn("_v", v)
+
+    kv = d.groupBy(F.col(key).alias("_k"), "_v").agg(
+        F.min(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"))).alias("_fp"))
+    blk = d.groupBy(F.col(key).alias("_k"), "_v", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    blk = blk.join(kv, ["_k", "_v"], "inner")
+    wv = Window.partitionBy("_k", "_v").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    blk = blk.withColumn("_cum", F.sum("_c").over(wv))
+    cand = F.struct(F.col("_cum").alias("k"), (-F.col("_fp.t")).alias("nt"), (-F.col("_fp.i")).alias("ni"),
+                    F.col("_v").alias("v"))
+    wk = Window.partitionBy("_k").orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)
+    blk = blk.withColumn("_start", F.max(cand).over(wk))
+    per_block = blk.groupBy("_k", "_b").agg(
+        F.any_value("_start").alias("_start"),
+        F.map_from_entries(F.collect_list(F.struct(
+            "_v", F.struct((F.col("_cum") - F.col("_c")).alias("before"), F.col("_fp").alias("fp"))))).alias("_m"))
+
+    d = d.join(per_block, (d[key] == per_block["_k"]) & (d["_b"] == per_block["_b"]), "inner") \
+         .drop(per_block["_b"]).drop("_k")
+    info = F.col("_m")[F.col("_v")]
+    kcol = info["before"] + F.row_number().over(Window.partitionBy(key, "_b", "_v").orderBy(ts_us, id_col))
+    d = d.withColumn("_cand", F.struct(kcol.alias("k"), (-info["fp"]["t"]).alias("nt"),
+                                       (-info["fp"]["i"]).alias("ni"), F.col("_v").alias("v")))
+    wr = Window.partitionBy(key, "_b").orderBy(ts_us, id_col).rowsBetween(Window.unboundedPreceding, -1)
+    best = F.greatest(F.col("_start"), F.max("_cand").over(wr))
+    mode = best["v"]
+    return (d.withColumn(has_prior, best.isNotNull())
+             .withColumn(out, F.when(mode == F.lit(NULL_KEY), F.lit(None).cast("string")).otherwise(mode))
+             .drop("_b", "_v", "_start", "_m", "_cand"))
+
+
+def first_seen(df: DataFrame, keys: Sequence[str], ts_us: str, id_col: str, out: str = "is_first") -> DataFrame:
+    """True on the earliest row (by (ts, id)) of each ``keys`` group.
+
+    Aggregate + join rather than an unordered window, so a hot group is pre-aggregated
+    map-side and the join side of it is split by AQE's skew handling.
+    """
+    first = df.groupBy(*[F.col(k) for k in keys]).agg(
+        F.min(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"))).alias("_first"))
+    cond = [df[k].eqNullSafe(first[k]) for k in keys]
+    j = df.join(first, cond, "inner")
+    for k in keys:
+        j = j.drop(first[k])
+    return (j.withColumn(out, (F.col("_first.t") == F.col(ts_us)) & (F.col("_first.i") == F.col(id_col)))
+             .drop("_first"))
+
+
+def key_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+    """Attach whole-group aggregates to every row (window-free ``transform``)."""
+    agg = df.groupBy(*[F.col(k) for k in keys]).agg(*aggs)
+    cond = [df[k].eqNullSafe(agg[k]) for k in keys]
+    j = df.join(agg, cond, "left")
+    for k in keys:
+        j = j.drop(agg[k])
+    return j
