@@ -54,12 +54,14 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
     cols = df.columns
     base = df.select(
         F.col(key).alias("_k"), F.col(ts_us).cast("bigint").alias("_t"), F.col(id_col).alias("_id"),
-        F.col(value).cast("double").alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
+        F.col(value).alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
+    vtype = base.schema["_v"].dataType  # decimals stay exact (prefix differences are exact)
+    zero = F.lit(0).cast(vtype)
 
     real = base.select("_k", "_id", "_t", "_v", F.lit(1).alias("_n"), F.lit(own).alias("_pt"), "_row")
     marks = (base.select("_k", "_id", "_t", F.explode(F.array(*[F.lit(p) for p in marker_pts])).alias("_pt"))
              .select("_k", "_id", (F.col("_t") + F.col("_pt")).alias("_t"),
-                     F.lit(0.0).alias("_v"), F.lit(0).alias("_n"), "_pt",
+                     zero.alias("_v"), F.lit(0).alias("_n"), "_pt",
                      F.lit(None).cast(base.schema["_row"].dataType).alias("_row"))
              ) if marker_pts else None
     u = real if marks is None else real.unionByName(marks)
@@ -68,7 +70,7 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
     # level 1: per (key, block) totals -> exclusive prefix over blocks
     blocks = u.groupBy("_k", "_b").agg(F.sum("_v").alias("_bs"), F.sum("_n").alias("_bn"))
     wb = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("_k", "_b", F.coalesce(F.sum("_bs").over(wb), F.lit(0.0)).alias("_ps"),
+    blocks = blocks.select("_k", "_b", F.coalesce(F.sum("_bs").over(wb), zero).alias("_ps"),
                            F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_pn"))
 
     # level 2: rows exchanged on (key, block); in-block prefix. Real rows take peers
@@ -81,7 +83,7 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
     in_s = F.when(is_real, F.sum("_v").over(incl)).otherwise(F.sum("_v").over(excl))
     in_n = F.when(is_real, F.sum("_n").over(incl)).otherwise(F.sum("_n").over(excl))
     u = u.select("_id", "_pt", "_row",
-                 (F.col("_ps") + F.coalesce(in_s, F.lit(0.0))).alias("_S"),
+                 (F.col("_ps") + F.coalesce(in_s, zero)).alias("_S"),
                  (F.col("_pn") + F.coalesce(in_n, F.lit(0))).alias("_N"))
 
     # gather the points of each row back (one exchange on the row id)

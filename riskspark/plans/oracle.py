@@ -97,3 +97,155 @@ scen(scenario, pd_mult, lgd_mult) AS (VALUES ('base', 1.0, 1.0), ('adverse', 1.5
 SELECT scenario, round(sum(least(PD * pd_mult, 1.0) * least(LGD * lgd_mult, 1.0) * EAD), 2) AS total_EL,
        count(*) AS n
 FROM el CROSS JOIN scen GROUP BY scenario"""
+
+# --- fraud -------------------------------------------------------------------------------
+TXN = """
+ev AS (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events),
+txn AS (
+  SELECT event_id AS transaction_id, user_id, ts, round(value * 100, 2) AS amount,
+         concat('M', CAST(k % 20 AS VARCHAR)) AS merchant_id,
+         CASE WHEN k % 31 = 0 THEN NULL ELSE concat('D_', CAST(k % 7 AS VARCHAR)) END AS device_id,
+         CASE WHEN k % 10 < 7 THEN 'US' WHEN k % 10 = 7 THEN 'GB' WHEN k % 10 = 8 THEN 'CA' ELSE 'IN' END AS country,
+         CAST(event_type = 'error' AND k % 5 = 0 AS INTEGER) AS is_chargeback,
+         CAST(hour(ts) AS INTEGER) AS hour_of_day,
+         CAST((user_id * 37) % 1000 AS INTEGER) AS account_age_days
+  FROM ev
+)"""
+
+CTX = """
+c1 AS (
+  SELECT *, epoch_us(ts) AS us, CAST(amount AS DECIMAL(18,2)) AS amt,
+         row_number() OVER (PARTITION BY user_id, country ORDER BY ts, transaction_id) AS kc,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, transaction_id) AS pos,
+         row_number() OVER (PARTITION BY user_id, device_id ORDER BY ts, transaction_id) AS dev_rn,
+         avg(amount) OVER (PARTITION BY user_id) AS avg_amount_user
+  FROM txn
+),
+c2 AS (
+  SELECT *,
+    sum(amt) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) AS roll1h,
+    sum(amt) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN 1799999999 PRECEDING AND CURRENT ROW) AS s30,
+    sum(amt) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN 1209600000000 PRECEDING AND 1800000000 PRECEDING)
+      AS bsum,
+    count(*) OVER (PARTITION BY user_id ORDER BY us RANGE BETWEEN 1209600000000 PRECEDING AND 1800000000 PRECEDING)
+      AS bcnt,
+    min(pos) OVER (PARTITION BY user_id, country) AS fp
+  FROM c1
+),
+c3 AS (
+  SELECT *, arg_max(country, kc * 1000000 - fp) OVER (PARTITION BY user_id ORDER BY ts, transaction_id
+                                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS home_country
+  FROM c2
+),
+ctx AS (
+  SELECT *, CAST(roll1h AS DOUBLE) AS rolling_amount_last_1h,
+         coalesce(CASE WHEN bcnt > 0 THEN s30 * bcnt > 3.5 * bsum END, false) AS velocity_spike,
+         dev_rn = 1 AS device_is_new,
+         CASE WHEN pos = 1 THEN false
+              ELSE (country IS NULL OR home_country IS NULL OR country <> home_country) END AS geo_location_mismatch
+  FROM c3
+)"""
+
+SCORE_LOG = """
+r1 AS (
+  SELECT *,
+    coalesce(amount >= 10000 AND account_age_days < 30, false) AS h1,
+    coalesce(velocity_spike = true, false) AS h2,
+    coalesce(country <> home_country AND hour_of_day IN (0, 1, 2, 3, 4, 5, 23), false) AS h3,
+    coalesce(amount >= 7500 AND device_is_new = true AND account_age_days < 365, false) AS h4
+  FROM ctx
+),
+r2 AS (
+  SELECT *,
+    list_filter([CASE WHEN h1 THEN 'R001_HIGH_AMOUNT_NEW_ACCOUNT' END, CASE WHEN h2 THEN 'R002_VELOCITY_SPIKE' END,
+                 CASE WHEN h3 THEN 'R003_CROSS_BORDER_ODD_HOURS' END, CASE WHEN h4 THEN 'R004_HIGH_AMOUNT_NEW_DEVICE' END],
+                lambda x: x IS NOT NULL) AS rules_hit,
+    list_filter([CASE WHEN h1 THEN 'high_amount_new_account' END, CASE WHEN h2 THEN 'velocity_spike' END,
+                 CASE WHEN h3 THEN 'cross_border_odd_hours' END, CASE WHEN h4 THEN 'high_amount_new_device' END],
+                lambda x: x IS NOT NULL) AS reasons,
+    0.0 + CASE WHEN h1 THEN 0.35 ELSE 0.0 END + CASE WHEN h2 THEN 0.25 ELSE 0.0 END
+        + CASE WHEN h3 THEN 0.2 ELSE 0.0 END + CASE WHEN h4 THEN 0.3 ELSE 0.0 END AS score_delta,
+    CASE WHEN h1 OR h4 THEN 'high' WHEN h2 OR h3 THEN 'medium' END AS severity,
+    1.0 / (1.0 + exp(-(amount - 6000.0) / 2000.0)) AS proba,
+    CAST(5 + (transaction_id * 7919) % 40 AS INTEGER) AS latency_ms,
+    sha1(CAST(user_id AS VARCHAR)) AS h,
+    is_chargeback AS label, CAST(ts AS DATE) AS date
+  FROM r1
+),
+score_log AS (
+  SELECT *, CAST(len(rules_hit) AS INTEGER) AS rules_count,
+    CASE WHEN proba >= 0.5 OR len(rules_hit) > 0 THEN 'flag' ELSE 'allow' END AS decision,
+    CASE WHEN ((76 * ((CAST(('0x' || substr(h, 1, 10)) AS BIGINT) % 100) + (CAST(('0x' || substr(h, 11, 10)) AS BIGINT) % 100)
+                    + (CAST(('0x' || substr(h, 21, 10)) AS BIGINT) % 100))
+               + (CAST(('0x' || substr(h, 31, 10)) AS BIGINT) % 100)) % 100) < 10 THEN 'cand' ELSE 'prod' END AS arm
+  FROM r2
+)"""
+
+FRAUD = with_(TXN, CTX)
+LOG = with_(TXN, CTX, SCORE_LOG)
+
+Q["rolling_amount_1h"] = FRAUD + """
+SELECT transaction_id, user_id, round(rolling_amount_last_1h, 2) AS rolling_amount_last_1h FROM ctx"""
+
+Q["velocity_spike"] = FRAUD + """
+SELECT transaction_id, user_id, round(CAST(s30 AS DOUBLE), 2) AS amount_30m,
+       round(CASE WHEN bcnt > 0 THEN CAST(bsum AS DOUBLE) / bcnt END, 6) AS baseline_avg, velocity_spike
+FROM ctx"""
+
+Q["geo_mismatch"] = FRAUD + """
+SELECT transaction_id, user_id, country, home_country, geo_location_mismatch FROM ctx"""
+
+Q["new_device"] = FRAUD + """
+SELECT transaction_id, user_id, device_id, device_is_new FROM ctx"""
+
+Q["device_changes"] = with_(TXN) + """
+SELECT transaction_id, user_id, device_id,
+       coalesce(rn > 1 AND (device_id IS NULL OR prev IS NULL OR device_id <> prev), false) AS device_changed
+FROM (SELECT *, lag(device_id) OVER w AS prev, row_number() OVER w AS rn FROM txn
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, transaction_id))"""
+
+Q["user_avg_amount"] = FRAUD + """
+SELECT transaction_id, user_id, round(avg_amount_user, 6) AS avg_amount_user FROM ctx"""
+
+Q["user_daily_velocity"] = with_(TXN) + """
+SELECT user_id, strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, count(*) AS user_txn_count_day,
+       round(coalesce(sum(amount), 0.0), 2) AS user_txn_amount_day,
+       CAST(sum(CASE WHEN rn > 1 AND (device_id IS NULL OR prev IS NULL OR device_id <> prev) THEN 1 ELSE 0 END)
+            AS BIGINT) AS device_change_count_day
+FROM (SELECT *, lag(device_id) OVER w AS prev, row_number() OVER w AS rn FROM txn
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, transaction_id))
+GROUP BY 1, 2"""
+
+Q["merchant_chargeback_rate"] = with_(TXN) + """
+SELECT merchant_id, count(*) AS txn_count, CAST(sum(is_chargeback) AS BIGINT) AS chargeback_count,
+       round(CAST(sum(is_chargeback) AS DOUBLE) / count(*), 6) AS merchant_chargeback_rate
+FROM txn GROUP BY merchant_id"""
+
+Q["rule_hits_flat"] = with_(TXN) + """
+SELECT transaction_id,
+       CAST(coalesce(amount > 5000 AND account_age_days < 30, false) AS INTEGER) AS rule__high_amount_new_account,
+       CAST(coalesce(country <> 'US' AND hour_of_day < 6, false) AS INTEGER) AS rule__night_cross_border,
+       0 AS rule__unknown_column,
+       CAST(coalesce(amount > 5000 AND account_age_days < 30, false) AS INTEGER) AS rule_flag,
+       CAST(coalesce(country <> 'US' AND hour_of_day < 6, false) AS INTEGER) AS rule_review
+FROM txn"""
+
+Q["rule_hits_structured"] = LOG + """
+SELECT transaction_id, array_to_string(rules_hit, ',') AS rules_hit, round(CAST(score_delta AS DOUBLE), 6) AS score_delta, severity,
+       array_to_string(reasons, ',') AS reasons
+FROM score_log"""
+
+Q["final_decisions"] = LOG + """
+SELECT transaction_id, arm, round(proba, 6) AS proba, CAST(rules_count AS BIGINT) AS rules_count, decision
+FROM score_log"""
+
+Q["arm_assignment"] = """
+WITH u AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS key FROM events),
+h AS (SELECT key, sha1(key) AS h FROM u),
+b AS (
+  SELECT key, CAST((76 * ((CAST(('0x' || substr(h, 1, 10)) AS BIGINT) % 100) + (CAST(('0x' || substr(h, 11, 10)) AS BIGINT) % 100)
+                 + (CAST(('0x' || substr(h, 21, 10)) AS BIGINT) % 100))
+            + (CAST(('0x' || substr(h, 31, 10)) AS BIGINT) % 100)) % 100 AS INTEGER) AS bucket
+  FROM h
+)
+SELECT key, bucket, CASE WHEN key = '' THEN 'prod' WHEN bucket < 10 THEN 'cand' ELSE 'prod' END AS arm FROM b"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import credit
+from riskspark.plans import credit, fraud
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_el_rollup": credit.segment_el_rollup,
@@ -17,4 +17,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pd_histogram": credit.pd_histogram,
     "stress_el": credit.stress_el,
     "woe_iv_ratio": credit.woe_iv_ratio,
+    "rolling_amount_1h": fraud.rolling_amount_1h,
+    "velocity_spike": fraud.velocity_spike,
+    "geo_mismatch": fraud.geo_mismatch,
+    "new_device": fraud.new_device,
+    "device_changes": fraud.device_changes,
+    "user_avg_amount": fraud.user_avg_amount,
+    "user_daily_velocity": fraud.user_daily_velocity,
+    "merchant_chargeback_rate": fraud.merchant_chargeback_rate,
+    "rule_hits_flat": fraud.rule_hits_flat,
+    "rule_hits_structured": fraud.rule_hits_structured,
+    "final_decisions": fraud.final_decisions,
+    "arm_assignment": fraud.arm_assignment,
 }
