@@ -75,7 +75,8 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
 
     # level 2: rows exchanged on (key, block); in-block prefix. Real rows take peers
     # (frame to 0), markers take strictly earlier rows (frame to -1).
-    u = u.join(blocks, ["_k", "_b"], "inner")
+    bl = blocks.withColumnRenamed("_k", "_k2").withColumnRenamed("_b", "_b2")
+    u = u.join(bl, u["_k"].eqNullSafe(bl["_k2"]) & (u["_b"] == bl["_b2"]), "inner").drop("_k2", "_b2")
     w = Window.partitionBy("_k", "_b").orderBy("_t")
     incl = w.rangeBetween(Window.unboundedPreceding, 0)
     excl = w.rangeBetween(Window.unboundedPreceding, -1)
@@ -119,7 +120,7 @@ def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
     wb = Window.partitionBy("_k").orderBy("_b")
     last = last.select("_k", "_b", F.lag("_last").over(wb).alias("_pb_last"),
                        (F.row_number().over(wb) > 1).alias("_pb_has"))
-    d = d.join(last, (d[key] == last["_k"]) & (d["_b"] == last["_b"]), "inner").drop(last["_b"]).drop("_k")
+    d = d.join(last, d[key].eqNullSafe(last["_k"]) & (d["_b"] == last["_b"]), "inner").drop(last["_b"]).drop("_k")
     w = Window.partitionBy(key, "_b").orderBy(ts_us, id_col)
     rn = F.row_number().over(w)
     return (d.withColumn(out, F.when(rn == 1, F.col("_pb_last")).otherwise(F.lag(value).over(w)))
@@ -147,7 +148,8 @@ def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
     kv = d.groupBy(F.col(key).alias("_k"), "_v").agg(
         F.min(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"))).alias("_fp"))
     blk = d.groupBy(F.col(key).alias("_k"), "_v", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    blk = blk.join(kv, ["_k", "_v"], "inner")
+    kv = kv.withColumnRenamed("_k", "_k2").withColumnRenamed("_v", "_v2")
+    blk = blk.join(kv, blk["_k"].eqNullSafe(kv["_k2"]) & (blk["_v"] == kv["_v2"]), "inner").drop("_k2", "_v2")
     wv = Window.partitionBy("_k", "_v").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     blk = blk.withColumn("_cum", F.sum("_c").over(wv))
     cand = F.struct(F.col("_cum").alias("k"), (-F.col("_fp.t")).alias("nt"), (-F.col("_fp.i")).alias("ni"),
@@ -159,7 +161,7 @@ def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
         F.map_from_entries(F.collect_list(F.struct(
             "_v", F.struct((F.col("_cum") - F.col("_c")).alias("before"), F.col("_fp").alias("fp"))))).alias("_m"))
 
-    d = d.join(per_block, (d[key] == per_block["_k"]) & (d["_b"] == per_block["_b"]), "inner") \
+    d = d.join(per_block, d[key].eqNullSafe(per_block["_k"]) & (d["_b"] == per_block["_b"]), "inner") \
          .drop(per_block["_b"]).drop("_k")
     info = F.col("_m")[F.col("_v")]
     kcol = info["before"] + F.row_number().over(Window.partitionBy(key, "_b", "_v").orderBy(ts_us, id_col))

@@ -18,7 +18,7 @@ loans AS (
          CASE o.o_orderstatus WHEN 'F' THEN 'Charged Off' WHEN 'O' THEN 'Current' WHEN 'P' THEN 'Fully Paid' END
            AS loan_status,
          substr(o.o_orderpriority, 1, 1) AS grade, n.n_name AS state,
-         CAST(year(o.o_orderdate) AS INTEGER) AS vintage_year
+         CAST(year(o.o_orderdate) AS INTEGER) AS vintage_year, CAST(o.o_orderdate AS DATE) AS origination_date
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
@@ -249,3 +249,467 @@ b AS (
   FROM h
 )
 SELECT key, bucket, CASE WHEN key = '' THEN 'prod' WHEN bucket < 10 THEN 'cand' ELSE 'prod' END AS arm FROM b"""
+
+# --- monitoring --------------------------------------------------------------------------
+FL = "(decision IN ('block', 'review', 'manual_review') OR coalesce(rules_count, 0) > 0)"
+
+
+def _dbl_list(xs) -> str:
+    return "[" + ", ".join(f"CAST('{x!r}' AS DOUBLE)" for x in xs) + "]"
+
+
+DECILES = _dbl_list([i * (1.0 / 10) for i in range(11)])
+
+FRAUD_DAILY = """,
+fd AS (
+  SELECT date, count(*) AS total_txns, count_if(fl) AS flagged,
+         quantile_cont(CAST(latency_ms AS DOUBLE), 0.5) AS p50_latency_ms,
+         quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS p95_latency_ms,
+         count_if(fl AND y) AS tp, count_if(fl AND NOT y) AS fp, count_if(NOT fl AND y) AS fn,
+         count_if(NOT fl AND NOT y) AS tn, max(CASE WHEN label IS NOT NULL THEN 1 ELSE 0 END) = 1 AS has_label
+  FROM (SELECT *, """ + FL + """ AS fl, coalesce(label, 0) = 1 AS y FROM score_log) GROUP BY date
+),
+fk AS (
+  SELECT date, total_txns, flagged, flagged / nullif(total_txns, 0) AS flagged_pct, p50_latency_ms, p95_latency_ms,
+         CASE WHEN has_label THEN tp / nullif(tp + fp, 0) END AS "precision",
+         CASE WHEN has_label THEN tp / nullif(tp + fn, 0) END AS recall,
+         CASE WHEN has_label THEN fp / nullif(fp + tn, 0) END AS fpr,
+         CASE WHEN has_label THEN tp ELSE flagged END * {usd} AS fraud_prevented_usd
+  FROM fd
+)"""
+
+
+def _fk(usd: float = 200.0, name: str = "fk", src: str = "fd") -> str:
+    return FRAUD_DAILY.replace("{usd}", repr(usd)).replace("\nfk AS", f"\n{name} AS").replace(
+        "fd AS (", f"{src} AS (").replace("FROM fd\n", f"FROM {src}\n")
+
+
+KPI_COLS = """strftime(date, '%Y-%m-%d') AS date, total_txns, flagged, round(flagged_pct, 6) AS flagged_pct,
+       round(p50_latency_ms, 6) AS p50_latency_ms, round(p95_latency_ms, 6) AS p95_latency_ms,
+       round("precision", 6) AS "precision", round(recall, 6) AS recall, round(fpr, 6) AS fpr,
+       round(fraud_prevented_usd, 2) AS fraud_prevented_usd"""
+
+Q["fraud_kpis_daily"] = LOG + _fk() + "\nSELECT " + KPI_COLS + " FROM fk"
+
+Q["monitor_kpis_daily"] = LOG + """
+SELECT strftime(date, '%Y-%m-%d') AS date, count(*) AS requests,
+       round(avg(CASE WHEN lower(decision) = 'flag' THEN 1.0 ELSE 0.0 END), 6) AS flag_rate,
+       round(avg(CASE WHEN lower(decision) = 'review' THEN 1.0 ELSE 0.0 END), 6) AS review_rate,
+       round(coalesce(avg(proba), 0.0), 6) AS mean_proba,
+       round(coalesce(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 0.0), 6) AS p95_latency_ms
+FROM score_log GROUP BY date"""
+
+Q["arm_kpis_daily"] = LOG + """
+SELECT strftime(date, '%Y-%m-%d') AS date, coalesce(arm, 'unknown') AS arm, count(*) AS n,
+       count_if(""" + FL + """) AS flagged, round(count_if(""" + FL + """) / count(*), 6) AS flagged_pct
+FROM score_log GROUP BY 1, 2"""
+
+Q["top_rules_daily"] = LOG + """,
+e AS (SELECT date, unnest(rules_hit) AS rule FROM score_log),
+c AS (SELECT date, rule, count(*) AS count FROM e GROUP BY 1, 2)
+SELECT strftime(date, '%Y-%m-%d') AS date, rule, count, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY date ORDER BY count DESC, rule) AS INTEGER) AS rank FROM c)
+WHERE rank <= 20"""
+
+Q["top_rules_monthly"] = LOG + """,
+e AS (SELECT strftime(date, '%Y-%m') AS month, unnest(rules_hit) AS rule FROM score_log),
+c AS (SELECT month, rule, count(*) AS count FROM e GROUP BY 1, 2)
+SELECT month, rule, count, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY month ORDER BY count DESC, rule) AS INTEGER) AS rank FROM c)
+WHERE rank <= 30"""
+
+
+def _wavg(c: str) -> str:
+    return (f"round(sum({c} * total_txns) / nullif(sum(CASE WHEN {c} IS NOT NULL THEN total_txns END), 0), 6)"
+            f" AS {c}")
+
+
+Q["fraud_month_rollup"] = LOG + _fk() + """
+SELECT strftime(date, '%Y-%m') AS month, count(DISTINCT date) AS days_covered,
+       CAST(sum(total_txns) AS BIGINT) AS total_txns, CAST(sum(flagged) AS BIGINT) AS flagged,
+       """ + ", ".join(_wavg(c) for c in ("p50_latency_ms", "p95_latency_ms", '"precision"', "recall", "fpr")) + """,
+       round(sum(fraud_prevented_usd), 2) AS fraud_prevented_usd
+FROM fk GROUP BY 1"""
+
+ARMS = """,
+arms AS (
+  SELECT coalesce(arm, 'prod') AS arm, count(*) AS n,
+         quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS p95_latency_ms,
+         count_if(f AND label = 1) AS tp, count_if(f AND label = 0) AS fp,
+         count_if(NOT f AND label = 1) AS fn, count_if(NOT f AND label = 0) AS tn
+  FROM (SELECT *, lower(decision) = 'flag' AS f FROM score_log) GROUP BY 1
+),
+am AS (
+  SELECT arm, n, p95_latency_ms, tp / nullif(tp + fp, 0) AS "precision", tp / nullif(tp + fn, 0) AS recall,
+         fp / nullif(fp + tn, 0) AS fpr FROM arms
+)"""
+
+Q["ab_arm_metrics"] = LOG + ARMS + """
+SELECT arm, n, round(p95_latency_ms, 6) AS p95_latency_ms, round("precision", 6) AS "precision",
+       round(recall, 6) AS recall, round(fpr, 6) AS fpr FROM am"""
+
+Q["promotion_decision"] = LOG + ARMS + """,
+pc AS (
+  SELECT (SELECT n FROM am WHERE arm = 'prod') AS pn, (SELECT p95_latency_ms FROM am WHERE arm = 'prod') AS pl,
+         (SELECT recall FROM am WHERE arm = 'prod') AS pr, (SELECT fpr FROM am WHERE arm = 'prod') AS pf,
+         (SELECT n FROM am WHERE arm = 'cand') AS cn, (SELECT p95_latency_ms FROM am WHERE arm = 'cand') AS cl,
+         (SELECT recall FROM am WHERE arm = 'cand') AS cr, (SELECT fpr FROM am WHERE arm = 'cand') AS cf
+),
+ok AS (
+  SELECT *, (cl IS NULL OR pl IS NULL OR cl <= 2.0 * pl) AS ok_latency,
+         (pr IS NULL OR cr IS NULL OR (cr >= pr AND (cf IS NULL OR pf IS NULL OR cf <= pf + 0.005))) AS ok_labels,
+         (pn IS NULL OR cn IS NULL) AS missing FROM pc
+)
+SELECT (NOT missing AND ok_latency AND ok_labels) AS promoted,
+       CASE WHEN missing THEN 'Missing arms' WHEN ok_latency AND ok_labels THEN 'Promoted' ELSE 'Not promoted' END
+         AS reason,
+       (pr IS NULL OR cr IS NULL) AS labels_missing, ok_latency, ok_labels
+FROM ok"""
+
+SHADOW = """,
+sh AS (
+  SELECT transaction_id, proba AS prod_proba, decision AS prod_decision,
+         1.0 / (1.0 + exp(-(amount - 5000.0) / 1500.0)) AS cand_proba,
+         latency_ms AS prod_latency, CAST(3 + (transaction_id * 31) % 20 AS INTEGER) AS cand_latency
+  FROM score_log
+),
+sh2 AS (SELECT *, CASE WHEN cand_proba >= 0.5 THEN 'flag' ELSE 'allow' END AS cand_decision FROM sh)"""
+
+Q["shadow_transitions"] = LOG + SHADOW + """
+SELECT prod_decision, cand_decision, count(*) AS n FROM sh2 GROUP BY 1, 2"""
+
+Q["shadow_summary"] = LOG + SHADOW + """
+SELECT count(*) AS n, round(avg(CASE WHEN prod_decision = cand_decision THEN 1.0 ELSE 0.0 END), 6) AS agreement_rate,
+       round(avg(cand_proba - prod_proba), 6) AS mean_score_delta,
+       round(avg(abs(cand_proba - prod_proba)), 6) AS mean_abs_score_delta,
+       round(quantile_cont(CAST(prod_latency AS DOUBLE), 0.95), 6) AS p95_latency_prod,
+       round(quantile_cont(CAST(cand_latency AS DOUBLE), 0.95), 6) AS p95_latency_cand
+FROM sh2"""
+
+
+def _long(cols, typ) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, is_ref, CAST({c} AS {typ}) AS value FROM src" for c in cols)
+
+
+NUM = ["amount", "hour_of_day", "latency_ms", "account_age_days"]
+CAT = ["country", "device_id", "merchant_id", "decision"]
+
+PSI_PARTS = """,
+src AS (SELECT *, ts < TIMESTAMP '2024-01-16' AS is_ref FROM score_log),
+lv AS (SELECT * FROM (""" + _long(NUM, "DOUBLE") + """) WHERE value IS NOT NULL AND NOT isnan(value)),
+edges AS (
+  SELECT feature, list_sort(list_distinct(quantile_cont(value, """ + DECILES + """))) AS e
+  FROM lv WHERE is_ref GROUP BY feature
+),
+binned AS (
+  SELECT l.feature, l.is_ref,
+         CASE WHEN l.value >= e[1] AND l.value <= e[len(e)]
+              THEN least(len(list_filter(e, lambda x: x <= l.value)), len(e) - 1) END AS bin
+  FROM lv l JOIN edges USING (feature) WHERE len(e) >= 2
+),
+ncounts AS (SELECT feature, bin, count_if(is_ref) AS r, count_if(NOT is_ref) AS c
+            FROM binned WHERE bin IS NOT NULL GROUP BY 1, 2),
+grid AS (SELECT feature, unnest(range(1, len(e))) AS bin FROM edges WHERE len(e) >= 2),
+nfull AS (SELECT g.feature, CAST(g.bin AS VARCHAR) AS bin, coalesce(r, 0) AS r, coalesce(c, 0) AS c
+          FROM grid g LEFT JOIN ncounts n ON g.feature = n.feature AND g.bin = n.bin),
+npresent AS (SELECT feature, count_if(is_ref) AS nr, count_if(NOT is_ref) AS nc FROM lv GROUP BY 1),
+lc AS (SELECT * FROM (""" + _long(CAT, "VARCHAR") + """) WHERE value IS NOT NULL),
+cfull AS (SELECT feature, value AS bin, count_if(is_ref) AS r, count_if(NOT is_ref) AS c FROM lc GROUP BY 1, 2),
+cpresent AS (SELECT feature, count_if(is_ref) AS nr, count_if(NOT is_ref) AS nc FROM lc GROUP BY 1)"""
+
+
+def _psi(full: str, present: str, feats: str, name: str) -> str:
+    return f""",
+{name}_t AS (SELECT feature, sum(r) AS R, sum(c) AS C, count(*) AS B FROM {full} GROUP BY feature),
+{name}_p AS (SELECT f.feature, (r + 1e-6) / (R + 1e-6 * B) AS rp, (c + 1e-6) / (C + 1e-6 * B) AS cp, R
+             FROM {full} f JOIN {name}_t USING (feature)),
+{name}_s AS (SELECT feature, sum((cp - rp) * ln(cp / rp)) AS psi, max(R) AS R FROM {name}_p GROUP BY feature),
+{name} AS (
+  SELECT x.feature, CASE WHEN p.nr > 0 AND p.nc > 0 AND s.R > 0 THEN s.psi END AS psi
+  FROM (SELECT DISTINCT feature FROM {feats}) x LEFT JOIN {name}_s s USING (feature) LEFT JOIN {present} p USING (feature)
+)"""
+
+
+PSI = LOG + PSI_PARTS + _psi("nfull", "npresent", "edges", "npsi") + _psi("cfull", "cpresent", "lc", "cpsi")
+
+Q["psi_numeric"] = PSI + "\nSELECT feature, round(psi, 6) AS psi FROM npsi"
+Q["psi_categorical"] = PSI + "\nSELECT feature, round(psi, 6) AS psi FROM cpsi"
+Q["drift_summary"] = PSI + """
+SELECT feature, 'numeric' AS type, round(psi, 6) AS psi FROM npsi
+UNION ALL SELECT feature, 'categorical' AS type, round(psi, 6) AS psi FROM cpsi"""
+
+MON_SPLIT = """,
+kcur AS (SELECT avg(CASE WHEN lower(decision) = 'flag' THEN 1.0 ELSE 0.0 END) AS fr,
+                coalesce(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 0.0) AS p95 FROM src WHERE NOT is_ref),
+kref AS (SELECT avg(CASE WHEN lower(decision) = 'flag' THEN 1.0 ELSE 0.0 END) AS rfr,
+                coalesce(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 0.0) AS rp95 FROM src WHERE is_ref),
+alld AS (SELECT * FROM npsi UNION ALL SELECT * FROM cpsi)"""
+
+Q["drift_alerts"] = PSI + MON_SPLIT + """
+SELECT 'psi' AS kind, 'warn' AS severity, feature AS subject, round(psi, 6) AS value, 0.25 AS "limit" FROM (
+  SELECT *, row_number() OVER (ORDER BY psi DESC NULLS LAST, feature) AS rn FROM alld WHERE psi >= 0.25) WHERE rn <= 5
+UNION ALL
+SELECT 'latency', 'warn', 'p95_latency_ms', round(p95, 6), round(greatest(250.0, 1.5 * rp95), 6)
+FROM kcur, kref WHERE p95 > greatest(250.0, 1.5 * rp95)
+UNION ALL
+SELECT 'flag_rate', 'warn', 'flag_rate', round(fr, 6), round(rfr, 6)
+FROM kcur, kref WHERE rfr > 0 AND (fr < 0.5 * rfr OR fr > 1.5 * rfr)"""
+
+Q["feature_guard"] = LOG + """,
+src AS (SELECT *, ts < TIMESTAMP '2024-01-16' AS is_ref FROM score_log),
+lv AS (SELECT * FROM (""" + _long(NUM + ["proba"], "DOUBLE") + """) WHERE value IS NOT NULL AND NOT isnan(value)),
+g AS (SELECT feature, count_if(is_ref) AS n_ref, count_if(NOT is_ref) AS n_cur, stddev_samp(value) AS pooled_std
+      FROM lv GROUP BY feature)
+SELECT feature, n_ref, n_cur, round(pooled_std, 6) AS pooled_std,
+       coalesce(n_ref >= 3 AND n_cur >= 3 AND coalesce(pooled_std, 0.0) > 0, false) AS keep
+FROM g"""
+
+Q["calibration_deciles"] = CREDIT + """,
+lab AS (
+  SELECT borrower_id, CAST(max(CASE WHEN contains(lower(trim(loan_status)), 'charged off')
+                                     OR contains(lower(trim(loan_status)), 'default')
+                                     OR contains(lower(trim(loan_status)), 'write off')
+                                     OR contains(lower(trim(loan_status)), 'written off') THEN 1 ELSE 0 END) AS INTEGER)
+         AS default_flag
+  FROM loans GROUP BY borrower_id
+),
+d AS (SELECT PD, default_flag FROM el JOIN lab USING (borrower_id) WHERE PD IS NOT NULL AND default_flag IS NOT NULL),
+ed AS (SELECT list_sort(list_distinct(quantile_cont(PD, """ + DECILES + """))) AS e FROM d),
+b AS (SELECT d.*, 1 + len(list_filter(list_slice(e, 2, len(e) - 1), lambda x: x < PD)) AS bin FROM d, ed)
+SELECT CAST(bin AS INTEGER) AS bin, count(*) AS n, round(avg(PD), 6) AS mean_pd,
+       round(avg(CASE WHEN default_flag = 1 THEN 1.0 ELSE 0.0 END), 6) AS rate_observed
+FROM b GROUP BY bin"""
+
+
+def _curve(src: str, score: str, label: str) -> str:
+    return f""",
+sc AS (SELECT CAST({score} AS DOUBLE) AS score, count_if(coalesce(CAST({label} AS INTEGER), 0) = 1) AS pos,
+              count_if(coalesce(CAST({label} AS INTEGER), 0) <> 1) AS neg
+       FROM {src} WHERE {score} IS NOT NULL GROUP BY 1),
+asc_c AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg_asc,
+                 sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM sc),
+desc_c AS (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cpos,
+                  sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg,
+                  sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM sc)"""
+
+
+AUC_SEL = """
+SELECT round(s / nullif(P * N, 0), 6) AS auc, round(2.0 * (s / nullif(P * N, 0)) - 1.0, 6) AS gini
+FROM (SELECT sum(pos * ((cneg_asc - neg) + 0.5 * neg)) AS s, max(P) AS P, max(N) AS N FROM asc_c)"""
+
+Q["roc_auc_gini"] = LOG + _curve("score_log", "proba", "label") + AUC_SEL
+Q["ks_stat"] = LOG + _curve("score_log", "proba", "label") + """
+SELECT round(greatest(max(cpos / nullif(P, 0) - cneg / nullif(N, 0)), 0.0), 6) AS ks FROM desc_c"""
+Q["brier"] = LOG + """
+SELECT round(avg(pow(proba - coalesce(CAST(label AS DOUBLE), 0.0), 2)), 6) AS brier FROM score_log"""
+Q["average_precision"] = LOG + _curve("score_log", "proba", "label") + """
+SELECT round(sum(pos / nullif(P, 0) * (cpos / nullif(cpos + cneg, 0))), 6) AS average_precision FROM desc_c"""
+
+GRID = ", ".join(f"({i}, CAST('{round(0.05 * (i + 1), 2)!r}' AS DOUBLE))" for i in range(19))
+Q["threshold_recall_grid"] = LOG + """,
+cuts(i, t) AS (VALUES """ + GRID + """),
+g AS (SELECT i, t, count_if(proba >= t AND y) AS tp, count_if(proba >= t AND NOT y) AS fp,
+             count_if(proba < t AND y) AS fn
+      FROM (SELECT proba, coalesce(CAST(label AS INTEGER), 0) = 1 AS y FROM score_log) CROSS JOIN cuts GROUP BY i, t),
+m AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS p, coalesce(tp / nullif(tp + fn, 0), 0.0) AS r FROM g),
+m2 AS (SELECT *, CASE WHEN p + r = 0 THEN 0.0 ELSE 2.0 * p * r / (p + r) END AS f1 FROM m),
+a AS (SELECT (SELECT t FROM m2 WHERE r >= 0.9 ORDER BY p DESC, i LIMIT 1) AS t_rec,
+             (SELECT t FROM m2 ORDER BY f1 DESC, i LIMIT 1) AS t_f1)
+SELECT round(coalesce(t_rec, t_f1, 0.5), 6) AS threshold,
+       CASE WHEN t_rec IS NOT NULL THEN 'recall_target' WHEN t_f1 IS NOT NULL THEN 'best_f1' ELSE 'default' END AS rule
+FROM a"""
+
+Q["threshold_pr_f1"] = LOG + _curve("score_log", "proba", "label") + """,
+pr AS (SELECT score AS threshold, cpos / nullif(cpos + cneg, 0) AS "precision", cpos / nullif(P, 0) AS recall, cpos, P
+       FROM desc_c),
+c AS (SELECT *, 2.0 * "precision" * recall / ("precision" + recall + 1e-9) AS f1, recall >= 0.9 AS ok FROM pr
+      WHERE threshold >= (SELECT max(threshold) FROM pr WHERE cpos = P))
+SELECT round(threshold, 6) AS threshold, round(f1, 6) AS f1, round("precision", 6) AS "precision",
+       round(recall, 6) AS recall
+FROM c ORDER BY ok DESC, f1 DESC, threshold ASC LIMIT 1"""
+
+LAB = """,
+lab AS (
+  SELECT borrower_id, CAST(max(CASE WHEN contains(lower(trim(loan_status)), 'charged off')
+                                     OR contains(lower(trim(loan_status)), 'default')
+                                     OR contains(lower(trim(loan_status)), 'write off')
+                                     OR contains(lower(trim(loan_status)), 'written off') THEN 1 ELSE 0 END) AS INTEGER)
+         AS default_flag
+  FROM loans GROUP BY borrower_id
+),
+cl AS (SELECT * FROM el JOIN lab USING (borrower_id))"""
+
+Q["credit_auc"] = CREDIT + LAB + _curve("cl", "PD", "default_flag") + AUC_SEL
+
+Q["confusion_combined"] = LOG + """
+SELECT tp, fp, fn, tn, round(tp / nullif(tp + fp, 0), 6) AS "precision", round(tp / nullif(tp + fn, 0), 6) AS recall
+FROM (SELECT count_if(p AND y) AS tp, count_if(p AND NOT y) AS fp, count_if(NOT p AND y) AS fn,
+             count_if(NOT p AND NOT y) AS tn
+      FROM (SELECT coalesce(proba >= 0.5 OR rules_count > 0, false) AS p,
+                   coalesce(CAST(label AS INTEGER), 0) = 1 AS y FROM score_log))"""
+
+CREDIT_DAILY = CREDIT + """,
+lpd AS (SELECT borrower_id, PD FROM el),
+ls AS (SELECT l.*, p.PD, coalesce(CAST(l.loan_amount AS DOUBLE), 0.0) AS EAD FROM loans l LEFT JOIN lpd p USING (borrower_id)),
+cd AS (SELECT origination_date AS date, count(*) AS n_loans, avg(PD) AS avg_PD, sum(PD * 0.45 * EAD) AS total_EL
+       FROM ls GROUP BY 1)"""
+
+Q["trailing_7d_kpis"] = CREDIT_DAILY + """,
+tr AS (SELECT *, avg(avg_PD) OVER w AS avg_PD_trailing, avg(total_EL) OVER w AS total_EL_trailing
+       FROM (SELECT *, CAST(date - DATE '1970-01-01' AS BIGINT) AS dn FROM cd)
+       WINDOW w AS (ORDER BY dn RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING))
+SELECT strftime(date, '%Y-%m-%d') AS date, n_loans, round(avg_PD, 6) AS avg_PD, round(total_EL, 2) AS total_EL,
+       round(avg_PD_trailing, 6) AS avg_PD_trailing, round(avg_PD - avg_PD_trailing, 6) AS avg_PD_delta,
+       round(total_EL_trailing, 2) AS total_EL_trailing, round(total_EL - total_EL_trailing, 2) AS total_EL_delta
+FROM tr"""
+
+Q["credit_month_rollup"] = CREDIT_DAILY + """
+SELECT strftime(date, '%Y-%m') AS month, count(DISTINCT date) AS days_with_reports,
+       round(avg(avg_PD), 6) AS mean_daily_PD, round(avg(total_EL), 2) AS mean_daily_EL
+FROM cd GROUP BY 1"""
+
+Q["latest_kpis"] = with_(LOANS, FEAT, SCORED, TXN, CTX, SCORE_LOG) + """,
+lpd AS (SELECT borrower_id, PD FROM el),
+cd AS (SELECT origination_date AS date, count(*) AS volume FROM loans GROUP BY 1),
+fdv AS (SELECT date, count(*) AS volume FROM score_log GROUP BY 1),
+u AS (SELECT 'credit' AS system, date, volume FROM cd UNION ALL SELECT 'fraud', date, volume FROM fdv)
+SELECT system, strftime(max(date), '%Y-%m-%d') AS date, arg_max(volume, date) AS volume FROM u GROUP BY system"""
+
+Q["kpi_upsert"] = LOG + _fk(200.0, "fk_old", "fd_old") + _fk(250.0, "fk_new", "fd_new") + """,
+u AS (SELECT * FROM fk_new WHERE date >= DATE '2024-01-15'
+      UNION ALL SELECT * FROM fk_old WHERE date <= DATE '2024-01-20' AND date < DATE '2024-01-15')
+SELECT """ + KPI_COLS + " FROM u"
+
+Q["column_profile"] = with_(TXN) + """,
+long AS (SELECT 'merchant_id' AS "column", merchant_id AS value FROM txn UNION ALL
+         SELECT 'device_id', device_id FROM txn UNION ALL SELECT 'country', country FROM txn),
+c AS (SELECT "column", value, count(*) AS count FROM long GROUP BY 1, 2)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value ASC NULLS FIRST)
+                              AS INTEGER) AS rank FROM c) WHERE rank <= 8"""
+
+Q["class_balance"] = with_(TXN) + """,
+c AS (SELECT is_chargeback AS label, count(*) AS n FROM txn GROUP BY 1)
+SELECT label, n, round(greatest(1.0, coalesce(
+         (SELECT sum(n) FROM c WHERE label = 0) / nullif((SELECT sum(n) FROM c WHERE label = 1), 0), 1.0)), 6)
+         AS pos_weight
+FROM c"""
+
+
+def _exp_row(suite, idx, typ, col, success, observed, n="n") -> str:
+    colv = "CAST(NULL AS VARCHAR)" if col is None else f"'{col}'"
+    return (f"SELECT '{suite}' AS suite, CAST({idx} AS INTEGER) AS idx, '{typ}' AS expectation, {colv} AS \"column\", "
+            f"{success} AS success, round(CAST({observed} AS DOUBLE), 6) AS observed, {n} AS element_count FROM agg")
+
+
+def _between_obs(col, lo=None, hi=None, strict_lo=False, strict_hi=False) -> str:
+    conds = [f"{col} IS NOT NULL"]
+    if lo is not None:
+        conds.append(f"CAST({col} AS DOUBLE) {'>' if strict_lo else '>='} {float(lo)!r}")
+    if hi is not None:
+        conds.append(f"CAST({col} AS DOUBLE) {'<' if strict_hi else '<='} {float(hi)!r}")
+    return f"count_if({' AND '.join(conds)}) / nullif(count({col}), 0)"
+
+
+Q["contract_pd_scores"] = CREDIT + """,
+agg AS (SELECT count(*) AS n, count(borrower_id) / nullif(count(*), 0) AS o2, """ + _between_obs("PD", 0, 1) + """ AS o3
+        FROM el)
+""" + "\nUNION ALL ".join([
+    _exp_row("pd_scores", 0, "exists", "borrower_id", "true", "1.0"),
+    _exp_row("pd_scores", 1, "exists", "PD", "true", "1.0"),
+    _exp_row("pd_scores", 2, "not_null", "borrower_id", "coalesce(o2 >= 1.0, true)", "o2"),
+    _exp_row("pd_scores", 3, "between", "PD", "coalesce(o3 >= 1.0, true)", "o3"),
+    _exp_row("pd_scores", 4, "row_count_above", None, "n > 0", "n")])
+
+SEG = CREDIT + """,
+seg AS (SELECT grade, state, vintage_year, count(DISTINCT borrower_id) AS borrowers,
+               round(sum(EAD), 2) AS total_EAD, round(avg(PD), 6) AS avg_PD, round(sum(EL), 2) AS total_EL
+        FROM el GROUP BY grade, state, vintage_year)"""
+
+Q["contract_rollups"] = SEG + """,
+agg AS (SELECT count(*) AS n, """ + _between_obs("avg_PD", 0, 1) + """ AS o7 FROM seg)
+""" + "\nUNION ALL ".join(
+    [_exp_row("rollups", i, "exists", c, "true", "1.0") for i, c in
+     enumerate(["grade", "state", "vintage_year", "borrowers", "total_EAD", "avg_PD", "total_EL"])]
+    + [_exp_row("rollups", 7, "between", "avg_PD", "coalesce(o7 >= 1.0, true)", "o7")])
+
+Q["expectations_log"] = LOG + """,
+agg AS (SELECT count(*) AS n, """ + _between_obs("proba", 0, 1) + """ AS o3,
+               count_if(decision IS NOT NULL AND decision IN ('allow', 'review', 'flag', 'block'))
+                 / nullif(count(decision), 0) AS o4
+        FROM score_log)
+""" + "\nUNION ALL ".join([
+    _exp_row("fraud_api_logs", 0, "exists", "ts", "true", "1.0"),
+    _exp_row("fraud_api_logs", 1, "exists", "decision", "true", "1.0"),
+    _exp_row("fraud_api_logs", 2, "exists", "proba", "true", "1.0"),
+    _exp_row("fraud_api_logs", 3, "between", "proba", "coalesce(o3 >= 0.99, true)", "o3"),
+    _exp_row("fraud_api_logs", 4, "in_set", "decision", "coalesce(o4 >= 1.0, true)", "o4"),
+    _exp_row("fraud_api_logs", 5, "row_count_above", None, "n > 0", "n")])
+
+Q["feature_health"] = with_(LOANS, TXN) + """,
+bf AS (SELECT borrower_id,
+              avg(CASE WHEN loan_amount <> 0 THEN CAST(annual_income AS DOUBLE) / loan_amount END) AS income_to_loan_ratio,
+              CAST(max(delinq_2yrs) AS DOUBLE) AS num_past_delinquencies, count(*) AS n_records
+       FROM loans GROUP BY borrower_id),
+ud AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS user_txn_count_day,
+              coalesce(sum(amount), 0.0) AS user_txn_amount_day, 0 AS device_change_count_day
+       FROM txn GROUP BY 1, 2),
+agg AS (SELECT count(*) AS n, """ + _between_obs("income_to_loan_ratio", 0, None, strict_lo=True) + """ AS o0,
+               """ + _between_obs("num_past_delinquencies", 0) + """ AS o1, """ + _between_obs("n_records", 1) + """ AS o2
+        FROM bf),
+agg2 AS (SELECT count(*) AS n, """ + _between_obs("user_txn_count_day", 0) + """ AS o0,
+                """ + _between_obs("user_txn_amount_day", 0) + """ AS o1 FROM ud)
+""" + "\nUNION ALL ".join([
+    _exp_row("credit_features", 0, "between", "income_to_loan_ratio", "coalesce(o0 >= 1.0, true)", "o0"),
+    _exp_row("credit_features", 1, "between", "num_past_delinquencies", "coalesce(o1 >= 1.0, true)", "o1"),
+    _exp_row("credit_features", 2, "between", "n_records", "coalesce(o2 >= 1.0, true)", "o2"),
+    _exp_row("fraud_batch", 0, "between", "user_txn_count_day", "coalesce(o0 >= 1.0, true)", "o0").replace(
+        "FROM agg", "FROM agg2"),
+    _exp_row("fraud_batch", 1, "between", "user_txn_amount_day", "coalesce(o1 >= 1.0, true)", "o1").replace(
+        "FROM agg", "FROM agg2"),
+    _exp_row("fraud_batch", 2, "between", "device_change_count_day", "true", "1.0").replace("FROM agg", "FROM agg2")])
+
+Q["score_health"] = CREDIT + """,
+agg AS (SELECT count(*) AS n, """ + _between_obs("EL", 0) + """ AS o1,
+               """ + _between_obs("EAD", 0, None, strict_lo=True) + """ AS o4 FROM el)
+""" + "\nUNION ALL ".join([
+    _exp_row("credit_scores", 0, "row_count_above", None, "n > 0", "n"),
+    _exp_row("credit_scores", 1, "between", "EL", "coalesce(o1 >= 1.0, true)", "o1"),
+    _exp_row("credit_scores", 2, "exists", "PD", "true", "1.0"),
+    _exp_row("credit_scores", 3, "exists", "EAD", "true", "1.0"),
+    _exp_row("credit_scores", 4, "between", "EAD", "coalesce(o4 >= 1.0, true)", "o4")])
+
+Q["log_contract"] = LOG + """,
+agg AS (SELECT count(*) AS lines FROM score_log)
+SELECT k AS key, CASE WHEN k IN ('proba', 'decision', 'ts', 'latency_ms') THEN lines END AS lines_with_key, lines,
+       lines > 0 AS success
+FROM agg, (VALUES ('ts'), ('decision'), ('proba'), ('latency_ms')) v(k)"""
+
+# --- streaming twins -----------------------------------------------------------------------
+Q["stream_daily_kpis"] = with_(TXN) + """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, count(*) AS txns, round(sum(amount), 2) AS amount,
+       CAST(sum(is_chargeback) AS BIGINT) AS chargebacks, round(max(amount), 2) AS max_amount
+FROM txn GROUP BY 1"""
+
+Q["stream_sliding_velocity"] = with_(TXN) + """,
+w AS (SELECT user_id, amount, time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL 5 MINUTE AS ws
+      FROM txn, (SELECT unnest(range(0, 6)) AS k))
+SELECT user_id, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS txns, round(sum(amount), 2) AS amount
+FROM w GROUP BY 1, 2"""
+
+Q["stream_scored"] = with_(TXN) + """,
+mr AS (SELECT merchant_id, CAST(sum(is_chargeback) AS DOUBLE) / count(*) AS merchant_chargeback_rate
+       FROM txn GROUP BY 1),
+s AS (SELECT t.transaction_id, m.merchant_chargeback_rate, 1.0 / (1.0 + exp(-(t.amount - 6000.0) / 2000.0)) AS proba,
+             coalesce(t.amount >= 10000 AND t.account_age_days < 30, false) AS h1
+      FROM txn t LEFT JOIN mr m USING (merchant_id))
+SELECT transaction_id, round(merchant_chargeback_rate, 6) AS merchant_chargeback_rate, round(proba, 6) AS proba,
+       CASE WHEN h1 THEN 'R001_HIGH_AMOUNT_NEW_ACCOUNT' ELSE '' END AS rules_hit,
+       CASE WHEN proba >= 0.5 OR h1 THEN 'flag' ELSE 'allow' END AS decision
+FROM s"""
+
+Q["stream_user_state"] = FRAUD + """
+SELECT transaction_id, user_id, round(rolling_amount_last_1h, 2) AS rolling_amount_last_1h, home_country,
+       geo_location_mismatch
+FROM ctx"""
+
+Q["stream_dedupe"] = with_(TXN) + "\nSELECT transaction_id, user_id FROM txn"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import credit, fraud
+from riskspark.plans import credit, fraud, monitoring, streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_el_rollup": credit.segment_el_rollup,
@@ -29,4 +29,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_hits_structured": fraud.rule_hits_structured,
     "final_decisions": fraud.final_decisions,
     "arm_assignment": fraud.arm_assignment,
+    "fraud_kpis_daily": monitoring.fraud_kpis_daily,
+    "monitor_kpis_daily": monitoring.monitor_kpis_daily,
+    "arm_kpis_daily": monitoring.arm_kpis_daily,
+    "top_rules_daily": monitoring.top_rules_daily,
+    "top_rules_monthly": monitoring.top_rules_monthly,
+    "fraud_month_rollup": monitoring.fraud_month_rollup,
+    "ab_arm_metrics": monitoring.ab_arm_metrics,
+    "promotion_decision": monitoring.promotion_decision,
+    "shadow_transitions": monitoring.shadow_transitions,
+    "shadow_summary": monitoring.shadow_summary,
+    "psi_numeric": monitoring.psi_numeric,
+    "psi_categorical": monitoring.psi_categorical,
+    "drift_summary": monitoring.drift_summary,
+    "drift_alerts": monitoring.drift_alerts,
+    "feature_guard": monitoring.feature_guard,
+    "calibration_deciles": monitoring.calibration_deciles,
+    "roc_auc_gini": monitoring.roc_auc_gini,
+    "ks_stat": monitoring.ks_stat,
+    "brier": monitoring.brier,
+    "average_precision": monitoring.average_precision,
+    "threshold_recall_grid": monitoring.threshold_recall_grid,
+    "threshold_pr_f1": monitoring.threshold_pr_f1,
+    "credit_auc": monitoring.credit_auc,
+    "confusion_combined": monitoring.confusion_combined,
+    "trailing_7d_kpis": monitoring.trailing_7d_kpis,
+    "credit_month_rollup": monitoring.credit_month_rollup,
+    "latest_kpis": monitoring.latest_kpis,
+    "kpi_upsert": monitoring.kpi_upsert,
+    "column_profile": monitoring.column_profile,
+    "class_balance": monitoring.class_balance,
+    "contract_pd_scores": monitoring.contract_pd_scores,
+    "contract_rollups": monitoring.contract_rollups,
+    "expectations_log": monitoring.expectations_log,
+    "feature_health": monitoring.feature_health,
+    "score_health": monitoring.score_health,
+    "log_contract": monitoring.log_contract,
+    "stream_daily_kpis": streams.stream_daily_kpis,
+    "stream_sliding_velocity": streams.stream_sliding_velocity,
+    "stream_scored": streams.stream_scored,
+    "stream_user_state": streams.stream_user_state,
+    "stream_dedupe": streams.stream_dedupe,
 }

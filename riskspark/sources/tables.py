@@ -22,7 +22,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card transactions: transaction_id, user_id, ts, amount, merchant_id, device_id,
     country, is_chargeback, hour_of_day, account_age_days."""
-    ev = read_table(spark, sf_dir, "events")
+    return txn_from_events(read_table(spark, sf_dir, "events"))
+
+
+def txn_from_events(ev: DataFrame) -> DataFrame:
+    """The ``txn`` projection over an events frame (batch or streaming)."""
     k = F.regexp_extract(F.col("props"), r"([0-9]+)", 1).try_cast("int")
     ev = ev.select("event_id", "ts", "user_id", "event_type", "value", k.alias("_k"))
     country = F.when(F.col("_k") % 10 < 7, "US").when(F.col("_k") % 10 == 7, "GB") \
@@ -67,4 +71,5 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.substring(F.col("o_orderpriority"), 1, 1).alias("grade"),
         F.col("n_name").alias("state"),
         F.year(F.col("o_orderdate")).alias("vintage_year"),
+        F.to_date(F.col("o_orderdate")).alias("origination_date"),
     )
