@@ -41,7 +41,7 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
     ``frames`` maps an output prefix to inclusive offsets ``(lo, hi)`` in microseconds,
     i.e. rows of the same key with ``ts + lo <= ts' <= ts + hi`` (peers included, like a
     SQL RANGE frame). Adds ``{name}_sum`` (NULL when the frame is empty) and
-    ``{name}_cnt``.
+    ``{name}_cnt`` (non-NULL values in the frame).
 
     Each frame is S(ts+hi+1) - S(ts+lo), where S(p) is the sum over the key's rows
     with ts' < p. S at a point is evaluated by a zero-valued marker row placed in the
@@ -58,13 +58,15 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
     vtype = base.schema["_v"].dataType  # decimals stay exact (prefix differences are exact)
     zero = F.lit(0).cast(vtype)
 
-    real = base.select("_k", "_id", "_t", "_v", F.lit(1).alias("_n"), F.lit(own).alias("_pt"), "_row")
-    marks = (base.select("_k", "_id", "_t", F.explode(F.array(*[F.lit(p) for p in marker_pts])).alias("_pt"))
-             .select("_k", "_id", (F.col("_t") + F.col("_pt")).alias("_t"),
-                     zero.alias("_v"), F.lit(0).alias("_n"), "_pt",
-                     F.lit(None).cast(base.schema["_row"].dataType).alias("_row"))
-             ) if marker_pts else None
-    u = real if marks is None else real.unionByName(marks)
+    # the row itself plus one zero-valued marker per frame edge, from a single scan
+    rtype = base.schema["_row"].dataType
+    items = [F.struct(F.col("_t").alias("_t"), F.coalesce(F.col("_v"), zero).alias("_v"),
+                      F.col("_v").isNotNull().cast("int").alias("_n"), F.lit(own).alias("_pt"),
+                      F.col("_row").alias("_row"))]
+    for p in marker_pts:
+        items.append(F.struct((F.col("_t") + F.lit(p)).alias("_t"), zero.alias("_v"), F.lit(0).alias("_n"),
+                              F.lit(p).alias("_pt"), F.lit(None).cast(rtype).alias("_row")))
+    u = base.select("_k", "_id", F.explode(F.array(*items)).alias("_e")).select("_k", "_id", "_e.*")
     u = u.withColumn("_b", _block(F.col("_t"), block_us))
 
     # level 1: per (key, block) totals -> exclusive prefix over blocks
@@ -80,7 +82,7 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
     w = Window.partitionBy("_k", "_b").orderBy("_t")
     incl = w.rangeBetween(Window.unboundedPreceding, 0)
     excl = w.rangeBetween(Window.unboundedPreceding, -1)
-    is_real = F.col("_n") == 1
+    is_real = F.col("_pt") == own
     in_s = F.when(is_real, F.sum("_v").over(incl)).otherwise(F.sum("_v").over(excl))
     in_n = F.when(is_real, F.sum("_n").over(incl)).otherwise(F.sum("_n").over(excl))
     u = u.select("_id", "_pt", "_row",
@@ -136,8 +138,8 @@ def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
     """Modal ``value`` over the key's strictly earlier rows (by (ts, id)); count ties go
     to the earliest first-seen value. NULL is a value of its own.
 
-    Single-window form: k = running count of (key, value); fp = first position of
-    (key, value); mode = max(struct(k, -fp, value)) over earlier rows. Here the max is
+    Single-window form: k = running count of (key, value); fr = rank of the value's first
+    appearance within the key; mode = max(struct(k, -fr, value)) over earlier rows. Here the max is
     split per day: the small (key, value, block) table gives each block's starting mode
     and each value's count before the block; the in-block part is a window per
     (key, block).
@@ -148,25 +150,25 @@ def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
     kv = d.groupBy(F.col(key).alias("_k"), "_v").agg(
         F.min(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"))).alias("_fp"))
     blk = d.groupBy(F.col(key).alias("_k"), "_v", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    # rank of first appearance among the key's values (rows per key = distinct values)
+    kv = kv.withColumn("_fr", F.row_number().over(Window.partitionBy("_k").orderBy("_fp")))
     kv = kv.withColumnRenamed("_k", "_k2").withColumnRenamed("_v", "_v2")
     blk = blk.join(kv, blk["_k"].eqNullSafe(kv["_k2"]) & (blk["_v"] == kv["_v2"]), "inner").drop("_k2", "_v2")
     wv = Window.partitionBy("_k", "_v").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     blk = blk.withColumn("_cum", F.sum("_c").over(wv))
-    cand = F.struct(F.col("_cum").alias("k"), (-F.col("_fp.t")).alias("nt"), (-F.col("_fp.i")).alias("ni"),
-                    F.col("_v").alias("v"))
+    cand = F.struct(F.col("_cum").alias("k"), (-F.col("_fr")).alias("nf"), F.col("_v").alias("v"))
     wk = Window.partitionBy("_k").orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)
     blk = blk.withColumn("_start", F.max(cand).over(wk))
     per_block = blk.groupBy("_k", "_b").agg(
         F.any_value("_start").alias("_start"),
         F.map_from_entries(F.collect_list(F.struct(
-            "_v", F.struct((F.col("_cum") - F.col("_c")).alias("before"), F.col("_fp").alias("fp"))))).alias("_m"))
+            "_v", F.struct((F.col("_cum") - F.col("_c")).alias("before"), F.col("_fr").alias("fr"))))).alias("_m"))
 
     d = d.join(per_block, d[key].eqNullSafe(per_block["_k"]) & (d["_b"] == per_block["_b"]), "inner") \
          .drop(per_block["_b"]).drop("_k")
     info = F.col("_m")[F.col("_v")]
     kcol = info["before"] + F.row_number().over(Window.partitionBy(key, "_b", "_v").orderBy(ts_us, id_col))
-    d = d.withColumn("_cand", F.struct(kcol.alias("k"), (-info["fp"]["t"]).alias("nt"),
-                                       (-info["fp"]["i"]).alias("ni"), F.col("_v").alias("v")))
+    d = d.withColumn("_cand", F.struct(kcol.alias("k"), (-info["fr"]).alias("nf"), F.col("_v").alias("v")))
     wr = Window.partitionBy(key, "_b").orderBy(ts_us, id_col).rowsBetween(Window.unboundedPreceding, -1)
     best = F.greatest(F.col("_start"), F.max("_cand").over(wr))
     mode = best["v"]

@@ -31,13 +31,19 @@ def _fractions(buckets: int) -> list[float]:
     return [i * step for i in range(buckets + 1)]
 
 
-def unpivot_samples(ref: DataFrame, cur: DataFrame, features: Sequence[str], as_string: bool = False) -> DataFrame:
-    """(feature, sample, value) long form of both samples; NULL values dropped."""
-    def long(df: DataFrame, tag: str) -> DataFrame:
-        vt = "string" if as_string else "double"
-        arr = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast(vt).alias("value")) for f in features])
-        return df.select(F.explode(arr).alias("_p")).select("_p.feature", F.lit(tag).alias("sample"), "_p.value")
-    u = long(ref, "ref").unionByName(long(cur, "cur"))
+def tag_samples(ref: DataFrame, cur: DataFrame, sample_col: str = "sample") -> DataFrame:
+    """One frame with a ``sample`` column ('ref' / 'cur')."""
+    return ref.withColumn(sample_col, F.lit("ref")).unionByName(cur.withColumn(sample_col, F.lit("cur")),
+                                                                allowMissingColumns=True)
+
+
+def unpivot_samples(df: DataFrame, features: Sequence[str], sample_col: str = "sample",
+                    as_string: bool = False) -> DataFrame:
+    """(feature, sample, value) long form of a sample-tagged frame; NULLs (and NaN) dropped."""
+    vt = "string" if as_string else "double"
+    arr = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast(vt).alias("value")) for f in features])
+    u = df.select(F.col(sample_col).alias("sample"), F.explode(arr).alias("_p")) \
+          .select("_p.feature", "sample", "_p.value")
     if not as_string:
         u = u.where(~F.isnan("value"))
     return u.where(F.col("value").isNotNull())
@@ -45,63 +51,84 @@ def unpivot_samples(ref: DataFrame, cur: DataFrame, features: Sequence[str], as_
 
 def psi_numeric(ref: DataFrame, cur: DataFrame, features: Sequence[str], buckets: int = PSI_BUCKETS,
                 eps: float = PSI_EPS, out_of_range: str = "drop") -> DataFrame:
+    """O-45 for two frames; see :func:`psi_numeric_tagged`."""
+    return psi_numeric_tagged(tag_samples(ref, cur), features, "sample", buckets, eps, out_of_range)
+
+
+def psi_numeric_tagged(df: DataFrame, features: Sequence[str], sample_col: str = "sample",
+                       buckets: int = PSI_BUCKETS, eps: float = PSI_EPS, out_of_range: str = "drop") -> DataFrame:
     """O-45: (feature, psi). Edges = distinct linear-interpolated quantiles of ref at
     i/buckets; bins [e_i, e_i+1) with the last closed; values outside the edges are
     dropped (D11; ``out_of_range='clip'`` puts them in the end bins instead).
-    Fewer than 2 edges or an empty sample -> NULL."""
-    long = unpivot_samples(ref, cur, features)
+    Fewer than 2 edges or an empty sample -> NULL.
+
+    The long form is read twice: once for the edges (grouped exact percentile over ref),
+    once for the binned conditional counts (edges broadcast: one row per feature)."""
+    long = unpivot_samples(df, features, sample_col)
     fr = _fractions(buckets)
     edges = (long.where(F.col("sample") == "ref").groupBy("feature")
              .agg(F.array_sort(F.array_distinct(F.percentile("value", F.array(*[F.lit(x) for x in fr])))).alias("edges")))
     nb = F.size("edges") - 1
-    d = long.join(F.broadcast(edges), "feature", "inner")  # one row per feature: bounded
+    d = long.join(F.broadcast(edges), "feature", "left")
     idx = F.size(F.filter(F.col("edges"), lambda e: e <= F.col("value")))
     lo, hi = F.element_at("edges", 1), F.element_at("edges", -1)
     if out_of_range == "clip":
         binc = F.least(F.greatest(idx, F.lit(1)), nb)
     else:
         binc = F.when((F.col("value") >= lo) & (F.col("value") <= hi), F.least(idx, nb))
-    d = d.where(nb >= 1).withColumn("bin", binc).where(F.col("bin").isNotNull())
+    d = d.withColumn("bin", F.when(nb >= 1, binc))
+    # bin NULL = out of range (or < 2 edges): counted for sample presence only
     counts = d.groupBy("feature", "bin").agg(F.count_if(F.col("sample") == "ref").alias("r"),
                                              F.count_if(F.col("sample") == "cur").alias("c"))
+    present = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
     grid = edges.where(F.size("edges") >= 2).select("feature", F.explode(F.sequence(F.lit(1), nb)).alias("bin"))
-    full = grid.join(counts, ["feature", "bin"], "left").fillna(0, ["r", "c"])
-    return _psi_from_counts(full, eps, edges.select("feature"), long)
+    full = grid.join(counts.where(F.col("bin").isNotNull()), ["feature", "bin"], "left").fillna(0, ["r", "c"])
+    return _psi_from_counts(full, eps, present)
 
 
 def psi_categorical(ref: DataFrame, cur: DataFrame, features: Sequence[str], eps: float = PSI_EPS) -> DataFrame:
+    """O-46 for two frames; see :func:`psi_categorical_tagged`."""
+    return psi_categorical_tagged(tag_samples(ref, cur), features, "sample", eps)
+
+
+def psi_categorical_tagged(df: DataFrame, features: Sequence[str], sample_col: str = "sample",
+                           eps: float = PSI_EPS) -> DataFrame:
     """O-46: (feature, psi) over the union of categories (values compared as text)."""
-    long = unpivot_samples(ref, cur, features, as_string=True)
+    long = unpivot_samples(df, features, sample_col, as_string=True)
     counts = long.groupBy("feature", F.col("value").alias("bin")).agg(
         F.count_if(F.col("sample") == "ref").alias("r"), F.count_if(F.col("sample") == "cur").alias("c"))
-    return _psi_from_counts(counts, eps, long.select("feature").distinct(), long)
+    present = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
+    return _psi_from_counts(counts, eps, present)
 
 
-def _psi_from_counts(full: DataFrame, eps: float, feats: DataFrame, long: DataFrame) -> DataFrame:
+def _psi_from_counts(full: DataFrame, eps: float, present: DataFrame) -> DataFrame:
     w = Window.partitionBy("feature")  # rows per feature = number of bins / categories
     nb = F.count(F.lit(1)).over(w)
     rp = (F.col("r") + F.lit(eps)) / (F.sum("r").over(w) + F.lit(eps) * nb)
     cp = (F.col("c") + F.lit(eps)) / (F.sum("c").over(w) + F.lit(eps) * nb)
-    t = full.select("feature", rp.alias("rp"), cp.alias("cp"),
-                    F.sum("r").over(w).alias("R"), F.sum("c").over(w).alias("C"))
+    t = full.select("feature", rp.alias("rp"), cp.alias("cp"), F.sum("r").over(w).alias("R"))
     psi = t.groupBy("feature").agg(F.sum((F.col("cp") - F.col("rp")) * F.log(F.col("cp") / F.col("rp"))).alias("psi"),
-                                   F.max("R").alias("R"), F.max("C").alias("C"))
+                                   F.max("R").alias("R"))
     # empty ref or cur sample -> NULL (PSI needs both)
-    present = long.groupBy("feature").agg(F.count_if(F.col("sample") == "ref").alias("nr"),
-                                          F.count_if(F.col("sample") == "cur").alias("nc"))
-    out = feats.distinct().join(psi, "feature", "left").join(present, "feature", "left")
+    out = present.join(psi, "feature", "left")
     ok = (F.col("nr") > 0) & (F.col("nc") > 0) & (F.col("R") > 0)
     return out.select("feature", F.when(ok, F.col("psi")).alias("psi"))
 
 
 def drift_table(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                 buckets: int = PSI_BUCKETS) -> DataFrame:
-    """O-48: numeric + categorical PSI, one table (order psi desc NULLs last, feature)."""
+    """O-48 for two frames; see :func:`drift_table_tagged`."""
+    return drift_table_tagged(tag_samples(ref, cur), numeric, categorical, "sample", buckets)
+
+
+def drift_table_tagged(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
+                       sample_col: str = "sample", buckets: int = PSI_BUCKETS) -> DataFrame:
+    """O-48: numeric + categorical PSI, one table (feature, type, psi)."""
     parts = []
     if numeric:
-        parts.append(psi_numeric(ref, cur, numeric, buckets).withColumn("type", F.lit("numeric")))
+        parts.append(psi_numeric_tagged(df, numeric, sample_col, buckets).withColumn("type", F.lit("numeric")))
     if categorical:
-        parts.append(psi_categorical(ref, cur, categorical).withColumn("type", F.lit("categorical")))
+        parts.append(psi_categorical_tagged(df, categorical, sample_col).withColumn("type", F.lit("categorical")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -128,15 +155,15 @@ def calibration_slope(bins: DataFrame) -> DataFrame:
                .withColumn("alert", F.col("slope") < F.lit(0.9))
 
 
-def feature_guard(ref: DataFrame, cur: DataFrame, features: Sequence[str], min_count: int = 3) -> DataFrame:
+def feature_guard(df: DataFrame, features: Sequence[str], sample_col: str = "sample", min_count: int = 3) -> DataFrame:
     """O-49: keep a feature when both samples have >= min_count non-NULL values and the
-    pooled standard deviation is > 0."""
-    long = unpivot_samples(ref, cur, features)
+    pooled standard deviation is > 0 (sample-tagged input)."""
+    long = unpivot_samples(df, features, sample_col)
     g = long.groupBy("feature").agg(F.count_if(F.col("sample") == "ref").alias("n_ref"),
                                     F.count_if(F.col("sample") == "cur").alias("n_cur"),
                                     F.stddev_samp("value").alias("pooled_std"))
     keep = (F.col("n_ref") >= min_count) & (F.col("n_cur") >= min_count) & (F.coalesce(F.col("pooled_std"), F.lit(0.0)) > 0)
-    all_f = ref.sparkSession.createDataFrame([(f,) for f in features], "feature string")
+    all_f = df.sparkSession.createDataFrame([(f,) for f in features], "feature string")
     return all_f.join(g, "feature", "left").fillna(0, ["n_ref", "n_cur"]).withColumn("keep", F.coalesce(keep, F.lit(False)))
 
 

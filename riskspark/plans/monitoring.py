@@ -21,10 +21,10 @@ NUMERIC_DRIFT = ["amount", "hour_of_day", "latency_ms", "account_age_days"]
 CATEGORICAL_DRIFT = ["country", "device_id", "merchant_id", "decision"]
 
 
-def _split(log: DataFrame):
-    ref = log.where(F.col("ts") < F.lit(REF_END).cast("timestamp_ntz"))
-    cur = log.where(F.col("ts") >= F.lit(REF_END).cast("timestamp_ntz"))
-    return ref, cur
+def _tagged(log: DataFrame) -> DataFrame:
+    """ref = transactions before REF_END, cur = the rest (one pass, a sample column)."""
+    return log.withColumn("sample", F.when(F.col("ts") < F.lit(REF_END).cast("timestamp_ntz"), F.lit("ref"))
+                          .otherwise(F.lit("cur")))
 
 
 # ---- KPIs -------------------------------------------------------------------------------
@@ -107,32 +107,29 @@ def shadow_summary(spark, sf):
 # ---- drift --------------------------------------------------------------------------------
 
 def psi_numeric(spark, sf):
-    ref, cur = _split(score_log(spark, sf))
-    return final(DR.psi_numeric(ref, cur, NUMERIC_DRIFT), ratios=["psi"])
+    return final(DR.psi_numeric_tagged(_tagged(score_log(spark, sf)), NUMERIC_DRIFT), ratios=["psi"])
 
 
 def psi_categorical(spark, sf):
-    ref, cur = _split(score_log(spark, sf))
-    return final(DR.psi_categorical(ref, cur, CATEGORICAL_DRIFT), ratios=["psi"])
+    return final(DR.psi_categorical_tagged(_tagged(score_log(spark, sf)), CATEGORICAL_DRIFT), ratios=["psi"])
 
 
 def drift_summary(spark, sf):
-    ref, cur = _split(score_log(spark, sf))
-    return final(DR.drift_table(ref, cur, NUMERIC_DRIFT, CATEGORICAL_DRIFT), ratios=["psi"])
+    return final(DR.drift_table_tagged(_tagged(score_log(spark, sf)), NUMERIC_DRIFT, CATEGORICAL_DRIFT),
+                 ratios=["psi"])
 
 
 def drift_alerts(spark, sf):
-    log = score_log(spark, sf)
-    ref, cur = _split(log)
-    drift = DR.drift_table(ref, cur, NUMERIC_DRIFT, CATEGORICAL_DRIFT)
-    k_cur = M.monitor_kpis(cur, by=())
-    k_ref = M.monitor_kpis(ref, by=())
+    log = _tagged(score_log(spark, sf))
+    drift = DR.drift_table_tagged(log, NUMERIC_DRIFT, CATEGORICAL_DRIFT)
+    k = M.monitor_kpis(log, by=("sample",))
+    k_cur = k.where(F.col("sample") == "cur")
+    k_ref = k.where(F.col("sample") == "ref")
     return final(DR.drift_alerts(drift, k_cur, k_ref), ratios=["value", "limit"])
 
 
 def feature_guard(spark, sf):
-    ref, cur = _split(score_log(spark, sf))
-    return final(DR.feature_guard(ref, cur, NUMERIC_DRIFT + ["proba"]), ratios=["pooled_std"],
+    return final(DR.feature_guard(_tagged(score_log(spark, sf)), NUMERIC_DRIFT + ["proba"]), ratios=["pooled_std"],
                  longs=["n_ref", "n_cur"])
 
 

@@ -274,7 +274,7 @@ fk AS (
          CASE WHEN has_label THEN tp / nullif(tp + fp, 0) END AS "precision",
          CASE WHEN has_label THEN tp / nullif(tp + fn, 0) END AS recall,
          CASE WHEN has_label THEN fp / nullif(fp + tn, 0) END AS fpr,
-         CASE WHEN has_label THEN tp ELSE flagged END * {usd} AS fraud_prevented_usd
+         CASE WHEN has_label THEN tp ELSE flagged END * CAST({usd} AS DOUBLE) AS fraud_prevented_usd
   FROM fd
 )"""
 
@@ -420,12 +420,12 @@ cpresent AS (SELECT feature, count_if(is_ref) AS nr, count_if(NOT is_ref) AS nc
 
 def _psi(full: str, present: str, feats: str, name: str) -> str:
     return f""",
-{name}_t AS (SELECT feature, sum(r) AS R, sum(c) AS C, count(*) AS B FROM {full} GROUP BY feature),
-{name}_p AS (SELECT f.feature, (r + 1e-6) / (R + 1e-6 * B) AS rp, (c + 1e-6) / (C + 1e-6 * B) AS cp, R
-             FROM {full} f JOIN {name}_t USING (feature)),
-{name}_s AS (SELECT feature, sum((cp - rp) * ln(cp / rp)) AS psi, max(R) AS R FROM {name}_p GROUP BY feature),
+{name}_t AS (SELECT feature, sum(r) AS rt, sum(c) AS ct, count(*) AS nb FROM {full} GROUP BY feature),
+{name}_p AS (SELECT f.feature, (f.r + 1e-6) / (t.rt + 1e-6 * t.nb) AS rp, (f.c + 1e-6) / (t.ct + 1e-6 * t.nb) AS cp, t.rt
+             FROM {full} f JOIN {name}_t t USING (feature)),
+{name}_s AS (SELECT feature, sum((cp - rp) * ln(cp / rp)) AS psi, max(rt) AS rt FROM {name}_p GROUP BY feature),
 {name} AS (
-  SELECT x.feature, CASE WHEN p.nr > 0 AND p.nc > 0 AND s.R > 0 THEN s.psi END AS psi
+  SELECT x.feature, CASE WHEN p.nr > 0 AND p.nc > 0 AND s.rt > 0 THEN s.psi END AS psi
   FROM (SELECT DISTINCT feature FROM {feats}) x LEFT JOIN {name}_s s USING (feature) LEFT JOIN {present} p USING (feature)
 )"""
 

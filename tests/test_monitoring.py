@@ -23,7 +23,10 @@ SCHEMA = ("amount double, hour_of_day double, proba double, latency_ms double, d
 
 def frame(spark, d):
     cols = list(REF)
-    return spark.createDataFrame(list(zip(*[d[c] for c in cols])), SCHEMA)
+    conv = [(lambda x: float(x)) if c in ("amount", "hour_of_day", "proba", "latency_ms") else (lambda x: x)
+            for c in cols]
+    rows = [tuple(f(v) for f, v in zip(conv, r)) for r in zip(*[d[c] for c in cols])]
+    return spark.createDataFrame(rows, SCHEMA)
 
 
 def test_psi_golden(spark):
