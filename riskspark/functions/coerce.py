@@ -172,3 +172,64 @@ def flatten_struct(df: DataFrame, sep: str = ".", arrays_as_json: bool = True) -
     for f in df.schema.fields:
         walk([f.name], f.dataType)
     return df.select(*cols)
+
+
+def pick_col_fuzzy(df_or_cols, target: str) -> str | None:
+    """O-20: tolerant column choice: exact, then case-insensitive, then 'contains', then prefix."""
+    cols = list(df_or_cols.columns if isinstance(df_or_cols, DataFrame) else df_or_cols)
+    t = target.lower()
+    for rule in (lambda c: c == target, lambda c: c.lower() == t, lambda c: t in c.lower(),
+                 lambda c: c.lower().startswith(t[:2])):
+        hits = [c for c in cols if rule(c)]
+        if hits:
+            return hits[0]
+    return None
+
+
+def days_between(ts, created, default: int = 9999) -> Column:
+    """O-18: whole days from ``created`` to ``ts`` (floor of the time difference, like a
+    timedelta's ``days``); missing ``created`` -> default."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    created = F.col(created) if isinstance(created, str) else created
+    d = F.floor((F.unix_micros(ts.cast("timestamp")) - F.unix_micros(created.cast("timestamp"))) / F.lit(86_400_000_000))
+    return F.coalesce(d.cast("int"), F.lit(default))
+
+
+# ---- fixed values: request-schema defaults and ranges of the scoring API -----------------
+REQUEST_DEFAULTS = {"country": "US", "device_id": "unknown", "hour_of_day": 12}
+GATEWAY_DEFAULT_ACCOUNT_AGE_DAYS = 365
+# ------------------------------------------------------------------------------------------
+
+
+def validate_requests(df: DataFrame, amount: str = "amount", age: str = "account_age_days",
+                      country: str = "country", device: str = "device_id", hour: str = "hour_of_day") -> DataFrame:
+    """O-19: fill request defaults (country US upper-cased, device 'unknown', hour 12,
+    account age 365), then range checks -> ``errors`` array; ``valid`` = no errors.
+    Split with ``where('valid')`` / ``where('not valid')`` (quarantine)."""
+    d = df.withColumns({
+        country: F.upper(F.coalesce(F.col(country).cast("string"), F.lit(REQUEST_DEFAULTS["country"]))),
+        device: F.coalesce(F.col(device).cast("string"), F.lit(REQUEST_DEFAULTS["device_id"])),
+        hour: F.coalesce(F.col(hour).cast("int"), F.lit(REQUEST_DEFAULTS["hour_of_day"])),
+        age: F.coalesce(F.col(age).cast("int"), F.lit(GATEWAY_DEFAULT_ACCOUNT_AGE_DAYS)),
+    })
+    errs = F.array(
+        F.when(F.col(amount).isNull() | (F.col(amount) < 0), F.lit("amount")),
+        F.when(F.col(age) < 0, F.lit("account_age_days")),
+        F.when(F.length(F.col(country)) != 2, F.lit("country")),
+        F.when((F.col(hour) < 0) | (F.col(hour) > 23), F.lit("hour_of_day")))
+    d = d.withColumn("errors", F.filter(errs, lambda x: x.isNotNull()))
+    return d.withColumn("valid", F.size("errors") == 0)
+
+
+def align_features(df: DataFrame, features: list[str], fill: str = "zero", keep: list[str] | None = None) -> DataFrame:
+    """O-21: the model's feature columns in order; absent columns -> 0.0; non-finite ->
+    NULL; NULL -> 0 (``fill='zero'``) or the column median (``fill='median'``: one
+    aggregate, its single row cross-joined back)."""
+    keep = keep or []
+    cols = [finite(F.col(f).cast("double")).alias(f) if f in df.columns else F.lit(0.0).alias(f) for f in features]
+    d = df.select(*keep, *cols)
+    if fill == "median":
+        med = d.agg(*[F.percentile(F.col(f), F.lit(0.5)).alias(f"_m_{f}") for f in features])
+        d = d.crossJoin(F.broadcast(med))  # one row
+        return d.select(*keep, *[F.coalesce(F.col(f), F.col(f"_m_{f}"), F.lit(0.0)).alias(f) for f in features])
+    return d.fillna(0.0, subset=features)

@@ -162,3 +162,14 @@ def fraud_context(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id:
     avg_u = d.groupBy(user).agg(F.avg(F.col(amount)).alias("avg_amount_user"))
     out = d.join(sums, tx_id).join(geo, tx_id).join(dev, tx_id)
     return out.join(avg_u, out[user].eqNullSafe(avg_u[user]), "left").drop(avg_u[user])
+
+
+def signup_account_age(txn: DataFrame, events: DataFrame, user: str = "user_id", ts: str = "ts",
+                       default: int = 9999) -> DataFrame:
+    """O-18: account age in days at each transaction from the user's first signup event
+    (aggregate per user + join); no signup -> default."""
+    from riskspark.functions.coerce import days_between
+
+    su = events.where(F.col("event_type") == "signup").groupBy(user).agg(F.min("ts").alias("_created"))
+    j = txn.join(su, txn[user].eqNullSafe(su[user]), "left").drop(su[user])
+    return j.withColumn("account_age_from_signup", days_between(F.col(ts), F.col("_created"), default)).drop("_created")

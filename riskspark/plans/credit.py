@@ -63,3 +63,41 @@ def woe_iv_ratio(spark: SparkSession, sf: str) -> DataFrame:
     d = feats.join(labels, "borrower_id", "inner")
     out = CR.woe_iv(d, "income_to_loan_ratio", "default_flag").select("bin", "bad", "good", "woe", "iv")
     return final(out, ratios=["woe", "iv"], longs=["bad", "good"])
+
+
+def reason_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """O-73: top-2 scorecard contributions per borrower."""
+    feats = CR.borrower_features(T.loans(spark, sf))
+    out = CR.reason_codes(feats, k=2)
+    return out.select("borrower_id", F.array_join("top_features", ",").alias("top_features"))
+
+
+def loan_keep_first_join(spark: SparkSession, sf: str) -> DataFrame:
+    """O-74 generic form: borrower features LEFT JOIN loans deduplicated keep-first."""
+    loans = T.loans(spark, sf)
+    feats = CR.borrower_features(loans)
+    attrs = loans.select("borrower_id", "loan_id", "loan_amount", "grade", "state", "vintage_year")
+    j = CR.left_join_keep_first(feats, attrs, "borrower_id", ["loan_id"])
+    return final(j.select("borrower_id", "loan_id", "loan_amount", "grade", "state", "vintage_year", "n_records"),
+                 money=["loan_amount"])
+
+
+def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """O-21: model feature order, absent column -> 0, NULL -> median."""
+    from riskspark.functions.coerce import align_features
+
+    feats = CR.borrower_features(T.loans(spark, sf))
+    cols = ["income_to_loan_ratio", "num_past_delinquencies", "credit_utilization_pct", "n_records", "bureau_score"]
+    out = align_features(feats, cols, fill="median", keep=["borrower_id"])
+    return final(out, ratios=cols)
+
+
+def defaults_vs_recoveries(spark: SparkSession, sf: str) -> DataFrame:
+    """O-105: label snapshot of loans originated before 1996 vs all loans."""
+    from riskspark.operators.rollups import defaults_vs_recoveries as dvr
+
+    loans = T.loans(spark, sf)
+    words = ["Charged Off", "Default", "Write Off", "Written Off"]
+    prev = CR.default_labels(loans.where(F.col("vintage_year") < 1996), "borrower_id", "loan_status", "status", words)
+    cur = CR.default_labels(loans, "borrower_id", "loan_status", "status", words)
+    return dvr(prev, cur)

@@ -104,3 +104,32 @@ def final_decisions(spark, sf):
 def arm_assignment(spark, sf):
     users = txn(spark, sf).select(F.col("user_id").cast("string").alias("key")).distinct()
     return users.select("key", sha1_mod100("key").alias("bucket"), assign_arm("key", AB_PERCENT).alias("arm"))
+
+
+def quarantine_txn(spark, sf):
+    """O-19: request defaults + range checks; invalid rows carry their error list."""
+    from riskspark.functions.coerce import validate_requests
+
+    v = validate_requests(txn(spark, sf))
+    return v.select("transaction_id", "device_id", "valid", F.array_join("errors", ",").alias("errors"))
+
+
+def account_age(spark, sf):
+    """O-18: account age in days from the user's first signup event (default 9999)."""
+    ev = T.read_table(spark, sf, "events")
+    r = FR.signup_account_age(txn(spark, sf), ev)
+    return r.select("transaction_id", "user_id", "hour_of_day", "account_age_from_signup")
+
+
+def flagged_per_rule(spark, sf):
+    """O-102: transactions flagged per rule over the whole log."""
+    e = score_log(spark, sf).select(F.explode("rules_hit").alias("rule"))
+    return e.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fraud_by_country(spark, sf):
+    """O-102: attempts (chargebacks) and flags by country."""
+    log = score_log(spark, sf)
+    return log.groupBy("country").agg(F.count(F.lit(1)).alias("txns"),
+                                      F.sum("is_chargeback").cast("bigint").alias("chargebacks"),
+                                      F.count_if(F.col("decision") == "flag").alias("flagged"))

@@ -261,3 +261,48 @@ def log_contract(spark, sf):
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), "arm", "proba", "decision", "rules_hit",
         "latency_ms")).alias("value"))
     return QL.log_contract(lines)
+
+
+def coverage_report(spark, sf):
+    """O-50: expected log columns: present? non-NULL rate."""
+    exp = ["ts", "decision", "proba", "latency_ms", "arm", "rules_hit", "model_ts"]
+    return final(DR.coverage_report(score_log(spark, sf), exp), ratios=["non_null_rate"])
+
+
+def alerts_min_severity(spark, sf):
+    """O-52: drift rows graded info/warn/error by PSI, filtered at a minimum severity."""
+    d = DR.drift_table_tagged(_tagged(score_log(spark, sf)), NUMERIC_DRIFT, CATEGORICAL_DRIFT)
+    sev = F.when(F.col("psi") >= 0.25, "error").when(F.col("psi") >= 0.1, "warn").otherwise("info")
+    d = d.withColumn("severity", sev)
+    return final(d.where(DR.meets_threshold(F.col("severity"), "info")), ratios=["psi"])
+
+
+def calibration_slope(spark, sf):
+    """O-101: slope of observed default rate on mean PD across the deciles."""
+    b = DR.calibration_bins(credit_labelled(spark, sf), "PD", "default_flag")
+    return final(DR.calibration_slope(b), ratios=["slope"])
+
+
+def retrain_triggers(spark, sf):
+    """O-103: max PSI vs 0.2, min daily precision vs 0.85."""
+    log = score_log(spark, sf)
+    drift = DR.drift_table_tagged(_tagged(log), NUMERIC_DRIFT, CATEGORICAL_DRIFT)
+    return final(DR.retrain_triggers(drift, M.fraud_kpis(log)), ratios=["max_psi", "min_precision"])
+
+
+def log_sanity(spark, sf):
+    """O-104: timestamps going backwards in arrival order per user; decision enum."""
+    return QL.monotonic_and_enum(score_log(spark, sf), "user_id", "ts", "transaction_id", "decision",
+                                 ["allow", "flag"])
+
+
+def label_coverage(spark, sf):
+    """O-77: labels exist only for transactions that went through the chargeback process
+    (purchases and errors); coverage of the labelled join."""
+    ev = T.read_table(spark, sf, "events").where(F.col("event_type").isin("purchase", "error"))
+    labels = ev.select(F.col("event_id").alias("transaction_id"))
+    tx = T.txn(spark, sf).select("transaction_id", "is_chargeback")
+    j = tx.join(labels.withColumn("_lab", F.lit(1)), "transaction_id", "left")
+    return j.agg(F.count(F.lit(1)).alias("total"), F.count("_lab").alias("labelled"),
+                 F.round(F.count("_lab") / F.count(F.lit(1)), 6).alias("coverage"),
+                 F.count_if((F.col("_lab") == 1) & (F.col("is_chargeback") == 1)).alias("labelled_positives"))

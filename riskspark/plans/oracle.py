@@ -713,3 +713,122 @@ SELECT transaction_id, user_id, round(rolling_amount_last_1h, 2) AS rolling_amou
 FROM ctx"""
 
 Q["stream_dedupe"] = with_(TXN) + "\nSELECT transaction_id, user_id FROM txn"
+
+# --- extra credit / fraud / monitoring ------------------------------------------------------
+Q["reason_codes"] = with_(LOANS) + """,
+f AS (SELECT borrower_id,
+             avg(CASE WHEN loan_amount <> 0 THEN CAST(annual_income AS DOUBLE) / loan_amount END) AS r,
+             CAST(max(delinq_2yrs) AS DOUBLE) AS d,
+             avg(try_cast(replace(trim(revol_util), '%', '') AS DOUBLE)) AS u, CAST(count(*) AS DOUBLE) AS n
+      FROM loans GROUP BY borrower_id),
+c AS (SELECT borrower_id,
+             [{'a': -abs((-1.2 * 1.0) * (coalesce(r, 0.0) - 0.0)), 'f': 'income_to_loan_ratio'},
+              {'a': -abs((0.9 * 1.0) * (coalesce(d, 0.0) - 0.0)), 'f': 'num_past_delinquencies'},
+              {'a': -abs((2.0 * 0.01) * (coalesce(u, 0.0) - 0.0)), 'f': 'credit_utilization_pct'},
+              {'a': -abs((-0.02 * 1.0) * (coalesce(n, 0.0) - 0.0)), 'f': 'n_records'}] AS arr
+      FROM f)
+SELECT borrower_id, array_to_string(list_transform(list_slice(list_sort(arr), 1, 2), lambda s: s.f), ',')
+       AS top_features
+FROM c"""
+
+Q["loan_keep_first_join"] = with_(LOANS) + """
+SELECT borrower_id, arg_min(loan_id, loan_id) AS loan_id, round(arg_min(loan_amount, loan_id), 2) AS loan_amount,
+       arg_min(grade, loan_id) AS grade, arg_min(state, loan_id) AS state,
+       arg_min(vintage_year, loan_id) AS vintage_year, count(*) AS n_records
+FROM loans GROUP BY borrower_id"""
+
+Q["feature_matrix"] = with_(LOANS) + """,
+f AS (SELECT borrower_id,
+             avg(CASE WHEN loan_amount <> 0 THEN CAST(annual_income AS DOUBLE) / loan_amount END) AS r,
+             CAST(max(delinq_2yrs) AS DOUBLE) AS d,
+             avg(try_cast(replace(trim(revol_util), '%', '') AS DOUBLE)) AS u, CAST(count(*) AS DOUBLE) AS n
+      FROM loans GROUP BY borrower_id),
+m AS (SELECT quantile_cont(r, 0.5) AS mr, quantile_cont(d, 0.5) AS md, quantile_cont(u, 0.5) AS mu,
+             quantile_cont(n, 0.5) AS mn FROM f)
+SELECT borrower_id, round(coalesce(r, mr, 0.0), 6) AS income_to_loan_ratio,
+       round(coalesce(d, md, 0.0), 6) AS num_past_delinquencies, round(coalesce(u, mu, 0.0), 6) AS credit_utilization_pct,
+       round(coalesce(n, mn, 0.0), 6) AS n_records, CAST(0.0 AS DOUBLE) AS bureau_score
+FROM f, m"""
+
+STATUS_FLAG = """CASE WHEN contains(lower(trim(loan_status)), 'charged off') OR contains(lower(trim(loan_status)), 'default')
+            OR contains(lower(trim(loan_status)), 'write off') OR contains(lower(trim(loan_status)), 'written off')
+            THEN 1 ELSE 0 END"""
+
+Q["defaults_vs_recoveries"] = with_(LOANS) + """,
+prev AS (SELECT borrower_id, max(""" + STATUS_FLAG + """) AS p FROM loans WHERE vintage_year < 1996 GROUP BY 1),
+cur AS (SELECT borrower_id, max(""" + STATUS_FLAG + """) AS c FROM loans GROUP BY 1),
+j AS (SELECT p, c FROM prev FULL OUTER JOIN cur USING (borrower_id))
+SELECT count_if(coalesce(p, 0) = 0 AND c = 1) AS new_defaults, count_if(p = 1 AND coalesce(c, 0) = 0) AS recoveries,
+       count_if(c = 1) AS defaults_now
+FROM j"""
+
+Q["quarantine_txn"] = with_(TXN) + """,
+v AS (SELECT transaction_id, coalesce(device_id, 'unknown') AS device_id,
+             concat_ws(',', CASE WHEN amount IS NULL OR amount < 0 THEN 'amount' END,
+                       CASE WHEN coalesce(account_age_days, 365) < 0 THEN 'account_age_days' END,
+                       CASE WHEN length(upper(coalesce(country, 'US'))) <> 2 THEN 'country' END,
+                       CASE WHEN coalesce(hour_of_day, 12) < 0 OR coalesce(hour_of_day, 12) > 23 THEN 'hour_of_day' END)
+               AS errors
+      FROM txn)
+SELECT transaction_id, device_id, errors = '' AS valid, errors FROM v"""
+
+Q["account_age"] = with_(TXN) + """,
+su AS (SELECT user_id, min(ts) AS created FROM events WHERE event_type = 'signup' GROUP BY 1)
+SELECT t.transaction_id, t.user_id, t.hour_of_day,
+       coalesce(CAST(floor((epoch_us(t.ts) - epoch_us(s.created)) / 86400000000) AS INTEGER), 9999)
+         AS account_age_from_signup
+FROM txn t LEFT JOIN su s USING (user_id)"""
+
+Q["flagged_per_rule"] = LOG + """
+SELECT rule, count(*) AS n FROM (SELECT unnest(rules_hit) AS rule FROM score_log) GROUP BY rule"""
+
+Q["fraud_by_country"] = LOG + """
+SELECT country, count(*) AS txns, CAST(sum(is_chargeback) AS BIGINT) AS chargebacks,
+       count_if(decision = 'flag') AS flagged
+FROM score_log GROUP BY country"""
+
+Q["coverage_report"] = LOG + """,
+a AS (SELECT count(*) AS n, count(ts) AS c1, count(decision) AS c2, count(proba) AS c3, count(latency_ms) AS c4,
+             count(arm) AS c5, count(rules_hit) AS c6 FROM score_log)
+SELECT 'ts' AS "column", true AS present, round(c1 / n, 6) AS non_null_rate FROM a
+UNION ALL SELECT 'decision', true, round(c2 / n, 6) FROM a
+UNION ALL SELECT 'proba', true, round(c3 / n, 6) FROM a
+UNION ALL SELECT 'latency_ms', true, round(c4 / n, 6) FROM a
+UNION ALL SELECT 'arm', true, round(c5 / n, 6) FROM a
+UNION ALL SELECT 'rules_hit', true, round(c6 / n, 6) FROM a
+UNION ALL SELECT 'model_ts', false, CAST(NULL AS DOUBLE) FROM a"""
+
+Q["alerts_min_severity"] = PSI + """,
+d AS (SELECT feature, 'numeric' AS type, psi FROM npsi UNION ALL SELECT feature, 'categorical', psi FROM cpsi)
+SELECT feature, type, round(psi, 6) AS psi,
+       CASE WHEN psi >= 0.25 THEN 'error' WHEN psi >= 0.1 THEN 'warn' ELSE 'info' END AS severity
+FROM d"""
+
+Q["calibration_slope"] = CREDIT + """,
+lab AS (SELECT borrower_id, CAST(max(""" + STATUS_FLAG + """) AS INTEGER) AS default_flag FROM loans GROUP BY 1),
+d AS (SELECT PD, default_flag FROM el JOIN lab USING (borrower_id) WHERE PD IS NOT NULL AND default_flag IS NOT NULL),
+ed AS (SELECT list_sort(list_distinct(quantile_cont(PD, """ + DECILES + """))) AS e FROM d),
+b AS (SELECT d.*, 1 + len(list_filter(list_slice(e, 2, len(e) - 1), lambda x: x < PD)) AS bin FROM d, ed),
+g AS (SELECT bin, avg(PD) AS mean_pd, avg(CASE WHEN default_flag = 1 THEN 1.0 ELSE 0.0 END) AS rate_observed
+      FROM b GROUP BY bin)
+SELECT round(regr_slope(rate_observed, mean_pd), 6) AS slope, regr_slope(rate_observed, mean_pd) < 0.9 AS alert FROM g"""
+
+Q["retrain_triggers"] = PSI + _fk() + """,
+mp AS (SELECT max(psi) AS max_psi FROM (SELECT psi FROM npsi UNION ALL SELECT psi FROM cpsi)),
+mk AS (SELECT min("precision") AS min_precision FROM fk)
+SELECT round(max_psi, 6) AS max_psi, round(min_precision, 6) AS min_precision,
+       coalesce(max_psi > 0.2, false) OR coalesce(min_precision < 0.85, false) AS retrain
+FROM mp, mk"""
+
+Q["log_sanity"] = LOG + """
+SELECT count_if(coalesce(ts < prev_ts, false)) AS non_monotonic_rows,
+       count_if(NOT coalesce(decision IN ('allow', 'flag'), false)) AS bad_enum_rows, count(*) AS rows
+FROM (SELECT *, lag(ts) OVER (PARTITION BY user_id ORDER BY transaction_id) AS prev_ts FROM score_log)"""
+
+Q["label_coverage"] = """
+WITH lab AS (SELECT event_id AS transaction_id FROM events WHERE event_type IN ('purchase', 'error')),
+""" + TXN.lstrip() + """
+SELECT count(*) AS total, count(l.transaction_id) AS labelled,
+       round(count(l.transaction_id) / count(*), 6) AS coverage,
+       count_if(l.transaction_id IS NOT NULL AND t.is_chargeback = 1) AS labelled_positives
+FROM txn t LEFT JOIN lab l USING (transaction_id)"""

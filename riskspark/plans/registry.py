@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import credit, fraud, monitoring, streams
+from riskspark.plans import credit, fraud, models, monitoring, streams
+from riskspark.session import apply_defaults
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_el_rollup": credit.segment_el_rollup,
     "portfolio_summary": credit.portfolio_summary,
     "borrower_features": credit.borrower_features,
@@ -70,4 +71,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_scored": streams.stream_scored,
     "stream_user_state": streams.stream_user_state,
     "stream_dedupe": streams.stream_dedupe,
+    "reason_codes": credit.reason_codes,
+    "loan_keep_first_join": credit.loan_keep_first_join,
+    "feature_matrix": credit.feature_matrix,
+    "defaults_vs_recoveries": credit.defaults_vs_recoveries,
+    "quarantine_txn": fraud.quarantine_txn,
+    "account_age": fraud.account_age,
+    "flagged_per_rule": fraud.flagged_per_rule,
+    "fraud_by_country": fraud.fraud_by_country,
+    "coverage_report": monitoring.coverage_report,
+    "alerts_min_severity": monitoring.alerts_min_severity,
+    "calibration_slope": monitoring.calibration_slope,
+    "retrain_triggers": monitoring.retrain_triggers,
+    "log_sanity": monitoring.log_sanity,
+    "label_coverage": monitoring.label_coverage,
+    "train_pd_metrics": models.train_pd_metrics,
+    "train_fraud_metrics": models.train_fraud_metrics,
 }
+
+
+def _with_defaults(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Every query runs under the package session settings (UTC clock, ANSI, AQE)."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_defaults(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _with_defaults(v) for k, v in _QUERIES.items()}

@@ -46,7 +46,8 @@ def txn_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    ev = r.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    # the file source watches a directory: the driver folder, events file only
+    ev = r.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
     return T.txn_from_events(ev).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
