@@ -44,9 +44,7 @@ def train_pd_logistic(train: DataFrame, features: Sequence[str], label: str, reg
     feats = [f for f in features if f != label]
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="_x", handleInvalid="keep"),
                             StandardScaler(inputCol="_x", outputCol="_xs", withMean=True, withStd=True),
-                            LogisticRegression(featuresCol="_xs", labelCol=label, weightCol="w", regParam=reg,
-                                               probabilityCol="_prob", rawPredictionCol="_raw",
-                                               predictionCol="_pred")])
+                            LogisticRegression(featuresCol="_xs", labelCol=label, weightCol="w", regParam=reg)])
     return pipe.fit(balanced_weights(train, label))
 
 
@@ -66,14 +64,13 @@ def train_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     stages.append(VectorAssembler(inputCols=list(numeric) + [f"_{c}_o" for c in oh], outputCol="_x",
                                   handleInvalid="keep"))
     stages.append(GBTClassifier(featuresCol="_x", labelCol=label, weightCol="w", maxIter=max_iter,
-                                maxDepth=max_depth, seed=seed, probabilityCol="_prob", rawPredictionCol="_raw",
-                                predictionCol="_pred"))
+                                maxDepth=max_depth, seed=seed))
     return Pipeline(stages=stages).fit(balanced_weights(train, label))
 
 
 def score_with(model, df: DataFrame, out: str = "score") -> DataFrame:
     """Positive-class probability as a plain double column."""
-    return model.transform(df).withColumn(out, vector_to_array(F.col("_prob"))[1])
+    return model.transform(df).withColumn(out, vector_to_array(F.col("probability"))[1])
 
 
 def evaluate(scored: DataFrame, score: str, label: str) -> DataFrame:
