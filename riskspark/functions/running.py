@@ -22,6 +22,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_US = 86_400_000_000
+# Keys with more rows than this take the two-level (per key-block) path; all others use a
+# plain per-key window. The hot-key list is bounded by total_rows / threshold, so it is
+# broadcast. Override per session with ``riskspark.hotKeyRows``.
+HOT_KEY_ROWS = 2_000_000
+
+
+def hot_key_threshold(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get("riskspark.hotKeyRows", str(HOT_KEY_ROWS)))
+    except Exception:  # noqa: BLE001
+        return HOT_KEY_ROWS
+
+
+def split_hot(df: DataFrame, key: str, threshold: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows of hot keys, rows of the other keys). A key is hot above ``threshold`` rows.
+
+    The per-key count is a map-side-combined aggregate; the hot list (at most
+    rows/threshold keys) is broadcast to a null-safe semi / anti join."""
+    t = hot_key_threshold(df) if threshold is None else threshold
+    if t <= 0:
+        return df, df.limit(0)
+    hot = df.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > t)
+    hot = F.broadcast(hot.select("_hk"))
+    cond = df[key].eqNullSafe(hot["_hk"])
+    return df.join(hot, cond, "left_semi"), df.join(hot, cond, "left_anti")
 
 
 def ts_micros(c) -> Column:
@@ -34,7 +59,7 @@ def _block(us: Column, block_us: int) -> Column:
     return F.floor(us / F.lit(block_us)).cast("bigint")
 
 
-def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+def _range_window_sums_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                       frames: Mapping[str, tuple[int, int]], block_us: int = DAY_US) -> DataFrame:
     """Per-row sum and count of ``value`` over RANGE frames on ``ts_us``.
 
@@ -108,7 +133,7 @@ def _tag(p: int) -> str:
     return f"m{-p}" if p < 0 else f"p{p}"
 
 
-def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+def _previous_value_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                    block_us: int = DAY_US, out: str = "prev_value", has_prev: str = "has_prev") -> DataFrame:
     """lag(value) over key ordered by (ts, id), computed per (key, block).
 
@@ -133,7 +158,7 @@ def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
 NULL_KEY = "\u0000"  # map keys cannot be NULL; a NULL value is tracked under this key
 
 
-def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+def _prior_mode_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                block_us: int = DAY_US, out: str = "prior_mode", has_prior: str = "has_prior") -> DataFrame:
     """Modal ``value`` over the key's strictly earlier rows (by (ts, id)); count ties go
     to the earliest first-seen value. NULL is a value of its own.
@@ -201,3 +226,59 @@ def key_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) ->
     for k in keys:
         j = j.drop(agg[k])
     return j
+
+
+# ---- public entry points: plain window for ordinary keys, two-level for hot keys ----------
+
+def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+                      frames: Mapping[str, tuple[int, int]], block_us: int = DAY_US,
+                      hot_threshold: int | None = None) -> DataFrame:
+    """Per-row sum and count of ``value`` over RANGE frames on ``ts_us`` (see
+    :func:`_range_window_sums_blocked` for the exact semantics). Ordinary keys use one
+    per-key window; keys above the hot threshold use the per key-day two-level plan."""
+    hot, rest = split_hot(df, key, hot_threshold)
+    w = Window.partitionBy(key).orderBy(F.col(ts_us).cast("bigint"))
+    v = F.col(value)
+    cols = {}
+    for name, (lo, hi) in frames.items():
+        wf = w.rangeBetween(lo, hi)
+        cnt = F.count(v).over(wf)
+        cols[f"{name}_sum"] = F.when(cnt > 0, F.sum(v).over(wf))
+        cols[f"{name}_cnt"] = cnt.cast("bigint")
+    plain = rest.withColumns(cols)
+    blocked = _range_window_sums_blocked(hot, key, ts_us, id_col, value, frames, block_us)
+    return plain.unionByName(blocked.select(*plain.columns))
+
+
+def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+                   block_us: int = DAY_US, out: str = "prev_value", has_prev: str = "has_prev",
+                   hot_threshold: int | None = None) -> DataFrame:
+    """lag(value) over key ordered by (ts, id); hot keys per key-day (two-level)."""
+    hot, rest = split_hot(df, key, hot_threshold)
+    w = Window.partitionBy(key).orderBy(ts_us, id_col)
+    plain = rest.withColumn(out, F.lag(value).over(w)).withColumn(has_prev, F.row_number().over(w) > 1)
+    blocked = _previous_value_blocked(hot, key, ts_us, id_col, value, block_us, out, has_prev)
+    return plain.unionByName(blocked.select(*plain.columns))
+
+
+def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+               block_us: int = DAY_US, out: str = "prior_mode", has_prior: str = "has_prior",
+               hot_threshold: int | None = None) -> DataFrame:
+    """Modal value over the key's earlier rows, ties -> earliest first seen (see
+    :func:`_prior_mode_blocked`); hot keys per key-day (two-level)."""
+    hot, rest = split_hot(df, key, hot_threshold)
+    v = F.coalesce(F.col(value).cast("string"), F.lit(NULL_KEY))
+    d = rest.withColumn("_v", v)
+    order = [F.col(ts_us), F.col(id_col)]
+    d = d.withColumn("_k", F.row_number().over(Window.partitionBy(key, "_v").orderBy(*order)))
+    d = d.withColumn("_fp", F.min(F.struct(*order)).over(Window.partitionBy(key, "_v")))
+    d = d.withColumn("_fr", F.dense_rank().over(Window.partitionBy(key).orderBy("_fp")))
+    wr = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    best = F.max(F.struct(F.col("_k").alias("k"), (-F.col("_fr")).alias("nf"), F.col("_v").alias("v"))).over(wr)
+    plain = (d.withColumn("_best", best)
+              .withColumn(has_prior, F.col("_best").isNotNull())
+              .withColumn(out, F.when(F.col("_best.v") == F.lit(NULL_KEY), F.lit(None).cast("string"))
+                          .otherwise(F.col("_best.v")))
+              .drop("_v", "_k", "_fp", "_fr", "_best"))
+    blocked = _prior_mode_blocked(hot, key, ts_us, id_col, value, block_us, out, has_prior)
+    return plain.unionByName(blocked.select(*plain.columns))

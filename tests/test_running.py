@@ -26,10 +26,12 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, "id long, u long, t long, v double, c string")
 
 
-def test_range_sums_bruteforce(spark):
+@pytest.mark.parametrize("hot", [0, 10**9])  # 0: every key takes the two-level path
+def test_range_sums_bruteforce(spark, hot):
     rows = data()
     frames = {"a": (-(3_600_000_000 - 1), 0), "b": (-2 * DAY, -1_800_000_000)}
-    got = {r.id: r for r in RW.range_window_sums(frame(spark, rows), "u", "t", "id", "v", frames).collect()}
+    got = {r.id: r for r in RW.range_window_sums(frame(spark, rows), "u", "t", "id", "v", frames,
+                                                 hot_threshold=hot).collect()}
     for i, u, t, _, _ in rows:
         for name, (lo, hi) in frames.items():
             vals = [x[3] for x in rows if x[1] == u and u is not None and t + lo <= x[2] <= t + hi]
@@ -48,20 +50,22 @@ def _ordered(rows, u):
     return sorted([r for r in rows if r[1] == u], key=lambda r: (r[2], r[0]))
 
 
-def test_previous_value_bruteforce(spark):
+@pytest.mark.parametrize("hot", [0, 10**9])
+def test_previous_value_bruteforce(spark, hot):
     rows = data(5)
     got = {r.id: (r.prev_value, r.has_prev) for r in
-           RW.previous_value(frame(spark, rows), "u", "t", "id", "c").collect()}
+           RW.previous_value(frame(spark, rows), "u", "t", "id", "c", hot_threshold=hot).collect()}
     for u in {r[1] for r in rows}:
         seq = _ordered(rows, u)
         for k, r in enumerate(seq):
             assert got[r[0]] == ((seq[k - 1][4], True) if k else (None, False))
 
 
-def test_prior_mode_bruteforce(spark):
+@pytest.mark.parametrize("hot", [0, 10**9])
+def test_prior_mode_bruteforce(spark, hot):
     rows = data(11)
     got = {r.id: (r.prior_mode, r.has_prior) for r in
-           RW.prior_mode(frame(spark, rows), "u", "t", "id", "c").collect()}
+           RW.prior_mode(frame(spark, rows), "u", "t", "id", "c", hot_threshold=hot).collect()}
     for u in {r[1] for r in rows}:
         counts = {}
         for r in _ordered(rows, u):
@@ -81,3 +85,14 @@ def test_first_seen(spark):
         key = (r[1], r[4])
         assert got[r[0]] == (key not in seen)
         seen.add(key)
+
+
+def test_mixed_hot_and_plain(spark):
+    """Threshold between key sizes: some keys hot, some plain; union equals brute force."""
+    rows = data(17)
+    got = {r.id: r for r in RW.range_window_sums(frame(spark, rows), "u", "t", "id", "v",
+                                                 {"a": (-(3_600_000_000 - 1), 0)}, hot_threshold=150).collect()}
+    assert len(got) == len(rows)
+    for i, u, t, _, _ in rows:
+        nn = [x[3] for x in rows if x[1] == u and t - 3_600_000_000 < x[2] <= t and x[3] is not None]
+        assert got[i]["a_cnt"] == len(nn)
