@@ -306,3 +306,36 @@ def label_coverage(spark, sf):
     return j.agg(F.count(F.lit(1)).alias("total"), F.count("_lab").alias("labelled"),
                  F.round(F.count("_lab") / F.count(F.lit(1)), 6).alias("coverage"),
                  F.count_if((F.col("_lab") == 1) & (F.col("is_chargeback") == 1)).alias("labelled_positives"))
+
+
+def log_roundtrip_latest2(spark, sf):
+    """O-03/O-05/O-07: the decision log written as JSON lines partitioned by day, read back
+    tolerantly (nested tx flattened, defaults), the latest two days selected by the
+    partition column (pruned scan), monitor KPIs per day."""
+    from riskspark.sources import files as FS
+    from riskspark.streaming.ops import work_dir
+
+    out = work_dir(spark, "decision_log")
+    log = score_log(spark, sf)
+    rec = log.select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), "arm",
+        F.struct("amount", "account_age_days", "country", "device_id", "hour_of_day").alias("tx"),
+        "proba", "decision", "rules_hit", "latency_ms", F.lit("model_1").alias("model_ts"),
+        F.col("transaction_id").cast("string").alias("transaction_id"), "label", date_str("date").alias("as_of_date"))
+    rec.write.mode("overwrite").partitionBy("as_of_date").json(out)
+    back = FS.latest_n_dates(FS.read_decision_log(spark, out), 2, "as_of_date")
+    k = M.monitor_kpis(back, by=("as_of_date",)).withColumn("as_of_date", date_str("as_of_date"))
+    return final(k, ratios=["flag_rate", "review_rate", "mean_proba", "p95_latency_ms"])
+
+
+def rollup_csv_roundtrip(spark, sf):
+    """O-08/O-01: segment roll-up exported as header CSV and read back with tolerant types."""
+    from riskspark.plans.credit import segment_el_rollup
+    from riskspark.sources import files as FS
+    from riskspark.streaming.ops import work_dir
+
+    out = work_dir(spark, "rollup_csv")
+    FS.write_csv_export(segment_el_rollup(spark, sf), out)
+    types = {"vintage_year": "int", "borrowers": "bigint", "total_EAD": "double", "avg_PD": "double",
+             "total_EL": "double"}
+    return FS.read_csv_tolerant(spark, out, types=types)

@@ -832,3 +832,33 @@ SELECT count(*) AS total, count(l.transaction_id) AS labelled,
        round(count(l.transaction_id) / count(*), 6) AS coverage,
        count_if(l.transaction_id IS NOT NULL AND t.is_chargeback = 1) AS labelled_positives
 FROM txn t LEFT JOIN lab l USING (transaction_id)"""
+
+Q["stream_shadow_join"] = with_(TXN) + """
+SELECT transaction_id,
+       CASE WHEN 1.0 / (1.0 + exp(-(amount - 6000.0) / 2000.0)) >= 0.5 THEN 'flag' ELSE 'allow' END AS prod_decision,
+       CASE WHEN 1.0 / (1.0 + exp(-(amount - 5000.0) / 1500.0)) >= 0.5 THEN 'flag' ELSE 'allow' END AS cand_decision
+FROM txn"""
+
+Q["log_roundtrip_latest2"] = LOG + """
+SELECT strftime(date, '%Y-%m-%d') AS as_of_date, count(*) AS requests,
+       round(avg(CASE WHEN lower(decision) = 'flag' THEN 1.0 ELSE 0.0 END), 6) AS flag_rate,
+       round(avg(CASE WHEN lower(decision) = 'review' THEN 1.0 ELSE 0.0 END), 6) AS review_rate,
+       round(coalesce(avg(proba), 0.0), 6) AS mean_proba,
+       round(coalesce(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 0.0), 6) AS p95_latency_ms
+FROM score_log WHERE date IN (SELECT DISTINCT date FROM score_log ORDER BY date DESC LIMIT 2) GROUP BY date"""
+
+Q["rollup_csv_roundtrip"] = Q["segment_el_rollup"]
+
+Q["woe_iv_ratio"] = with_(LOANS) + """,
+f AS (SELECT borrower_id,
+             avg(CASE WHEN loan_amount <> 0 THEN CAST(annual_income AS DOUBLE) / loan_amount END) AS x,
+             CAST(max(""" + STATUS_FLAG + """) AS INTEGER) AS y
+      FROM loans GROUP BY borrower_id),
+ed AS (SELECT list_sort(list_distinct(quantile_cont(x, """ + DECILES + """))) AS e FROM f),
+b AS (SELECT f.*, 1 + len(list_filter(list_slice(e, 2, greatest(len(e) - 1, 1)), lambda v: v < x)) AS bin
+      FROM f, ed WHERE x IS NOT NULL AND y IS NOT NULL),
+g AS (SELECT CAST(bin AS INTEGER) AS bin, CAST(sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS BIGINT) AS bad,
+             CAST(sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS BIGINT) AS good FROM b GROUP BY 1),
+p AS (SELECT *, (bad + 0.5) / sum(bad + 0.5) OVER () AS pb, (good + 0.5) / sum(good + 0.5) OVER () AS pg FROM g),
+w AS (SELECT *, ln(pg / pb) AS woe FROM p)
+SELECT bin, bad, good, round(woe, 6) AS woe, round(sum((pg - pb) * woe) OVER (), 6) AS iv FROM w"""

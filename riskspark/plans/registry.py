@@ -85,6 +85,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "retrain_triggers": monitoring.retrain_triggers,
     "log_sanity": monitoring.log_sanity,
     "label_coverage": monitoring.label_coverage,
+    "stream_shadow_join": streams.stream_shadow_join,
+    "log_roundtrip_latest2": monitoring.log_roundtrip_latest2,
+    "rollup_csv_roundtrip": monitoring.rollup_csv_roundtrip,
     "train_pd_metrics": models.train_pd_metrics,
     "train_fraud_metrics": models.train_fraud_metrics,
 }

@@ -49,3 +49,18 @@ def stream_dedupe(spark, sf):
     out = S.work_dir(spark, "dedupe")
     d = S.dedupe_late(S.txn_stream(spark, sf)).select("transaction_id", "user_id")
     return spark.read.parquet(S.run_append_stream(d, out))
+
+
+def stream_shadow_join(spark, sf):
+    """O-95: production decisions joined to candidate decisions (logged up to 1 minute
+    later) as two streams over the same transaction file."""
+    out = S.work_dir(spark, "shadow_join")
+    logistic = lambda mid, scale: F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("amount") - F.lit(mid)) / F.lit(scale)))
+    prod = S.txn_stream(spark, sf).select(
+        "transaction_id", "ts", F.when(logistic(6000.0, 2000.0) >= 0.5, "flag").otherwise("allow").alias("prod_decision"))
+    cand = S.txn_stream(spark, sf).select(
+        F.col("transaction_id").alias("c_transaction_id"),
+        (F.col("ts") + F.expr("INTERVAL 3 SECONDS")).alias("c_ts"),
+        F.when(logistic(5000.0, 1500.0) >= 0.5, "flag").otherwise("allow").alias("cand_decision"))
+    j = S.shadow_stream_join(prod, cand).select("transaction_id", "prod_decision", "cand_decision")
+    return spark.read.parquet(S.run_append_stream(j, out))

@@ -61,21 +61,24 @@ def read_table_any(spark: SparkSession, path: str, fmt: str | None = None) -> Da
 
 
 def read_decision_log(spark: SparkSession, path: str, quarantine: bool = False) -> DataFrame:
-    """O-03 / D12: JSON-lines decision log, PERMISSIVE; blank lines skipped; malformed
-    lines kept aside (``quarantine=True`` returns only those); ``tx.*`` flattened once;
-    defaults: decision -> 'allow', rules_hit -> [], arm NULL stays NULL."""
-    raw = spark.read.schema(DECISION_LOG_SCHEMA).option("mode", "PERMISSIVE") \
-                    .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    bad = F.col("_corrupt_record").isNotNull()
+    """O-03 / D12: JSON-lines decision log. Blank lines are skipped; lines that are not
+    valid JSON are kept aside (``quarantine=True`` returns only those, as raw text); the
+    nested ``tx`` record is flattened once; defaults: decision -> 'allow', rules_hit -> [].
+    Partition columns of the layout (e.g. ``as_of_date=...``) are kept."""
+    raw = spark.read.text(path)
+    raw = raw.where(F.length(F.trim(F.col("value"))) > 0)
+    ok = F.get_json_object(F.col("value"), "$").isNotNull()
     if quarantine:
-        return raw.where(bad).select("_corrupt_record")
-    ok = raw.where(~bad)
-    return ok.select(
-        C.to_ts("ts").alias("ts"), "arm", "tx.amount", "tx.account_age_days",
+        return raw.where(~ok).select(F.col("value").alias("raw_line"))
+    extra = [c for c in raw.columns if c != "value"]  # partition columns
+    schema = T.StructType([f for f in DECISION_LOG_SCHEMA.fields if f.name != "_corrupt_record"])
+    rec = raw.where(ok).select(*extra, F.from_json(F.col("value"), schema).alias("r")).select(*extra, "r.*")
+    hits = F.coalesce(F.col("rules_hit"), F.array().cast("array<string>"))
+    return rec.select(
+        *extra, C.to_ts("ts").alias("ts"), "arm", "tx.amount", "tx.account_age_days",
         F.upper(F.col("tx.country")).alias("country"), "tx.device_id", "tx.hour_of_day",
         "proba", F.coalesce(F.col("decision"), F.lit("allow")).alias("decision"),
-        F.coalesce(F.col("rules_hit"), F.array().cast("array<string>")).alias("rules_hit"),
-        F.size(F.coalesce(F.col("rules_hit"), F.array().cast("array<string>"))).alias("rules_count"),
+        hits.alias("rules_hit"), F.size(hits).alias("rules_count"),
         "latency_ms", "model_ts", "transaction_id", "label")
 
 

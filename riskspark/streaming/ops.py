@@ -52,9 +52,15 @@ def txn_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -
 
 
 def decision_log_stream(spark: SparkSession, path: str) -> DataFrame:
-    """O-89 / O-03: JSON-lines decision log as a stream (malformed lines dropped)."""
-    raw = spark.readStream.schema(FS.DECISION_LOG_SCHEMA).option("mode", "PERMISSIVE").json(path)
-    return raw.where(F.col("_corrupt_record").isNull()).select(
+    """O-89 / O-03: JSON-lines decision log as a stream (blank and malformed lines dropped,
+    the same parsing as the batch reader)."""
+    from pyspark.sql import types as T_
+
+    raw = spark.readStream.text(path).where(F.length(F.trim(F.col("value"))) > 0)
+    raw = raw.where(F.get_json_object(F.col("value"), "$").isNotNull())
+    schema = T_.StructType([f for f in FS.DECISION_LOG_SCHEMA.fields if f.name != "_corrupt_record"])
+    r = raw.select(F.from_json(F.col("value"), schema).alias("r")).select("r.*")
+    return r.select(
         F.try_to_timestamp("ts").alias("ts"), "arm", "tx.*", "proba",
         F.coalesce(F.col("decision"), F.lit("allow")).alias("decision"),
         F.coalesce(F.col("rules_hit"), F.array().cast("array<string>")).alias("rules_hit"), "latency_ms")
@@ -183,3 +189,15 @@ def stateful_user_features(stream: DataFrame, window_us: int = 3_600_000_000) ->
 
     return s.groupBy("user_id").applyInPandasWithState(fn, OUT_SCHEMA, STATE_SCHEMA, "append",
                                                        GroupStateTimeout.NoTimeout)
+
+
+def shadow_stream_join(prod: DataFrame, cand: DataFrame, key: str = "transaction_id",
+                       watermark: str = "10 minutes", bound: str = "1 minute") -> DataFrame:
+    """O-95: stream-stream inner join of the production and candidate decision streams on
+    the transaction, the candidate record arriving within ``bound`` after production;
+    both sides watermarked so join state is dropped after the bound."""
+    p = prod.withWatermark("ts", watermark).alias("p")
+    c = cand.withWatermark("c_ts", watermark).alias("c")
+    cond = (F.col(f"p.{key}") == F.col(f"c.c_{key}")) & (F.col("c.c_ts") >= F.col("p.ts")) \
+        & (F.col("c.c_ts") <= F.col("p.ts") + F.expr(f"INTERVAL {bound}"))
+    return p.join(c, cond, "inner")

@@ -128,3 +128,23 @@ def test_trailing_baseline_excludes_today(spark):
                  .withColumn("date", F.to_date("date"))
     got = {r.date.day: r.v_trailing for r in RO.trailing_baseline(daily, ["v"]).collect()}
     assert got[1] is None and got[2] == 1.0 and got[9] == pytest.approx(sum(range(2, 9)) / 7)
+
+
+def test_decision_log_reader_tolerant(spark, tmp_path):
+    from riskspark.sources import files as FS
+
+    p = tmp_path / "log.jsonl"
+    p.write_text("\n".join([
+        '{"ts": "2025-10-01T10:00:00", "arm": "prod", "tx": {"amount": 12.5, "account_age_days": 3, '
+        '"country": "us", "device_id": "D1", "hour_of_day": 10}, "proba": 0.1, "decision": "allow", '
+        '"rules_hit": ["R1"], "latency_ms": 10, "model_ts": "m"}',
+        "",
+        "{not json",
+        '{"ts": "2025-10-01T11:00:00", "tx": {"amount": 5.0}, "proba": 0.9, "latency_ms": 7}',
+    ]) + "\n")
+    good = FS.read_decision_log(spark, str(p)).orderBy("ts").collect()
+    assert len(good) == 2
+    assert good[0].country == "US" and good[0].rules_count == 1 and good[0].arm == "prod"
+    assert good[1].decision == "allow" and good[1].rules_hit == [] and good[1].arm is None
+    bad = FS.read_decision_log(spark, str(p), quarantine=True).collect()
+    assert [r.raw_line for r in bad] == ["{not json"]
