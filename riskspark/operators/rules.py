@@ -116,14 +116,20 @@ def _resolves(df: DataFrame, expr: Column) -> bool:
 
 
 def compile_structured(rules: Mapping[str, Any], df: DataFrame | None = None) -> list[dict[str, Any]]:
-    """Enabled structured rules -> [{id, cond: Column, action, score_delta, severity, reasons}]."""
+    """Enabled structured rules -> [{id, cond: Column, action, score_delta, severity, reasons}].
+
+    A rule referring to a ``tx.*`` / ``ctx.*`` field the frame lacks evaluates to false
+    (checked by name against the schema, no analysis per rule)."""
     defaults = dict(rules.get("defaults") or {})
+    cols = set(df.columns) if df is not None else None
     out = []
     for r in rules.get("rules") or []:
         if not r.get("enabled", True):
             continue
         params = r.get("params") or {}
         when = r.get("when") or {}
+        texts = [condition_sql(c, params) for c in (when.get("all") or []) + (when.get("any") or [])]
+        missing = cols is not None and any(n not in cols for t in texts for n in re.findall(r"`([^`]+)`", t))
         parts_all = [F.expr(condition_sql(c, params)) for c in when.get("all") or []]
         parts_any = [F.expr(condition_sql(c, params)) for c in when.get("any") or []]
         cond = F.lit(True)
@@ -136,7 +142,7 @@ def compile_structured(rules: Mapping[str, Any], df: DataFrame | None = None) ->
             cond = cond & anyc
         if not parts_all and not parts_any:
             cond = F.lit(False)
-        if df is not None and not _resolves(df, cond):
+        if missing:
             cond = F.lit(False)
         eff = {**defaults, **(r.get("effect") or {})}
         out.append({"id": str(r["id"]), "cond": F.coalesce(cond, F.lit(False)),

@@ -34,6 +34,26 @@ def score_log(spark: SparkSession, sf: str) -> DataFrame:
     return RU.final_decision(ctx)
 
 
+_LOG_TABLES: dict[tuple[str, str], str] = {}
+
+
+def decision_log_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The decision log as a *written table*: built once per Spark application from the
+    transactions and stored as Parquet under the shared checkpoint folder; monitoring
+    queries read it like the daily log files the scoring service writes. Writing it
+    cuts the long feature/rules lineage, so several passes over the log (edges then
+    counts, prefix sums) and executor loss never recompute the scoring chain."""
+    from riskspark.streaming.ops import work_dir
+
+    key = (spark.sparkContext.applicationId, sf)
+    path = _LOG_TABLES.get(key)
+    if path is None:
+        path = work_dir(spark, "decision_log_table")
+        score_log(spark, sf).write.mode("overwrite").parquet(path)
+        _LOG_TABLES[key] = path
+    return spark.read.parquet(path)
+
+
 # ---- feature queries ----------------------------------------------------------------
 
 def rolling_amount_1h(spark, sf):
@@ -123,13 +143,13 @@ def account_age(spark, sf):
 
 def flagged_per_rule(spark, sf):
     """O-102: transactions flagged per rule over the whole log."""
-    e = score_log(spark, sf).select(F.explode("rules_hit").alias("rule"))
+    e = decision_log_table(spark, sf).select(F.explode("rules_hit").alias("rule"))
     return e.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
 def fraud_by_country(spark, sf):
     """O-102: attempts (chargebacks) and flags by country."""
-    log = score_log(spark, sf)
+    log = decision_log_table(spark, sf)
     return log.groupBy("country").agg(F.count(F.lit(1)).alias("txns"),
                                       F.sum("is_chargeback").cast("bigint").alias("chargebacks"),
                                       F.count_if(F.col("decision") == "flag").alias("flagged"))

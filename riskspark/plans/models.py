@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskspark.operators import ml as ML
 from riskspark.plans.common import final
 from riskspark.plans.credit import default_labels
-from riskspark.plans.fraud import score_log
+from riskspark.plans.fraud import decision_log_table as score_log
 from riskspark.operators import credit as CR
 from riskspark.sources import tables as T
 

@@ -13,7 +13,7 @@ from riskspark.operators import quality as QL
 from riskspark.operators import rollups as RO
 from riskspark.plans.common import date_str, final
 from riskspark.plans.credit import scored_borrowers
-from riskspark.plans.fraud import score_log
+from riskspark.plans.fraud import decision_log_table as score_log
 from riskspark.sources import tables as T
 
 REF_END = "2024-01-16"  # reference sample: transactions before this date; current: the rest
