@@ -229,7 +229,12 @@ def align_features(df: DataFrame, features: list[str], fill: str = "zero", keep:
     cols = [finite(F.col(f).cast("double")).alias(f) if f in df.columns else F.lit(0.0).alias(f) for f in features]
     d = df.select(*keep, *cols)
     if fill == "median":
-        med = d.agg(*[F.percentile(F.col(f), F.lit(0.5)).alias(f"_m_{f}") for f in features])
-        d = d.crossJoin(F.broadcast(med))  # one row
+        from riskspark.functions.quantiles import exact_quantiles
+
+        meds = None
+        for f in features:  # one small distributed quantile plan per feature, each one row
+            m = exact_quantiles(d, f, [0.5], out="_q").select(F.col("_q")[0].alias(f"_m_{f}"))
+            meds = m if meds is None else meds.crossJoin(m)
+        d = d.crossJoin(F.broadcast(meds))  # one row
         return d.select(*keep, *[F.coalesce(F.col(f), F.col(f"_m_{f}"), F.lit(0.0)).alias(f) for f in features])
     return d.fillna(0.0, subset=features)

@@ -243,8 +243,9 @@ def woe_iv(df: DataFrame, feature: str, label: str, bins: int = 10, eps: float =
     with ``eps`` added to empty cells.
     """
     fr = [i / bins for i in range(bins + 1)]
-    edges = df.agg(F.percentile(F.col(feature).cast("double"), F.array(*[F.lit(f) for f in fr])).alias("e"))
-    edges = edges.select(F.array_distinct(F.col("e")).alias("e"))
+    from riskspark.functions.quantiles import exact_quantiles
+
+    edges = exact_quantiles(df, feature, fr, out="e").select(F.array_distinct(F.col("e")).alias("e"))
     d = df.where(F.col(feature).isNotNull() & F.col(label).isNotNull()).crossJoin(F.broadcast(edges))
     inner = F.slice(F.col("e"), 2, F.greatest(F.size("e") - 2, F.lit(0)))
     binc = (F.lit(1) + F.size(F.filter(inner, lambda x: x < F.col(feature).cast("double")))).alias("bin")

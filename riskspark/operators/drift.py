@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.functions.quantiles import exact_quantiles
+
 # ---- fixed values --------------------------------------------------------------------
 PSI_BUCKETS = 10
 PSI_EPS = 1e-6
@@ -66,8 +68,8 @@ def psi_numeric_tagged(df: DataFrame, features: Sequence[str], sample_col: str =
     once for the binned conditional counts (edges broadcast: one row per feature)."""
     long = unpivot_samples(df, features, sample_col)
     fr = _fractions(buckets)
-    edges = (long.where(F.col("sample") == "ref").groupBy("feature")
-             .agg(F.array_sort(F.array_distinct(F.percentile("value", F.array(*[F.lit(x) for x in fr])))).alias("edges")))
+    edges = exact_quantiles(long.where(F.col("sample") == "ref"), "value", fr, by=["feature"], out="q") \
+        .select("feature", F.array_sort(F.array_distinct("q")).alias("edges"))
     nb = F.size("edges") - 1
     d = long.join(F.broadcast(edges), "feature", "left")
     idx = F.size(F.filter(F.col("edges"), lambda e: e <= F.col("value")))
@@ -102,16 +104,16 @@ def psi_categorical_tagged(df: DataFrame, features: Sequence[str], sample_col: s
 
 
 def _psi_from_counts(full: DataFrame, eps: float, present: DataFrame) -> DataFrame:
-    w = Window.partitionBy("feature")  # rows per feature = number of bins / categories
-    nb = F.count(F.lit(1)).over(w)
-    rp = (F.col("r") + F.lit(eps)) / (F.sum("r").over(w) + F.lit(eps) * nb)
-    cp = (F.col("c") + F.lit(eps)) / (F.sum("c").over(w) + F.lit(eps) * nb)
-    t = full.select("feature", rp.alias("rp"), cp.alias("cp"), F.sum("r").over(w).alias("R"))
-    psi = t.groupBy("feature").agg(F.sum((F.col("cp") - F.col("rp")) * F.log(F.col("cp") / F.col("rp"))).alias("psi"),
-                                   F.max("R").alias("R"))
-    # empty ref or cur sample -> NULL (PSI needs both)
-    out = present.join(psi, "feature", "left")
-    ok = (F.col("nr") > 0) & (F.col("nc") > 0) & (F.col("R") > 0)
+    """PSI from (feature, bin, r, c) counts: per-feature totals are an aggregate joined
+    back (one row per feature, broadcast), so many bins/categories never meet in one task."""
+    tot = full.groupBy("feature").agg(F.sum("r").alias("_rt"), F.sum("c").alias("_ct"), F.count(F.lit(1)).alias("_nb"))
+    t = full.join(F.broadcast(tot), "feature", "inner")
+    rp = (F.col("r") + F.lit(eps)) / (F.col("_rt") + F.lit(eps) * F.col("_nb"))
+    cp = (F.col("c") + F.lit(eps)) / (F.col("_ct") + F.lit(eps) * F.col("_nb"))
+    t = t.select("feature", rp.alias("rp"), cp.alias("cp"))
+    psi = t.groupBy("feature").agg(F.sum((F.col("cp") - F.col("rp")) * F.log(F.col("cp") / F.col("rp"))).alias("psi"))
+    out = present.join(F.broadcast(tot.select("feature", "_rt")), "feature", "left").join(psi, "feature", "left")
+    ok = (F.col("nr") > 0) & (F.col("nc") > 0) & (F.col("_rt") > 0)
     return out.select("feature", F.when(ok, F.col("psi")).alias("psi"))
 
 
@@ -140,8 +142,7 @@ def calibration_bins(df: DataFrame, pd_col: str, label: str, q: int = 10) -> Dat
     value in bin 1); mean score vs observed rate per bin. NULL rows dropped."""
     d = df.where(F.col(pd_col).isNotNull() & F.col(label).isNotNull())
     fr = _fractions(q)
-    edges = d.agg(F.array_sort(F.array_distinct(F.percentile(F.col(pd_col).cast("double"),
-                                                            F.array(*[F.lit(x) for x in fr])))).alias("e"))
+    edges = exact_quantiles(d, pd_col, fr, out="q").select(F.array_sort(F.array_distinct("q")).alias("e"))
     inner = F.slice(F.col("e"), 2, F.greatest(F.size("e") - 2, F.lit(0)))
     binc = F.lit(1) + F.size(F.filter(inner, lambda x: x < F.col(pd_col).cast("double")))
     d = d.crossJoin(F.broadcast(edges)).withColumn("bin", binc)  # edges: one row

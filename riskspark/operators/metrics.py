@@ -130,7 +130,14 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int =
     long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                                          for c in cols])).alias("_p")).select("_p.*")
     c = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy("column").orderBy(F.col("count").desc(), F.col("value").asc_nulls_first())
+    # two-stage top-k: first inside hash slices of each column's values, then over the
+    # at most slices x k survivors, so a high-cardinality column never sorts in one task
+    order = [F.col("count").desc(), F.col("value").asc_nulls_first()]
+    slices = max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "16")))
+    c = c.withColumn("_s", F.pmod(F.hash("value"), F.lit(slices)))
+    c = c.withColumn("_r", F.row_number().over(Window.partitionBy("column", "_s").orderBy(*order))) \
+         .where(F.col("_r") <= k).drop("_s", "_r")
+    w = Window.partitionBy("column").orderBy(*order)
     return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
@@ -144,9 +151,11 @@ def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
               .agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg")))
 
 
-def score_prefix(counts: DataFrame, descending: bool = True, buckets: int = 16) -> DataFrame:
+def score_prefix(counts: DataFrame, descending: bool = True, buckets: int | None = None) -> DataFrame:
     """Adds inclusive running ``cpos``/``cneg`` over distinct scores (descending by
-    default) and the totals ``P``/``N``, without a single-partition window."""
+    default) and the totals ``P``/``N``, without a single-partition window. The bucket
+    count follows ``spark.sql.shuffle.partitions`` so buckets stay task-sized."""
+    buckets = buckets or max(16, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions", "16")))
     order_val = -F.col("score") if descending else F.col("score")
     d = counts.withColumn("_o", order_val)
     fr = [i / buckets for i in range(1, buckets)]
