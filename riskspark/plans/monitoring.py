@@ -339,3 +339,32 @@ def rollup_csv_roundtrip(spark, sf):
     types = {"vintage_year": "int", "borrowers": "bigint", "total_EAD": "double", "avg_PD": "double",
              "total_EL": "double"}
     return FS.read_csv_tolerant(spark, out, types=types)
+
+
+def freshness_check(spark, sf):
+    """O-87: the decision log table is not older than its input transactions and is
+    younger than 24h at the reporting time (fixed here to the end of the input month)."""
+    log = score_log(spark, sf)
+    ev = T.read_table(spark, sf, "events")
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    out = QL.freshness(log, ev, "ts", "ts", 24.0, now=now)
+    return final(out.select(F.date_format("out_max", "yyyy-MM-dd HH:mm:ss").alias("out_max"),
+                            F.date_format("in_max", "yyyy-MM-dd HH:mm:ss").alias("in_max"),
+                            "age_hours", "fresh", "not_stale_vs_inputs"), ratios=["age_hours"])
+
+
+def describe_txn(spark, sf):
+    """O-43 fallback: count / mean / stddev / min / max of the numeric transaction columns
+    (one aggregate, like ``DataFrame.summary``)."""
+    tx = T.txn(spark, sf)
+    cols = ["amount", "hour_of_day", "account_age_days"]
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    row = tx.agg(*aggs)
+    recs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"),
+                              F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
+                              F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in cols])
+    return final(row.select(F.explode(recs).alias("r")).select("r.*"), ratios=["mean", "std", "min", "max"])

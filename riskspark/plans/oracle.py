@@ -862,3 +862,20 @@ g AS (SELECT CAST(bin AS INTEGER) AS bin, CAST(sum(CASE WHEN y = 1 THEN 1 ELSE 0
 p AS (SELECT *, (bad + 0.5) / sum(bad + 0.5) OVER () AS pb, (good + 0.5) / sum(good + 0.5) OVER () AS pg FROM g),
 w AS (SELECT *, ln(pg / pb) AS woe FROM p)
 SELECT bin, bad, good, round(woe, 6) AS woe, round(sum((pg - pb) * woe) OVER (), 6) AS iv FROM w"""
+
+Q["freshness_check"] = LOG + """,
+o AS (SELECT max(ts) AS out_max FROM score_log), i AS (SELECT max(ts) AS in_max FROM events)
+SELECT strftime(out_max, '%Y-%m-%d %H:%M:%S') AS out_max, strftime(in_max, '%Y-%m-%d %H:%M:%S') AS in_max,
+       round((epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(out_max)) / 3.6e9, 6) AS age_hours,
+       (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(out_max)) / 3.6e9 <= 24.0 AS fresh,
+       out_max >= in_max AS not_stale_vs_inputs
+FROM o, i"""
+
+Q["describe_txn"] = with_(TXN) + """
+SELECT 'amount' AS "column", count(amount) AS count, round(avg(amount), 6) AS mean, round(stddev_samp(amount), 6) AS std,
+       round(min(amount), 6) AS min, round(max(amount), 6) AS max FROM txn
+UNION ALL SELECT 'hour_of_day', count(hour_of_day), round(avg(hour_of_day), 6), round(stddev_samp(hour_of_day), 6),
+       round(CAST(min(hour_of_day) AS DOUBLE), 6), round(CAST(max(hour_of_day) AS DOUBLE), 6) FROM txn
+UNION ALL SELECT 'account_age_days', count(account_age_days), round(avg(account_age_days), 6),
+       round(stddev_samp(account_age_days), 6), round(CAST(min(account_age_days) AS DOUBLE), 6),
+       round(CAST(max(account_age_days) AS DOUBLE), 6) FROM txn"""

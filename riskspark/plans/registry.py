@@ -87,6 +87,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "label_coverage": monitoring.label_coverage,
     "stream_shadow_join": streams.stream_shadow_join,
     "log_roundtrip_latest2": monitoring.log_roundtrip_latest2,
+    "freshness_check": monitoring.freshness_check,
+    "describe_txn": monitoring.describe_txn,
     "rollup_csv_roundtrip": monitoring.rollup_csv_roundtrip,
     "train_pd_metrics": models.train_pd_metrics,
     "train_fraud_metrics": models.train_fraud_metrics,
