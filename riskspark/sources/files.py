@@ -98,8 +98,9 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> D
 
 
 def with_file_date(df: DataFrame, out: str = "as_of_date") -> DataFrame:
-    """O-05: YYYYMMDD parsed from the source file name (metadata column, no listing)."""
-    d = F.regexp_extract(F.col("_metadata.file_name"), r"(\d{8})", 1)
+    """O-05: YYYYMMDD parsed from the source path (``..._20251001.csv`` or a
+    ``..._20251001.parquet/`` directory), read from the file metadata column."""
+    d = F.regexp_extract(F.col("_metadata.file_path"), r"(?:^|[_/-])(\d{8})(?=[._/]|$)", 1)
     return df.withColumn(out, F.try_to_date(F.nullif(d, F.lit("")), "yyyyMMdd"))
 
 
