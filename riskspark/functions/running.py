@@ -11,7 +11,8 @@ into time blocks (default: one day) and compute per-row results in two levels:
    the computation.
 
 The results equal the single-window formulation exactly (tests compare them on data with
-ties and nulls), but no task ever holds more than one key-block of rows.
+ties and nulls), but no task ever holds more than one key-block of rows. Block width does
+not affect results; the public entry points use hourly blocks for hot keys.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY_US = 86_400_000_000
+HOUR_US = 3_600_000_000
+# Block width of the two-level path. Only hot keys take it, so blocks are narrow: a key
+# holding a third of a year of data still splits into ~8,760 hourly tasks' worth of work.
+HOT_BLOCK_US = HOUR_US
 # Keys with more rows than this take the two-level (per key-block) path; all others use a
 # plain per-key window. The hot-key list is bounded by total_rows / threshold, so it is
 # broadcast. Override per session with ``riskspark.hotKeyRows``.
@@ -231,7 +236,7 @@ def key_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) ->
 # ---- public entry points: plain window for ordinary keys, two-level for hot keys ----------
 
 def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
-                      frames: Mapping[str, tuple[int, int]], block_us: int = DAY_US,
+                      frames: Mapping[str, tuple[int, int]], block_us: int = HOT_BLOCK_US,
                       hot_threshold: int | None = None) -> DataFrame:
     """Per-row sum and count of ``value`` over RANGE frames on ``ts_us`` (see
     :func:`_range_window_sums_blocked` for the exact semantics). Ordinary keys use one
@@ -251,7 +256,7 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
 
 
 def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
-                   block_us: int = DAY_US, out: str = "prev_value", has_prev: str = "has_prev",
+                   block_us: int = HOT_BLOCK_US, out: str = "prev_value", has_prev: str = "has_prev",
                    hot_threshold: int | None = None) -> DataFrame:
     """lag(value) over key ordered by (ts, id); hot keys per key-day (two-level)."""
     hot, rest = split_hot(df, key, hot_threshold)
@@ -262,7 +267,7 @@ def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
 
 
 def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
-               block_us: int = DAY_US, out: str = "prior_mode", has_prior: str = "has_prior",
+               block_us: int = HOT_BLOCK_US, out: str = "prior_mode", has_prior: str = "has_prior",
                hot_threshold: int | None = None) -> DataFrame:
     """Modal value over the key's earlier rows, ties -> earliest first seen (see
     :func:`_prior_mode_blocked`); hot keys per key-day (two-level)."""
