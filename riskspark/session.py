@@ -30,6 +30,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is also the executor; give it room (cluster
+            # launches size executors through their own configuration)
+            builder = builder.config("spark.driver.memory", os.environ.get("RISKSPARK_DRIVER_MEMORY", "8g"))
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
