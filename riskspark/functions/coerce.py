@@ -231,10 +231,11 @@ def align_features(df: DataFrame, features: list[str], fill: str = "zero", keep:
     if fill == "median":
         from riskspark.functions.quantiles import exact_quantiles
 
-        meds = None
-        for f in features:  # one small distributed quantile plan per feature, each one row
-            m = exact_quantiles(d, f, [0.5], out="_q").select(F.col("_q")[0].alias(f"_m_{f}"))
-            meds = m if meds is None else meds.crossJoin(m)
-        d = d.crossJoin(F.broadcast(meds))  # one row
-        return d.select(*keep, *[F.coalesce(F.col(f), F.col(f"_m_{f}"), F.lit(0.0)).alias(f) for f in features])
+        # all medians in one distributed quantile plan over the unpivoted features
+        long = d.select(F.explode(F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).alias("v"))
+                                            for f in features])).alias("_p")).select("_p.f", "_p.v")
+        q = exact_quantiles(long, "v", [0.5], by=["f"], out="_q")
+        meds = q.agg(F.map_from_entries(F.collect_list(F.struct("f", F.col("_q")[0]))).alias("_meds"))
+        d = d.crossJoin(F.broadcast(meds))  # one row: a map with one entry per feature
+        return d.select(*keep, *[F.coalesce(F.col(f), F.col("_meds")[f], F.lit(0.0)).alias(f) for f in features])
     return d.fillna(0.0, subset=features)

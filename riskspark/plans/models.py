@@ -20,6 +20,8 @@ def train_pd_metrics(spark, sf):
     feats = CR.borrower_features(T.loans(spark, sf)).join(default_labels(spark, sf), "borrower_id")
     m = ML.prepare_matrix(feats, CREDIT_FEATURES, keep=["borrower_id", "default_flag"])
     m = ML.hash_split(m, "borrower_id").withColumn("default_flag", F.col("default_flag").cast("double"))
+    # iterative training and four metric passes: cut the feature lineage once
+    m = m.checkpoint(eager=True)
     train, test = m.where(~F.col("is_test")), m.where(F.col("is_test"))
     lr = ML.train_pd_logistic(train, CREDIT_FEATURES, "default_flag")
     gbt = ML.train_gbt(train, CREDIT_FEATURES, [], "default_flag", max_iter=10)
@@ -37,7 +39,7 @@ def train_fraud_metrics(spark, sf):
     numeric = ["amount", "hour_of_day", "account_age_days", "rolling_amount_last_1h", "avg_amount_user"]
     d = log.select("transaction_id", "label", *numeric, "country", "merchant_id",
                    F.coalesce("device_id", F.lit("unknown")).alias("device_id"))
-    d = ML.hash_split(d, "transaction_id")
+    d = ML.hash_split(d, "transaction_id").checkpoint(eager=True)
     model = ML.train_gbt(d.where(~F.col("is_test")), numeric, ["country", "merchant_id", "device_id"], "label",
                          max_iter=10)
     res = ML.evaluate(ML.score_with(model, d.where(F.col("is_test"))), "score", "label")
