@@ -40,16 +40,27 @@ def hot_key_threshold(df: DataFrame) -> int:
         return HOT_KEY_ROWS
 
 
-def split_hot(df: DataFrame, key: str, threshold: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows of hot keys, rows of the other keys). A key is hot above ``threshold`` rows.
-
-    The per-key count is a map-side-combined aggregate; the hot list (at most
-    rows/threshold keys) is broadcast to a null-safe semi / anti join."""
+def hot_keys(df: DataFrame, key: str, threshold: int | None = None) -> DataFrame | None:
+    """Keys with more than ``threshold`` rows, as a one-column frame ``_hk`` (None means
+    "every key is hot"). The per-key count is a map-side-combined aggregate; the list
+    has at most rows / threshold entries."""
     t = hot_key_threshold(df) if threshold is None else threshold
     if t <= 0:
+        return None
+    return df.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn")) \
+             .where(F.col("_hn") > t).select("_hk")
+
+
+def split_hot(df: DataFrame, key: str, threshold: int | None = None,
+              hot: DataFrame | None | bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows of hot keys, rows of the other keys). A key is hot above ``threshold`` rows;
+    a precomputed ``hot`` list (from :func:`hot_keys`) can be shared between operators
+    over the same input. The hot list is broadcast to a null-safe semi / anti join."""
+    if hot is False:
+        hot = hot_keys(df, key, threshold)
+    if hot is None:
         return df, df.limit(0)
-    hot = df.groupBy(F.col(key).alias("_hk")).agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > t)
-    hot = F.broadcast(hot.select("_hk"))
+    hot = F.broadcast(hot)
     cond = df[key].eqNullSafe(hot["_hk"])
     return df.join(hot, cond, "left_semi"), df.join(hot, cond, "left_anti")
 
@@ -237,11 +248,11 @@ def key_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) ->
 
 def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                       frames: Mapping[str, tuple[int, int]], block_us: int = HOT_BLOCK_US,
-                      hot_threshold: int | None = None) -> DataFrame:
+                      hot_threshold: int | None = None, hot_list: DataFrame | None | bool = False) -> DataFrame:
     """Per-row sum and count of ``value`` over RANGE frames on ``ts_us`` (see
     :func:`_range_window_sums_blocked` for the exact semantics). Ordinary keys use one
     per-key window; keys above the hot threshold use the per key-day two-level plan."""
-    hot, rest = split_hot(df, key, hot_threshold)
+    hot, rest = split_hot(df, key, hot_threshold, hot_list)
     w = Window.partitionBy(key).orderBy(F.col(ts_us).cast("bigint"))
     v = F.col(value)
     cols = {}
@@ -257,9 +268,9 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
 
 def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                    block_us: int = HOT_BLOCK_US, out: str = "prev_value", has_prev: str = "has_prev",
-                   hot_threshold: int | None = None) -> DataFrame:
+                   hot_threshold: int | None = None, hot_list: DataFrame | None | bool = False) -> DataFrame:
     """lag(value) over key ordered by (ts, id); hot keys per key-day (two-level)."""
-    hot, rest = split_hot(df, key, hot_threshold)
+    hot, rest = split_hot(df, key, hot_threshold, hot_list)
     w = Window.partitionBy(key).orderBy(ts_us, id_col)
     plain = rest.withColumn(out, F.lag(value).over(w)).withColumn(has_prev, F.row_number().over(w) > 1)
     blocked = _previous_value_blocked(hot, key, ts_us, id_col, value, block_us, out, has_prev)
@@ -268,10 +279,10 @@ def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
 
 def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                block_us: int = HOT_BLOCK_US, out: str = "prior_mode", has_prior: str = "has_prior",
-               hot_threshold: int | None = None) -> DataFrame:
+               hot_threshold: int | None = None, hot_list: DataFrame | None | bool = False) -> DataFrame:
     """Modal value over the key's earlier rows, ties -> earliest first seen (see
     :func:`_prior_mode_blocked`); hot keys per key-day (two-level)."""
-    hot, rest = split_hot(df, key, hot_threshold)
+    hot, rest = split_hot(df, key, hot_threshold, hot_list)
     v = F.coalesce(F.col(value).cast("string"), F.lit(NULL_KEY))
     d = rest.withColumn("_v", v)
     order = [F.col(ts_us), F.col(id_col)]

@@ -82,12 +82,12 @@ def velocity_spike(txn: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES
 
 
 def geo_mismatch(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                 country: str = "country") -> DataFrame:
+                 country: str = "country", hot_list=False) -> DataFrame:
     """O-28 / O-25: ``home_country`` = modal country of the user's earlier rows (ties ->
     earliest first seen); ``geo_location_mismatch`` = country differs from it (a NULL on
     either side counts as a mismatch); the user's first row is false."""
     d = with_ts_us(txn, ts)
-    r = RW.prior_mode(d, user, "ts_us", tx_id, country, out="home_country", has_prior="_has_prior")
+    r = RW.prior_mode(d, user, "ts_us", tx_id, country, out="home_country", has_prior="_has_prior", hot_list=hot_list)
     mism = F.col("_has_prior") & (F.col(country).isNull() | F.col("home_country").isNull()
                                   | (F.col(country) != F.col("home_country")))
     return r.withColumn("geo_location_mismatch", F.coalesce(mism, F.lit(False))).drop("_has_prior")
@@ -148,14 +148,16 @@ def fraud_context(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id:
     plan stays linear in the number of families instead of nesting one inside another.
     """
     d = with_ts_us(txn, ts)
+    hot = RW.hot_keys(d, user)  # one hot-user list shared by the sequence families
     w30 = VELOCITY_WINDOW_MINUTES * MINUTE_US
     sums = RW.range_window_sums(
         d.select(user, "ts_us", tx_id, exact_money(amount).alias("_amt")), user, "ts_us", tx_id, "_amt",
-        {"_roll": (-(HOUR_US - 1), 0), "_short": (-(w30 - 1), 0), "_base": (-VELOCITY_BASELINE_DAYS * DAY_US, -w30)})
+        {"_roll": (-(HOUR_US - 1), 0), "_short": (-(w30 - 1), 0), "_base": (-VELOCITY_BASELINE_DAYS * DAY_US, -w30)},
+        hot_list=hot)
     sums = sums.select(tx_id, F.col("_roll_sum").cast("double").alias("rolling_amount_last_1h"),
                        _spike(F.col("_short_sum"), F.col("_base_sum"), F.col("_base_cnt"),
                               VELOCITY_MULTIPLIER).alias("velocity_spike"))
-    geo = geo_mismatch(d.select(user, "ts_us", tx_id, country), user, "ts_us", tx_id, country) \
+    geo = geo_mismatch(d.select(user, "ts_us", tx_id, country), user, "ts_us", tx_id, country, hot_list=hot) \
         .select(tx_id, "home_country", "geo_location_mismatch")
     dev = RW.first_seen(d.select(user, device, "ts_us", tx_id), [user, device], "ts_us", tx_id, out="device_is_new") \
         .select(tx_id, "device_is_new")
