@@ -49,20 +49,20 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     gkey = by if by else []
     # approximate cuts per group -> bucket of each distinct value
     fr = [i / nb for i in range(1, nb)]
-    cuts = d.groupBy(*gkey).agg(F.array_distinct(F.percentile_approx("_v", fr, 10000)).alias("_cuts"))
-    d = _join_ns(d, F.broadcast(cuts), gkey)  # one row per group
+    cuts = d.groupBy(*gkey).agg(F.array_distinct(F.percentile_approx("_v", fr, 10000)).alias("_cuts"),
+                                F.sum("_c").alias("_n"))
+    d = _join_ns(d, F.broadcast(cuts.drop("_n")), gkey)  # one row per group
     d = d.withColumn("_bk", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_v")))).drop("_cuts")
     tot = d.groupBy(*gkey, "_bk").agg(F.sum("_c").alias("_bc"))
     wb = Window.partitionBy(*gkey).orderBy("_bk")
     tot = tot.select(*gkey, "_bk", F.coalesce(F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                               F.lit(0)).alias("_off"),
-                     F.sum("_bc").over(Window.partitionBy(*gkey)).alias("_n"))
+                                               F.lit(0)).alias("_off"))
     d = _join_ns(d, F.broadcast(tot), [*gkey, "_bk"])  # rows: groups x buckets
     wi = Window.partitionBy(*gkey, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("_hi_rank", F.col("_off") + F.sum("_c").over(wi))  # exclusive upper rank
     d = d.withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c"))
     # targets: for every group and fraction the floor / ceil ranks
-    sizes = tot.select(*gkey, "_n").distinct()
+    sizes = cuts.select(*gkey, "_n")  # group sizes came with the cuts
     fr_arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(fractions)])
     tg = sizes.select(*gkey, "_n", F.explode(fr_arr).alias("_f")).select(
         *gkey, "_n", F.col("_f.i").alias("_i"), F.col("_f.p").alias("_p"))
