@@ -40,7 +40,10 @@ def _join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
 def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: Sequence[str] = (),
                     buckets: int | None = None, out: str = "q") -> DataFrame:
     """One row per group: ``by`` columns + ``out`` = array of quantiles (NULL if the group
-    has no non-NULL values), in the order of ``fractions``."""
+    has no non-NULL values), in the order of ``fractions``.
+
+    ``by`` is a low-cardinality grouping (features, a handful of segments): the per-group
+    cut, bucket-offset and target tables (groups x buckets rows) are broadcast."""
     by = list(by)
     nb = buckets or max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "16")))
     v = F.col(value).cast("double")

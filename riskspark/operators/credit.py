@@ -18,6 +18,7 @@ from riskspark.functions import coerce as C
 DEFAULT_LGD = 0.45            # loss given default when no LGD column is present
 DEFAULT_PD_THRESHOLD = 0.20   # credit decision cut-off
 SEGMENT_KEYS = ["grade", "state", "vintage_year"]
+MAX_BROADCAST_SCENARIOS = 10_000
 # --------------------------------------------------------------------------------------
 
 
@@ -220,9 +221,11 @@ def credit_decision(scores: DataFrame, threshold: float = DEFAULT_PD_THRESHOLD,
 
 
 def stress_el(scores: DataFrame, scenarios: DataFrame, pd_col: str = "PD") -> DataFrame:
-    """O-99: EL under scenario multipliers: scenarios(scenario, pd_mult, lgd_mult) is a
-    small declared table (broadcast), PD capped at 1."""
-    s = F.broadcast(scenarios)
+    """O-99: EL under scenario multipliers: scenarios(scenario, pd_mult, lgd_mult), PD and
+    LGD capped at 1. The scenario table is broadcast only after a bounded size check
+    (``limit(n+1).count()``); a larger table is joined without the hint."""
+    few = scenarios.limit(MAX_BROADCAST_SCENARIOS + 1).count() <= MAX_BROADCAST_SCENARIOS
+    s = F.broadcast(scenarios) if few else scenarios
     return scores.crossJoin(s).withColumn(
         "EL_stressed", F.least(F.col(pd_col) * F.col("pd_mult"), F.lit(1.0))
         * F.least(F.col("LGD") * F.col("lgd_mult"), F.lit(1.0)) * F.col("EAD"))
