@@ -879,3 +879,10 @@ UNION ALL SELECT 'hour_of_day', count(hour_of_day), round(avg(hour_of_day), 6),
 UNION ALL SELECT 'account_age_days', count(account_age_days), round(avg(account_age_days), 6),
        round(stddev_samp(account_age_days), 6), round(CAST(min(account_age_days) AS DOUBLE), 6),
        round(CAST(max(account_age_days) AS DOUBLE), 6) FROM txn"""
+
+Q["stream_log_kpis"] = LOG + """
+SELECT strftime(date, '%Y-%m-%d') AS date, count(*) AS requests,
+       round(count_if(lower(decision) = 'flag') / count(*), 6) AS flag_rate,
+       round(sum(proba) / count(*), 6) AS mean_proba,
+       round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 6) AS p95_latency_ms
+FROM score_log GROUP BY date"""

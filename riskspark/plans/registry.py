@@ -86,6 +86,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "log_sanity": monitoring.log_sanity,
     "label_coverage": monitoring.label_coverage,
     "stream_shadow_join": streams.stream_shadow_join,
+    "stream_log_kpis": streams.stream_log_kpis,
     "log_roundtrip_latest2": monitoring.log_roundtrip_latest2,
     "freshness_check": monitoring.freshness_check,
     "describe_txn": monitoring.describe_txn,

@@ -64,3 +64,21 @@ def stream_shadow_join(spark, sf):
         F.when(logistic(5000.0, 1500.0) >= 0.5, "flag").otherwise("allow").alias("cand_decision"))
     j = S.shadow_stream_join(prod, cand).select("transaction_id", "prod_decision", "cand_decision")
     return spark.read.parquet(S.run_append_stream(j, out))
+
+
+def stream_log_kpis(spark, sf):
+    """O-89 + O-92: the decision log written as JSON lines, consumed as a file stream,
+    aggregated into a watermarked per-day latency histogram (update mode, upserted), then
+    daily KPIs with an exact p95 from the histogram."""
+    from riskspark.plans.fraud import decision_log_table
+
+    src = S.work_dir(spark, "log_files")
+    log = decision_log_table(spark, sf)
+    log.select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("ts"), "arm",
+               F.struct("amount", "account_age_days", "country", "device_id", "hour_of_day").alias("tx"),
+               "proba", "decision", "rules_hit", "latency_ms").write.mode("overwrite").json(src)
+    out = S.work_dir(spark, "log_kpis")
+    hist = S.daily_latency_histogram(S.decision_log_stream(spark, src))
+    path = S.run_upsert_stream(hist, ["w", "latency_ms"], out)
+    k = S.histogram_kpis(spark.read.parquet(path))
+    return final(k, ratios=["flag_rate", "mean_proba", "p95_latency_ms"])

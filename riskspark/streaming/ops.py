@@ -202,3 +202,40 @@ def shadow_stream_join(prod: DataFrame, cand: DataFrame, key: str = "transaction
     cond = (F.col(f"p.{key}") == F.col(f"c.c_{key}")) & (F.col("c.c_ts") >= F.col("p.ts")) \
         & (F.col("c.c_ts") <= F.col("p.ts") + F.expr(f"INTERVAL {bound}"))
     return p.join(c, cond, "inner")
+
+
+def daily_latency_histogram(log_stream: DataFrame, watermark: str = "1 hour") -> DataFrame:
+    """O-92 for the decision log: per day and integer latency, request / flag counts and
+    the proba sum. State stays bounded (distinct latencies per open day), and exact daily
+    percentiles are read from the histogram afterwards (:func:`histogram_kpis`)."""
+    return (log_stream.withWatermark("ts", watermark)
+            .groupBy(F.window("ts", "1 day").alias("w"), F.col("latency_ms").cast("int").alias("latency_ms"))
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.count_if(F.lower(F.col("decision")) == "flag").alias("flags"),
+                 F.sum("proba").alias("proba_sum")))
+
+
+def histogram_kpis(hist: DataFrame, p: float = 0.95) -> DataFrame:
+    """Daily KPIs from the latency histogram: requests, flag rate, mean proba and the
+    linear-interpolated ``p`` latency quantile (the same interpolation as ``percentile``).
+    Windows run per day over its distinct latencies (bounded)."""
+    from pyspark.sql import Window
+
+    day = F.date_format(F.col("w.start"), "yyyy-MM-dd")
+    h = hist.withColumn("date", day)
+    w = Window.partitionBy("date").orderBy("latency_ms").rowsBetween(Window.unboundedPreceding, 0)
+    h = h.withColumn("_hi", F.sum("n").over(w)).withColumn("_lo", F.col("_hi") - F.col("n")) \
+         .withColumn("_N", F.sum("n").over(Window.partitionBy("date")))
+    h = h.withColumn("_pos", (F.col("_N") - 1).cast("double") * F.lit(p)) \
+         .withColumn("_r0", F.floor("_pos").cast("bigint")).withColumn("_r1", F.ceil("_pos").cast("bigint"))
+    has = lambda r: (F.col("_lo") <= F.col(r)) & (F.col(r) < F.col("_hi"))
+    g = h.groupBy("date").agg(
+        F.sum("n").alias("requests"), F.sum("flags").alias("_flags"), F.sum("proba_sum").alias("_ps"),
+        F.max(F.when(has("_r0"), F.col("latency_ms"))).cast("double").alias("_v0"),
+        F.max(F.when(has("_r1"), F.col("latency_ms"))).cast("double").alias("_v1"),
+        F.first("_pos").alias("_pos"), F.first("_r0").alias("_r0"), F.first("_r1").alias("_r1"))
+    q = F.when((F.col("_r1") == F.col("_r0")) | (F.col("_v1") == F.col("_v0")), F.col("_v0")).otherwise(
+        (F.col("_r1").cast("double") - F.col("_pos")) * F.col("_v0")
+        + (F.col("_pos") - F.col("_r0").cast("double")) * F.col("_v1"))
+    return g.select("date", "requests", (F.col("_flags") / F.col("requests")).alias("flag_rate"),
+                    (F.col("_ps") / F.col("requests")).alias("mean_proba"), q.alias("p95_latency_ms"))
