@@ -221,3 +221,42 @@ def retrain_triggers(drift: DataFrame, kpis: DataFrame, psi_limit: float = PSI_R
     return d.crossJoin(k).withColumn(
         "retrain", F.coalesce(F.col("max_psi") > psi_limit, F.lit(False))
         | F.coalesce(F.col("min_precision") < precision_floor, F.lit(False)))
+
+
+def psi_numeric_by_period(ref: DataFrame, cur: DataFrame, features: Sequence[str], period: str,
+                          buckets: int = PSI_BUCKETS, eps: float = PSI_EPS) -> DataFrame:
+    """O-45 per period (a daily drift table): one reference sample, one current sample per
+    ``period`` value -> (period, feature, psi). Reference edges and counts are computed
+    once; current counts are one grouped aggregate; totals are aggregates joined back."""
+    lr = unpivot_samples(ref.withColumn("sample", F.lit("ref")), features)
+    arr = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features])
+    lc = cur.select(F.col(period).alias("period"), F.explode(arr).alias("_p")) \
+            .select("period", "_p.feature", "_p.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    fr = _fractions(buckets)
+    edges = exact_quantiles(lr, "value", fr, by=["feature"], out="q") \
+        .select("feature", F.array_sort(F.array_distinct("q")).alias("edges"))
+    nb = F.size("edges") - 1
+    idx = F.size(F.filter(F.col("edges"), lambda e: e <= F.col("value")))
+    binc = F.when((nb >= 1) & (F.col("value") >= F.element_at("edges", 1)) & (F.col("value") <= F.element_at("edges", -1)),
+                  F.least(idx, nb))
+    e_b = F.broadcast(edges)  # one row per feature
+    rc = lr.join(e_b, "feature", "left").withColumn("bin", binc) \
+           .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("r"))
+    cc = lc.join(e_b, "feature", "left").withColumn("bin", binc) \
+           .groupBy("period", "feature", "bin").agg(F.count(F.lit(1)).alias("c"))
+    nr = rc.groupBy("feature").agg(F.sum("r").alias("nr"))
+    nc = cc.groupBy("period", "feature").agg(F.sum("c").alias("nc"))
+    grid = nc.select("period", "feature").join(e_b.where(F.size("edges") >= 2), "feature", "inner") \
+             .select("period", "feature", F.explode(F.sequence(F.lit(1), nb)).alias("bin"))
+    full = (grid.join(rc.where(F.col("bin").isNotNull()), ["feature", "bin"], "left")
+                .join(cc.where(F.col("bin").isNotNull()), ["period", "feature", "bin"], "left")
+                .fillna(0, ["r", "c"]))
+    rt = full.groupBy("period", "feature").agg(F.sum("r").alias("_rt"), F.sum("c").alias("_ct"),
+                                               F.count(F.lit(1)).alias("_nb"))
+    t = full.join(rt, ["period", "feature"], "inner")
+    rp = (F.col("r") + F.lit(eps)) / (F.col("_rt") + F.lit(eps) * F.col("_nb"))
+    cp = (F.col("c") + F.lit(eps)) / (F.col("_ct") + F.lit(eps) * F.col("_nb"))
+    psi = t.groupBy("period", "feature").agg(F.sum((cp - rp) * F.log(cp / rp)).alias("psi"), F.max("_rt").alias("_rt"))
+    out = nc.join(F.broadcast(nr), "feature", "left").join(psi, ["period", "feature"], "left")
+    ok = (F.coalesce(F.col("nr"), F.lit(0)) > 0) & (F.col("nc") > 0) & (F.col("_rt") > 0)
+    return out.select(F.col("period"), "feature", F.when(ok, F.col("psi")).alias("psi"))

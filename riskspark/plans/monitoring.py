@@ -198,9 +198,30 @@ def trailing_7d_kpis(spark, sf):
                  money=["total_EL", "total_EL_trailing", "total_EL_delta"])
 
 
+CREDIT_DRIFT = ["PD", "loan_amount", "income_to_loan_ratio", "credit_utilization_pct"]
+CREDIT_REF_VINTAGE = 1998  # reference: loans of earlier vintages; daily current samples after
+
+
+def credit_drift_daily(spark, sf) -> DataFrame:
+    """Daily credit drift table (date, feature, psi): each origination day from 1998 on
+    against the loans of earlier vintages."""
+    loans = T.loans(spark, sf)
+    feats = CR.score_pd(CR.borrower_features(loans, "borrower_id"))
+    s = loans.join(feats.select("borrower_id", "PD", "income_to_loan_ratio", "credit_utilization_pct"),
+                   "borrower_id", "left").select("origination_date", "vintage_year", *CREDIT_DRIFT)
+    # the scored loans feed both samples and several passes (edges, reference counts,
+    # daily counts): written once to the checkpoint folder instead of re-scoring per pass
+    s = s.checkpoint(eager=True)
+    ref = s.where(F.col("vintage_year") < CREDIT_REF_VINTAGE)
+    cur = s.where(F.col("vintage_year") >= CREDIT_REF_VINTAGE)
+    return DR.psi_numeric_by_period(ref, cur, CREDIT_DRIFT, "origination_date").withColumnRenamed("period", "date")
+
+
 def credit_month_rollup(spark, sf):
-    out = RO.month_rollup_credit(credit_daily(spark, sf))
-    return final(out, ratios=["mean_daily_PD"], money=["mean_daily_EL"])
+    """O-42: days with reports, mean daily PD / EL, alert days (any PSI >= 0.25), max and
+    mean PSI over feature-days, top drifted features by mean PSI."""
+    out = RO.month_rollup_credit(credit_daily(spark, sf), credit_drift_daily(spark, sf))
+    return final(out, ratios=["mean_daily_PD", "max_psi", "avg_psi"], money=["mean_daily_EL"])
 
 
 def latest_kpis(spark, sf):

@@ -886,3 +886,55 @@ SELECT strftime(date, '%Y-%m-%d') AS date, count(*) AS requests,
        round(sum(proba) / count(*), 6) AS mean_proba,
        round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 6) AS p95_latency_ms
 FROM score_log GROUP BY date"""
+
+
+def _unpivot_sql(src: str, cols, period: str | None = None) -> str:
+    p = f"{period} AS period, " if period else ""
+    return " UNION ALL ".join(f"SELECT {p}'{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {src}" for c in cols)
+
+
+_BIN = ("CASE WHEN len(e) >= 2 AND l.value >= e[1] AND l.value <= e[len(e)] "
+        "THEN least(len(list_filter(e, lambda x: x <= l.value)), len(e) - 1) END")
+CREDIT_DRIFT_COLS = ["PD", "loan_amount", "income_to_loan_ratio", "credit_utilization_pct"]
+
+Q["credit_month_rollup"] = CREDIT_DAILY + """,
+lf AS (SELECT l.*, p.PD AS PD2, p.income_to_loan_ratio, p.credit_utilization_pct
+       FROM loans l LEFT JOIN (SELECT borrower_id, PD, income_to_loan_ratio, credit_utilization_pct FROM el) p
+       USING (borrower_id)),
+lf2 AS (SELECT * EXCLUDE (PD2), PD2 AS PD FROM lf),
+rf AS (SELECT * FROM lf2 WHERE vintage_year < 1998),
+cf AS (SELECT * FROM lf2 WHERE vintage_year >= 1998),
+lr AS (SELECT * FROM (""" + _unpivot_sql("rf", CREDIT_DRIFT_COLS) + """) WHERE value IS NOT NULL AND NOT isnan(value)),
+lc AS (SELECT * FROM (""" + _unpivot_sql("cf", CREDIT_DRIFT_COLS, "origination_date") + """)
+       WHERE value IS NOT NULL AND NOT isnan(value)),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(value, """ + DECILES + """))) AS e
+          FROM lr GROUP BY feature),
+rb AS (SELECT l.feature, """ + _BIN + """ AS bin FROM lr l LEFT JOIN edges USING (feature)),
+rc AS (SELECT feature, bin, count(*) AS r FROM rb GROUP BY 1, 2),
+cb AS (SELECT l.period, l.feature, """ + _BIN + """ AS bin FROM lc l LEFT JOIN edges USING (feature)),
+cc AS (SELECT period, feature, bin, count(*) AS c FROM cb GROUP BY 1, 2, 3),
+nr AS (SELECT feature, sum(r) AS nr FROM rc GROUP BY 1),
+nc AS (SELECT period, feature, sum(c) AS nc FROM cc GROUP BY 1, 2),
+grid AS (SELECT n.period, n.feature, unnest(range(1, len(e))) AS bin FROM nc n JOIN edges USING (feature)
+         WHERE len(e) >= 2),
+fullt AS (SELECT g.period, g.feature, g.bin, coalesce(rc.r, 0) AS r, coalesce(cc.c, 0) AS c
+          FROM grid g LEFT JOIN rc ON rc.feature = g.feature AND rc.bin = g.bin
+          LEFT JOIN cc ON cc.period = g.period AND cc.feature = g.feature AND cc.bin = g.bin),
+tt AS (SELECT period, feature, sum(r) AS rt, sum(c) AS ct, count(*) AS nb FROM fullt GROUP BY 1, 2),
+pp AS (SELECT f.period, f.feature, (f.r + 1e-6) / (t.rt + 1e-6 * t.nb) AS rp, (f.c + 1e-6) / (t.ct + 1e-6 * t.nb) AS cp,
+              t.rt FROM fullt f JOIN tt t USING (period, feature)),
+ps AS (SELECT period, feature, sum((cp - rp) * ln(cp / rp)) AS psi, max(rt) AS rt FROM pp GROUP BY 1, 2),
+dl AS (SELECT n.period AS date, n.feature,
+              CASE WHEN coalesce(x.nr, 0) > 0 AND n.nc > 0 AND ps.rt > 0 THEN ps.psi END AS psi
+       FROM nc n LEFT JOIN nr x USING (feature) LEFT JOIN ps USING (period, feature)),
+base AS (SELECT strftime(date, '%Y-%m') AS month, count(DISTINCT date) AS days_with_reports,
+                avg(avg_PD) AS mean_daily_PD, avg(total_EL) AS mean_daily_EL FROM cd GROUP BY 1),
+st AS (SELECT strftime(date, '%Y-%m') AS month, count(DISTINCT CASE WHEN psi >= 0.25 THEN date END) AS alert_days,
+              max(psi) AS max_psi, avg(psi) AS avg_psi FROM dl GROUP BY 1),
+fm AS (SELECT strftime(date, '%Y-%m') AS month, feature, avg(psi) AS mean_psi FROM dl GROUP BY 1, 2),
+tf AS (SELECT month, string_agg(feature, ',' ORDER BY rn) AS top_features
+       FROM (SELECT *, row_number() OVER (PARTITION BY month ORDER BY mean_psi DESC NULLS LAST, feature) AS rn FROM fm)
+       WHERE rn <= 5 GROUP BY month)
+SELECT b.month, b.days_with_reports, round(b.mean_daily_PD, 6) AS mean_daily_PD, round(b.mean_daily_EL, 2) AS mean_daily_EL,
+       s.alert_days, round(s.max_psi, 6) AS max_psi, round(s.avg_psi, 6) AS avg_psi, t.top_features
+FROM base b LEFT JOIN st s USING (month) LEFT JOIN tf t USING (month)"""
