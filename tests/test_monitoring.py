@@ -148,3 +148,13 @@ def test_decision_log_reader_tolerant(spark, tmp_path):
     assert good[1].decision == "allow" and good[1].rules_hit == [] and good[1].arm is None
     bad = FS.read_decision_log(spark, str(p), quarantine=True).collect()
     assert [r.raw_line for r in bad] == ["{not json"]
+
+
+def test_psi_by_period_matches_single(spark):
+    ref, cur = frame(spark, REF), frame(spark, CUR)
+    both = cur.withColumn("d", F.lit("p1")).unionByName(ref.withColumn("d", F.lit("p2")))
+    got = {(r.period, r.feature): r.psi for r in
+           DR.psi_numeric_by_period(ref, both, ["amount", "hour_of_day", "proba"], "d").collect()}
+    assert got[("p1", "amount")] == pytest.approx(27.630913, abs=1e-6)
+    assert got[("p1", "proba")] == pytest.approx(11.512893, abs=1e-6)
+    assert abs(got[("p2", "hour_of_day")]) < 1e-12   # PSI(x, x) = 0
