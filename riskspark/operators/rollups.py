@@ -18,14 +18,26 @@ def day_number(c) -> Column:
 
 
 def trailing_baseline(daily: DataFrame, value_cols: Sequence[str], date_col: str = "date", days: int = 7,
-                      by: Sequence[str] = ()) -> DataFrame:
+                      by: Sequence[str] = (), drift_long: DataFrame | None = None) -> DataFrame:
     """O-30: for each day, the mean of each value over days d-days..d-1 (today excluded)
-    and the delta today - baseline."""
+    and the delta today - baseline. With a long drift table (date, feature, psi): today's
+    mean / max PSI and the trailing mean over *feature-days* (not a mean of daily means)
+    and trailing max."""
     w = Window.partitionBy(*by).orderBy(day_number(date_col)).rangeBetween(-days, -1)
     out = daily
     for c in value_cols:
         out = out.withColumn(f"{c}_trailing", F.avg(F.col(c)).over(w)) \
                  .withColumn(f"{c}_delta", F.col(c) - F.col(f"{c}_trailing"))
+    if drift_long is not None:
+        dd = drift_long.groupBy(*by, date_col).agg(F.sum("psi").alias("_ps"), F.count("psi").alias("_pn"),
+                                                   F.max("psi").alias("psi_max"))
+        out = out.join(dd, [*by, date_col], "left")
+        out = (out.withColumn("psi_mean", F.try_divide(F.col("_ps"), F.nullif(F.col("_pn").cast("double"), F.lit(0.0))))
+                  .withColumn("psi_mean_trailing", F.try_divide(F.sum("_ps").over(w),
+                                                                F.nullif(F.sum("_pn").over(w).cast("double"), F.lit(0.0))))
+                  .withColumn("psi_max_trailing", F.max("psi_max").over(w))
+                  .withColumn("psi_mean_delta", F.col("psi_mean") - F.col("psi_mean_trailing"))
+                  .drop("_ps", "_pn"))
     return out
 
 

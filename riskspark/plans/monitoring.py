@@ -192,9 +192,12 @@ def credit_daily(spark, sf) -> DataFrame:
 
 
 def trailing_7d_kpis(spark, sf):
-    out = RO.trailing_baseline(credit_daily(spark, sf), ["avg_PD", "total_EL"], days=7)
+    """O-30: today vs the trailing 7 days (today excluded) for mean PD, total EL and PSI."""
+    out = RO.trailing_baseline(credit_daily(spark, sf), ["avg_PD", "total_EL"], days=7,
+                               drift_long=credit_drift_daily(spark, sf))
     out = out.withColumn("date", date_str("date"))
-    return final(out, ratios=["avg_PD", "avg_PD_trailing", "avg_PD_delta"],
+    return final(out, ratios=["avg_PD", "avg_PD_trailing", "avg_PD_delta", "psi_max", "psi_mean", "psi_mean_trailing",
+                              "psi_max_trailing", "psi_mean_delta"],
                  money=["total_EL", "total_EL_trailing", "total_EL_delta"])
 
 

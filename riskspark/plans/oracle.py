@@ -897,7 +897,7 @@ _BIN = ("CASE WHEN len(e) >= 2 AND l.value >= e[1] AND l.value <= e[len(e)] "
         "THEN least(len(list_filter(e, lambda x: x <= l.value)), len(e) - 1) END")
 CREDIT_DRIFT_COLS = ["PD", "loan_amount", "income_to_loan_ratio", "credit_utilization_pct"]
 
-Q["credit_month_rollup"] = CREDIT_DAILY + """,
+DRIFT_DAILY = """,
 lf AS (SELECT l.*, p.PD AS PD2, p.income_to_loan_ratio, p.credit_utilization_pct
        FROM loans l LEFT JOIN (SELECT borrower_id, PD, income_to_loan_ratio, credit_utilization_pct FROM el) p
        USING (borrower_id)),
@@ -926,7 +926,9 @@ pp AS (SELECT f.period, f.feature, (f.r + 1e-6) / (t.rt + 1e-6 * t.nb) AS rp, (f
 ps AS (SELECT period, feature, sum((cp - rp) * ln(cp / rp)) AS psi, max(rt) AS rt FROM pp GROUP BY 1, 2),
 dl AS (SELECT n.period AS date, n.feature,
               CASE WHEN coalesce(x.nr, 0) > 0 AND n.nc > 0 AND ps.rt > 0 THEN ps.psi END AS psi
-       FROM nc n LEFT JOIN nr x USING (feature) LEFT JOIN ps USING (period, feature)),
+       FROM nc n LEFT JOIN nr x USING (feature) LEFT JOIN ps USING (period, feature))"""
+
+Q["credit_month_rollup"] = CREDIT_DAILY + DRIFT_DAILY + """,
 base AS (SELECT strftime(date, '%Y-%m') AS month, count(DISTINCT date) AS days_with_reports,
                 avg(avg_PD) AS mean_daily_PD, avg(total_EL) AS mean_daily_EL FROM cd GROUP BY 1),
 st AS (SELECT strftime(date, '%Y-%m') AS month, count(DISTINCT CASE WHEN psi >= 0.25 THEN date END) AS alert_days,
@@ -938,3 +940,19 @@ tf AS (SELECT month, string_agg(feature, ',' ORDER BY rn) AS top_features
 SELECT b.month, b.days_with_reports, round(b.mean_daily_PD, 6) AS mean_daily_PD, round(b.mean_daily_EL, 2) AS mean_daily_EL,
        s.alert_days, round(s.max_psi, 6) AS max_psi, round(s.avg_psi, 6) AS avg_psi, t.top_features
 FROM base b LEFT JOIN st s USING (month) LEFT JOIN tf t USING (month)"""
+
+
+Q["trailing_7d_kpis"] = CREDIT_DAILY + DRIFT_DAILY + """,
+dd AS (SELECT date, sum(psi) AS ps, count(psi) AS pn, max(psi) AS psi_max FROM dl GROUP BY date),
+j AS (SELECT cd.*, dd.ps, dd.pn, dd.psi_max, CAST(cd.date - DATE '1970-01-01' AS BIGINT) AS dn
+      FROM cd LEFT JOIN dd USING (date)),
+tr AS (SELECT *, avg(avg_PD) OVER w AS avg_PD_trailing, avg(total_EL) OVER w AS total_EL_trailing,
+              sum(ps) OVER w / nullif(CAST(sum(pn) OVER w AS DOUBLE), 0) AS psi_mean_trailing,
+              max(psi_max) OVER w AS psi_max_trailing, ps / nullif(CAST(pn AS DOUBLE), 0) AS psi_mean
+       FROM j WINDOW w AS (ORDER BY dn RANGE BETWEEN 7 PRECEDING AND 1 PRECEDING))
+SELECT strftime(date, '%Y-%m-%d') AS date, n_loans, round(avg_PD, 6) AS avg_PD, round(total_EL, 2) AS total_EL,
+       round(avg_PD_trailing, 6) AS avg_PD_trailing, round(avg_PD - avg_PD_trailing, 6) AS avg_PD_delta,
+       round(total_EL_trailing, 2) AS total_EL_trailing, round(total_EL - total_EL_trailing, 2) AS total_EL_delta,
+       round(psi_max, 6) AS psi_max, round(psi_mean, 6) AS psi_mean, round(psi_mean_trailing, 6) AS psi_mean_trailing,
+       round(psi_max_trailing, 6) AS psi_max_trailing, round(psi_mean - psi_mean_trailing, 6) AS psi_mean_delta
+FROM tr"""
