@@ -43,7 +43,7 @@ class Scorecard:
         return z
 
 
-# Test scorecard: the synthetic logit the reference's model publisher uses.
+# Test scorecard: the synthetic logit of the original model publisher.
 # z = -1.2(ratio - 1.5) + 0.9 delinq + 2.0(util/100 - 0.4) - 0.02(n - 12); missing -> 0.
 DEFAULT_SCORECARD = Scorecard(
     terms=(("income_to_loan_ratio", -1.2, 1.0, 1.5),

@@ -88,7 +88,7 @@ def run_expectations(df: DataFrame, suite: Sequence[Mapping[str, Any]], suite_na
     return row.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
 
 
-# ---- suites (fixed values: the reference's expectation files and contract checks) ------
+# ---- suites (fixed values: the original expectation suites and contract checks) ------
 
 def fraud_log_suite() -> list[dict]:
     """Expectations for the decision log: columns exist, proba in [0,1] (mostly 0.99),

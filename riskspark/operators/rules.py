@@ -30,7 +30,7 @@ from pyspark.sql.utils import AnalysisException
 SEVERITY_RANK = {"low": 1, "medium": 2, "high": 3}
 FLAGGED_DECISIONS = ["block", "review", "manual_review"]
 DEFAULT_FRAUD_THRESHOLD = 0.5
-# Baseline structured rule set (v1.0.0): the four rules of the reference's rule file.
+# Baseline structured rule set (v1.0.0): the four rules of the original baseline rule file.
 BASELINE_RULES: dict[str, Any] = {
     "defaults": {"action": "review", "score_delta": 0.20, "severity": "medium"},
     "rules": [
