@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions import running as RW
@@ -139,25 +139,68 @@ def merchant_chargeback_rate(txn: DataFrame, merchant: str = "merchant_id",
 
 
 def fraud_context(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                  amount: str = "amount", country: str = "country", device: str = "device_id") -> DataFrame:
+                  amount: str = "amount", country: str = "country", device: str = "device_id",
+                  hot_threshold: int | None = None) -> DataFrame:
     """Rule context for every transaction: rolling 1h amount, velocity spike, home country /
     geo mismatch, new device, user mean amount.
 
-    Each feature family is computed from a narrow projection of the same input and
-    joined back on the transaction id (feature outputs never feed each other), so the
-    plan stays linear in the number of families instead of nesting one inside another.
+    The users are split once by the hot-key list. Ordinary users get every feature from
+    windows over one hash exchange on the user (all windows partition by the user, or
+    the user plus one more column, so the exchange is shared). Hot users take the
+    two-level per user-hour helpers, each family from a narrow projection, joined back
+    on the transaction id. The two parts are unioned.
     """
     d = with_ts_us(txn, ts)
-    hot = RW.hot_keys(d, user)  # one hot-user list shared by the sequence families
+    hot = RW.hot_keys(d, user, hot_threshold)
+    hot_rows, rest = RW.split_hot(d, user, hot=hot)
+    plain = _context_plain(rest, user, tx_id, amount, country, device)
+    blocked = _context_two_level(hot_rows, user, tx_id, amount, country, device)
+    return plain.unionByName(blocked.select(*plain.columns))
+
+
+def _context_plain(d: DataFrame, user: str, tx_id: str, amount: str, country: str, device: str) -> DataFrame:
+    w30 = VELOCITY_WINDOW_MINUTES * MINUTE_US
+    amt = exact_money(amount)
+    wt = Window.partitionBy(user).orderBy("ts_us")
+    s_roll = F.sum(amt).over(wt.rangeBetween(-(HOUR_US - 1), 0))
+    s30 = F.sum(amt).over(wt.rangeBetween(-(w30 - 1), 0))
+    base = wt.rangeBetween(-VELOCITY_BASELINE_DAYS * DAY_US, -w30)
+    bsum, bcnt = F.sum(amt).over(base), F.count(amt).over(base)
+    order = [F.col("ts_us"), F.col(tx_id)]
+    v = F.coalesce(F.col(country).cast("string"), F.lit(RW.NULL_KEY))
+    out = d.withColumns({
+        "rolling_amount_last_1h": s_roll.cast("double"),
+        "velocity_spike": _spike(s30, bsum, bcnt, VELOCITY_MULTIPLIER),
+        "_v": v,
+        "device_is_new": F.row_number().over(Window.partitionBy(user, device).orderBy(*order)) == 1,
+        "avg_amount_user": F.avg(F.col(amount)).over(Window.partitionBy(user)),
+    })
+    out = out.withColumns({
+        "_k": F.row_number().over(Window.partitionBy(user, "_v").orderBy(*order)),
+        "_fp": F.min(F.struct(*order)).over(Window.partitionBy(user, "_v")),
+    })
+    out = out.withColumn("_fr", F.dense_rank().over(Window.partitionBy(user).orderBy("_fp")))
+    prior = Window.partitionBy(user).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = out.withColumn("_best", F.max(F.struct(F.col("_k").alias("k"), (-F.col("_fr")).alias("nf"),
+                                                 F.col("_v").alias("v"))).over(prior))
+    home = F.when(F.col("_best.v") == F.lit(RW.NULL_KEY), F.lit(None).cast("string")).otherwise(F.col("_best.v"))
+    out = out.withColumn("home_country", home)
+    mism = F.col("_best").isNotNull() & (F.col(country).isNull() | F.col("home_country").isNull()
+                                         | (F.col(country) != F.col("home_country")))
+    return out.withColumn("geo_location_mismatch", F.coalesce(mism, F.lit(False))) \
+              .drop("_v", "_k", "_fp", "_fr", "_best")
+
+
+def _context_two_level(d: DataFrame, user: str, tx_id: str, amount: str, country: str, device: str) -> DataFrame:
     w30 = VELOCITY_WINDOW_MINUTES * MINUTE_US
     sums = RW.range_window_sums(
         d.select(user, "ts_us", tx_id, exact_money(amount).alias("_amt")), user, "ts_us", tx_id, "_amt",
         {"_roll": (-(HOUR_US - 1), 0), "_short": (-(w30 - 1), 0), "_base": (-VELOCITY_BASELINE_DAYS * DAY_US, -w30)},
-        hot_list=hot)
+        hot_list=None)
     sums = sums.select(tx_id, F.col("_roll_sum").cast("double").alias("rolling_amount_last_1h"),
                        _spike(F.col("_short_sum"), F.col("_base_sum"), F.col("_base_cnt"),
                               VELOCITY_MULTIPLIER).alias("velocity_spike"))
-    geo = geo_mismatch(d.select(user, "ts_us", tx_id, country), user, "ts_us", tx_id, country, hot_list=hot) \
+    geo = geo_mismatch(d.select(user, "ts_us", tx_id, country), user, "ts_us", tx_id, country, hot_list=None) \
         .select(tx_id, "home_country", "geo_location_mismatch")
     dev = RW.first_seen(d.select(user, device, "ts_us", tx_id), [user, device], "ts_us", tx_id, out="device_is_new") \
         .select(tx_id, "device_is_new")

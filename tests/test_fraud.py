@@ -88,3 +88,17 @@ def test_arm_buckets(spark):
     assert {k: got[k][0] for k in keys[:5]} == {"D_A": 39, "D_B": 81, "D_X": 0, "unknown": 46, "7": 38}
     assert [k for k in keys if got[k][1] == "cand"] == ["D_X"]
     assert got[""][1] == "prod"
+
+
+def test_fraud_context_paths_agree(spark):
+    """Plain (one user exchange) and two-level paths give identical context rows."""
+    from riskspark.sources import tables as T
+
+    tx = T.txn(spark, "/root/testdata/sf0.001")
+    cols = ["transaction_id", "rolling_amount_last_1h", "velocity_spike", "home_country", "geo_location_mismatch",
+            "device_is_new", "avg_amount_user"]
+    a = {r.transaction_id: tuple(r) for r in FR.fraud_context(tx, hot_threshold=10**9).select(*cols).collect()}
+    b = {r.transaction_id: tuple(r) for r in FR.fraud_context(tx, hot_threshold=0).select(*cols).collect()}
+    c = {r.transaction_id: tuple(r) for r in FR.fraud_context(tx, hot_threshold=5).select(*cols).collect()}
+    assert len(a) == tx.count()
+    assert a == b == c
