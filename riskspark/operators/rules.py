@@ -24,7 +24,6 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 # ---- fixed values --------------------------------------------------------------------
 SEVERITY_RANK = {"low": 1, "medium": 2, "high": 3}
@@ -107,14 +106,6 @@ def condition_sql(cond: str, params: Mapping[str, Any] | None = None) -> str:
     return f"({_operand(cond, params)})"
 
 
-def _resolves(df: DataFrame, expr: Column) -> bool:
-    try:
-        df.select(expr).schema  # analysis only, no job
-        return True
-    except AnalysisException:
-        return False
-
-
 def compile_structured(rules: Mapping[str, Any], df: DataFrame | None = None) -> list[dict[str, Any]]:
     """Enabled structured rules -> [{id, cond: Column, action, score_delta, severity, reasons}].
 
@@ -173,16 +164,36 @@ def evaluate_structured(df: DataFrame, rules: Mapping[str, Any] = BASELINE_RULES
                            "severity": F.when(rank.isNotNull(), sev), "reasons": reasons})
 
 
+_SQL_WORDS = {"and", "or", "not", "in", "is", "null", "true", "false", "between", "like", "rlike", "case", "when",
+              "then", "else", "end", "as", "cast", "double", "int", "bigint", "string", "boolean", "date", "timestamp"}
+
+
+def _identifiers(text: str) -> list[str]:
+    """Column-like names in a boolean SQL condition: words outside quotes that are not
+    keywords, numbers or function names (followed by '(')."""
+    bare = re.sub(r"'[^']*'|\"[^\"]*\"", " ", text)
+    out = []
+    for m in re.finditer(r"`([^`]+)`|\b([A-Za-z_][A-Za-z0-9_]*)\b(\s*\()?", bare):
+        if m.group(1):
+            out.append(m.group(1))
+        elif m.group(2) and not m.group(3) and m.group(2).lower() not in _SQL_WORDS:
+            out.append(m.group(2))
+    return out
+
+
 def evaluate_flat(df: DataFrame, rules: Sequence[Mapping[str, Any]]) -> DataFrame:
     """O-64: one 0/1 column ``rule__<name>`` per rule, plus rule_flag / rule_review (OR of
     the rules with that action). Unresolvable conditions give 0; NULL -> 0."""
     cols: dict[str, Column] = {}
     flag, review = F.lit(0), F.lit(0)
+    known = {c.lower() for c in df.columns}
     for i, r in enumerate(rules):
         name = str(r.get("name", f"rule_{i}"))
+        text = str(r["condition"])
         try:
-            cond = F.expr(str(r["condition"]))
-            ok = _resolves(df, cond)
+            cond = F.expr(text)
+            # names the frame lacks -> the rule gives 0 (checked by name, no analysis)
+            ok = all(t.lower() in known for t in _identifiers(text))
         except Exception:  # noqa: BLE001 - syntax error in a user rule -> rule gives 0
             ok = False
         hit = F.coalesce(cond.cast("boolean"), F.lit(False)).cast("int") if ok else F.lit(0)
