@@ -209,6 +209,18 @@ def segment_rollup(scores: DataFrame, keys: Sequence[str] = SEGMENT_KEYS, id_col
         F.sum("EL").alias("total_EL"))
 
 
+def segment_rollup_levels(scores: DataFrame, keys: Sequence[str] = ("grade", "state"), id_col: str = "borrower_id",
+                          pd_col: str = "PD") -> DataFrame:
+    """O-35 with sub-totals: ``rollup`` over the segment keys (grade x state, grade, all)
+    in one aggregate; ``level`` = grouping_id (0 = finest)."""
+    return scores.rollup(*keys).agg(
+        F.grouping_id().alias("level"),
+        F.count_distinct(F.col(id_col)).alias("borrowers"),
+        F.sum("EAD").alias("total_EAD"),
+        F.avg(pd_col).alias("avg_PD"),
+        F.sum("EL").alias("total_EL"))
+
+
 def portfolio_summary(scores: DataFrame, pd_col: str = "PD") -> DataFrame:
     """O-36: N, mean PD, total EL (0 when empty)."""
     return scores.agg(F.count(F.lit(1)).alias("n"), F.avg(pd_col).alias("avg_PD"),

@@ -101,3 +101,9 @@ def defaults_vs_recoveries(spark: SparkSession, sf: str) -> DataFrame:
     prev = CR.default_labels(loans.where(F.col("vintage_year") < 1996), "borrower_id", "loan_status", "status", words)
     cur = CR.default_labels(loans, "borrower_id", "loan_status", "status", words)
     return dvr(prev, cur)
+
+
+def segment_rollup_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """O-35 sub-totals: grade x state, grade, portfolio in one rollup aggregate."""
+    out = CR.segment_rollup_levels(scored_borrowers(spark, sf))
+    return final(out, ratios=["avg_PD"], money=["total_EAD", "total_EL"], longs=["borrowers", "level"])

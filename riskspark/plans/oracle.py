@@ -956,3 +956,8 @@ SELECT strftime(date, '%Y-%m-%d') AS date, n_loans, round(avg_PD, 6) AS avg_PD,
        round(psi_max, 6) AS psi_max, round(psi_mean, 6) AS psi_mean, round(psi_mean_trailing, 6) AS psi_mean_trailing,
        round(psi_max_trailing, 6) AS psi_max_trailing, round(psi_mean - psi_mean_trailing, 6) AS psi_mean_delta
 FROM tr"""
+
+Q["segment_rollup_levels"] = CREDIT + """
+SELECT grade, state, CAST(grouping(grade, state) AS BIGINT) AS level, count(DISTINCT borrower_id) AS borrowers,
+       round(sum(EAD), 2) AS total_EAD, round(avg(PD), 6) AS avg_PD, round(sum(EL), 2) AS total_EL
+FROM el GROUP BY ROLLUP (grade, state)"""

@@ -72,6 +72,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_user_state": streams.stream_user_state,
     "stream_dedupe": streams.stream_dedupe,
     "reason_codes": credit.reason_codes,
+    "segment_rollup_levels": credit.segment_rollup_levels,
     "loan_keep_first_join": credit.loan_keep_first_join,
     "feature_matrix": credit.feature_matrix,
     "defaults_vs_recoveries": credit.defaults_vs_recoveries,
