@@ -13,7 +13,7 @@ with recursive w as (
 s as (
   select doc_id, unnest(case when len(ws) = 0 then []
       when len(ws) < 5 then [array_to_string(ws, ' ')]
-      else list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) end) as g
+      else list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) end) as g
   from w),
 n as (select doc_id, count(*) as n from s group by doc_id),
 inter as (select x.doc_id as a, y.doc_id as b, count(*) as k from s x join s y on x.g = y.g and x.doc_id <> y.doc_id
