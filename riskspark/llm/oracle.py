@@ -26,3 +26,28 @@ select w.doc_id, coalesce(n.n, 0) as n_shingles, least(w.doc_id, coalesce(lo, w.
        w.doc_id = least(w.doc_id, coalesce(lo, w.doc_id)) as kept
 from w left join n on n.doc_id = w.doc_id left join comp on comp.d = w.doc_id
 """
+
+_BLOCK_TAG = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|nav|header|footer|article|section|title)(?:\s[^>]*)?/?>"
+_PAGE_TEXT = rf"""replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+  '(?is)<!--.*?-->|<(?:script|style)[^>]*>.*?</(?:script|style)>', ' ', 'g'), '[\r\n]+', ' ', 'g'),
+  '{_BLOCK_TAG}', chr(10), 'g'), '<[^>]*>', '', 'g'),
+  '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&')"""
+_TRIM = "trim({}, ' ' || chr(9) || chr(13) || chr(11) || chr(12))"
+
+SQL["op9_line_dedup"] = rf"""
+with p as (
+  select page_id, nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') as host,
+         {_PAGE_TEXT} as t from pages),
+l as (select page_id, host, unnest(list_distinct(list_filter(list_transform(string_split(t, chr(10)),
+        lambda x: {_TRIM.format('x')}), lambda x: x <> ''))) as line from p),
+total as (select host, count(*) as pages from p group by host),
+bad as (select l.host, line from l join total on l.host is not distinct from total.host
+        group by l.host, line, pages having count(*) >= 8 and count(*) > 0.1 * pages),
+badly as (select host, list(line) as ls from bad group by host),
+q as (select p.*, string_split(t, chr(10)) as a, coalesce(ls, []) as ls
+      from p left join badly on p.host is not distinct from badly.host)
+select page_id, host, coalesce(len(list_filter(a, lambda x: {_TRIM.format('x')} <> '')), 0) as n_lines,
+       coalesce(len(list_filter(a, lambda x: list_contains(ls, {_TRIM.format('x')}))), 0) as n_removed,
+       sha256(coalesce(array_to_string(list_filter(a, lambda x: not list_contains(ls, {_TRIM.format('x')})), chr(10)), '')) as kept_sha256
+from q
+"""

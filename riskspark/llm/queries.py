@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskspark.llm.common import table
+from riskspark.llm.line_dedup import host_of, line_dedup, page_text
+from riskspark.llm.mixing import mix_documents
 from riskspark.llm.near_dup import near_duplicates
 
 
@@ -12,6 +15,21 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is fixed by the sources; taken by seeded draws, which SQL elsewhere cannot repeat."""
+    return mix_documents(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "size", "source_size", "target", "taken")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of each host's pages: counts and a digest of the page text that stays."""
+    out = line_dedup(table(spark, sf_dir, "pages"), host_of(F.col("url")), page_text(F.col("html")))
+    return out.select("row.page_id", host_of(F.col("row.url")).alias("host"), "n_lines", "n_removed",
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
+    "op7_mix_sources": op7_mix_sources,
+    "op9_line_dedup": op9_line_dedup,
 }
