@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm.common import table
+from riskspark.llm.bpe_chunks import encode_digests
+from riskspark.llm.common import stage_dir, table
 from riskspark.llm.line_dedup import host_of, line_dedup, page_text
 from riskspark.llm.mixing import mix_documents
 from riskspark.llm.near_dup import near_duplicates
+from riskspark.llm.token_files import read_token_files, write_token_files
+from riskspark.llm.tokens import vocabulary
+
+
+def op3_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = f"{stage_dir(spark)}/tokens"
+    write_token_files(table(spark, sf_dir, "documents"), out, vocabulary("word_bpe_49k.json"))
+    return read_token_files(spark, out)
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +42,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
+    "op5_token_files": op5_token_files,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
     "op9_line_dedup": op9_line_dedup,
