@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,11 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with value computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
 def word_count(text: Column) -> Column:
     """Number of words (long), in SQL functions only; null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -73,15 +78,15 @@ def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text",
-           size: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches with at most ``size`` bytes of text (at least one row), with bytes and offsets."""
+           size: int = PIECE_BYTES, most: int = 1 << 30) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches with at most ``size`` bytes of text and ``most`` rows (at least one row), with bytes and offsets."""
     for batch in batches:
         if not batch.num_rows:
             continue
         data, off = text_bytes(batch.column(column))
         a = 0
         while a < batch.num_rows:
-            b = max(a + 1, int(np.searchsorted(off, off[a] + size, "right")) - 1)
+            b = min(max(a + 1, int(np.searchsorted(off, off[a] + size, "right")) - 1), a + most)
             yield batch.slice(a, b - a), data[off[a]: off[b]], off[a: b + 1] - off[a]
             a = b
 

@@ -19,13 +19,11 @@ its source's stream comes from per-bucket sums (about sqrt(rows) buckets in a so
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from riskspark.llm.common import stage, stage_dir, word_count
+from riskspark.llm.common import let, stage, stage_dir, word_count
 
 CAP = 3
 SHARDS = 16
@@ -37,11 +35,6 @@ BROADCAST_SOURCES = 20_000
 _PRIMES = (1_000_003, 998_244_353, 104_729, 15_485_863, 32_452_843, 49_979_687, 67_867_967)
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then(value)``, with value computed once."""
-    return F.transform(F.array(value), then)[0]
-
-
 def _uniform(*key: Column | int) -> Column:
     """Uniform in [0, 1) from a hash of the key."""
     k = [F.lit(x) if isinstance(x, int) else x for x in key]
@@ -73,10 +66,10 @@ def _hypergeometric(total: Column, good: Column, draws: Column, u: Column) -> Co
 
         values = F.sequence(span["low"], span["high"])
         mass = F.aggregate(values, start, add(None), lambda a: a["sum"])
-        x = _let(mass * u, lambda goal: F.aggregate(values, start, add(goal), lambda a: a["x"]))
-        return _let(x, lambda v: F.when(v < 0, span["high"]).otherwise(v))
+        x = let(mass * u, lambda goal: F.aggregate(values, start, add(goal), lambda a: a["x"]))
+        return let(x, lambda v: F.when(v < 0, span["high"]).otherwise(v))
 
-    return _let(F.struct(low.alias("low"), high.alias("high")), pick)
+    return let(F.struct(low.alias("low"), high.alias("high")), pick)
 
 
 def targets(sources: DataFrame, cap: int = CAP) -> DataFrame:
@@ -109,7 +102,7 @@ def shard_quotas(quota: DataFrame, shards: int, seed: int) -> DataFrame:
 
         def deal(acc: Column, x: Column) -> Column:
             u = _uniform(seed, F.col("lo"), F.col("m"), x["rank"])
-            return _let(_hypergeometric(acc["n"], x["quota"], acc["d"], u), lambda k: F.struct(
+            return let(_hypergeometric(acc["n"], x["quota"], acc["d"], u), lambda k: F.struct(
                 (acc["n"] - x["quota"]).alias("n"), (acc["d"] - k).alias("d"),
                 F.concat(acc["out"], F.array(k)).alias("out")))
 

@@ -51,3 +51,36 @@ select page_id, host, coalesce(len(list_filter(a, lambda x: {_TRIM.format('x')}
        sha256(coalesce(array_to_string(list_filter(a, lambda x: not list_contains(ls, {_TRIM.format('x')})), chr(10)), '')) as kept_sha256
 from q
 """
+
+_N = rf"len(regexp_extract_all({{}}, {_WORD}))"
+_NAV = (r"(?i)^\s*(?:home|menu|login|log in|sign in|sign up|next|previous|back to top|contact|about us|search|share)"
+        r"(?:\s*[|>»·/-]\s*\S.*)?\s*$")
+_BOILER = (r"(?i)(?:cookie policy|terms of (?:use|service)|privacy policy|subscribe to our|javascript is (?:disabled|required)"
+           r"|lorem ipsum)")
+
+SQL["op4_line_first_rules"] = rf"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+w as (select *, regexp_extract_all(t, {_WORD}) as ws, string_split(t, chr(10)) as ls from d),
+l as (
+  select *, list_filter(ls, lambda x: {_N.format('x')} > 0) as lw,
+    list_transform(ls, lambda x: struct_pack(n := {_N.format('x')},
+      s := len(regexp_extract_all(x, '[#*$%&|<>]')), e := len(regexp_extract_all(x, '!!+(?:[\x20\x09-\x0D]|$)')),
+      b := regexp_matches(x, '{_NAV}') or regexp_matches(x, '{_BOILER}'))) as js,
+    list_transform(range(1, len(ws) - 6), lambda i: array_to_string(ws[i:i + 7], ' ')) as win
+  from w),
+m as (
+  select *, coalesce(list_sum(list_transform(list_filter(js, lambda j: j.n > 0 and (j.s * 100 > j.n * 20 or j.e * 100 > j.n * 50
+      or (j.n <= 30 and j.b))), lambda j: j.n)), 0) as lost from l),
+g as (select doc_id, unnest(win) as g, generate_subscripts(win, 1) as i from l),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) as c from g) where c > 1),
+rep as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + 8)) as p from twice) group by doc_id),
+r as (
+  select m.doc_id, len(ws) as n_words, length(array_to_string(ws, '')) as word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) as n_symbols, len(lw) - len(list_distinct(lw)) as n_dup_lines,
+    coalesce(rep.n, 0) as n_repeat_words, cast(lost as bigint) as n_lost_words
+  from m left join rep on rep.doc_id = m.doc_id)
+select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+  not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and n_lost_words * 100 <= n_words * 50
+  and n_words - n_lost_words >= 20 as kept
+from r
+"""

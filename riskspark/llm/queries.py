@@ -10,14 +10,26 @@ from riskspark.llm.common import stage_dir, table
 from riskspark.llm.line_dedup import host_of, line_dedup, page_text
 from riskspark.llm.mixing import mix_documents
 from riskspark.llm.near_dup import near_duplicates
+from riskspark.llm.quality_model import classify
+from riskspark.llm.quality_rules import quality_rules
 from riskspark.llm.token_files import read_token_files, write_token_files
 from riskspark.llm.tokens import vocabulary
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(table(spark, sf_dir, "documents")).select("row.doc_id", "posterior", "score", "kept")
+
+
 def op3_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op4_line_first_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules(table(spark, sf_dir, "documents"), F.col("text"))
+    return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      "n_lost_words")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = f"{stage_dir(spark)}/tokens"
     write_token_files(table(spark, sf_dir, "documents"), out, vocabulary("word_bpe_49k.json"))
@@ -42,7 +54,9 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
+    "op4_line_first_rules": op4_line_first_rules,
     "op5_token_files": op5_token_files,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
