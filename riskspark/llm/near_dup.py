@@ -10,9 +10,11 @@ Links are then confirmed on the full shingle sets.
 
 Copies of one shingle set are one class from the start, so exact copies never form pairs.
 Inside a bucket, members are first compared with one centre only (the member that meets
-most others), the verified links are contracted to components, and just the members that
-the bucket's main component did not absorb are compared with the rest. So a bucket of n
-mutual near copies costs n comparisons and no link between components is lost.
+most others) and the verified links are contracted to components, so a bucket of n mutual
+near copies costs n comparisons. Where a bucket then still holds several components, the
+members outside its main component are a query set: they are compared with that component's
+members and with each other, in blocks of full sets, and a block pair returns one spanning
+link per component it joins, never its pairs. So no link between components is lost.
 """
 
 from __future__ import annotations
@@ -32,8 +34,11 @@ from riskspark.llm.components import components
 SHINGLE = 5
 CHUNKS, CHUNK, ERRORS = 10, 4, 1
 POSITIONS = CHUNKS * CHUNK
-#: Pairs with more differing positions are not confirmed: at similarity 0.75 that many have a probability below 1e-7.
-FAR_POSITIONS = 27
+#: Star pairs whose 64-bit sketches (low bits of the positions) differ in more bits are not confirmed: at similarity
+#: 0.75 eight are expected, and more than 28 have a probability below 1e-7.
+FAR_BITS = 28
+#: Classes, and shingles, in a block of the second comparison.
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 400_000
 PERCENT = 75
 
 _RNG = np.random.RandomState(7)
@@ -104,6 +109,91 @@ def _keys(sig: str):
     return F.explode(F.array(*keys))
 
 
+def _sketch(sig: str):
+    """The lowest bit of every position and the next bit of the first ones, in one long."""
+    out = F.lit(0).cast("long")
+    for k in range(64):
+        bit = F.shiftright(F.col(sig)[k % POSITIONS], k // POSITIONS).bitwiseAND(F.lit(1)).cast("long")
+        out = F.shiftleft(out, 1).bitwiseOR(bit)
+    return out
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, data, off in pieces(batches):
+        packed = [x.tobytes() for x in shingle_sets(data, off)]
+        yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(packed, pa.binary())], ["id", "shingles"])
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, over the shingles that both sides hold."""
+    shared = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(shared), 4096):
+        part = shared[at: at + 4096]
+
+        def table(sets: list[np.ndarray]) -> np.ndarray:
+            m = np.zeros((len(sets), len(part)), np.float32)
+            for i, x in enumerate(sets):
+                x = x[np.searchsorted(x, part[0]): np.searchsorted(x, part[-1], "right")]
+                k = np.searchsorted(part, x)
+                m[i, k[part[k] == x]] = 1
+            return m
+
+        out += table(left) @ table(right).T
+    return out
+
+
+def _block_links(group: pa.Table) -> pa.Table:
+    """Spanning links between the components of one block pair, found on full sets."""
+    ids, comp = group.column("id").to_numpy(), group.column("comp").to_numpy()
+    ask = group.column("ask").to_numpy(zero_copy_only=False)
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+    q, t = np.flatnonzero(ask), np.flatnonzero(~ask)
+    links: dict[int, int] = {}  # component -> its parent, as a forest
+    a, b = [], []
+    if len(q) and len(t):
+        both = _common([sets[i] for i in q], [sets[i] for i in t])
+        size = np.array([len(x) for x in sets], np.int64)
+        hit = (100 * both >= PERCENT * (size[q][:, None] + size[t][None, :] - both)) & (both > 0) & (comp[q][:, None] != comp[t][None, :])
+
+        def root(c: int) -> int:
+            while c in links:
+                c = links[c]
+            return c
+
+        for i, j in zip(*np.nonzero(hit), strict=True):
+            x, y = root(int(comp[q[i]])), root(int(comp[t[j]]))
+            if x != y:
+                links[max(x, y)] = min(x, y)
+                a.append(max(int(ids[q[i]]), int(ids[t[j]])))
+                b.append(min(int(ids[q[i]]), int(ids[t[j]])))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _apart(members: DataFrame, comp: DataFrame, texts: DataFrame, at: str) -> DataFrame:
+    """Links (a, b) that the stars missed, from buckets of three or more that hold several components."""
+    named = stage(members.where("size > 2").join(comp, "id", "left").select(
+        "key", "id", "n", F.coalesce("component", "id").alias("comp")), f"{at}/named")
+    per = named.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size"))
+    main = per.groupBy("key").agg(F.max(F.struct("size", "comp"))["comp"].alias("main"), F.count(F.lit(1)).alias("comps")) \
+        .where("comps > 1").select("key", "main")
+    # queries: outside the main component; targets: the main components' members in such buckets, and the queries
+    rows = named.join(main, "key").select("main", "id", "comp", "n", (F.col("comp") != F.col("main")).alias("ask")).distinct()
+    rows = stage(rows.groupBy("main", "id", "comp", "n").agg(F.max("ask").alias("ask")), f"{at}/rows")
+    blocks = lambda n, s: F.greatest(F.lit(1), F.ceil(n / BLOCK_ROWS), F.ceil(s / BLOCK_SHINGLES)).cast("int")
+    size = rows.groupBy("main").agg(
+        blocks(F.sum(F.col("ask").cast("int")), F.sum(F.when(F.col("ask"), F.col("n")))).alias("nq"),
+        blocks(F.count(F.lit(1)), F.sum("n")).alias("nt"))
+    sets = texts.join(rows.select("id").distinct(), "id", "left_semi").mapInArrow(_sets, "id long, shingles binary")
+    rows = rows.join(size, "main")
+    mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    targets = rows.select("main", "id", "comp", F.lit(False).alias("ask"), every("nq").alias("qb"), mine("nt").alias("tb"))
+    queries = rows.where("ask").select("main", "id", "comp", "ask", mine("nq").alias("qb"), every("nt").alias("tb"))
+    return targets.union(queries).join(sets, "id").groupBy("main", "qb", "tb") \
+        .applyInArrow(lambda g: _block_links(g), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -124,39 +214,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a class: all rows with one shingle set; its least id stands for it
     classes = stage(sigs.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("h1", "h2", "n")
                     .agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), f"{at}/classes")
-    postings = classes.select(F.col("rep").alias("id"), "n", _keys("sig").alias("key"))
+    postings = classes.select(F.col("rep").alias("id"), "n", _sketch("sig").alias("sketch"), _keys("sig").alias("key"))
     buckets = stage(postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), f"{at}/buckets")
     members = stage(postings.join(buckets, "key"), f"{at}/members")
     # centre of a bucket: the member that meets most others in all its buckets together
     score = members.groupBy("id").agg(F.sum("size").alias("score"))
     centre = stage(members.join(score, "id").groupBy("key").agg(
-        F.max(F.struct("score", (-F.col("id")).alias("id"), "n")).alias("c"))
-        .select("key", (-F.col("c.id")).alias("cid"), F.col("c.n").alias("cn")), f"{at}/centres")
+        F.max(F.struct("score", (-F.col("id")).alias("id"), "n", "sketch")).alias("c"))
+        .select("key", (-F.col("c.id")).alias("cid"), F.col("c.n").alias("cn"), F.col("c.sketch").alias("cs")), f"{at}/centres")
     texts = stage(src.join(members.select("id").distinct(), "id", "left_semi"), f"{at}/texts")
     close = F.expr(f"100 * least(n, cn) >= {PERCENT} * greatest(n, cn)")  # sizes alone bound the similarity
-    first = members.join(centre, "key").where((F.col("id") != F.col("cid")) & close) \
+    alike = F.bit_count(F.col("sketch").bitwiseXOR(F.col("cs"))) <= FAR_BITS
+    pairs = members.join(centre, "key").where((F.col("id") != F.col("cid")) & close & alike) \
         .select(F.greatest("id", "cid").alias("a"), F.least("id", "cid").alias("b")).distinct()
-    tried = stage(_alike(first, classes), f"{at}/tried")
-    links = stage(_links(tried, texts), f"{at}/links")
+    links = stage(_links(pairs, texts), f"{at}/links")
     comp = stage(components(links, f"{at}/cc"), f"{at}/component")
-
-    # what the stars left apart: buckets with more than one component
-    named = members.join(comp, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-    apart = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    mixed = stage(named.join(apart, "key", "left_semi"), f"{at}/mixed")
-    main = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("size")).groupBy("key") \
-        .agg(F.max_by("comp", F.struct("size", "comp")).alias("main"))
-    x = stage(mixed.join(main, "key").where("comp <> main").select(
-        "key", F.col("id").alias("cid"), F.col("n").alias("cn"), F.col("comp").alias("ccomp"), "main"), f"{at}/outside")
-    second = mixed.join(x, "key").where((F.col("comp") != F.col("ccomp")) & close
-                                        & ((F.col("comp") == F.col("main")) | (F.col("id") < F.col("cid")))) \
-        .select(F.greatest("id", "cid").alias("a"), F.least("id", "cid").alias("b")).distinct() \
-        .join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stage(_alike(second, classes), f"{at}/tried-rest")
-    more = stage(_links(rest, texts), f"{at}/links-rest")
+    more = stage(_apart(members, comp, texts, at), f"{at}/links-apart")
     if more.limit(1).count():
         comp = stage(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b"))
-                                .union(more), f"{at}/cc-rest"), f"{at}/component-rest")
+                                .union(more), f"{at}/cc-apart"), f"{at}/component-apart")
 
     named = classes.join(comp, classes["rep"] == comp["id"], "left").select(
         "h1", "h2", F.col("n").alias("_n"), F.coalesce("component", "rep").alias("component"))
@@ -167,17 +243,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       F.coalesce(component == F.col("id"), component.isNull()).alias("kept"))
 
 
-def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose signatures differ in at most FAR_POSITIONS positions."""
-    sig = classes.select("rep", "sig")
-    j = pairs.join(sig.select(F.col("rep").alias("a"), F.col("sig").alias("sa")), "a") \
-             .join(sig.select(F.col("rep").alias("b"), F.col("sig").alias("sb")), "b")
-    differ = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x != y), lambda d: d))
-    return j.where(differ <= FAR_POSITIONS).select("a", "b").distinct()
-
-
 def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     j = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a") \
              .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     return j.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("text_b").alias("text_a"),
-                    F.col("text_a").alias("text_b")).mapInArrow(_confirm, "a long, b long").distinct()
+                    F.col("text_a").alias("text_b")).mapInArrow(_confirm, "a long, b long")

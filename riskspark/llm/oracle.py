@@ -84,3 +84,15 @@ select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
   and n_words - n_lost_words >= 20 as kept
 from r
 """
+
+SQL["op2_substring_dedup"] = rf"""
+with w as (select doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) as ws from documents),
+v as (select doc_id, unnest(list_transform(range(1, len(ws) - 33), lambda i: array_to_string(ws[i:i + 34], ' '))) as g,
+             unnest(range(1, len(ws) - 33)) as i from w where len(ws) >= 35),
+twice as (select doc_id, i from (select doc_id, i, count(*) over (partition by g) as c from v) where c > 1),
+gone as (select doc_id, list(distinct p) as ps from (select doc_id, unnest(range(i, i + 35)) as p from twice) group by doc_id)
+select w.doc_id, len(ws) as n_words, coalesce(len(ps), 0) as n_removed,
+       sha256(array_to_string(case when ps is null then ws else list_filter(ws, lambda x, k: not list_contains(ps, k)) end, ' '))
+         as kept_sha256
+from w left join gone on gone.doc_id = w.doc_id
+"""

@@ -12,6 +12,7 @@ from riskspark.llm.mixing import mix_documents
 from riskspark.llm.near_dup import near_duplicates
 from riskspark.llm.quality_model import classify
 from riskspark.llm.quality_rules import quality_rules
+from riskspark.llm.substring_dedup import substring_dedup
 from riskspark.llm.token_files import read_token_files, write_token_files
 from riskspark.llm.tokens import vocabulary
 
@@ -20,6 +21,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents")).select("row.doc_id", "posterior", "score", "kept")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_bpe_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -55,6 +60,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_bpe_chunk_reuse": op3_bpe_chunk_reuse,
     "op4_line_first_rules": op4_line_first_rules,
     "op5_token_files": op5_token_files,

@@ -50,3 +50,18 @@ def test_edge_cases(spark):
     got = sorted(map(tuple, near_duplicates(df).collect()), key=str)
     assert got == sorted([(5, 2, 2, False), (5, 2, 2, False), (2, 2, 2, True), (None, 2, 2, False), (None, 0, None, True)], key=str)
     assert near_duplicates(df.limit(0)).collect() == []
+
+
+def test_large_group_of_far_copies(spark):
+    """Copies around one text that are often below the threshold to each other and to the centre."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for k in range(260):
+        w = list(base)
+        for _ in range(rng.randint(1, 6)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(40)}"
+        rows.append((k, " ".join(w[rng.randint(0, 25):])))
+    rng.shuffle(rows)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows)
