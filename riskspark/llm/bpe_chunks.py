@@ -40,6 +40,8 @@ LONG = 4096
 BATCH_BYTES = 2 << 20
 BUCKET_BYTES = 16 << 20
 
+TEXT_LEVEL = 5
+
 _SCHEMA = "bucket int, batch long, sizes binary, body binary"
 
 
@@ -86,11 +88,55 @@ def cut_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, np.isin(starts, safe)
 
 
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Compressed ids: the frequent ones of this list as one byte, others as two, with the list of ids by frequency."""
+    u, back, count = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")
+    rank = np.empty(len(u), np.int64)
+    rank[order] = np.arange(len(u))
+    r, one = rank[back], 256
+    if len(u) > 256:
+        one = next((c for c in range(255, -1, -1) if c + ((len(u) - 1 - c) >> 8) <= 255), -1)
+    head = np.array([len(ids), len(u), one], "<i8").tobytes() + u[order].astype("<u4").tobytes()
+    if one < 0:  # too many distinct ids for two bytes
+        body = r.astype("<u4").tobytes()
+    else:
+        single = r < one
+        end = np.cumsum(np.where(single, 1, 2))
+        body_ = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
+        body_[end[single] - 1] = r[single]
+        rest = r[~single] - one
+        body_[end[~single] - 2], body_[end[~single] - 1] = one + (rest >> 8), rest & 255
+        body = body_.tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(head + body)
+
+
+def unpack_ids(blob: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n, distinct, one = (int(x) for x in np.frombuffer(raw, "<i8", 3))
+    u = np.frombuffer(raw, "<u4", distinct, 24)
+    if one < 0:
+        return u[np.frombuffer(raw, "<u4", n, 24 + 4 * distinct)]
+    body = np.frombuffer(raw, np.uint8, offset=24 + 4 * distinct).astype(np.int64)
+    # a byte that begins a pair makes the next one a second byte, whatever it holds: runs of such bytes alternate
+    pair = body >= one
+    if not pair.any():
+        return u[body]
+    at, run = np.arange(len(body)), np.where(pair, 0, np.arange(len(body)) + 1)
+    since = at - np.maximum.accumulate(run)  # place in the run of possible first bytes, from 0
+    first = pair & (since % 2 == 0)
+    second = np.concatenate([[False], first[:-1]])
+    lead = ~second
+    value = np.where(first, 0, body)
+    value[first] = one + ((body[first] - one) << 8) + body[np.flatnonzero(first) + 1]
+    return u[value[lead]]
+
+
 def _send(buckets: int):
     """Batches of texts -> their distinct chunks by bucket, and one manifest row (bucket -1 - batch) each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=TEXT_LEVEL)
         part, number = TaskContext.get().partitionId(), 0
         for rows, data, off in pieces(batches, size=BATCH_BYTES):
             batch = (part << 32) + number
@@ -108,7 +154,7 @@ def _send(buckets: int):
             place = np.empty(len(unique), np.int64)
             place[order] = np.arange(len(unique))  # chunks arrive back in this order
             out = [[], [], [], []]
-            for a, b in zip(edges, np.append(edges[1:], len(order)), strict=True):
+            for a, b in zip(edges, np.append(edges[1:], len(order))[: len(edges)], strict=True):
                 mine = [unique[i] for i in order[a:b]]
                 out[0].append(int(bucket[order[a]]))
                 out[1].append(batch)
@@ -136,7 +182,7 @@ def _encode(path: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = spaced_encoder(path)
-        pack, unpack = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        unpack = zstandard.ZstdDecompressor()
         width, done, now = int(enc.dtype[-1]), {}, None
         for batch in batches:
             sizes, bodies = [], []
@@ -153,7 +199,7 @@ def _encode(path: str):
                             ids = done[c] = enc.encode(c.decode("utf-8"))
                         got.append(ids)
                     s = np.array([len(x) // width for x in got], "<u4").tobytes()
-                    b = pack.compress(b"".join(got))
+                    b = pack_ids(np.frombuffer(b"".join(got), enc.dtype))
                 sizes.append(s)
                 bodies.append(b)
             yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("batch"), pa.array(sizes, pa.binary()),
@@ -201,13 +247,12 @@ def _boundary(ids: np.ndarray, table: list[bytes], last: bool) -> int:
 
 def _assemble(path: str, finish):
     def run(group: pa.Table) -> pa.Table:
-        unpack = zstandard.ZstdDecompressor()
         rows = sorted(zip(*(group.column(c).to_pylist() for c in ("bucket", "sizes", "body")), strict=True), key=lambda r: r[0])
         assert sum(r[0] < 0 for r in rows) == 1, "a batch came back without its manifest"
         manifest = pa.ipc.open_stream(rows[0][2]).read_all()
         dtype = spaced_encoder(path).dtype
         lengths = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r[1], "<u4").astype(np.int64) for r in rows[1:])])
-        ids = np.concatenate([np.zeros(0, dtype), *(np.frombuffer(unpack.decompress(r[2]), dtype) for r in rows[1:])])
+        ids = np.concatenate([np.zeros(0, dtype), *(unpack_ids(r[2]).astype(dtype) for r in rows[1:])])
         ends = np.cumsum(lengths)
         per_doc = manifest.column("chunks").to_numpy()
         total = int(per_doc.sum())

@@ -74,3 +74,10 @@ def test_files_hold_the_librarys_ids(spark, tmp_path):
     assert sorted(map(tuple, read_token_files(spark, str(tmp_path / "t")).collect()), key=str) == sorted(want, key=str)
     write_token_files(df.limit(0), str(tmp_path / "e"), WORDS)
     assert read_token_files(spark, str(tmp_path / "e")).collect() == []
+
+
+def test_id_lists_round_trip():
+    rng = np.random.RandomState(3)
+    for ids in (np.zeros(0, np.int64), np.array([5, 5]), rng.randint(0, 50257, 9000), (rng.pareto(.6, 20000) * 9).astype(np.int64) % 50257,
+                rng.randint(0, 200, 500), rng.permutation(100_000), np.repeat(np.arange(3000), 2)):
+        assert np.array_equal(bpe_chunks.unpack_ids(bpe_chunks.pack_ids(ids)), ids)
