@@ -10,6 +10,7 @@ from riskspark.llm.common import stage_dir, table
 from riskspark.llm.line_dedup import host_of, line_dedup, page_text
 from riskspark.llm.mixing import mix_documents
 from riskspark.llm.near_dup import near_duplicates
+from riskspark.llm.pii import personal_data
 from riskspark.llm.quality_model import classify
 from riskspark.llm.quality_rules import quality_rules
 from riskspark.llm.substring_dedup import substring_dedup
@@ -51,6 +52,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_semi_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each host's pages: counts and a digest of the page text that stays."""
     out = line_dedup(table(spark, sf_dir, "pages"), host_of(F.col("url")), page_text(F.col("html")))
@@ -66,5 +71,6 @@ QUERIES = {
     "op5_token_files": op5_token_files,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_mix_sources": op7_mix_sources,
+    "op8_semi_crf_pii": op8_semi_crf_pii,
     "op9_line_dedup": op9_line_dedup,
 }
