@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.bpe_chunks import encode_digests
 from riskspark.llm.common import stage_dir, table
+from riskspark.llm.embedding_dup import near_vectors
 from riskspark.llm.line_dedup import host_of, line_dedup, page_text
 from riskspark.llm.mixing import mix_documents
 from riskspark.llm.near_dup import near_duplicates
@@ -63,6 +64,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -73,4 +78,5 @@ QUERIES = {
     "op7_mix_sources": op7_mix_sources,
     "op8_semi_crf_pii": op8_semi_crf_pii,
     "op9_line_dedup": op9_line_dedup,
+    "op10_nn_descent": op10_nn_descent,
 }
