@@ -28,8 +28,7 @@ HOUR_US = 3_600_000_000
 # holding a third of a year of data still splits into ~8,760 hourly tasks' worth of work.
 HOT_BLOCK_US = HOUR_US
 # Keys with more rows than this take the two-level (per key-block) path; all others use a
-# plain per-key window. The hot-key list is bounded by total_rows / threshold, so it is
-# broadcast. Override per session with ``riskspark.hotKeyRows``.
+# plain per-key window. Both paths give the same rows. Override per session with ``riskspark.hotKeyRows``.
 HOT_KEY_ROWS = 2_000_000
 
 
@@ -55,12 +54,11 @@ def split_hot(df: DataFrame, key: str, threshold: int | None = None,
               hot: DataFrame | None | bool = False) -> tuple[DataFrame, DataFrame]:
     """(rows of hot keys, rows of the other keys). A key is hot above ``threshold`` rows;
     a precomputed ``hot`` list (from :func:`hot_keys`) can be shared between operators
-    over the same input. The hot list is broadcast to a null-safe semi / anti join."""
+    over the same input, through a null-safe semi / anti join whose plan is left to AQE."""
     if hot is False:
         hot = hot_keys(df, key, threshold)
     if hot is None:
         return df, df.limit(0)
-    hot = F.broadcast(hot)
     cond = df[key].eqNullSafe(hot["_hk"])
     return df.join(hot, cond, "left_semi"), df.join(hot, cond, "left_anti")
 
@@ -72,10 +70,20 @@ def ts_micros(c) -> Column:
 
 
 def _block(us: Column, block_us: int) -> Column:
-    return F.floor(us / F.lit(block_us)).cast("bigint")
+    """Time block of a row; rows without a time are one block before all others (NULLs sort first)."""
+    return F.coalesce(F.floor(us / F.lit(block_us)).cast("bigint"), F.lit(-(1 << 62)))
 
 
-def _range_window_sums_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
+def with_row_key(df: DataFrame, out: str = "_rk") -> DataFrame:
+    """Add a key that no other row has, whatever ids repeat or are missing: two hashes of the
+    whole row, and a number among identical rows (which are interchangeable)."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    d = df.withColumns({"_rk1": F.xxhash64(row), "_rk2": F.xxhash64(F.lit(1), row)})
+    n = F.row_number().over(Window.partitionBy("_rk1", "_rk2").orderBy("_rk1"))
+    return d.withColumn(out, F.struct("_rk1", "_rk2", n.alias("_rkn"))).drop("_rk1", "_rk2")
+
+
+def _range_window_sums_blocked(df: DataFrame, key: str, ts_us: str, value: str,
                       frames: Mapping[str, tuple[int, int]], block_us: int = DAY_US) -> DataFrame:
     """Per-row sum and count of ``value`` over RANGE frames on ``ts_us``.
 
@@ -87,14 +95,29 @@ def _range_window_sums_blocked(df: DataFrame, key: str, ts_us: str, id_col: str,
     Each frame is S(ts+hi+1) - S(ts+lo), where S(p) is the sum over the key's rows
     with ts' < p. S at a point is evaluated by a zero-valued marker row placed in the
     point's block: prefix over earlier blocks (small table) + prefix inside the block.
+    Points meet again by an internal row key, so repeated and missing ids keep their rows.
+    A row without a time has all such rows of its key as its frame (as in a window, where
+    NULLs are peers): an aggregate and a join.
     """
+    timed = _timed_window_sums_blocked(df.where(F.col(ts_us).isNotNull()), key, ts_us, value, frames, block_us)
+    untimed = df.where(F.col(ts_us).isNull())
+    peers = untimed.groupBy(F.col(key).alias("_k")).agg(F.sum(value).alias("_s"), F.count(value).alias("_n"))
+    untimed = untimed.join(peers, untimed[key].eqNullSafe(peers["_k"]), "left")
+    extra = {}
+    for name in frames:
+        extra[f"{name}_sum"], extra[f"{name}_cnt"] = F.when(F.col("_n") > 0, F.col("_s")), F.col("_n").cast("bigint")
+    return timed.unionByName(untimed.withColumns(extra).drop("_k", "_s", "_n").select(*timed.columns))
+
+
+def _timed_window_sums_blocked(df: DataFrame, key: str, ts_us: str, value: str,
+                               frames: Mapping[str, tuple[int, int]], block_us: int) -> DataFrame:
     points: list[int] = sorted({o for lo, hi in frames.values() for o in (lo, hi + 1)})
     own = 1  # S(ts+1) = everything up to and including the row's own timestamp (+ peers)
     marker_pts = [p for p in points if p != own]
 
     cols = df.columns
-    base = df.select(
-        F.col(key).alias("_k"), F.col(ts_us).cast("bigint").alias("_t"), F.col(id_col).alias("_id"),
+    base = with_row_key(df).select(
+        F.col(key).alias("_k"), F.col(ts_us).cast("bigint").alias("_t"), F.col("_rk").alias("_id"),
         F.col(value).alias("_v"), F.struct(*[F.col(c) for c in cols]).alias("_row"))
     vtype = base.schema["_v"].dataType  # decimals stay exact (prefix differences are exact)
     zero = F.lit(0).cast(vtype)
@@ -151,7 +174,7 @@ def _tag(p: int) -> str:
 
 def _previous_value_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                    block_us: int = DAY_US, out: str = "prev_value", has_prev: str = "has_prev") -> DataFrame:
-    """lag(value) over key ordered by (ts, id), computed per (key, block).
+    """lag(value) over key ordered by (ts, id, value), computed per (key, block).
 
     The first row of a block takes the last value of the latest earlier block of the
     key (small per-block table, ``max_by`` + window over blocks).
@@ -159,12 +182,12 @@ def _previous_value_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, va
     b = _block(F.col(ts_us), block_us)
     d = df.withColumn("_b", b)
     last = d.groupBy(F.col(key).alias("_k"), "_b").agg(
-        F.max_by(F.col(value), F.struct(F.col(ts_us), F.col(id_col))).alias("_last"))
+        F.max(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"), F.col(value).alias("v"))).alias("_last"))
     wb = Window.partitionBy("_k").orderBy("_b")
-    last = last.select("_k", "_b", F.lag("_last").over(wb).alias("_pb_last"),
+    last = last.select("_k", "_b", F.lag("_last").over(wb)["v"].alias("_pb_last"),
                        (F.row_number().over(wb) > 1).alias("_pb_has"))
     d = d.join(last, d[key].eqNullSafe(last["_k"]) & (d["_b"] == last["_b"]), "inner").drop(last["_b"]).drop("_k")
-    w = Window.partitionBy(key, "_b").orderBy(ts_us, id_col)
+    w = Window.partitionBy(key, "_b").orderBy(ts_us, id_col, value)
     rn = F.row_number().over(w)
     return (d.withColumn(out, F.when(rn == 1, F.col("_pb_last")).otherwise(F.lag(value).over(w)))
              .withColumn(has_prev, (rn > 1) | F.col("_pb_has"))
@@ -176,7 +199,7 @@ NULL_KEY = "\u0000"  # map keys cannot be NULL; a NULL value is tracked under th
 
 def _prior_mode_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                block_us: int = DAY_US, out: str = "prior_mode", has_prior: str = "has_prior") -> DataFrame:
-    """Modal ``value`` over the key's strictly earlier rows (by (ts, id)); count ties go
+    """Modal ``value`` over the key's strictly earlier rows (by (ts, id, value)); count ties go
     to the earliest first-seen value. NULL is a value of its own.
 
     Single-window form: k = running count of (key, value); fr = rank of the value's first
@@ -189,7 +212,7 @@ def _prior_mode_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value:
     d = df.withColumn("_b", _block(F.col(ts_us), block_us)).withColumn("_v", v)
 
     kv = d.groupBy(F.col(key).alias("_k"), "_v").agg(
-        F.min(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"))).alias("_fp"))
+        F.min(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"), F.col("_v").alias("v"))).alias("_fp"))
     blk = d.groupBy(F.col(key).alias("_k"), "_v", "_b").agg(F.count(F.lit(1)).alias("_c"))
     # rank of first appearance among the key's values (rows per key = distinct values)
     kv = kv.withColumn("_fr", F.row_number().over(Window.partitionBy("_k").orderBy("_fp")))
@@ -210,7 +233,7 @@ def _prior_mode_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value:
     info = F.col("_m")[F.col("_v")]
     kcol = info["before"] + F.row_number().over(Window.partitionBy(key, "_b", "_v").orderBy(ts_us, id_col))
     d = d.withColumn("_cand", F.struct(kcol.alias("k"), (-info["fr"]).alias("nf"), F.col("_v").alias("v")))
-    wr = Window.partitionBy(key, "_b").orderBy(ts_us, id_col).rowsBetween(Window.unboundedPreceding, -1)
+    wr = Window.partitionBy(key, "_b").orderBy(ts_us, id_col, "_v").rowsBetween(Window.unboundedPreceding, -1)
     best = F.greatest(F.col("_start"), F.max("_cand").over(wr))
     mode = best["v"]
     return (d.withColumn(has_prior, best.isNotNull())
@@ -218,20 +241,19 @@ def _prior_mode_blocked(df: DataFrame, key: str, ts_us: str, id_col: str, value:
              .drop("_b", "_v", "_start", "_m", "_cand"))
 
 
-def first_seen(df: DataFrame, keys: Sequence[str], ts_us: str, id_col: str, out: str = "is_first") -> DataFrame:
-    """True on the earliest row (by (ts, id)) of each ``keys`` group.
-
-    Aggregate + join rather than an unordered window, so a hot group is pre-aggregated
-    map-side and the join side of it is split by AQE's skew handling.
-    """
-    first = df.groupBy(*[F.col(k) for k in keys]).agg(
+def _first_seen_blocked(df: DataFrame, keys: Sequence[str], ts_us: str, id_col: str, out: str) -> DataFrame:
+    """First row of each ``keys`` group without a window over the group: its least (ts, id) by
+    a map-side-combined aggregate, then one of the rows that have it. Rows that do not are
+    spread over salted groups."""
+    least = df.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(keys)]).agg(
         F.min(F.struct(F.col(ts_us).alias("t"), F.col(id_col).alias("i"))).alias("_first"))
-    cond = [df[k].eqNullSafe(first[k]) for k in keys]
-    j = df.join(first, cond, "inner")
-    for k in keys:
-        j = j.drop(first[k])
-    return (j.withColumn(out, (F.col("_first.t") == F.col(ts_us)) & (F.col("_first.i") == F.col(id_col)))
-             .drop("_first"))
+    cond = [df[k].eqNullSafe(least[f"_g{i}"]) for i, k in enumerate(keys)]
+    j = df.join(least, cond, "inner").drop(*[f"_g{i}" for i in range(len(keys))])
+    tie = F.col("_first.t").eqNullSafe(F.col(ts_us)) & F.col("_first.i").eqNullSafe(F.col(id_col))
+    j = j.withColumn("_tie", tie).drop("_first")
+    salt = F.when(F.col("_tie"), F.lit(-1)).otherwise(F.pmod(F.xxhash64(ts_us, id_col), F.lit(4096)).cast("int"))
+    w = Window.partitionBy(*keys, "_salt").orderBy(ts_us, id_col)
+    return j.withColumn("_salt", salt).withColumn(out, F.col("_tie") & (F.row_number().over(w) == 1)).drop("_tie", "_salt")
 
 
 def key_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -246,6 +268,15 @@ def key_aggregate(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) ->
 
 # ---- public entry points: plain window for ordinary keys, two-level for hot keys ----------
 
+def first_seen(df: DataFrame, keys: Sequence[str], ts_us: str, id_col: str, out: str = "is_first",
+               hot_threshold: int | None = None, hot_list: DataFrame | None | bool = False) -> DataFrame:
+    """True on one row, the earliest by (ts, id), of each ``keys`` group (NULL is a value);
+    the first of ``keys`` decides which groups are hot."""
+    hot, rest = split_hot(df, keys[0], hot_threshold, hot_list)
+    plain = rest.withColumn(out, F.row_number().over(Window.partitionBy(*keys).orderBy(ts_us, id_col)) == 1)
+    return plain.unionByName(_first_seen_blocked(hot, keys, ts_us, id_col, out).select(*plain.columns))
+
+
 def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                       frames: Mapping[str, tuple[int, int]], block_us: int = HOT_BLOCK_US,
                       hot_threshold: int | None = None, hot_list: DataFrame | None | bool = False) -> DataFrame:
@@ -262,16 +293,16 @@ def range_window_sums(df: DataFrame, key: str, ts_us: str, id_col: str, value: s
         cols[f"{name}_sum"] = F.when(cnt > 0, F.sum(v).over(wf))
         cols[f"{name}_cnt"] = cnt.cast("bigint")
     plain = rest.withColumns(cols)
-    blocked = _range_window_sums_blocked(hot, key, ts_us, id_col, value, frames, block_us)
+    blocked = _range_window_sums_blocked(hot, key, ts_us, value, frames, block_us)
     return plain.unionByName(blocked.select(*plain.columns))
 
 
 def previous_value(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
                    block_us: int = HOT_BLOCK_US, out: str = "prev_value", has_prev: str = "has_prev",
                    hot_threshold: int | None = None, hot_list: DataFrame | None | bool = False) -> DataFrame:
-    """lag(value) over key ordered by (ts, id); hot keys per key-day (two-level)."""
+    """lag(value) over key ordered by (ts, id, value); hot keys per key-day (two-level)."""
     hot, rest = split_hot(df, key, hot_threshold, hot_list)
-    w = Window.partitionBy(key).orderBy(ts_us, id_col)
+    w = Window.partitionBy(key).orderBy(ts_us, id_col, value)
     plain = rest.withColumn(out, F.lag(value).over(w)).withColumn(has_prev, F.row_number().over(w) > 1)
     blocked = _previous_value_blocked(hot, key, ts_us, id_col, value, block_us, out, has_prev)
     return plain.unionByName(blocked.select(*plain.columns))
@@ -285,7 +316,7 @@ def prior_mode(df: DataFrame, key: str, ts_us: str, id_col: str, value: str,
     hot, rest = split_hot(df, key, hot_threshold, hot_list)
     v = F.coalesce(F.col(value).cast("string"), F.lit(NULL_KEY))
     d = rest.withColumn("_v", v)
-    order = [F.col(ts_us), F.col(id_col)]
+    order = [F.col(ts_us), F.col(id_col), F.col("_v")]
     d = d.withColumn("_k", F.row_number().over(Window.partitionBy(key, "_v").orderBy(*order)))
     d = d.withColumn("_fp", F.min(F.struct(*order)).over(Window.partitionBy(key, "_v")))
     d = d.withColumn("_fr", F.dense_rank().over(Window.partitionBy(key).orderBy("_fp")))

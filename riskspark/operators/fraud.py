@@ -53,26 +53,31 @@ def _spike(short_sum: Column, base_sum: Column, base_cnt: Column, multiplier: fl
 
 def rolling_amount(txn: DataFrame, window: str = "1h", user: str = "user_id", ts: str = "ts",
                    tx_id: str = "transaction_id", amount: str = "amount",
-                   out: str = "rolling_amount_last_1h") -> DataFrame:
+                   out: str = "rolling_amount_last_1h", positional: int | None = None,
+                   hot_threshold: int | None = None) -> DataFrame:
     """O-23: sum of the user's amounts over the half-open window (ts - w, ts] (peers
-    with the same ts included)."""
+    with the same ts included); ``positional`` sums the last so many rows by (ts, id)
+    instead, whatever their times."""
+    if positional:
+        rows = Window.partitionBy(user).orderBy(ts, tx_id, amount).rowsBetween(1 - positional, 0)
+        return txn.withColumn(out, F.sum(exact_money(amount)).over(rows).cast("double"))
     w = parse_window(window)
     d = with_ts_us(txn, ts).withColumn("_amt", exact_money(amount))
-    r = RW.range_window_sums(d, user, "ts_us", tx_id, "_amt", {"_roll": (-(w - 1), 0)})
+    r = RW.range_window_sums(d, user, "ts_us", tx_id, "_amt", {"_roll": (-(w - 1), 0)}, hot_threshold=hot_threshold)
     return r.withColumn(out, F.col("_roll_sum").cast("double")).drop("_roll_sum", "_roll_cnt", "_amt")
 
 
 def velocity_spike(txn: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                    baseline_days: int = VELOCITY_BASELINE_DAYS, multiplier: float = VELOCITY_MULTIPLIER,
                    user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                   amount: str = "amount") -> DataFrame:
+                   amount: str = "amount", hot_threshold: int | None = None) -> DataFrame:
     """O-24: spike = sum(amount) over (ts - 30m, ts] > multiplier x avg(amount) over
     [ts - 14d, ts - 30m]; no baseline rows -> false."""
     w = window_minutes * MINUTE_US
     b = baseline_days * DAY_US
     d = with_ts_us(txn, ts).withColumn("_amt", exact_money(amount))
     r = RW.range_window_sums(d, user, "ts_us", tx_id, "_amt",
-                             {"_short": (-(w - 1), 0), "_base": (-b, -w)})
+                             {"_short": (-(w - 1), 0), "_base": (-b, -w)}, hot_threshold=hot_threshold)
     base_avg = F.when(F.col("_base_cnt") > 0, F.col("_base_sum").cast("double") / F.col("_base_cnt"))
     return (r.withColumn("amount_30m", F.col("_short_sum").cast("double"))
              .withColumn("baseline_avg", base_avg)
@@ -82,38 +87,50 @@ def velocity_spike(txn: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES
 
 
 def geo_mismatch(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                 country: str = "country", hot_list=False) -> DataFrame:
+                 country: str = "country", hot_list=False, hot_threshold: int | None = None,
+                 profiles: DataFrame | None = None, profile_country: str = "home_country") -> DataFrame:
     """O-28 / O-25: ``home_country`` = modal country of the user's earlier rows (ties ->
-    earliest first seen); ``geo_location_mismatch`` = country differs from it (a NULL on
+    earliest first seen), or, where ``profiles`` (one row per user) is given, the country of
+    the user's profile; ``geo_location_mismatch`` = country differs from it (a NULL on
     either side counts as a mismatch); the user's first row is false."""
     d = with_ts_us(txn, ts)
-    r = RW.prior_mode(d, user, "ts_us", tx_id, country, out="home_country", has_prior="_has_prior", hot_list=hot_list)
+    if profiles is not None:
+        known = profiles.select(F.col(user).alias("_pu"), F.col(profile_country).alias("home_country"))
+        r = d.join(known, d[user].eqNullSafe(known["_pu"]), "left").drop("_pu").withColumn("_has_prior", F.col("home_country").isNotNull())
+    else:
+        r = RW.prior_mode(d, user, "ts_us", tx_id, country, out="home_country", has_prior="_has_prior", hot_list=hot_list,
+                          hot_threshold=hot_threshold)
     mism = F.col("_has_prior") & (F.col(country).isNull() | F.col("home_country").isNull()
                                   | (F.col(country) != F.col("home_country")))
     return r.withColumn("geo_location_mismatch", F.coalesce(mism, F.lit(False))).drop("_has_prior")
 
 
 def device_changes(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                   device: str = "device_id") -> DataFrame:
+                   device: str = "device_id", hot_threshold: int | None = None) -> DataFrame:
     """O-27: changed = the user has an earlier row AND (either device NULL or they differ)."""
     d = with_ts_us(txn, ts)
-    r = RW.previous_value(d, user, "ts_us", tx_id, device, out="_prev_dev", has_prev="_has_prev")
+    r = RW.previous_value(d, user, "ts_us", tx_id, device, out="_prev_dev", has_prev="_has_prev",
+                          hot_threshold=hot_threshold)
     ch = F.col("_has_prev") & (F.col(device).isNull() | F.col("_prev_dev").isNull()
                                | (F.col(device) != F.col("_prev_dev")))
     return r.withColumn("device_changed", F.coalesce(ch, F.lit(False))).drop("_prev_dev", "_has_prev")
 
 
 def new_device(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-               device: str = "device_id") -> DataFrame:
+               device: str = "device_id", hot_threshold: int | None = None) -> DataFrame:
     """O-26: ``device_is_new`` on the first row (by (ts, id)) of each (user, device);
     a NULL device is one unknown device."""
     d = with_ts_us(txn, ts)
-    return RW.first_seen(d, [user, device], "ts_us", tx_id, out="device_is_new")
+    return RW.first_seen(d, [user, device], "ts_us", tx_id, out="device_is_new", hot_threshold=hot_threshold)
 
 
 def user_avg_amount(txn: DataFrame, user: str = "user_id", amount: str = "amount",
-                    out: str = "avg_amount_user") -> DataFrame:
-    """O-29: the user's mean amount on every row (aggregate + join, no per-user window)."""
+                    out: str = "avg_amount_user", as_of: str | None = None, ts: str = "ts") -> DataFrame:
+    """O-29: the user's mean amount on every row (aggregate + join, no per-user window);
+    ``as_of`` (a timestamp literal) takes the mean over rows before it only."""
+    if as_of:
+        amount_ = F.when(F.col(ts) < F.lit(as_of).cast(txn.schema[ts].dataType), F.col(amount))
+        return RW.key_aggregate(txn, [user], [F.avg(amount_).alias(out)])
     return RW.key_aggregate(txn, [user], [F.avg(F.col(amount)).alias(out)])
 
 
@@ -147,8 +164,8 @@ def fraud_context(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id:
     The users are split once by the hot-key list. Ordinary users get every feature from
     windows over one hash exchange on the user (all windows partition by the user, or
     the user plus one more column, so the exchange is shared). Hot users take the
-    two-level per user-hour helpers, each family from a narrow projection, joined back
-    on the transaction id. The two parts are unioned.
+    two-level per user-hour helpers, one after the other. The two parts are unioned and
+    hold every input row once, whatever ids or times repeat or are missing.
     """
     d = with_ts_us(txn, ts)
     hot = RW.hot_keys(d, user, hot_threshold)
@@ -168,6 +185,7 @@ def _context_plain(d: DataFrame, user: str, tx_id: str, amount: str, country: st
     bsum, bcnt = F.sum(amt).over(base), F.count(amt).over(base)
     order = [F.col("ts_us"), F.col(tx_id)]
     v = F.coalesce(F.col(country).cast("string"), F.lit(RW.NULL_KEY))
+    by_value = [*order, v]
     out = d.withColumns({
         "rolling_amount_last_1h": s_roll.cast("double"),
         "velocity_spike": _spike(s30, bsum, bcnt, VELOCITY_MULTIPLIER),
@@ -177,10 +195,10 @@ def _context_plain(d: DataFrame, user: str, tx_id: str, amount: str, country: st
     })
     out = out.withColumns({
         "_k": F.row_number().over(Window.partitionBy(user, "_v").orderBy(*order)),
-        "_fp": F.min(F.struct(*order)).over(Window.partitionBy(user, "_v")),
+        "_fp": F.min(F.struct(*order, F.col("_v"))).over(Window.partitionBy(user, "_v")),
     })
     out = out.withColumn("_fr", F.dense_rank().over(Window.partitionBy(user).orderBy("_fp")))
-    prior = Window.partitionBy(user).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    prior = Window.partitionBy(user).orderBy(*by_value).rowsBetween(Window.unboundedPreceding, -1)
     out = out.withColumn("_best", F.max(F.struct(F.col("_k").alias("k"), (-F.col("_fr")).alias("nf"),
                                                  F.col("_v").alias("v"))).over(prior))
     home = F.when(F.col("_best.v") == F.lit(RW.NULL_KEY), F.lit(None).cast("string")).otherwise(F.col("_best.v"))
@@ -192,21 +210,18 @@ def _context_plain(d: DataFrame, user: str, tx_id: str, amount: str, country: st
 
 
 def _context_two_level(d: DataFrame, user: str, tx_id: str, amount: str, country: str, device: str) -> DataFrame:
+    """The same features from the two-level helpers; each passes its rows on, so nothing is joined back by id."""
     w30 = VELOCITY_WINDOW_MINUTES * MINUTE_US
-    sums = RW.range_window_sums(
-        d.select(user, "ts_us", tx_id, exact_money(amount).alias("_amt")), user, "ts_us", tx_id, "_amt",
+    out = RW.range_window_sums(
+        d.withColumn("_amt", exact_money(amount)), user, "ts_us", tx_id, "_amt",
         {"_roll": (-(HOUR_US - 1), 0), "_short": (-(w30 - 1), 0), "_base": (-VELOCITY_BASELINE_DAYS * DAY_US, -w30)},
         hot_list=None)
-    sums = sums.select(tx_id, F.col("_roll_sum").cast("double").alias("rolling_amount_last_1h"),
-                       _spike(F.col("_short_sum"), F.col("_base_sum"), F.col("_base_cnt"),
-                              VELOCITY_MULTIPLIER).alias("velocity_spike"))
-    geo = geo_mismatch(d.select(user, "ts_us", tx_id, country), user, "ts_us", tx_id, country, hot_list=None) \
-        .select(tx_id, "home_country", "geo_location_mismatch")
-    dev = RW.first_seen(d.select(user, device, "ts_us", tx_id), [user, device], "ts_us", tx_id, out="device_is_new") \
-        .select(tx_id, "device_is_new")
-    avg_u = d.groupBy(user).agg(F.avg(F.col(amount)).alias("avg_amount_user"))
-    out = d.join(sums, tx_id).join(geo, tx_id).join(dev, tx_id)
-    return out.join(avg_u, out[user].eqNullSafe(avg_u[user]), "left").drop(avg_u[user])
+    out = out.withColumn("rolling_amount_last_1h", F.col("_roll_sum").cast("double")) \
+        .withColumn("velocity_spike", _spike(F.col("_short_sum"), F.col("_base_sum"), F.col("_base_cnt"), VELOCITY_MULTIPLIER)) \
+        .drop("_amt", *[f"{p}_{x}" for p in ("_roll", "_short", "_base") for x in ("sum", "cnt")])
+    out = geo_mismatch(out, user, "ts_us", tx_id, country, hot_list=None)
+    out = RW.first_seen(out, [user, device], "ts_us", tx_id, out="device_is_new", hot_list=None)
+    return RW.key_aggregate(out, [user], [F.avg(F.col(amount)).alias("avg_amount_user")])
 
 
 def signup_account_age(txn: DataFrame, events: DataFrame, user: str = "user_id", ts: str = "ts",

@@ -18,10 +18,10 @@ def txn(spark: SparkSession, sf: str) -> DataFrame:
     return T.txn(spark, sf)
 
 
-def score_log(spark: SparkSession, sf: str) -> DataFrame:
+def score_log(spark: SparkSession, sf: str, hot_threshold: int | None = None) -> DataFrame:
     """Decision log derived from the transactions: rule
     context -> structured rules -> model score -> decision, with arm, latency, label."""
-    ctx = FR.fraud_context(txn(spark, sf))
+    ctx = FR.fraud_context(txn(spark, sf), hot_threshold=hot_threshold)
     ctx = RU.evaluate_structured(ctx)
     ctx = ctx.withColumns({
         "proba": F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("amount") - F.lit(6000.0)) / F.lit(2000.0))),
@@ -95,6 +95,40 @@ def merchant_chargeback_rate(spark, sf):
     return final(FR.merchant_chargeback_rate(txn(spark, sf)), ratios=["merchant_chargeback_rate"])
 
 
+# ---- the same features with every user on the path for hot keys ------------------------
+
+def hot_rolling_amount_1h(spark, sf):
+    r = FR.rolling_amount(txn(spark, sf), "1h", hot_threshold=0)
+    return final(r.select("transaction_id", "user_id", "rolling_amount_last_1h"), money=["rolling_amount_last_1h"])
+
+
+def hot_velocity_spike(spark, sf):
+    r = FR.velocity_spike(txn(spark, sf), hot_threshold=0)
+    return final(r.select("transaction_id", "user_id", "amount_30m", "baseline_avg", "velocity_spike"),
+                 money=["amount_30m"], ratios=["baseline_avg"])
+
+
+def hot_geo_mismatch(spark, sf):
+    r = FR.geo_mismatch(txn(spark, sf), hot_threshold=0)
+    return r.select("transaction_id", "user_id", "country", "home_country", "geo_location_mismatch")
+
+
+def hot_new_device(spark, sf):
+    r = FR.new_device(txn(spark, sf), hot_threshold=0)
+    return r.select("transaction_id", "user_id", "device_id", "device_is_new")
+
+
+def hot_device_changes(spark, sf):
+    r = FR.device_changes(txn(spark, sf), hot_threshold=0)
+    return r.select("transaction_id", "user_id", "device_id", "device_changed")
+
+
+def hot_final_decisions(spark, sf):
+    """Rule context through the hot path, then rules and decision."""
+    r = score_log(spark, sf, hot_threshold=0)
+    return final(r.select("transaction_id", "arm", "proba", "rules_count", "decision"), ratios=["proba"], longs=["rules_count"])
+
+
 # ---- rules / decisions --------------------------------------------------------------
 
 FLAT_RULES = [

@@ -961,3 +961,7 @@ Q["segment_rollup_levels"] = CREDIT + """
 SELECT grade, state, CAST(grouping(grade, state) AS BIGINT) AS level, count(DISTINCT borrower_id) AS borrowers,
        round(sum(EAD), 2) AS total_EAD, round(avg(PD), 6) AS avg_PD, round(sum(EL), 2) AS total_EL
 FROM el GROUP BY ROLLUP (grade, state)"""
+
+# --- the hot-key path gives the rows of the plain one -----------------------------------------
+for _name in ("rolling_amount_1h", "velocity_spike", "geo_mismatch", "new_device", "device_changes", "final_decisions"):
+    Q["hot_" + _name] = Q[_name]

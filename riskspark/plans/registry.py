@@ -23,6 +23,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_mismatch": fraud.geo_mismatch,
     "new_device": fraud.new_device,
     "device_changes": fraud.device_changes,
+    "hot_rolling_amount_1h": fraud.hot_rolling_amount_1h,
+    "hot_velocity_spike": fraud.hot_velocity_spike,
+    "hot_geo_mismatch": fraud.hot_geo_mismatch,
+    "hot_new_device": fraud.hot_new_device,
+    "hot_device_changes": fraud.hot_device_changes,
+    "hot_final_decisions": fraud.hot_final_decisions,
     "user_avg_amount": fraud.user_avg_amount,
     "user_daily_velocity": fraud.user_daily_velocity,
     "merchant_chargeback_rate": fraud.merchant_chargeback_rate,

@@ -51,14 +51,19 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
         except Exception:  # static confs on a shared session: keep what is there
             pass
-    ensure_checkpoint_dir(spark)
     return spark
 
 
+def is_local(master: str | None) -> bool:
+    """Whether driver and executors are one process (so a machine-local folder is shared)."""
+    return master == "local" or (master or "").startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory, setting a local one only when none is configured.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Callers
+    that write something ask for it; queries that do not need no folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -66,8 +71,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    local = "local" in (sc.master or "")
-    if not local:
+    if not is_local(sc.master):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="riskspark-ckpt-", dir=os.environ.get("RISKSPARK_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)

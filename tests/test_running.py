@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 """Skew-safe two-level window helpers vs brute-force Python on random data with ties,
 NULLs and block (day) boundaries."""
 
@@ -96,3 +97,37 @@ def test_mixed_hot_and_plain(spark):
     for i, u, t, _, _ in rows:
         nn = [x[3] for x in rows if x[1] == u and t - 3_600_000_000 < x[2] <= t and x[3] is not None]
         assert got[i]["a_cnt"] == len(nn)
+
+
+ODD = [(1, 10.0, "US", "D1", "2024-01-01 10:00:00"), (1, 5.0, "US", "D1", "2024-01-01 10:20:00"), (1, 7.0, "GB", "D2", "2024-01-01 10:20:00"),
+       (None, 3.0, "GB", "D2", "2024-01-01 10:25:00"), (2, 2.0, None, None, None), (3, 4.0, "US", "D1", None),
+       (4, 1.0, "CA", "D3", "2024-01-03 11:00:00"), (4, 1.0, "CA", "D3", "2024-01-03 11:00:00"), (None, 9.0, "CA", None, "2024-01-03 11:10:00")]
+
+
+def odd_rows(spark):
+    """One user: a repeated id, a repeated row, missing ids and times."""
+    rows = [(i, 7, a, c, d, t) for i, a, c, d, t in ODD] + [(9, None, 1.0, "US", "D1", "2024-01-01 00:00:00")]
+    return spark.createDataFrame(rows, "transaction_id long, user_id long, amount double, country string, device_id string, s string") \
+        .withColumn("ts", F.col("s").cast("timestamp_ntz")).drop("s")
+
+
+def test_hot_path_keeps_every_row_and_equals_the_plain_path(spark):
+    from riskspark.operators import fraud as FR
+
+    df = odd_rows(spark)
+    for f in (FR.rolling_amount, FR.velocity_spike, FR.geo_mismatch, FR.device_changes, FR.new_device, FR.fraud_context):
+        plain = f(df, hot_threshold=1_000_000)
+        cols = sorted(plain.columns)
+        want = sorted(map(str, plain.select(*cols).collect()))
+        for threshold in (0, 3):
+            got = sorted(map(str, f(df, hot_threshold=threshold).select(*cols).collect()))
+            assert got == want, (f.__name__, threshold)
+        assert len(want) == df.count()
+
+
+def test_checkpoint_folder_by_master():
+    from riskspark.session import is_local
+
+    assert [is_local(m) for m in ("local", "local[4]", "local[*]", "local[2,3]", "local-cluster[3,2,3000]", "yarn", None,
+                                  "k8s://https://kubernetes.default.svc.cluster.local", "spark://x.local:7077")] \
+        == [True] * 4 + [False] * 5
