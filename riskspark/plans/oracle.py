@@ -696,20 +696,18 @@ w AS (SELECT user_id, amount, time_bucket(INTERVAL 5 MINUTE, ts) - k * INTERVAL
 SELECT user_id, strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS txns, round(sum(amount), 2) AS amount
 FROM w GROUP BY 1, 2"""
 
-Q["stream_scored"] = with_(TXN) + """,
+Q["stream_daily_kpis_restart"] = Q["stream_daily_kpis"]
+
+Q["stream_scored"] = LOG + """,
 mr AS (SELECT merchant_id, CAST(sum(is_chargeback) AS DOUBLE) / count(*) AS merchant_chargeback_rate
-       FROM txn GROUP BY 1),
-s AS (SELECT t.transaction_id, m.merchant_chargeback_rate, 1.0 / (1.0 + exp(-(t.amount - 6000.0) / 2000.0)) AS proba,
-             coalesce(t.amount >= 10000 AND t.account_age_days < 30, false) AS h1
-      FROM txn t LEFT JOIN mr m USING (merchant_id))
+       FROM txn GROUP BY 1)
 SELECT transaction_id, round(merchant_chargeback_rate, 6) AS merchant_chargeback_rate, round(proba, 6) AS proba,
-       CASE WHEN h1 THEN 'R001_HIGH_AMOUNT_NEW_ACCOUNT' ELSE '' END AS rules_hit,
-       CASE WHEN proba >= 0.5 OR h1 THEN 'flag' ELSE 'allow' END AS decision
-FROM s"""
+       array_to_string(rules_hit, ',') AS rules_hit, decision
+FROM score_log LEFT JOIN mr USING (merchant_id)"""
 
 Q["stream_user_state"] = FRAUD + """
 SELECT transaction_id, user_id, round(rolling_amount_last_1h, 2) AS rolling_amount_last_1h, home_country,
-       geo_location_mismatch
+       geo_location_mismatch, velocity_spike, device_is_new
 FROM ctx"""
 
 Q["stream_dedupe"] = with_(TXN) + "\nSELECT transaction_id, user_id FROM txn"

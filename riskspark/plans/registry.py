@@ -73,6 +73,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_health": monitoring.score_health,
     "log_contract": monitoring.log_contract,
     "stream_daily_kpis": streams.stream_daily_kpis,
+    "stream_daily_kpis_restart": streams.stream_daily_kpis_restart,
     "stream_sliding_velocity": streams.stream_sliding_velocity,
     "stream_scored": streams.stream_scored,
     "stream_user_state": streams.stream_user_state,

@@ -12,26 +12,51 @@ from riskspark.sources import tables as T
 from riskspark.streaming import ops as S
 
 
+PARTS = 4  # files, and so micro-batches, of the events table
+SPAN = "60 days"  # watermark that no event of the shuffled files is later than
+
+
 def stream_daily_kpis(spark, sf):
+    """Four micro-batches with late rows; each day is rewritten only by the epochs that touch it."""
     out = S.work_dir(spark, "daily_kpis")
-    path = S.run_upsert_stream(S.daily_txn_kpis(S.txn_stream(spark, sf)), ["w"], out)
-    r = spark.read.parquet(path).select(F.date_format("w.start", "yyyy-MM-dd").alias("date"), "txns", "amount",
-                                        "chargebacks", "max_amount")
+    ev = S.event_files(spark, sf, PARTS, disorder=True)
+    path = S.run_upsert_stream(S.daily_txn_kpis(S.txn_stream(spark, ev), SPAN), ["w"], out, F.col("w.start"))
+    r = S.read_upserted(spark, path).select(F.date_format("w.start", "yyyy-MM-dd").alias("date"), "txns", "amount",
+                                            "chargebacks", "max_amount")
+    return final(r, money=["amount", "max_amount"])
+
+
+def stream_daily_kpis_restart(spark, sf):
+    """The same, stopped after half of the files and started again with the same folders."""
+    out = S.work_dir(spark, "daily_kpis_restart")
+    ev = S.event_files(spark, sf, PARTS)
+    files = sorted(S.parquet_files(spark, ev))
+    first = S.work_dir(spark, "event_files")
+    for k, f in enumerate(files):  # the source folder fills up between the runs
+        spark.read.schema(S.EVENTS_SCHEMA).parquet(f).write.mode("append").parquet(first)
+        if k % 2:
+            path = S.run_upsert_stream(S.daily_txn_kpis(S.txn_stream(spark, first), SPAN), ["w"], out, F.col("w.start"))
+    r = S.read_upserted(spark, path).select(F.date_format("w.start", "yyyy-MM-dd").alias("date"), "txns", "amount",
+                                            "chargebacks", "max_amount")
     return final(r, money=["amount", "max_amount"])
 
 
 def stream_sliding_velocity(spark, sf):
     out = S.work_dir(spark, "sliding_velocity")
-    path = S.run_upsert_stream(S.sliding_velocity(S.txn_stream(spark, sf)), ["user_id", "w"], out)
-    r = spark.read.parquet(path).select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                                        "txns", "amount")
+    ev = S.event_files(spark, sf, PARTS)
+    path = S.run_upsert_stream(S.sliding_velocity(S.txn_stream(spark, ev)), ["user_id", "w"], out, F.col("w.start"))
+    r = S.read_upserted(spark, path).select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                                            "txns", "amount")
     return final(r, money=["amount"])
 
 
 def stream_scored(spark, sf):
+    """O-94: streamed decisions with the whole rule context equal the batch decisions."""
     out = S.work_dir(spark, "scored")
+    ev = S.event_files(spark, sf, PARTS, disorder=True, closing=True)
     rates = FR.merchant_chargeback_rate(T.txn(spark, sf))
-    scored = S.enrich_and_score(S.txn_stream(spark, sf), rates).select(
+    ctx = S.stateful_user_features(S.txn_stream(spark, ev), SPAN)
+    scored = S.enrich_and_score(ctx, rates).select(
         "transaction_id", "merchant_chargeback_rate", "proba", F.array_join("rules_hit", ",").alias("rules_hit"),
         "decision")
     r = spark.read.parquet(S.run_append_stream(scored, out))
@@ -40,14 +65,20 @@ def stream_scored(spark, sf):
 
 def stream_user_state(spark, sf):
     out = S.work_dir(spark, "user_state")
-    feats = S.stateful_user_features(S.txn_stream(spark, sf))
+    ev = S.event_files(spark, sf, PARTS, disorder=True, closing=True)
+    feats = S.stateful_user_features(S.txn_stream(spark, ev), SPAN).select(
+        "transaction_id", "user_id", "rolling_amount_last_1h", "home_country", "geo_location_mismatch", "velocity_spike", "device_is_new")
     r = spark.read.parquet(S.run_append_stream(feats, out))
     return final(r, money=["rolling_amount_last_1h"])
 
 
 def stream_dedupe(spark, sf):
+    """O-96: every event arrives twice, in files that overlap; each is kept once."""
     out = S.work_dir(spark, "dedupe")
-    d = S.dedupe_late(S.txn_stream(spark, sf)).select("transaction_id", "user_id")
+    ev = S.event_files(spark, sf, PARTS, disorder=True)
+    for f in sorted(S.parquet_files(spark, ev)):
+        spark.read.schema(S.EVENTS_SCHEMA).parquet(f).where("event_id % 3 = 0").write.mode("append").parquet(ev)
+    d = S.dedupe_late(S.txn_stream(spark, ev), watermark=SPAN).select("transaction_id", "user_id")
     return spark.read.parquet(S.run_append_stream(d, out))
 
 
@@ -56,9 +87,10 @@ def stream_shadow_join(spark, sf):
     later) as two streams over the same transaction file."""
     out = S.work_dir(spark, "shadow_join")
     logistic = lambda mid, scale: F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("amount") - F.lit(mid)) / F.lit(scale)))
-    prod = S.txn_stream(spark, sf).select(
+    ev = S.event_files(spark, sf, PARTS)
+    prod = S.txn_stream(spark, ev).select(
         "transaction_id", "ts", F.when(logistic(6000.0, 2000.0) >= 0.5, "flag").otherwise("allow").alias("prod_decision"))
-    cand = S.txn_stream(spark, sf).select(
+    cand = S.txn_stream(spark, ev).select(
         F.col("transaction_id").alias("c_transaction_id"),
         (F.col("ts") + F.expr("INTERVAL 3 SECONDS")).alias("c_ts"),
         F.when(logistic(5000.0, 1500.0) >= 0.5, "flag").otherwise("allow").alias("cand_decision"))
@@ -79,6 +111,6 @@ def stream_log_kpis(spark, sf):
                "proba", "decision", "rules_hit", "latency_ms").write.mode("overwrite").json(src)
     out = S.work_dir(spark, "log_kpis")
     hist = S.daily_latency_histogram(S.decision_log_stream(spark, src))
-    path = S.run_upsert_stream(hist, ["w", "latency_ms"], out)
-    k = S.histogram_kpis(spark.read.parquet(path))
+    path = S.run_upsert_stream(hist, ["w", "latency_ms"], out, F.col("w.start"))
+    k = S.histogram_kpis(S.read_upserted(spark, path))
     return final(k, ratios=["flag_rate", "mean_proba", "p95_latency_ms"])

@@ -19,13 +19,15 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from riskspark.operators import fraud as FR
 from riskspark.operators import rules as RU
 from riskspark.operators.rollups import upsert
 from riskspark.session import ensure_checkpoint_dir
@@ -34,6 +36,10 @@ from riskspark.sources import tables as T
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
+ROLL_US = FR.HOUR_US
+SHORT_US = FR.VELOCITY_WINDOW_MINUTES * FR.MINUTE_US
+BASE_US = FR.VELOCITY_BASELINE_DAYS * FR.DAY_US
+
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run under the shared checkpoint directory."""
@@ -41,13 +47,15 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def txn_stream(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
-    """O-89: the events table as a file stream, projected to transactions."""
+def txn_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
+    """O-89: event files (a folder with events.parquet, or of :func:`event_files`) as a
+    stream, ``max_files`` to a micro-batch, projected to transactions."""
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    # the file source watches a directory: the driver folder, events file only
-    ev = r.option("pathGlobFilter", "events.parquet").parquet(sf_dir.rstrip("/"))
+    # the file source watches a directory: of a driver folder the events file only
+    path = path.rstrip("/")
+    ev = r.parquet(path) if "/event_files-" in path else r.option("pathGlobFilter", "events.parquet").parquet(path)
     return T.txn_from_events(ev).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -89,37 +97,99 @@ def dedupe_late(stream: DataFrame, key: str = "transaction_id", watermark: str =
 
 def enrich_and_score(stream: DataFrame, merchant_rates: DataFrame, rules=RU.BASELINE_RULES,
                      threshold: float = RU.DEFAULT_FRAUD_THRESHOLD) -> DataFrame:
-    """O-94: stream x static merchant table (one row per merchant), rules whose context is
-    available on the row, model score, decision. The merchant table is not force-
-    broadcast (its size grows with the merchant base); Spark broadcasts it only under the
-    runtime size threshold and otherwise plans a shuffled stream-static join."""
+    """O-94: stream x static merchant table (one row per merchant), rules, model score,
+    decision. The stream must carry the rule context (:func:`stateful_user_features`); a rule
+    whose fields are absent is false. The merchant table is not force-broadcast (its size
+    grows with the merchant base); Spark broadcasts it only under the runtime size
+    threshold and otherwise plans a shuffled stream-static join."""
     s = stream.join(merchant_rates.select("merchant_id", "merchant_chargeback_rate"), "merchant_id", "left")
     s = RU.evaluate_structured(s, rules)
     s = s.withColumn("proba", F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("amount") - F.lit(6000.0)) / F.lit(2000.0))))
     return RU.final_decision(s, threshold=threshold)
 
 
-def run_upsert_stream(agg: DataFrame, key_cols: list[str], out_dir: str) -> str:
-    """O-97: run an update-mode aggregate; every micro-batch upserts its changed rows
-    into a new version of the table (``v=<epoch>``); returns the final version path.
-
-    ``foreachBatch`` runs on the driver; the batch itself stays distributed. A retried
-    epoch rewrites the same version path, so a restart is idempotent."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def parquet_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files in a folder (their number is bounded by the writes that made them)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
+    return [f.getPath().toString() for f in found if f.getPath().getName().endswith(".parquet")]
+
+
+def event_files(spark: SparkSession, sf_dir: str, parts: int = 4, disorder: bool = False, closing: bool = False) -> str:
+    """The events table as ``parts`` files in time order, for streams of several micro-batches.
+
+    ``disorder`` moves every seventh row to the next file, so events arrive late; ``closing``
+    adds a last file with one event of user -1 far in the future, which moves the watermark
+    past all others (and itself waits for later events for ever)."""
+    out = work_dir(spark, "event_files")
+    ev = T.read_table(spark, sf_dir, "events").select(*[c.split()[0] for c in EVENTS_SCHEMA.split(", ")])
+    b = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (b["lo"], b["hi"]))
+    span = F.unix_micros(hi.cast("timestamp")) - F.unix_micros(lo.cast("timestamp")) + 1
+    part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(lo.cast("timestamp"))) * parts / span)
+    if disorder:
+        part = F.least(F.lit(parts - 1), part + (F.col("event_id") % 7 == 0).cast("long"))
+    ev = ev.withColumn("_part", F.coalesce(part, F.lit(0)).cast("int"))
+    for k in range(parts):  # one write each: the file source takes files by modification time
+        ev.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(out)
+    if closing:
+        last = spark.range(1).select(
+            F.lit(None).cast("bigint").alias("event_id"), (hi + F.expr("INTERVAL 400 DAYS")).alias("ts"),
+            F.lit(-1).cast("bigint").alias("user_id"), F.lit(None).cast("string").alias("event_type"),
+            F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("props"))
+        last.coalesce(1).write.mode("append").parquet(out)
+    return out
+
+
+def run_upsert_stream(agg: DataFrame, key_cols: list[str], out_dir: str, day: Column) -> str:
+    """O-97: run an update-mode aggregate; every micro-batch upserts its changed rows into
+    the table below ``out_dir``; returns the table's path (read it with :func:`read_upserted`).
+
+    The table is partitioned by ``day`` (a date of the row, e.g. of its window), each epoch
+    writes only the days it touches, as version ``_v=<epoch>``; the highest version of a day
+    is the day. Versions are found in the table itself: with the same ``out_dir`` a restarted
+    query goes on from what is there, and a retried epoch reads only versions below its own
+    and overwrites its own."""
     spark = agg.sparkSession
-    pointer = {"path": None}
+    table = os.path.join(out_dir, "table")
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        target = os.path.join(out_dir, "table", f"v={epoch:08d}")
-        merged = batch if pointer["path"] is None else upsert(spark.read.parquet(pointer["path"]), batch, key_cols)
-        merged.write.mode("overwrite").parquet(target)
-        pointer["path"] = target
+        batch = batch.withColumn("_day", F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit("none"))).persist()
+        try:
+            days = [r["_day"] for r in batch.select("_day").distinct().collect()]  # the days of one micro-batch
+            if not days:
+                return
+            merged = batch
+            if path_exists(spark, table):
+                old = _latest(spark, table, F.col("_v") < epoch).where(F.col("_day").isin(days)).drop("_v")
+                merged = upsert(old, batch, [*key_cols, "_day"])
+            merged.repartition("_day").write.mode("overwrite").partitionBy("_day").parquet(os.path.join(table, f"_v={epoch}"))
+        finally:
+            batch.unpersist()
 
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", os.path.join(out_dir, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
-    if pointer["path"] is None:
+    if not path_exists(spark, table):
         raise RuntimeError("stream produced no batches")
-    return pointer["path"]
+    return table
+
+
+def _latest(spark: SparkSession, table: str, which: Column) -> DataFrame:
+    rows = spark.read.option("basePath", table).parquet(os.path.join(table, "_v=*")).where(which) \
+        .withColumn("_v", F.col("_v").cast("bigint")).withColumn("_day", F.col("_day").cast("string"))
+    last = rows.groupBy(F.col("_day").alias("_d")).agg(F.max("_v").alias("_m"))
+    return rows.join(last, (F.col("_day") == F.col("_d")) & (F.col("_v") == F.col("_m"))).drop("_d", "_m")
+
+
+def read_upserted(spark: SparkSession, table: str) -> DataFrame:
+    """The current rows of a table written by :func:`run_upsert_stream`."""
+    return _latest(spark, table, F.lit(True)).drop("_v", "_day")
 
 
 def run_append_stream(df: DataFrame, out_dir: str) -> str:
@@ -131,65 +201,116 @@ def run_append_stream(df: DataFrame, out_dir: str) -> str:
     return path
 
 
-# ---- O-90 / O-91: stateful per-user features ------------------------------------------------
-
-STATE_SCHEMA = ("buf_ts array<bigint>, buf_cents array<bigint>, c_keys array<string>, c_cnt array<bigint>, "
-                "c_fts array<bigint>, c_fid array<bigint>")
-OUT_SCHEMA = ("transaction_id bigint, user_id bigint, rolling_amount_last_1h double, home_country string, "
-              "geo_location_mismatch boolean")
-NULL_COUNTRY = "\u0000"
-
-
-def _user_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, window_us: int) -> Iterator[pd.DataFrame]:
-    df = pd.concat(list(pdfs), ignore_index=True)  # one user's rows of one micro-batch
-    df = df.sort_values(["ts_us", "transaction_id"], kind="mergesort").reset_index(drop=True)
-    if state.exists:
-        bts, bc, keys, cnt, fts, fid = state.get
-        bts, bc = list(bts), list(bc)
-        counts = {k: [c, t, i] for k, c, t, i in zip(keys, cnt, fts, fid)}
-    else:
-        bts, bc, counts = [], [], {}
-    ts = df["ts_us"].to_numpy(dtype=np.int64)
-    cents = np.rint(df["amount"].to_numpy(dtype=np.float64) * 100).astype(np.int64)
-    all_ts = np.concatenate([np.asarray(bts, dtype=np.int64), ts])
-    all_c = np.concatenate([np.asarray(bc, dtype=np.int64), cents])
-    order = np.argsort(all_ts, kind="mergesort")
-    all_ts, all_c = all_ts[order], all_c[order]
-    csum = np.concatenate([[0], np.cumsum(all_c)])
-    hi = np.searchsorted(all_ts, ts, side="right")            # peers included
-    lo = np.searchsorted(all_ts, ts - window_us, side="right")  # half-open (t - w, t]
-    rolling = (csum[hi] - csum[lo]) / 100.0
-    homes, mism = [], []
-    for c, t, i in zip(df["country"], ts, df["transaction_id"]):
-        k = NULL_COUNTRY if c is None or (isinstance(c, float) and np.isnan(c)) else str(c)
-        if counts:
-            best = max(counts.items(), key=lambda kv: (kv[1][0], -kv[1][1], -kv[1][2]))[0]
-            home = None if best == NULL_COUNTRY else best
-            homes.append(home)
-            mism.append(bool(home is None or k == NULL_COUNTRY or home != k))
-        else:
-            homes.append(None)
-            mism.append(False)
-        if k in counts:
-            counts[k][0] += 1
-        else:
-            counts[k] = [1, int(t), int(i)]
-    keep = all_ts > (ts.max() - window_us)
-    state.update((all_ts[keep].tolist(), all_c[keep].tolist(), list(counts.keys()),
-                  [v[0] for v in counts.values()], [v[1] for v in counts.values()], [v[2] for v in counts.values()]))
-    yield pd.DataFrame({"transaction_id": df["transaction_id"].astype("int64"), "user_id": df["user_id"].astype("int64"),
-                        "rolling_amount_last_1h": rolling, "home_country": homes, "geo_location_mismatch": mism})
-
-
-def stateful_user_features(stream: DataFrame, window_us: int = 3_600_000_000) -> DataFrame:
-    """O-90 + O-91 with ``applyInPandasWithState`` keyed by user."""
-    s = stream.select("transaction_id", "user_id", F.unix_micros("ts").alias("ts_us"), "amount", "country")
+# ---- O-90 / O-91 and the rule context: stateful per-user features ----------------------------
+
+STATE_SCHEMA = ("past_ts array<bigint>, past_cents array<bigint>, past_known array<boolean>, countries array<string>, "
+                "counts array<bigint>, devices array<string>, wait_ts array<bigint>, wait_id array<bigint>, "
+                "wait_cents array<bigint>, wait_known array<boolean>, wait_country array<string>, wait_device array<string>, "
+                "wait_row array<string>")
+OUT_SCHEMA = ("row string, rolling_amount_last_1h double, velocity_spike boolean, home_country string, "
+              "geo_location_mismatch boolean, device_is_new boolean")
+NULL_VALUE = "\u0000"
+
+
+def _window_sums(ts: np.ndarray, cents: np.ndarray, known: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and count of known amounts with lo <= ts < hi, for sorted ts."""
+    s, n = np.concatenate([[0], np.cumsum(cents * known)]), np.concatenate([[0], np.cumsum(known)])
+    a, b = np.searchsorted(ts, lo, "left"), np.searchsorted(ts, hi, "left")
+    return s[b] - s[a], n[b] - n[a]
+
+
+def _prior_modes(values: list[str], names: list[str], counts: list[int]) -> tuple[list[str | None], list[str], list[int]]:
+    """Most frequent earlier value before each one (ties to the first seen), and the table of values after them all."""
+    names, index = list(names), {v: k for k, v in enumerate(names)}
+    for v in values:
+        if v not in index:
+            index[v] = len(names)
+            names.append(v)
+    start = np.array([*counts, *[0] * (len(names) - len(counts))], np.int64)
+    at = np.array([index[v] for v in values], np.int64)
+    seen = np.zeros((len(values) + 1, len(names)), np.int64)
+    seen[0] = start
+    seen[np.arange(1, len(values) + 1), at] += 1
+    seen = np.cumsum(seen, axis=0)
+    best = np.argmax(seen[:-1], axis=1)  # the first of equal counts, and names are in order of first sight
+    return [names[b] if seen[k, b] else None for k, b in enumerate(best)], names, seen[-1].tolist()
+
+
+#: Rows of a user that one vectorised step works on.
+STEP_ROWS = 20_000
+
+
+def _user_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, idle_us: int | None) -> Iterator[pd.DataFrame]:
+    """``row`` is the whole input row. Rows wait in the state until the watermark has passed them, then leave in event-time order."""
+    cols = [list(x) for x in state.get] if state.exists else [[] for _ in range(13)]
+    past_ts, past_cents, past_known, countries, counts, devices = cols[:6]
+    wait = [np.array(c, dtype=t) for c, t in zip(cols[6:], (np.int64, np.int64, np.int64, bool, object, object, object))]
+    for df in pdfs:
+        known = df["amount"].notna().to_numpy()
+        text = lambda c: np.array([NULL_VALUE if v is None or v != v else str(v) for v in c], dtype=object)
+        new = (df["ts_us"].to_numpy(np.int64), df["transaction_id"].to_numpy(np.int64),
+               np.rint(df["amount"].fillna(0).to_numpy(np.float64) * 100).astype(np.int64), known, text(df["country"]), text(df["device_id"]),
+               df["row"].to_numpy(object))
+        wait = [np.concatenate([w, n]) for w, n in zip(wait, new)]
+    mark = state.getCurrentWatermarkMs() * 1000
+    order = np.lexsort((wait[1], wait[0]))
+    wait = [w[order] for w in wait]
+    ready = int(np.searchsorted(wait[0], mark, "left"))  # a row at the watermark itself may still get peers
+    old = [np.array(past_ts, np.int64), np.array(past_cents, np.int64), np.array(past_known, bool)]
+    ts, cents, known = (np.concatenate([o, w[:ready]]) for o, w in zip(old, (wait[0], wait[2], wait[3])))
+    known_devices = set(devices)
+    for a in range(0, ready, STEP_ROWS):
+        b = min(a + STEP_ROWS, ready)
+        t = wait[0][a:b]
+        roll, n_roll = _window_sums(ts, cents, known, t - ROLL_US + 1, t + 1)
+        short, _ = _window_sums(ts, cents, known, t - SHORT_US + 1, t + 1)
+        base, n_base = _window_sums(ts, cents, known, t - BASE_US, t - SHORT_US + 1)
+        m = Fraction(str(FR.VELOCITY_MULTIPLIER))
+        home, countries, counts = _prior_modes(wait[4][a:b].tolist(), countries, counts)
+        fresh = []
+        for d in wait[5][a:b]:
+            fresh.append(d not in known_devices)
+            known_devices.add(d)
+        yield pd.DataFrame({
+            "row": wait[6][a:b],
+            "rolling_amount_last_1h": np.where(n_roll > 0, roll / 100.0, np.nan),
+            "velocity_spike": (n_base > 0) & (short * n_base * m.denominator > m.numerator * base),
+            "home_country": [None if h in (None, NULL_VALUE) else h for h in home],
+            "geo_location_mismatch": [h is not None and (h == NULL_VALUE or c == NULL_VALUE or h != c) for h, c in zip(home, wait[4][a:b])],
+            "device_is_new": fresh})
+    rest = [w[ready:].tolist() for w in wait]
+    last = int(ts[-1]) if len(ts) else mark
+    if idle_us is not None and not rest[0] and mark >= last + idle_us:
+        state.remove()
+        return
+    keep = ts >= mark - BASE_US
+    state.update((ts[keep].tolist(), cents[keep].tolist(), known[keep].tolist(), countries, counts, sorted(known_devices), *rest))
+    if rest[0]:
+        state.setTimeoutTimestamp(max(rest[0][0] // 1000 + 1, mark // 1000 + 1))
+    elif idle_us is not None:
+        state.setTimeoutTimestamp(max((last + idle_us) // 1000 + 1, mark // 1000 + 1))
+
+
+def stateful_user_features(stream: DataFrame, watermark: str = "1 hour", idle_us: int | None = None) -> DataFrame:
+    """O-90 / O-91 with ``applyInPandasWithState`` keyed by user, and the rest of the rule context:
+    rolling hour amount, velocity spike, home country and mismatch, new device.
+
+    A row is scored when the watermark has passed its time, so rows that arrive out of order
+    within the watermark get the values of the batch operators; later rows are dropped, as
+    are rows without a time or user. State per user: amounts of the baseline period, counts per
+    country, devices seen, and waiting rows; with ``idle_us`` the state of a user goes when
+    that much event time has passed since the last row (its history is then forgotten). Rows
+    after the last watermark wait for later events. All input columns are passed on."""
+    cols = stream.columns
+    s = stream.where(F.col("ts").isNotNull() & F.col("user_id").isNotNull()).withWatermark("ts", watermark) \
+        .select("transaction_id", "user_id", "ts", F.unix_micros("ts").alias("ts_us"), "amount", "country", "device_id",
+                F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("row"))
 
     def fn(key, pdfs, state):
-        return _user_features(key, pdfs, state, window_us)
+        return _user_features(key, pdfs, state, idle_us)
 
-    return s.groupBy("user_id").applyInPandasWithState(fn, OUT_SCHEMA, STATE_SCHEMA, "append",
-                                                       GroupStateTimeout.NoTimeout)
+    out = s.groupBy("user_id").applyInPandasWithState(fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    return out.withColumn("row", F.from_json("row", stream.schema)).select("row.*", *[c.split()[0] for c in OUT_SCHEMA.split(", ")[1:]])
 
 
 def shadow_stream_join(prod: DataFrame, cand: DataFrame, key: str = "transaction_id",
