@@ -4,13 +4,12 @@
 continuous score over a very large table that buffer is the whole column in one task.
 Here the same numbers are computed from distributed prefix counts:
 
-1. distinct values with their counts (map-side combined), per group;
-2. values range-bucketed by approximate quantiles of the group (cuts only shape the
-   partitions), bucket totals -> offsets by a window over the few bucket rows;
-3. a window inside each (group, bucket) gives each distinct value its rank interval;
-4. the 2 ranks each fraction needs (floor/ceil of (n-1)p) form a small target table
-   (groups x fractions), broadcast and matched to the rank intervals;
-5. value = (hi - pos) * v_lo + (pos - lo) * v_hi, the interpolation ``percentile`` uses.
+1. distinct values with their counts (map-side combined), per group, are range-partitioned
+   by value and written once with their partition number;
+2. totals per (group, partition), a table of groups x partitions rows, give each partition's
+   rank interval, and so the few partitions that hold a rank that is asked for;
+3. a window inside those partitions only finds the values at the ranks floor/ceil of (n-1)p;
+4. value = (hi - pos) * v_lo + (pos - lo) * v_hi, the interpolation ``percentile`` uses.
 
 Results equal ``percentile`` exactly (tests compare them).
 """
@@ -22,13 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 64
+from riskspark.session import stage_table
 
 
-def _join_ns(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Inner join on ``keys`` treating NULL keys as equal (a NULL group is a group)."""
-    if not keys:
-        return left.crossJoin(right)
     r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond = None
     for k in keys:
@@ -42,54 +39,37 @@ def exact_quantiles(df: DataFrame, value: str, fractions: Sequence[float], by: S
     """One row per group: ``by`` columns + ``out`` = array of quantiles (NULL if the group
     has no non-NULL values), in the order of ``fractions``.
 
-    ``by`` is a low-cardinality grouping (features, a handful of segments): the per-group
-    cut, bucket-offset and target tables (groups x buckets rows) are broadcast."""
+    ``by`` is a low-cardinality grouping (features, a handful of segments). The values with
+    their counts and the result are written tables; ``buckets`` is the number of partitions
+    (the session's shuffle partitions by default)."""
     by = list(by)
-    nb = buckets or max(BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "16")))
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "16"))
     v = F.col(value).cast("double")
     d = (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*by, v.alias("_v"))
            .agg(F.count(F.lit(1)).alias("_c")))
-    gkey = by if by else []
-    # approximate cuts per group -> bucket of each distinct value
-    fr = [i / nb for i in range(1, nb)]
-    cuts = d.groupBy(*gkey).agg(F.array_distinct(F.percentile_approx("_v", fr, 10000)).alias("_cuts"),
-                                F.sum("_c").alias("_n"))
-    d = _join_ns(d, F.broadcast(cuts.drop("_n")), gkey)  # one row per group
-    d = d.withColumn("_bk", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_v")))).drop("_cuts")
-    tot = d.groupBy(*gkey, "_bk").agg(F.sum("_c").alias("_bc"))
-    wb = Window.partitionBy(*gkey).orderBy("_bk")
-    tot = tot.select(*gkey, "_bk", F.coalesce(F.sum("_bc").over(wb.rowsBetween(Window.unboundedPreceding, -1)),
-                                               F.lit(0)).alias("_off"))
-    d = _join_ns(d, F.broadcast(tot), [*gkey, "_bk"])  # rows: groups x buckets
-    wi = Window.partitionBy(*gkey, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_hi_rank", F.col("_off") + F.sum("_c").over(wi))  # exclusive upper rank
-    d = d.withColumn("_lo_rank", F.col("_hi_rank") - F.col("_c"))
-    # targets: for every group and fraction the floor / ceil ranks
-    sizes = cuts.select(*gkey, "_n")  # group sizes came with the cuts
-    fr_arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(fractions)])
-    tg = sizes.select(*gkey, "_n", F.explode(fr_arr).alias("_f")).select(
-        *gkey, "_n", F.col("_f.i").alias("_i"), F.col("_f.p").alias("_p"))
-    tg = tg.withColumn("_pos", (F.col("_n") - 1).cast("double") * F.col("_p")) \
-           .withColumn("_lo", F.floor("_pos").cast("bigint")).withColumn("_hi", F.ceil("_pos").cast("bigint"))
-    tgt = tg.select(*gkey, "_i", "_pos", "_lo", "_hi",
-                    F.explode(F.array(F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("rank")),
-                                      F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("rank")))).alias("_t"))
-    tgt = tgt.select(*gkey, "_i", "_pos", "_lo", "_hi", F.col("_t.side").alias("_side"), F.col("_t.rank").alias("_rank"))
-    t = F.broadcast(tgt.withColumnsRenamed({g: f"_g_{g}" for g in gkey}))  # groups x fractions x 2 rows
-    cond = (d["_lo_rank"] <= t["_rank"]) & (t["_rank"] < d["_hi_rank"])
-    for g in gkey:
-        cond = cond & d[g].eqNullSafe(t[f"_g_{g}"])
-    m = d.join(t, cond, "inner")
-    m = m.groupBy(*gkey, "_i", "_pos", "_lo", "_hi").agg(
-        F.max(F.when(F.col("_side") == "lo", F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_side") == "hi", F.col("_v"))).alias("_vhi"))
-    q = F.when((F.col("_hi") == F.col("_lo")) | (F.col("_vhi") == F.col("_vlo")), F.col("_vlo")).otherwise(
-        (F.col("_hi").cast("double") - F.col("_pos")) * F.col("_vlo")
-        + (F.col("_pos") - F.col("_lo").cast("double")) * F.col("_vhi"))
-    m = m.select(*gkey, "_i", q.alias("_q"))
-    res = m.groupBy(*gkey).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))),
-                                           lambda s: s["_q"]).alias(out))
+    t = stage_table(d.repartitionByRange(n, *by, "_v").withColumn("_bk", F.spark_partition_id()))
+    tot = t.groupBy(*by, "_bk").agg(F.sum("_c").alias("_bc"))
+    group = Window.partitionBy(*by)  # partition numbers of one group: at most n rows
+    tot = tot.select(*by, "_bk", "_bc", (F.sum("_bc").over(group.orderBy("_bk")) - F.col("_bc")).alias("_off"),
+                     F.sum("_bc").over(group).alias("_n"))
+    # the ranks floor and ceil of each fraction, in the partition that holds them
+    pos = lambda p: (F.col("_n") - 1).cast("double") * F.lit(float(p))
+    asked = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), pos(p).alias("pos"), rank(pos(p)).cast("bigint").alias("rank"))
+                      for i, p in enumerate(fractions) for side, rank in (("lo", F.floor), ("hi", F.ceil))])
+    here = F.filter(asked, lambda a: (a["rank"] >= F.col("_off")) & (a["rank"] < F.col("_off") + F.col("_bc")))
+    held = tot.select(*by, "_bk", "_off", here.alias("_asked")).where(F.size("_asked") > 0)
+    vals = _null_safe(t, held, [*by, "_bk"])
+    upto = F.sum("_c").over(Window.partitionBy(*by, "_bk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    vals = vals.withColumn("_hi_rank", F.col("_off") + upto)
+    hit = F.filter("_asked", lambda a: (a["rank"] < F.col("_hi_rank")) & (a["rank"] >= F.col("_hi_rank") - F.col("_c")))
+    m = vals.select(*by, "_v", F.explode(hit).alias("_a")).groupBy(*by, F.col("_a.i").alias("_i")).agg(
+        F.max(F.when(F.col("_a.side") == "lo", F.col("_v"))).alias("_vlo"), F.max(F.when(F.col("_a.side") == "hi", F.col("_v"))).alias("_vhi"),
+        F.max("_a.pos").alias("_pos"))
+    lo, hi = F.floor("_pos").cast("bigint"), F.ceil("_pos").cast("bigint")
+    q = F.when((hi == lo) | (F.col("_vhi") == F.col("_vlo")), F.col("_vlo")).otherwise(
+        (hi.cast("double") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - lo.cast("double")) * F.col("_vhi"))
+    m = m.select(*by, "_i", q.alias("_q"))
+    res = m.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_q"))),
+                                         lambda s: s["_q"]).alias(out))
     res = res.withColumn(out, F.when(F.size(F.col(out)) > 0, F.col(out)))
-    if gkey:
-        return res
-    return res.select(out)  # a global aggregate: always one row (NULL when no values)
+    return stage_table(res if by else res.select(out))  # without groups always one row (NULL when no values)

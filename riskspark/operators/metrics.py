@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskspark.session import stage_table
+
 from riskspark.operators.rules import report_flagged
 
 # ---- fixed values --------------------------------------------------------------------
@@ -153,22 +155,18 @@ def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
 
 def score_prefix(counts: DataFrame, descending: bool = True, buckets: int | None = None) -> DataFrame:
     """Adds inclusive running ``cpos``/``cneg`` over distinct scores (descending by
-    default) and the totals ``P``/``N``, without a single-partition window. The bucket
-    count follows ``spark.sql.shuffle.partitions`` so buckets stay task-sized."""
-    buckets = buckets or max(16, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions", "16")))
-    order_val = -F.col("score") if descending else F.col("score")
-    d = counts.withColumn("_o", order_val)
-    fr = [i / buckets for i in range(1, buckets)]
-    cuts = d.agg(F.array_distinct(F.percentile_approx("_o", fr, 10000)).alias("_cuts"))
-    d = d.crossJoin(F.broadcast(cuts)).withColumn(
-        "_bk", F.size(F.filter(F.col("_cuts"), lambda c: c < F.col("_o")))).drop("_cuts")
+    default) and the totals ``P``/``N``, without a single-partition window over scores: they
+    are range-partitioned (``buckets``, by default the session's shuffle partitions), written
+    once with the partition number, and prefixed by the totals of the partitions before."""
+    n = buckets or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions", "16"))
+    d = counts.withColumn("_o", -F.col("score") if descending else F.col("score"))
+    d = stage_table(d.repartitionByRange(n, "_o").withColumn("_bk", F.spark_partition_id()))
     tot = d.groupBy("_bk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
-    wb = Window.partitionBy().orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    wall = Window.partitionBy()
-    tot = tot.select("_bk", F.coalesce(F.sum("_bp").over(wb), F.lit(0)).alias("_op"),
-                     F.coalesce(F.sum("_bn").over(wb), F.lit(0)).alias("_on"),
-                     F.sum("_bp").over(wall).alias("P"), F.sum("_bn").over(wall).alias("N"))
-    d = d.join(F.broadcast(tot), "_bk")
+    before, whole = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()  # n rows
+    tot = tot.select(F.col("_bk").alias("_b"), F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_op"),
+                     F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"),
+                     F.sum("_bp").over(whole).alias("P"), F.sum("_bn").over(whole).alias("N"))
+    d = d.join(F.broadcast(tot), F.col("_bk") == F.col("_b"))  # one row for each partition
     wi = Window.partitionBy("_bk").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
     return d.select("score", "pos", "neg", "P", "N",
                     (F.col("_op") + F.sum("pos").over(wi)).alias("cpos"),

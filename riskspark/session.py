@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query in this package relies on: UTC wall clock (timestamps in the
 # inputs are naive), ANSI arithmetic (so helpers use try_* forms explicitly), and AQE
@@ -76,3 +77,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="riskspark-ckpt-", dir=os.environ.get("RISKSPARK_SCRATCH", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def stage_table(df: DataFrame) -> DataFrame:
+    """Write ``df`` once below the checkpoint folder and read it back: several passes over it
+    (or a loss of executors) do not compute it again, and what depends on the partitioning
+    of the moment, such as partition numbers, stays fixed."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
