@@ -52,6 +52,11 @@ def _valid(e: Mapping[str, Any]) -> Column:
     raise ValueError(e["type"])
 
 
+def expect_some_value(column: str) -> dict:
+    """Not NULL in every row (an empty table passes)."""
+    return {"type": "some_value", "column": column}
+
+
 def run_expectations(df: DataFrame, suite: Sequence[Mapping[str, Any]], suite_name: str = "suite") -> DataFrame:
     """O-84: (suite, idx, expectation, column, success, observed, element_count).
 
@@ -60,9 +65,9 @@ def run_expectations(df: DataFrame, suite: Sequence[Mapping[str, Any]], suite_na
     cols = set(df.columns)
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, e in enumerate(suite):
-        if e["type"] in ("between", "in_set", "not_null") and e["column"] in cols:
+        if e["type"] in ("between", "in_set", "not_null", "some_value") and e["column"] in cols:
             aggs.append(F.count(F.col(e["column"])).alias(f"_nn{i}"))
-            if e["type"] != "not_null":
+            if e["type"] not in ("not_null", "some_value"):
                 aggs.append(F.count_if(F.col(e["column"]).isNotNull() & _valid(e)).alias(f"_ok{i}"))
     row = df.agg(*aggs)
     recs = []
@@ -78,6 +83,9 @@ def run_expectations(df: DataFrame, suite: Sequence[Mapping[str, Any]], suite_na
         elif e["type"] == "not_null":
             observed = F.try_divide(F.col(f"_nn{i}").cast("double"), F.nullif(n.cast("double"), F.lit(0.0)))
             success = F.coalesce(observed >= F.lit(float(e.get("mostly", 1.0))), F.lit(True))
+        elif e["type"] == "some_value":
+            observed = F.col(f"_nn{i}").cast("double")
+            success = (observed > 0) | (n == 0)
         else:
             observed = F.try_divide(F.col(f"_ok{i}").cast("double"), F.nullif(F.col(f"_nn{i}").cast("double"), F.lit(0.0)))
             success = F.coalesce(observed >= F.lit(float(e.get("mostly", 1.0))), F.lit(True))
@@ -99,16 +107,18 @@ def fraud_log_suite() -> list[dict]:
             expect_row_count_above(0)]
 
 
-def pd_scores_suite(id_col: str = "borrower_id", pd_col: str = "PD") -> list[dict]:
-    """O-81 + pd_scores expectations: id and PD exist, PD in [0,1], rows > 0."""
+def pd_scores_suite(id_col: str = "borrower_id", pd_col: str = "PD", date_col: str | None = None) -> list[dict]:
+    """O-81 + pd_scores expectations: id and PD exist and are never NULL, PD in [0,1], rows > 0;
+    the date column too, where the table carries one (else its date is in the path)."""
     return [expect_exists(id_col), expect_exists(pd_col), expect_not_null(id_col),
-            expect_between(pd_col, 0, 1), expect_row_count_above(0)]
+            expect_between(pd_col, 0, 1), expect_row_count_above(0), expect_not_null(pd_col),
+            *([expect_exists(date_col)] if date_col else [])]
 
 
 def rollup_suite() -> list[dict]:
-    """O-82: required roll-up columns, avg_PD in [0,1]."""
+    """O-82: required roll-up columns, avg_PD in [0,1] and never NULL."""
     req = ["grade", "state", "vintage_year", "borrowers", "total_EAD", "avg_PD", "total_EL"]
-    return [*[expect_exists(c) for c in req], expect_between("avg_PD", 0, 1)]
+    return [*[expect_exists(c) for c in req], expect_between("avg_PD", 0, 1), expect_not_null("avg_PD")]
 
 
 def credit_feature_health() -> list[dict]:
@@ -118,15 +128,30 @@ def credit_feature_health() -> list[dict]:
 
 
 def fraud_feature_health() -> list[dict]:
-    """O-85: counts/amounts >= 0, chargeback rate in [0,1], rolling amount >= 0."""
+    """O-85: user-day counts and amounts >= 0."""
     return [expect_between("user_txn_count_day", 0, None), expect_between("user_txn_amount_day", 0, None),
             expect_between("device_change_count_day", 0, None)]
 
 
+def merchant_rate_health() -> list[dict]:
+    """O-85: chargeback rates in [0,1]."""
+    return [expect_between("merchant_chargeback_rate", 0, 1)]
+
+
+def rolling_amount_health() -> list[dict]:
+    """O-85: rolling amounts >= 0."""
+    return [expect_between("rolling_amount_last_1h", 0, None)]
+
+
 def score_health() -> list[dict]:
-    """O-86: rows > 0, EL >= 0, required columns; O-88 loan_amount > 0."""
+    """O-86: rows > 0, EL >= 0, required columns, PD in [0,1]; O-88 loan_amount > 0."""
     return [expect_row_count_above(0), expect_between("EL", 0, None), expect_exists("PD"), expect_exists("EAD"),
-            expect_between("EAD", 0, None, strict_min=True)]
+            expect_between("EAD", 0, None, strict_min=True), expect_exists("LGD"), expect_between("PD", 0, 1)]
+
+
+def rollup_health(segment_keys: Sequence[str] = ("grade", "state", "vintage_year")) -> list[dict]:
+    """O-86: total_EL >= 0, and no segment key is NULL in every row."""
+    return [expect_between("total_EL", 0, None), *[expect_some_value(k) for k in segment_keys]]
 
 
 def log_contract(json_lines: DataFrame, required: Sequence[str] = ("ts", "decision", "proba", "latency_ms"),

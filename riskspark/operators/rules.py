@@ -109,20 +109,25 @@ def condition_sql(cond: str, params: Mapping[str, Any] | None = None) -> str:
 def compile_structured(rules: Mapping[str, Any], df: DataFrame | None = None) -> list[dict[str, Any]]:
     """Enabled structured rules -> [{id, cond: Column, action, score_delta, severity, reasons}].
 
-    A rule referring to a ``tx.*`` / ``ctx.*`` field the frame lacks evaluates to false
-    (checked by name against the schema, no analysis per rule)."""
+    A condition on a ``tx.*`` / ``ctx.*`` field that the frame lacks is false (names compare
+    as Spark compares them, without case); the other conditions of an ``any`` still count."""
     defaults = dict(rules.get("defaults") or {})
-    cols = set(df.columns) if df is not None else None
+    cols = {c.lower() for c in df.columns} if df is not None else None
+
+    def compiled(c: Any, params: Mapping[str, Any]) -> Column:
+        text = condition_sql(c, params)
+        if cols is not None and any(n.lower() not in cols for n in re.findall(r"`([^`]+)`", text)):
+            return F.lit(False)
+        return F.expr(text)
+
     out = []
     for r in rules.get("rules") or []:
         if not r.get("enabled", True):
             continue
         params = r.get("params") or {}
         when = r.get("when") or {}
-        texts = [condition_sql(c, params) for c in (when.get("all") or []) + (when.get("any") or [])]
-        missing = cols is not None and any(n not in cols for t in texts for n in re.findall(r"`([^`]+)`", t))
-        parts_all = [F.expr(condition_sql(c, params)) for c in when.get("all") or []]
-        parts_any = [F.expr(condition_sql(c, params)) for c in when.get("any") or []]
+        parts_all = [compiled(c, params) for c in when.get("all") or []]
+        parts_any = [compiled(c, params) for c in when.get("any") or []]
         cond = F.lit(True)
         for p in parts_all:
             cond = cond & p
@@ -133,8 +138,6 @@ def compile_structured(rules: Mapping[str, Any], df: DataFrame | None = None) ->
             cond = cond & anyc
         if not parts_all and not parts_any:
             cond = F.lit(False)
-        if missing:
-            cond = F.lit(False)
         eff = {**defaults, **(r.get("effect") or {})}
         out.append({"id": str(r["id"]), "cond": F.coalesce(cond, F.lit(False)),
                     "action": eff.get("action", "review"), "score_delta": float(eff.get("score_delta", 0.0)),
@@ -164,39 +167,46 @@ def evaluate_structured(df: DataFrame, rules: Mapping[str, Any] = BASELINE_RULES
                            "severity": F.when(rank.isNotNull(), sev), "reasons": reasons})
 
 
-_SQL_WORDS = {"and", "or", "not", "in", "is", "null", "true", "false", "between", "like", "rlike", "case", "when",
-              "then", "else", "end", "as", "cast", "double", "int", "bigint", "string", "boolean", "date", "timestamp"}
+def resolved(df: DataFrame, text: str) -> Column | None:
+    """A boolean condition as Spark itself analyses it over the frame's columns, or None when it
+    cannot (syntax, unknown name or function, types). No job runs: analysis is on an empty
+    frame of the same schema. Run-time errors (a bad cast, a division by zero) give NULL, since
+    the condition is evaluated without ANSI errors where Spark has a ``try`` form of it."""
+    empty = df.sparkSession.createDataFrame([], df.schema)
+    text_cols = {f.name.lower() for f in df.schema.fields if f.dataType.typeName() == "string"}
+    for t in (_try_forms(text, text_cols), text):
+        try:
+            probe = empty.select(F.expr(t).alias("c"))
+            kind = probe.schema["c"].dataType.typeName()
+            cond = F.expr(t)
+            return cond if kind == "boolean" else cond.try_cast("boolean") if kind in _TO_BOOLEAN else None
+        except Exception:  # noqa: BLE001 - whatever analysis finds wrong, the rule gives 0
+            continue
+    return None
 
 
-def _identifiers(text: str) -> list[str]:
-    """Column-like names in a boolean SQL condition: words outside quotes that are not
-    keywords, numbers or function names (followed by '(')."""
-    bare = re.sub(r"'[^']*'|\"[^\"]*\"", " ", text)
-    out = []
-    for m in re.finditer(r"`([^`]+)`|\b([A-Za-z_][A-Za-z0-9_]*)\b(\s*\()?", bare):
-        if m.group(1):
-            out.append(m.group(1))
-        elif m.group(2) and not m.group(3) and m.group(2).lower() not in _SQL_WORDS:
-            out.append(m.group(2))
-    return out
+_TO_BOOLEAN = ("string", "byte", "short", "integer", "long", "float", "double", "decimal", "void")
+_COMPARED = re.compile(r"(`[^`]+`|\b[A-Za-z_]\w*\b)\s*(<=|>=|<>|!=|<|>|==?)\s*(-?\d+(?:\.\d+)?)(?![\w.])")
+
+
+def _try_forms(text: str, text_cols: set[str]) -> str:
+    """Text columns compared with numbers through ``try_cast``; casts as ``try_cast``. Quoted text stays."""
+    parts = re.split(r"('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")", text)
+    for k in range(0, len(parts), 2):
+        parts[k] = re.sub(r"(?i)\bcast\s*\(", "try_cast(", parts[k])
+        parts[k] = _COMPARED.sub(lambda m: f"try_cast({m[1]} AS double) {m[2]} {m[3]}" if m[1].strip("`").lower() in text_cols else m[0], parts[k])
+    return "".join(parts)
 
 
 def evaluate_flat(df: DataFrame, rules: Sequence[Mapping[str, Any]]) -> DataFrame:
     """O-64: one 0/1 column ``rule__<name>`` per rule, plus rule_flag / rule_review (OR of
-    the rules with that action). Unresolvable conditions give 0; NULL -> 0."""
+    the rules with that action). A condition that Spark cannot analyse gives 0; NULL -> 0."""
     cols: dict[str, Column] = {}
     flag, review = F.lit(0), F.lit(0)
-    known = {c.lower() for c in df.columns}
     for i, r in enumerate(rules):
         name = str(r.get("name", f"rule_{i}"))
-        text = str(r["condition"])
-        try:
-            cond = F.expr(text)
-            # names the frame lacks -> the rule gives 0 (checked by name, no analysis)
-            ok = all(t.lower() in known for t in _identifiers(text))
-        except Exception:  # noqa: BLE001 - syntax error in a user rule -> rule gives 0
-            ok = False
-        hit = F.coalesce(cond.cast("boolean"), F.lit(False)).cast("int") if ok else F.lit(0)
+        cond = resolved(df, str(r["condition"]))
+        hit = F.lit(0) if cond is None else F.coalesce(cond, F.lit(False)).cast("int")
         cols[f"rule__{name}"] = hit
         if r.get("action") == "flag":
             flag = F.greatest(flag, hit)
@@ -218,8 +228,3 @@ def final_decision(df: DataFrame, proba: str = "proba", threshold: float = DEFAU
 def report_flagged(decision: Column, rules_count: Column) -> Column:
     """D3, report definition: decision in (block, review, manual_review) or any rule hit."""
     return decision.cast("string").isin(FLAGGED_DECISIONS) | (F.coalesce(rules_count, F.lit(0)) > 0)
-
-
-def monitor_flagged(decision: Column) -> Column:
-    """D3, monitor definition: decision == 'flag'."""
-    return F.lower(decision.cast("string")) == F.lit("flag")

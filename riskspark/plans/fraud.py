@@ -135,6 +135,11 @@ FLAT_RULES = [
     {"name": "high_amount_new_account", "condition": "amount > 5000 and account_age_days < 30", "action": "flag"},
     {"name": "night_cross_border", "condition": "country != 'US' and hour_of_day < 6", "action": "review"},
     {"name": "unknown_column", "condition": "account_age > 3", "action": "flag"},
+    {"name": "integer_division", "condition": "account_age_days div 100 = 3", "action": "review"},
+    {"name": "any_case_text", "condition": "device_id ILIKE 'd%'", "action": "note"},
+    {"name": "text_as_number", "condition": "country > 5", "action": "flag"},
+    {"name": "unknown_function", "condition": "nosuchfn(amount) > 1", "action": "flag"},
+    {"name": "syntax", "condition": "amount > and", "action": "flag"},
 ]
 
 

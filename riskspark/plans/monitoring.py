@@ -272,14 +272,51 @@ def expectations_log(spark, sf):
 
 def feature_health(spark, sf):
     from riskspark.operators import fraud as FR
-    a = QL.run_expectations(CR.borrower_features(T.loans(spark, sf)), QL.credit_feature_health(), "credit_features")
-    b = QL.run_expectations(FR.user_daily_velocity(T.txn(spark, sf)), QL.fraud_feature_health(), "fraud_batch")
-    return final(a.unionByName(b), ratios=["observed"])
+    tx = T.txn(spark, sf)
+    out = QL.run_expectations(CR.borrower_features(T.loans(spark, sf)), QL.credit_feature_health(), "credit_features")
+    for df, suite, name in ((FR.user_daily_velocity(tx), QL.fraud_feature_health(), "fraud_batch"),
+                            (FR.merchant_chargeback_rate(tx), QL.merchant_rate_health(), "fraud_merchants"),
+                            (FR.rolling_amount(tx), QL.rolling_amount_health(), "fraud_stream")):
+        out = out.unionByName(QL.run_expectations(df, suite, name))
+    return final(out, ratios=["observed"])
 
 
 def score_health(spark, sf):
-    return final(QL.run_expectations(scored_borrowers(spark, sf), QL.score_health(), "credit_scores"),
-                 ratios=["observed"])
+    from riskspark.plans.credit import segment_el_rollup
+    a = QL.run_expectations(scored_borrowers(spark, sf).withColumn("LGD", F.lit(CR.DEFAULT_LGD)), QL.score_health(), "credit_scores")
+    b = QL.run_expectations(segment_el_rollup(spark, sf), QL.rollup_health(), "rollups")
+    return final(a.unionByName(b), ratios=["observed"])
+
+
+def checks_on_damaged_data(spark, sf):
+    """Every contract and health check over damaged copies of its table: each damaged column fails."""
+    from riskspark.operators import fraud as FR
+    from riskspark.plans.credit import segment_el_rollup
+    k = F.col("borrower_id") % 10
+    pd = scored_borrowers(spark, sf)
+    pd = pd.withColumn("PD", F.when(k == 1, F.lit(1.5)).when(k != 0, F.col("PD"))).withColumn("EL", F.when(k == 2, F.lit(-1.0)).otherwise(F.col("EL")))
+    seg = segment_el_rollup(spark, sf)
+    seg = seg.withColumn("avg_PD", F.when(F.col("vintage_year") != 1995, F.col("avg_PD"))).withColumn("grade", F.lit(None).cast("string")) \
+        .withColumn("total_EL", F.when(F.col("vintage_year") == 1996, F.lit(-1.0)).otherwise(F.col("total_EL")))
+    tx = T.txn(spark, sf)
+    rate = FR.merchant_chargeback_rate(tx).withColumn(
+        "merchant_chargeback_rate", F.when(F.col("merchant_id") == "M1", F.lit(1.2)).otherwise(F.col("merchant_chargeback_rate")))
+    roll = FR.rolling_amount(tx).withColumn("rolling_amount_last_1h", F.when(F.col("transaction_id") % 100 == 0, F.lit(-5.0))
+                                            .otherwise(F.col("rolling_amount_last_1h")))
+    out = QL.run_expectations(pd, QL.pd_scores_suite(date_col="as_of_date"), "pd_scores")
+    for df, suite, name in ((pd, QL.score_health(), "credit_scores"), (seg, QL.rollup_suite(), "rollup_contract"),
+                            (seg, QL.rollup_health(), "rollups"), (rate, QL.merchant_rate_health(), "fraud_merchants"),
+                            (roll, QL.rolling_amount_health(), "fraud_stream")):
+        out = out.unionByName(QL.run_expectations(df, suite, name))
+    return final(out, ratios=["observed"])
+
+
+def el_total_by_name(spark, sf):
+    """O-20: total expected loss of the roll-up through the tolerant column choice, from locale text."""
+    from riskspark.functions import coerce as CO
+    from riskspark.plans.credit import segment_el_rollup
+    seg = segment_el_rollup(spark, sf).select("grade", F.concat(F.format_number("total_EL", 2), F.lit(" ")).alias("Total_EL"))
+    return final(CO.el_total(seg), money=["el_total"])
 
 
 def log_contract(spark, sf):

@@ -225,9 +225,12 @@ Q["rule_hits_flat"] = with_(TXN) + """
 SELECT transaction_id,
        CAST(coalesce(amount > 5000 AND account_age_days < 30, false) AS INTEGER) AS rule__high_amount_new_account,
        CAST(coalesce(country <> 'US' AND hour_of_day < 6, false) AS INTEGER) AS rule__night_cross_border,
-       0 AS rule__unknown_column,
+       0 AS rule__unknown_column, CAST(coalesce(account_age_days // 100 = 3, false) AS INTEGER) AS rule__integer_division,
+       CAST(coalesce(device_id ILIKE 'd%', false) AS INTEGER) AS rule__any_case_text, 0 AS rule__text_as_number,
+       0 AS rule__unknown_function, 0 AS rule__syntax,
        CAST(coalesce(amount > 5000 AND account_age_days < 30, false) AS INTEGER) AS rule_flag,
-       CAST(coalesce(country <> 'US' AND hour_of_day < 6, false) AS INTEGER) AS rule_review
+       CAST(coalesce(country <> 'US' AND hour_of_day < 6, false) OR coalesce(account_age_days // 100 = 3, false) AS INTEGER)
+         AS rule_review
 FROM txn"""
 
 Q["rule_hits_structured"] = LOG + """
@@ -963,3 +966,76 @@ FROM el GROUP BY ROLLUP (grade, state)"""
 # --- the hot-key path gives the rows of the plain one -----------------------------------------
 for _name in ("rolling_amount_1h", "velocity_spike", "geo_mismatch", "new_device", "device_changes", "final_decisions"):
     Q["hot_" + _name] = Q[_name]
+
+# --- contracts and health checks: NULLs, LGD, roll-ups, and damaged copies ------------------------
+def _named(agg: str, row: str) -> str:
+    return row.replace("FROM agg", "FROM " + agg)
+
+
+Q["contract_pd_scores"] = Q["contract_pd_scores"].replace("AS o3\n        FROM el", "AS o3, count(PD) / nullif(count(*), 0) AS o5\n        FROM el") \
+    + "\nUNION ALL " + _exp_row("pd_scores", 5, "not_null", "PD", "coalesce(o5 >= 1.0, true)", "o5")
+Q["contract_rollups"] = Q["contract_rollups"].replace("AS o7 FROM seg", "AS o7, count(avg_PD) / nullif(count(*), 0) AS o8 FROM seg") \
+    + "\nUNION ALL " + _exp_row("rollups", 8, "not_null", "avg_PD", "coalesce(o8 >= 1.0, true)", "o8")
+
+_RATES = """
+mrate AS (SELECT merchant_id, CAST(sum(is_chargeback) AS DOUBLE) / count(*) AS merchant_chargeback_rate FROM txn GROUP BY 1)"""
+Q["feature_health"] = Q["feature_health"].replace(with_(LOANS, TXN), with_(LOANS, TXN, CTX) + "," + _RATES + """,
+agg3 AS (SELECT count(*) AS n, """ + _between_obs("merchant_chargeback_rate", 0, 1) + """ AS o0 FROM mrate),
+agg4 AS (SELECT count(*) AS n, """ + _between_obs("rolling_amount_last_1h", 0) + """ AS o0 FROM ctx)""", 1) + "\nUNION ALL " \
+    + _named("agg3", _exp_row("fraud_merchants", 0, "between", "merchant_chargeback_rate", "coalesce(o0 >= 1.0, true)", "o0")) \
+    + "\nUNION ALL " \
+    + _named("agg4", _exp_row("fraud_stream", 0, "between", "rolling_amount_last_1h", "coalesce(o0 >= 1.0, true)", "o0"))
+
+
+def _score_rows(src: str) -> list[str]:
+    return [_named(src, r) for r in (
+        _exp_row("credit_scores", 0, "row_count_above", None, "n > 0", "n"),
+        _exp_row("credit_scores", 1, "between", "EL", "coalesce(o1 >= 1.0, true)", "o1"),
+        _exp_row("credit_scores", 2, "exists", "PD", "true", "1.0"), _exp_row("credit_scores", 3, "exists", "EAD", "true", "1.0"),
+        _exp_row("credit_scores", 4, "between", "EAD", "coalesce(o4 >= 1.0, true)", "o4"),
+        _exp_row("credit_scores", 5, "exists", "LGD", "true", "1.0"),
+        _exp_row("credit_scores", 6, "between", "PD", "coalesce(o6 >= 1.0, true)", "o6"))]
+
+
+def _rollup_rows(src: str) -> list[str]:
+    return [_named(src, _exp_row("rollups", 0, "between", "total_EL", "coalesce(r0 >= 1.0, true)", "r0"))] + [
+        _named(src, _exp_row("rollups", i + 1, "some_value", k, f"r{i + 1} > 0 OR n = 0", f"r{i + 1}"))
+        for i, k in enumerate(["grade", "state", "vintage_year"])]
+
+
+_SCORE_AGG = "SELECT count(*) AS n, " + _between_obs("EL", 0) + " AS o1, " + _between_obs("EAD", 0, None, strict_lo=True) + " AS o4, " \
+    + _between_obs("PD", 0, 1) + " AS o6, count(PD) / nullif(count(*), 0) AS o5, count(borrower_id) / nullif(count(*), 0) AS o2 FROM "
+_ROLLUP_AGG = "SELECT count(*) AS n, " + _between_obs("total_EL", 0) + " AS r0, count(grade) AS r1, count(state) AS r2, " \
+    "count(vintage_year) AS r3, " + _between_obs("avg_PD", 0, 1) + " AS o7, count(avg_PD) / nullif(count(*), 0) AS o8 FROM "
+
+Q["score_health"] = SEG + ", a1 AS (" + _SCORE_AGG + "el), a2 AS (" + _ROLLUP_AGG + "seg)\n" \
+    + "\nUNION ALL ".join(_score_rows("a1") + _rollup_rows("a2"))
+
+Q["checks_on_damaged_data"] = SEG.replace("WITH ", with_(TXN, CTX) + "," + _RATES + ",", 1) + """,
+bad_el AS (SELECT * REPLACE (CASE borrower_id % 10 WHEN 1 THEN 1.5 WHEN 0 THEN NULL ELSE PD END AS PD,
+                             CASE WHEN borrower_id % 10 = 2 THEN -1.0 ELSE EL END AS EL) FROM el),
+bad_seg AS (SELECT * REPLACE (CASE WHEN vintage_year <> 1995 THEN avg_PD END AS avg_PD, CAST(NULL AS VARCHAR) AS grade,
+                              CASE WHEN vintage_year = 1996 THEN -1.0 ELSE total_EL END AS total_EL) FROM seg),
+a1 AS (""" + _SCORE_AGG + """bad_el), a2 AS (""" + _ROLLUP_AGG + """bad_seg),
+a3 AS (SELECT count(*) AS n, """ + _between_obs("x", 0, 1) + """ AS o0
+       FROM (SELECT CASE WHEN merchant_id = 'M1' THEN 1.2 ELSE merchant_chargeback_rate END AS x FROM mrate)),
+a4 AS (SELECT count(*) AS n, """ + _between_obs("x", 0) + """ AS o0
+       FROM (SELECT CASE WHEN transaction_id % 100 = 0 THEN -5.0 ELSE rolling_amount_last_1h END AS x FROM ctx))
+""" + "\nUNION ALL ".join(
+    [_named("a1", r) for r in (
+        _exp_row("pd_scores", 0, "exists", "borrower_id", "true", "1.0"), _exp_row("pd_scores", 1, "exists", "PD", "true", "1.0"),
+        _exp_row("pd_scores", 2, "not_null", "borrower_id", "coalesce(o2 >= 1.0, true)", "o2"),
+        _exp_row("pd_scores", 3, "between", "PD", "coalesce(o6 >= 1.0, true)", "o6"),
+        _exp_row("pd_scores", 4, "row_count_above", None, "n > 0", "n"),
+        _exp_row("pd_scores", 5, "not_null", "PD", "coalesce(o5 >= 1.0, true)", "o5"),
+        _exp_row("pd_scores", 6, "exists", "as_of_date", "false", "0.0"))]
+    + _score_rows("a1")
+    + [_named("a2", _exp_row("rollup_contract", i, "exists", c, "true", "1.0")) for i, c in
+       enumerate(["grade", "state", "vintage_year", "borrowers", "total_EAD", "avg_PD", "total_EL"])]
+    + [_named("a2", _exp_row("rollup_contract", 7, "between", "avg_PD", "coalesce(o7 >= 1.0, true)", "o7")),
+       _named("a2", _exp_row("rollup_contract", 8, "not_null", "avg_PD", "coalesce(o8 >= 1.0, true)", "o8"))]
+    + _rollup_rows("a2")
+    + [_named("a3", _exp_row("fraud_merchants", 0, "between", "merchant_chargeback_rate", "coalesce(o0 >= 1.0, true)", "o0")),
+       _named("a4", _exp_row("fraud_stream", 0, "between", "rolling_amount_last_1h", "coalesce(o0 >= 1.0, true)", "o0"))])
+
+Q["el_total_by_name"] = SEG + "\nSELECT round(sum(total_EL), 2) AS el_total FROM seg"

@@ -72,6 +72,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_health": monitoring.feature_health,
     "score_health": monitoring.score_health,
     "log_contract": monitoring.log_contract,
+    "checks_on_damaged_data": monitoring.checks_on_damaged_data,
+    "el_total_by_name": monitoring.el_total_by_name,
     "stream_daily_kpis": streams.stream_daily_kpis,
     "stream_daily_kpis_restart": streams.stream_daily_kpis_restart,
     "stream_sliding_velocity": streams.stream_sliding_velocity,
