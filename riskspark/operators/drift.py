@@ -125,16 +125,20 @@ def drift_table(ref: DataFrame, cur: DataFrame, numeric: Sequence[str], categori
 
 def drift_table_tagged(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                        sample_col: str = "sample", buckets: int = PSI_BUCKETS) -> DataFrame:
-    """O-48: numeric + categorical PSI, one table (feature, type, psi)."""
+    """O-48: numeric + categorical PSI, one table (feature, type, psi), largest PSI first (NULL last,
+    then by name); a table without any feature is one row that says so."""
     parts = []
     if numeric:
         parts.append(psi_numeric_tagged(df, numeric, sample_col, buckets).withColumn("type", F.lit("numeric")))
     if categorical:
         parts.append(psi_categorical_tagged(df, categorical, sample_col).withColumn("type", F.lit("categorical")))
+    if not parts:
+        none = df.sparkSession.createDataFrame([("(no features)", "none", None)], "feature string, type string, psi double")
+        return none
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("feature", "type", "psi")
+    return out.select("feature", "type", "psi").orderBy(F.col("psi").desc_nulls_last(), "feature", "type")
 
 
 def calibration_bins(df: DataFrame, pd_col: str, label: str, q: int = 10) -> DataFrame:

@@ -24,7 +24,7 @@ def ab_arm_metrics(log: DataFrame, labels: DataFrame | None = None, tx_id: str =
     n = F.col("label") == 0
     g = d.groupBy(F.coalesce(F.col("arm"), F.lit("prod")).alias("arm")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.percentile(F.col("latency_ms").cast("double"), F.lit(0.95)).alias("p95_latency_ms"),
+        F.percentile(F.col("latency_ms").cast("int"), F.lit(0.95)).alias("p95_latency_ms"),
         F.count_if(flag & y).alias("tp"), F.count_if(flag & n).alias("fp"),
         F.count_if(~flag & y).alias("fn"), F.count_if(~flag & n).alias("tn"))
     return g.select("arm", "n", "p95_latency_ms",
@@ -71,5 +71,5 @@ def shadow_summary(shadow: DataFrame) -> DataFrame:
         F.avg((F.col("prod.decision") == F.col("cand.decision")).cast("double")).alias("agreement_rate"),
         F.avg(F.col("cand.proba") - F.col("prod.proba")).alias("mean_score_delta"),
         F.avg(F.abs(F.col("cand.proba") - F.col("prod.proba"))).alias("mean_abs_score_delta"),
-        F.percentile(F.col("latency_ms.prod").cast("double"), F.lit(0.95)).alias("p95_latency_prod"),
-        F.percentile(F.col("latency_ms.cand").cast("double"), F.lit(0.95)).alias("p95_latency_cand"))
+        F.percentile(F.col("latency_ms.prod").cast("int"), F.lit(0.95)).alias("p95_latency_prod"),
+        F.percentile(F.col("latency_ms.cand").cast("int"), F.lit(0.95)).alias("p95_latency_cand"))

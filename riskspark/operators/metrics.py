@@ -34,22 +34,17 @@ def _div(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), F.nullif(b.cast("double"), F.lit(0.0)))
 
 
-def fraud_kpis(log: DataFrame, by: Sequence[str] = ("date",), per_case_usd: float = FRAUD_PREVENTED_PER_CASE_USD,
-               percentile_accuracy: int | None = None) -> DataFrame:
+def fraud_kpis(log: DataFrame, by: Sequence[str] = ("date",), per_case_usd: float = FRAUD_PREVENTED_PER_CASE_USD) -> DataFrame:
     """O-37 (+ O-59 counts): total, flagged (report definition, D3), flagged_pct,
     p50/p95 latency, precision/recall/FPR of the flag vs label, fraud prevented $.
 
-    Percentiles are exact (``percentile``, linear interpolation) by default; pass
-    ``percentile_accuracy`` to switch to ``approx_percentile`` on very large groups.
+    Percentiles are exact (``percentile``, linear interpolation): latencies are whole
+    milliseconds, so their buffer is a histogram with an entry for each distinct one.
     """
     fl = report_flagged(F.col("decision"), F.col("rules_count"))
     has_label = F.max(F.col("label").isNotNull().cast("int")) == 1
     y = F.coalesce(F.col("label"), F.lit(0)) == 1
-    lat = F.col("latency_ms").cast("double")
-    if percentile_accuracy:
-        pct = F.percentile_approx(lat, [0.5, 0.95], percentile_accuracy)
-    else:
-        pct = F.percentile(lat, F.array(F.lit(0.5), F.lit(0.95)))
+    pct = F.percentile(F.col("latency_ms").cast("int"), F.array(F.lit(0.5), F.lit(0.95)))
     g = log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_txns"),
         F.count_if(fl).alias("flagged"),
@@ -77,7 +72,7 @@ def monitor_kpis(log: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:
         F.avg((dec == "flag").cast("double")).alias("flag_rate"),
         F.avg((dec == "review").cast("double")).alias("review_rate"),
         F.coalesce(F.avg(F.col("proba").cast("double")), F.lit(0.0)).alias("mean_proba"),
-        F.coalesce(F.percentile(F.col("latency_ms").cast("double"), F.lit(0.95)), F.lit(0.0)).alias("p95_latency_ms"))
+        F.coalesce(F.percentile(F.col("latency_ms").cast("int"), F.lit(0.95)), F.lit(0.0)).alias("p95_latency_ms"))
 
 
 def arm_kpis(log: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:
@@ -115,6 +110,13 @@ def month_rollup_fraud(daily: DataFrame, date_col: str = "date") -> DataFrame:
         F.sum("fraud_prevented_usd").alias("fraud_prevented_usd"))
 
 
+def month_rollup_arms(daily: DataFrame, date_col: str = "date") -> DataFrame:
+    """O-41: the daily arm table (O-39) summed again per month and arm."""
+    m = F.date_format(F.col(date_col).cast("date"), "yyyy-MM").alias("month")
+    g = daily.groupBy(m, "arm").agg(F.sum("n").alias("n"), F.sum("flagged").alias("flagged"))
+    return g.withColumn("flagged_pct", _div(F.col("flagged"), F.col("n")))
+
+
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """O-44: class counts, and positive weight neg/pos (>= 1) on every row."""
     c = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
@@ -125,7 +127,8 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int = PROFILE_TOP_VALUES) -> DataFrame:
-    """O-43: top-k values per string column with counts (one unpivot + one aggregate)."""
+    """O-43: top-k values per string column with counts, with the column's type and the table's
+    row count (one unpivot + one aggregate)."""
     from pyspark.sql.types import StringType
 
     cols = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)])
@@ -140,7 +143,10 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None, k: int =
     c = c.withColumn("_r", F.row_number().over(Window.partitionBy("column", "_s").orderBy(*order))) \
          .where(F.col("_r") <= k).drop("_s", "_r")
     w = Window.partitionBy("column").orderBy(*order)
-    return c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    top = c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    types = F.create_map(*[x for f in df.schema.fields if f.name in cols for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
+    rows = df.agg(F.count(F.lit(1)).alias("row_count"))
+    return top.withColumn("dtype", types[F.col("column")]).join(F.broadcast(rows))  # one row
 
 
 # ---- score curves -----------------------------------------------------------------------

@@ -105,3 +105,11 @@ def defaults_vs_recoveries(snap_prev: DataFrame, snap_cur: DataFrame, id_col: st
     return j.agg(F.count_if((F.coalesce("prev", F.lit(0)) == 0) & (F.col("cur") == 1)).alias("new_defaults"),
                  F.count_if((F.col("prev") == 1) & (F.coalesce("cur", F.lit(0)) == 0)).alias("recoveries"),
                  F.count_if(F.col("cur") == 1).alias("defaults_now"))
+
+
+def delinquency_trend(loans: DataFrame, period: str = "vintage_year", delinquencies: str = "delinq_2yrs") -> DataFrame:
+    """O-105: per period the share of loans with a delinquency, and its change on the period before
+    (a window over the periods, not the loans)."""
+    g = loans.groupBy(period).agg(F.count(F.lit(1)).alias("loans"),
+                                  F.avg((F.coalesce(F.col(delinquencies), F.lit(0)) > 0).cast("double")).alias("delinquency_rate"))
+    return g.withColumn("change", F.col("delinquency_rate") - F.lag("delinquency_rate").over(Window.orderBy(period)))

@@ -386,7 +386,7 @@ def log_roundtrip_latest2(spark, sf):
         "proba", "decision", "rules_hit", "latency_ms", F.lit("model_1").alias("model_ts"),
         F.col("transaction_id").cast("string").alias("transaction_id"), "label", date_str("date").alias("as_of_date"))
     rec.write.mode("overwrite").partitionBy("as_of_date").json(out)
-    back = FS.latest_n_dates(FS.read_decision_log(spark, out), 2, "as_of_date")
+    back = FS.read_decision_log(spark, out, latest=2)
     k = M.monitor_kpis(back, by=("as_of_date",)).withColumn("as_of_date", date_str("as_of_date"))
     return final(k, ratios=["flag_rate", "review_rate", "mean_proba", "p95_latency_ms"])
 

@@ -1039,3 +1039,60 @@ a4 AS (SELECT count(*) AS n, """ + _between_obs("x", 0) + """ AS o0
        _named("a4", _exp_row("fraud_stream", 0, "between", "rolling_amount_last_1h", "coalesce(o0 >= 1.0, true)", "o0"))])
 
 Q["el_total_by_name"] = SEG + "\nSELECT round(sum(total_EL), 2) AS el_total FROM seg"
+
+# --- scans, sinks, coercions, and parts of roll-ups -----------------------------------------------
+Q["any_table_roundtrip"] = with_(LOANS) + """
+SELECT f AS format, count(*) AS n, round(sum(loan_amount), 2) AS loan_amount,
+       round(sum(try_cast(replace(trim(revol_util), '%', '') AS DOUBLE)), 2) AS utilisation
+FROM loans, (VALUES ('csv'), ('parquet')) v(f) GROUP BY f"""
+Q["kpi_json_scan"] = with_(TXN) + """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, count(*) AS txns, round(sum(amount), 2) AS amount, CAST(NULL AS VARCHAR) AS model
+FROM txn GROUP BY 1"""
+Q["evolving_union"] = with_(TXN) + """
+SELECT country, count(*) AS n, CAST(NULL AS DOUBLE) AS amount FROM txn WHERE transaction_id % 2 = 0 GROUP BY 1
+UNION ALL SELECT country, count(*), round(sum(amount), 2) FROM txn WHERE transaction_id % 2 = 1 GROUP BY 1"""
+Q["dated_sink_rerun"] = with_(TXN) + """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, count(*) AS n,
+       round(sum(CASE WHEN CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM txn) THEN 1.0 ELSE amount END), 2) AS amount
+FROM txn GROUP BY 1"""
+Q["flatten_log"] = LOG + """
+SELECT transaction_id, round(amount, 2) AS tx_amount, country AS tx_who_country, device_id AS tx_who_device_id,
+       CASE WHEN len(rules_hit) = 0 THEN '[]' ELSE '["' || array_to_string(rules_hit, '","') || '"]' END AS rules_hit
+FROM score_log"""
+Q["autoscan_labels"] = Q["default_labels"]
+Q["chargeback_spellings"] = with_(TXN) + """,
+s AS (SELECT CASE WHEN transaction_id % 9 < 8
+             THEN (['Y', 'no', ' TRUE ', 'f', '1', '0', '2.0', 'maybe'])[CAST(transaction_id % 9 % 8 + 1 AS INTEGER)] END AS spelling FROM txn)
+SELECT spelling, count(*) AS n, CAST(sum(CASE WHEN spelling IN ('Y', ' TRUE ', '1', '2.0') THEN 1 ELSE 0 END) AS BIGINT) AS chargebacks
+FROM s GROUP BY 1"""
+Q["last_30_days"] = with_(TXN) + """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date, count(*) AS txns FROM txn GROUP BY 1 ORDER BY 1 DESC LIMIT 30"""
+Q["freshness_of_systems"] = with_(LOANS, TXN) + """
+SELECT strftime(greatest((SELECT max(CAST(ts AS DATE)) FROM txn), (SELECT max(origination_date) FROM loans)), '%Y-%m-%d') AS freshest_date"""
+Q["pr_curve"] = LOG + """,
+c AS (SELECT round(proba, 2) AS t, count_if(label = 1) AS p, count_if(label IS DISTINCT FROM 1) AS n FROM score_log
+      WHERE proba IS NOT NULL GROUP BY 1),
+r AS (SELECT t, sum(p) OVER w AS cp, sum(n) OVER w AS cn, sum(p) OVER () AS pp, sum(n) OVER () AS nn FROM c
+      WINDOW w AS (ORDER BY t DESC))
+SELECT t AS threshold, round(cp / (cp + cn), 6) AS precision, round(cp / nullif(pp, 0), 6) AS recall, round(cn / nullif(nn, 0), 6) AS fpr
+FROM r"""
+Q["arms_month_rollup"] = LOG + """
+SELECT strftime(date, '%Y-%m') AS month, coalesce(arm, 'unknown') AS arm, count(*) AS n,
+       count_if(decision IN ('block', 'review', 'manual_review') OR rules_count > 0) AS flagged,
+       round(count_if(decision IN ('block', 'review', 'manual_review') OR rules_count > 0) / count(*), 6) AS flagged_pct
+FROM score_log GROUP BY 1, 2"""
+Q["label_source_fallback"] = with_(TXN) + """,
+j AS (SELECT CASE WHEN e.event_type IN ('purchase', 'error') THEN 'feed' WHEN t.is_chargeback IS NOT NULL THEN 'log' ELSE 'none' END AS source,
+             CASE WHEN e.event_type IN ('purchase', 'error') THEN CAST(e.event_type = 'error' AS INTEGER) ELSE t.is_chargeback END AS label
+      FROM txn t JOIN events e ON e.event_id = t.transaction_id)
+SELECT source, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives FROM j GROUP BY 1"""
+Q["delinquency_trend"] = with_(LOANS) + """,
+g AS (SELECT vintage_year, count(*) AS loans, avg(CASE WHEN coalesce(delinq_2yrs, 0) > 0 THEN 1.0 ELSE 0.0 END) AS r FROM loans GROUP BY 1)
+SELECT vintage_year, loans, round(r, 6) AS delinquency_rate, round(r - lag(r) OVER (ORDER BY vintage_year), 6) AS change FROM g"""
+Q["train_split_balance"] = with_(LOANS, TXN) + """,
+d AS (SELECT borrower_id, max(""" + STATUS_FLAG + """) AS y FROM loans GROUP BY 1),
+c AS (SELECT 'pd' AS model, y AS label, count(*) AS n FROM d GROUP BY 2
+      UNION ALL SELECT 'fraud', is_chargeback, count(*) FROM txn GROUP BY 2)
+SELECT model, CAST(label AS INTEGER) AS label, n, CAST(floor((n - 1) * 0.25) AS BIGINT) + 1 AS n_test FROM c"""
+_top = Q["column_profile"]
+Q["column_profile"] = _top.replace("SELECT * FROM (SELECT *,", "SELECT *, 'string' AS dtype, (SELECT count(*) FROM txn) AS row_count FROM (SELECT *,", 1)

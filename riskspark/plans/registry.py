@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import credit, fraud, models, monitoring, streams
+from riskspark.plans import credit, fraud, models, monitoring, sources, streams
 from riskspark.session import apply_defaults
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -103,6 +103,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rollup_csv_roundtrip": monitoring.rollup_csv_roundtrip,
     "train_pd_metrics": models.train_pd_metrics,
     "train_fraud_metrics": models.train_fraud_metrics,
+    "train_split_balance": models.train_split_balance,
+    **sources.QUERIES,
 }
 
 

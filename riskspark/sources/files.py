@@ -60,12 +60,16 @@ def read_table_any(spark: SparkSession, path: str, fmt: str | None = None) -> Da
     return spark.read.parquet(path)
 
 
-def read_decision_log(spark: SparkSession, path: str, quarantine: bool = False) -> DataFrame:
+def read_decision_log(spark: SparkSession, path: str, quarantine: bool = False, latest: int | None = None) -> DataFrame:
     """O-03 / D12: JSON-lines decision log. Blank lines are skipped; lines that are not
     valid JSON are kept aside (``quarantine=True`` returns only those, as raw text); the
     nested ``tx`` record is flattened once; defaults: decision -> 'allow', rules_hit -> [].
-    Partition columns of the layout (e.g. ``as_of_date=...``) are kept."""
-    raw = spark.read.text(path)
+    Partition columns of the layout (e.g. ``as_of_date=...``) are kept; ``latest`` reads the
+    files of the latest so many dates only."""
+    paths = latest_partitions(spark, path, latest) if latest else [path]
+    if not paths:
+        return read_decision_log(spark, path, quarantine).limit(0)
+    raw = spark.read.option("basePath", path).text(paths)
     raw = raw.where(F.length(F.trim(F.col("value"))) > 0)
     ok = F.get_json_object(F.col("value"), "$").isNotNull()
     if quarantine:
@@ -82,11 +86,6 @@ def read_decision_log(spark: SparkSession, path: str, quarantine: bool = False)
         "latency_ms", "model_ts", "transaction_id", "label")
 
 
-def read_shadow_log(spark: SparkSession, path: str) -> DataFrame:
-    """Shadow JSON lines with nested prod/cand structs (O-62 input)."""
-    return spark.read.schema(SHADOW_LOG_SCHEMA).option("mode", "PERMISSIVE").json(path)
-
-
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """O-04: JSON KPI files over a partition glob; absent files -> empty frame."""
     try:
@@ -105,14 +104,21 @@ def with_file_date(df: DataFrame, out: str = "as_of_date") -> DataFrame:
 
 
 def latest_n_dates(df: DataFrame, n: int = 2, date_col: str = "as_of_date") -> DataFrame:
-    """O-05: rows of the latest n distinct dates (dense rank over a small distinct set,
-    then a semi join; partition pruning applies when the date is a partition column)."""
-    from pyspark.sql import Window
-
-    dates = df.select(date_col).distinct()
-    w = Window.orderBy(F.col(date_col).desc())
-    keep = dates.withColumn("_r", F.dense_rank().over(w)).where(F.col("_r") <= n).select(date_col)
-    return df.join(F.broadcast(keep), date_col, "left_semi")  # at most n rows
+    """O-05: rows of the latest n distinct dates. Only the date column is read to find them
+    (of partitioned files just the partition values), and the n dates become a filter, so
+    other partitions are not scanned."""
+    dates = [r[0] for r in df.select(date_col).where(F.col(date_col).isNotNull()).distinct().orderBy(F.col(date_col).desc()).limit(n).collect()]
+    return df.where(F.col(date_col).isin(dates) if dates else F.lit(False))
+
+
+def latest_partitions(spark: SparkSession, path: str, n: int = 2, date_col: str = "as_of_date") -> list[str]:
+    """O-05: paths of the latest n ``date_col=`` folders below ``path``, from the listing alone."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = sorted((f.getPath().getName() for f in fs.listStatus(p) if f.getPath().getName().startswith(f"{date_col}=")), reverse=True)
+    return [f"{path.rstrip('/')}/{x}" for x in names if not x.endswith("__HIVE_DEFAULT_PARTITION__")][:n]
 
 
 def union_evolving(frames: Sequence[DataFrame]) -> DataFrame:
