@@ -34,7 +34,7 @@ def score_log(spark: SparkSession, sf: str, hot_threshold: int | None = None) ->
     return RU.final_decision(ctx)
 
 
-_LOG_TABLES: dict[tuple[str, str], str] = {}
+_LOG_TABLES: dict[tuple, str] = {}
 
 
 def decision_log_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,7 +45,7 @@ def decision_log_table(spark: SparkSession, sf: str) -> DataFrame:
     counts, prefix sums) and executor loss never recompute the scoring chain."""
     from riskspark.streaming.ops import work_dir
 
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, T.fingerprint(spark, f"{sf.rstrip('/')}/events.parquet"))
     path = _LOG_TABLES.get(key)
     if path is None:
         path = work_dir(spark, "decision_log_table")

@@ -69,7 +69,7 @@ def read_decision_log(spark: SparkSession, path: str, quarantine: bool = False,
     paths = latest_partitions(spark, path, latest) if latest else [path]
     if not paths:
         return read_decision_log(spark, path, quarantine).limit(0)
-    raw = spark.read.option("basePath", path).text(paths)
+    raw = (spark.read.option("basePath", path) if latest else spark.read).text(paths)
     raw = raw.where(F.length(F.trim(F.col("value"))) > 0)
     ok = F.get_json_object(F.col("value"), "$").isNotNull()
     if quarantine:

@@ -14,16 +14,24 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
+_SCANS: dict[tuple, DataFrame] = {}
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Size and modification time of a file or folder: changed files are other files."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return (fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()) if fs.exists(p) else ()
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one driver table (column pruning / filters reach the scan).
 
     The scan DataFrame is reused within an application, so the file listing and footer
-    schema read happen once; every query still plans and prunes its own scan."""
+    schema read happen once; every query still plans and prunes its own scan. A file that
+    changes is scanned anew."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, path, fingerprint(spark, path))
     df = _SCANS.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)

@@ -84,3 +84,32 @@ def test_alias_resolution_in_features(spark):
     assert r.member_id == "m1" and r.income_to_loan_ratio == 50.0 and r.credit_utilization_pct == pytest.approx(30.0)
     assert r.num_past_delinquencies == 2.0
     assert F is not None
+
+
+def test_flat_rules_are_analysed_by_spark(spark):
+    from riskspark.operators.rules import evaluate_flat
+
+    df = spark.createDataFrame([(100, "US", "D_1"), (5, "7", None)], "amount int, country string, device_id string")
+    rules = [{"name": n, "condition": c} for n, c in (
+        ("div", "amount div 10 > 3"), ("ilike", "device_id ilike 'd%'"), ("text", "country > 5"), ("fn", "nosuchfn(amount) > 1"),
+        ("col", "absent = 1"), ("syntax", "amount > and"), ("case", "AMOUNT between 1 and 10"), ("cast", "cast(country as int) = 7"),
+        ("lit", "country = 'cast(x)'"), ("number", "amount"))]
+    got = evaluate_flat(df, rules).collect()
+    assert [tuple(r[f"rule__{x['name']}"] for x in rules) for r in got] == [(1, 1, 0, 0, 0, 0, 0, 0, 0, 1), (0, 0, 1, 0, 0, 0, 1, 1, 0, 1)]
+
+
+def test_structured_rules_ignore_case_and_absent_operands(spark):
+    from riskspark.operators.rules import evaluate_structured
+
+    rules = {"rules": [{"id": "A", "when": {"any": ["tx.absent == 1", "tx.Amount > 10"]}}]}
+    got = evaluate_structured(spark.createDataFrame([(20.0,), (1.0,)], "AMOUNT double"), rules).orderBy("AMOUNT").collect()
+    assert [r.rules_hit for r in got] == [[], ["A"]]
+
+
+def test_el_column_choice():
+    from riskspark.functions.coerce import pick_el_column
+
+    assert pick_el_column(["grade", "label", "total_EL"]) == "total_EL"
+    assert pick_el_column(["model_ts", "Expected_Loss"]) == "Expected_Loss"
+    assert pick_el_column(["EL_x", "loss_rate"]) == "loss_rate" and pick_el_column(["a", "EL_x"]) == "EL_x"
+    assert pick_el_column(["grade", "model"]) is None
