@@ -18,7 +18,6 @@ from riskspark.functions import coerce as C
 DEFAULT_LGD = 0.45            # loss given default when no LGD column is present
 DEFAULT_PD_THRESHOLD = 0.20   # credit decision cut-off
 SEGMENT_KEYS = ["grade", "state", "vintage_year"]
-MAX_BROADCAST_SCENARIOS = 10_000
 # --------------------------------------------------------------------------------------
 
 
@@ -76,8 +75,7 @@ def borrower_features(loans: DataFrame, id_col: str | None = None,
     if "revol_util" in loans.columns:
         util = C.coerce_percent("revol_util")
     else:
-        bal = C.pick_col(loans, ["revol_bal", "current_credit_balance", "total_balance"])
-        lim = C.pick_col(loans, ["total_rev_hi_lim", "total_credit_limit", "credit_limit"])
+        bal, lim = C.pick_col(loans, C.BALANCE_ALIASES), C.pick_col(loans, C.LIMIT_ALIASES)
         util = C.finite(C.safe_ratio(C.numeric(loans, bal), C.numeric(loans, lim)) * 100.0) if bal and lim \
             else F.lit(None).cast("double")
     aggs = [F.avg(ratio).alias("income_to_loan_ratio"),
@@ -233,12 +231,15 @@ def credit_decision(scores: DataFrame, threshold: float = DEFAULT_PD_THRESHOLD,
 
 
 def stress_el(scores: DataFrame, scenarios: DataFrame, pd_col: str = "PD") -> DataFrame:
-    """O-99: EL under scenario multipliers: scenarios(scenario, pd_mult, lgd_mult), PD and
-    LGD capped at 1. The scenario table is broadcast only after a bounded size check
-    (``limit(n+1).count()``); a larger table is joined without the hint."""
-    few = scenarios.limit(MAX_BROADCAST_SCENARIOS + 1).count() <= MAX_BROADCAST_SCENARIOS
-    s = F.broadcast(scenarios) if few else scenarios
-    return scores.crossJoin(s).withColumn(
+    """O-99: EL under scenario multipliers: scenarios(scenario, pd_mult, lgd_mult), PD and LGD
+    capped at 1; one row per borrower and scenario. Scenarios are parameters: they become an
+    array of constants that each score row is exploded over, so nothing is joined."""
+    rows = scenarios.collect()
+    if not rows:
+        return scores.limit(0).withColumns({"scenario": F.lit(None).cast("string"), "pd_mult": F.lit(0.0), "lgd_mult": F.lit(0.0),
+                                            "EL_stressed": F.lit(0.0)})
+    each = F.array(*[F.struct(*[F.lit(r[c]).cast(t).alias(c) for c, t in scenarios.dtypes]) for r in rows])
+    return scores.withColumn("_s", F.explode(each)).select(*scores.columns, "_s.*").withColumn(
         "EL_stressed", F.least(F.col(pd_col) * F.col("pd_mult"), F.lit(1.0))
         * F.least(F.col("LGD") * F.col("lgd_mult"), F.lit(1.0)) * F.col("EAD"))
 
