@@ -213,8 +213,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = stage(src.mapInArrow(_signatures, "id long, n long, h1 long, h2 long, sig array<int>"), f"{at}/signatures")
     # a class: all rows with one shingle set; its least id stands for it
     classes = stage(sigs.where((F.col("n") > 0) & F.col("id").isNotNull()).groupBy("h1", "h2", "n")
-                    .agg(F.min("id").alias("rep"), F.first("sig").alias("sig")), f"{at}/classes")
-    postings = classes.select(F.col("rep").alias("id"), "n", _sketch("sig").alias("sketch"), _keys("sig").alias("key"))
+                    .agg(F.min("id").alias("rep"), F.first("sig").alias("sig")).withColumn("sketch", _sketch("sig")), f"{at}/classes")
+    postings = classes.select(F.col("rep").alias("id"), "n", "sketch", _keys("sig").alias("key"))
     buckets = stage(postings.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), f"{at}/buckets")
     members = stage(postings.join(buckets, "key"), f"{at}/members")
     # centre of a bucket: the member that meets most others in all its buckets together
