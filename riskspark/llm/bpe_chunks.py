@@ -37,7 +37,7 @@ LOOK = 24
 EVERY = 128
 #: Stretches of more bytes than this without a cut are cut between any characters, one in EVERY * 8.
 LONG = 4096
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 
 TEXT_LEVEL = 5
@@ -97,7 +97,8 @@ def pack_ids(ids: np.ndarray) -> bytes:
     r, one = rank[back], 256
     if len(u) > 256:
         one = next((c for c in range(255, -1, -1) if c + ((len(u) - 1 - c) >> 8) <= 255), -1)
-    head = np.array([len(ids), len(u), one], "<i8").tobytes() + u[order].astype("<u4").tobytes()
+    kind = "<u2" if not len(u) or u[-1] < 1 << 16 else "<u4"
+    head = np.array([len(ids), len(u), one, int(kind[-1])], "<i8").tobytes() + u[order].astype(kind).tobytes()
     if one < 0:  # too many distinct ids for two bytes
         body = r.astype("<u4").tobytes()
     else:
@@ -108,16 +109,16 @@ def pack_ids(ids: np.ndarray) -> bytes:
         rest = r[~single] - one
         body_[end[~single] - 2], body_[end[~single] - 1] = one + (rest >> 8), rest & 255
         body = body_.tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + body)
+    return zstandard.ZstdCompressor(level=6).compress(head + body)
 
 
 def unpack_ids(blob: bytes) -> np.ndarray:
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    n, distinct, one = (int(x) for x in np.frombuffer(raw, "<i8", 3))
-    u = np.frombuffer(raw, "<u4", distinct, 24)
+    n, distinct, one, wide = (int(x) for x in np.frombuffer(raw, "<i8", 4))
+    u, at = np.frombuffer(raw, f"<u{wide}", distinct, 32), 32 + wide * distinct
     if one < 0:
-        return u[np.frombuffer(raw, "<u4", n, 24 + 4 * distinct)]
-    body = np.frombuffer(raw, np.uint8, offset=24 + 4 * distinct).astype(np.int64)
+        return u[np.frombuffer(raw, "<u4", n, at)]
+    body = np.frombuffer(raw, np.uint8, offset=at).astype(np.int64)
     # a byte that begins a pair makes the next one a second byte, whatever it holds: runs of such bytes alternate
     pair = body >= one
     if not pair.any():
@@ -132,16 +133,34 @@ def unpack_ids(blob: bytes) -> np.ndarray:
     return u[value[lead]]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Pieces of BATCH_BYTES in all with their cut points (found piece by piece, which needs many bytes for each byte of text)."""
+    held: list[tuple] = []
+    for rows, data, off in pieces(batches):
+        if held and sum(len(h[1]) for h in held) + len(data) > BATCH_BYTES:
+            yield _joined(held)
+            held = []
+        held.append((rows.column("id"), data.copy(), off, *cut_points(data, off)))
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple]) -> tuple:
+    base = np.concatenate([[0], np.cumsum([len(h[1]) for h in held])])
+    off = np.concatenate([[0], *(h[2][1:] + b for h, b in zip(held, base, strict=False))])
+    return (pa.concat_arrays([h[0] for h in held]), np.concatenate([h[1] for h in held]), off,
+            np.concatenate([h[3] + b for h, b in zip(held, base, strict=False)]), np.concatenate([h[4] for h in held]))
+
+
 def _send(buckets: int):
     """Batches of texts -> their distinct chunks by bucket, and one manifest row (bucket -1 - batch) each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=TEXT_LEVEL)
         part, number = TaskContext.get().partitionId(), 0
-        for rows, data, off in pieces(batches, size=BATCH_BYTES):
+        for ids, data, off, starts, safe in _gathered(batches):
             batch = (part << 32) + number
             number += 1
-            starts, safe = cut_points(data, off)
             text, ends = data.tobytes(), np.append(starts[1:], len(data))
             seen: dict[bytes, int] = {}
             where = np.fromiter((seen.setdefault(text[a:b], len(seen)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)),
@@ -161,8 +180,7 @@ def _send(buckets: int):
                 out[2].append(np.array([len(c) for c in mine], "<u4").tobytes())
                 out[3].append(pack.compress(b"".join(mine)))
             doc = np.searchsorted(off, starts, "right") - 1  # the last document that starts at or before it
-            per_doc = np.bincount(doc, minlength=rows.num_rows)
-            manifest = pa.table({"id": rows.column("id"), "chunks": per_doc})
+            manifest = pa.table({"id": ids, "chunks": np.bincount(doc, minlength=len(ids))})
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, manifest.schema) as w:
                 w.write_table(manifest)
