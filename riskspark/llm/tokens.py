@@ -94,7 +94,12 @@ class SpacedEncoder:
 
 
 class WordEncoder:
-    """Encoder for a tokenizer that drops white space: each word of a text has the same ids anywhere."""
+    """Encoder for a lower-casing tokenizer that drops white space: each word of a text has the same ids anywhere.
+
+    A word of Latin letters and closing punctuation is two words of the tokenizer's pattern, so
+    its letters, lower-cased, are looked up by themselves: spellings with capitals or a comma
+    share one entry.
+    """
 
     def __init__(self, path: str):
         t = load(path)
@@ -105,15 +110,43 @@ class WordEncoder:
         return b"".join(map(self.cache.__getitem__, text.split()))  # bytes.split(): ASCII white space only
 
 
+#: A worker forgets its words, and the parts of words, beyond so many (about 180 bytes an entry).
+WORD_ENTRIES, PART_ENTRIES = 500_000, 1_200_000
+_LETTERS_AND_END = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]+)?")
+
+
 class _BytesCache(_Cache):
+    def __init__(self, tokenizer, dtype: str):
+        super().__init__(tokenizer, dtype)
+        self.parts: dict[str, bytes] = {}
+        self.model = tokenizer.model
+
     def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.encode(word.decode("utf-8"), add_special_tokens=False).ids, self.dtype).tobytes()
+        text = word.decode("utf-8")
+        m = _LETTERS_AND_END.fullmatch(text)
+        ids = self.part(text) if m is None else self.part(m[1].lower(), True) + (self.part(m[2]) if m[2] else b"")
         if len(word) <= CACHE_CHARS:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= WORD_ENTRIES:
                 self.clear()
             self[word] = ids
         return ids
 
+    def part(self, text: str, letters: bool = False) -> bytes:
+        """Ids of a text; lower-case Latin letters go straight to the tokenizer's merges, as they are one pattern word."""
+        ids = self.parts.get(text)
+        if ids is None:
+            if letters:
+                shown = text if text.isascii() else "".join(map(byte_characters().__getitem__, text.encode("utf-8")))
+                found = [x.id for x in self.model.tokenize(shown)]
+            else:
+                found = self.encode(text, add_special_tokens=False).ids
+            ids = np.array(found, self.dtype).tobytes()
+            if len(text) <= CACHE_CHARS:
+                if len(self.parts) >= PART_ENTRIES:
+                    self.parts.clear()
+                self.parts[text] = ids
+        return ids
+
 
 @lru_cache(maxsize=4)
 def spaced_encoder(path: str) -> SpacedEncoder:
@@ -125,16 +158,19 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+@lru_cache(maxsize=1)
+def byte_characters() -> list[str]:
+    """How byte-level vocabularies write each byte: as itself where it is a printable character,
+    else as the next free character from 256 on."""
+    keep = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in keep else chr(next(spare)) for b in range(256)]
+
+
 @lru_cache(maxsize=4)
 def id_bytes(path: str) -> list[bytes]:
-    """The bytes that each id of a byte-level BPE stands for.
-
-    Byte-level vocabularies write a byte as a printable character: itself where it is
-    printable, else the next free character from 256 on.
-    """
-    keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    char = {chr(b): b for b in keep}
-    char |= {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(keep))}
+    """The bytes that each id of a byte-level BPE stands for."""
+    char = {c: b for b, c in enumerate(byte_characters())}
     t = load(path)
     special = {i: a.content.encode() for i, a in t.get_added_tokens_decoder().items()}
     out = [b""] * t.get_vocab_size()
