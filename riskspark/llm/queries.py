@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskspark.llm.bpe_chunks import encode_digests
-from riskspark.llm.common import stage_dir, table
+from riskspark.llm.common import stage, stage_dir, table
 from riskspark.llm.embedding_dup import near_vectors
 from riskspark.llm.line_dedup import host_of, line_dedup, page_text
 from riskspark.llm.mixing import mix_documents
@@ -59,9 +59,9 @@ def op8_semi_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each host's pages: counts and a digest of the page text that stays."""
-    out = line_dedup(table(spark, sf_dir, "pages"), host_of(F.col("url")), page_text(F.col("html")))
-    return out.select("row.page_id", host_of(F.col("row.url")).alias("host"), "n_lines", "n_removed",
-                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    pages = table(spark, sf_dir, "pages").select("page_id", host_of(F.col("url")).alias("host"), page_text(F.col("html")).alias("text"))
+    out = line_dedup(stage(pages, f"{stage_dir(spark)}/page-text"), F.col("host"), F.col("text"))  # text is read three times
+    return out.select("row.page_id", "row.host", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
