@@ -8,7 +8,13 @@ vectors, in blocks) reaches RECALL of the links that lists can hold.
 
 A list whose last entry still reaches the threshold is saturated: its vector may have more
 links. Such lists are enlarged to all links: the vector is compared, block by block, with every
-member of its component, and blocks return counts per vector, not pairs.
+member of its component, and with every vector outside that the component may reach: no link
+is longer than the angle of THRESHOLD, so the angle to the component's representative is at
+most that and the greatest angle between the representative and a saturated member. Blocks
+return counts per vector, not pairs, and one link for each two components they join.
+
+The audited vectors' final links are held against all their true ones; below RECALL of them,
+every vector is enlarged like a saturated one.
 
 Exact copies are one vector with a multiplicity throughout, so they never form pairs. Reverse
 neighbours of a hub are split into salted groups, so no vector's neighbourhood is one task.
@@ -36,6 +42,10 @@ GROUP = 48
 MAX_ROUNDS, MIN_ROUNDS = 6, 2
 AUDIT, RECALL = 200, 0.99
 BLOCK = 1024
+#: Vectors, and representatives, in a block of the search beyond the components.
+FAR_ROWS, FAR_REPS = 4096, 16_384
+#: Angle of the threshold, with room for rounding.
+ANGLE = float(np.arccos(THRESHOLD)) + 1e-6
 
 _EDGE = "u long, v long, sim double"
 
@@ -168,35 +178,115 @@ def _truth(ids: list[int], groups: list[str], vecs: list[bytes]):
         mine: dict[str, list[int]] = {}
         for k, g in enumerate(groups):
             mine.setdefault(g, []).append(k)
-        count = np.zeros(len(ids), np.int64)
+        count, copies = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         for b in batches:
             rows: dict[str, list[int]] = {}
             for k, g in enumerate(b.column("g").to_pylist()):
                 if g in mine:
                     rows.setdefault(g, []).append(k)
-            v, vec = b.column("v").to_pylist(), b.column("vec")
+            v, vec, mult = b.column("v").to_pylist(), b.column("vec"), b.column("mult").to_numpy()
             for g, at in rows.items():
                 sim = unit([vecs[k] for k in mine[g]]) @ unit([vec[k].as_py() for k in at]).T
                 other = np.array([ids[k] for k in mine[g]])[:, None] != np.array([v[k] for k in at])[None, :]
                 count[mine[g]] += ((sim >= THRESHOLD) & other).sum(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(count)], ["v", "n"])
+                copies[mine[g]] += ((sim >= THRESHOLD) & other) @ mult[at]
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(count), pa.array(copies)], ["v", "n", "copies"])
 
     return run
 
 
+def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Angle between the vector and the representative of each row."""
+    for b in batches:
+        angle = [float(np.arccos(np.clip((unit([x]) * unit([y])).sum(), -1, 1)))
+                 for x, y in zip(b.column("vec").to_pylist(), b.column("rep").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([b.column("component"), pa.array(angle, pa.float64())], ["component", "angle"])
+
+
+def _far(group: pa.Table) -> pa.Table:
+    """One block pair: the vectors that representatives of other components (rows with a reach) may reach."""
+    reach = group.column("reach").to_numpy(zero_copy_only=False)
+    home, vec = group.column("component").to_numpy(), group.column("vec").to_pylist()
+    sides: dict[str, tuple[list[int], list[int]]] = {}
+    for k, g in enumerate(group.column("g").to_pylist()):
+        sides.setdefault(g, ([], []))[int(np.isnan(reach[k]))].append(k)
+    reps, rows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for r, t in sides.values():
+        if not r or not t:
+            continue
+        x, t = unit([vec[k] for k in t]), np.array(t)
+        for at in range(0, len(r), BLOCK):
+            k = np.array(r[at: at + BLOCK])
+            near = unit([vec[i] for i in k]) @ x.T >= np.cos(np.minimum(reach[k], np.pi))[:, None] - 1e-9
+            i, j = np.nonzero(near & (home[k][:, None] != home[t][None, :]))
+            reps.append(k[i])
+            rows.append(t[j])
+    reps, rows = np.concatenate(reps), np.concatenate(rows)
+    out = group.select(["v", "mult", "vec", "saturated"]).take(pa.array(rows))
+    return out.append_column("component", pa.array(home[reps])).append_column("home", pa.array(home[rows]))
+
+
 def _block_counts(group: pa.Table) -> pa.Table:
-    """One block pair: links of each saturated vector by count, and links of others by name."""
+    """One block pair: links of each saturated vector by count, links of others by name, and one link (n null) per other component."""
     ask = group.column("ask").to_numpy(zero_copy_only=False)
     ids, mult = group.column("v").to_numpy(), group.column("mult").to_numpy()
     open_ = ~group.column("saturated").to_numpy(zero_copy_only=False)
+    away, home = group.column("home").to_numpy() != group.column("component").to_numpy(), group.column("home").to_numpy()
     vec = group.column("vec").to_pylist()
     q, t = np.flatnonzero(ask), np.flatnonzero(~ask)
     if not len(q) or not len(t):
         return pa.table({"v": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "other": pa.array([], pa.int64())})
     hit = (unit([vec[i] for i in q]) @ unit([vec[i] for i in t]).T >= THRESHOLD) & (ids[q][:, None] != ids[t][None, :])
     i, j = np.nonzero(hit & open_[t][None, :])
-    return pa.table({"v": pa.array(np.concatenate([ids[q], ids[t][j]])), "n": pa.array(np.concatenate([hit @ mult[t], mult[q][i]])),
-                     "other": pa.array([None] * len(q) + ids[q][i].tolist(), pa.int64())})
+    cross = np.flatnonzero(away[t] & hit.any(axis=0))
+    cross = cross[np.unique(home[t][cross], return_index=True)[1]]
+    joined = ids[q][hit[:, cross].argmax(axis=0)]
+    n = np.concatenate([hit @ mult[t], mult[q][i]])
+    return pa.table({"v": pa.array(np.concatenate([ids[q], ids[t][j], joined])), "n": pa.array(n.tolist() + [None] * len(cross), pa.int64()),
+                     "other": pa.array([None] * len(q) + ids[q][i].tolist() + ids[t][cross].tolist(), pa.int64())})
+
+
+def _beyond(member: DataFrame, n: int) -> DataFrame:
+    """Vectors outside a component (``component``; their own is ``home``) that its saturated vectors may be linked with."""
+    rep = member.where("v = component").select("component", "g", F.col("vec").alias("rep"))
+    angle = member.where("saturated").join(rep.drop("g"), "component").select("component", "vec", "rep").mapInArrow(_angles, "component long, angle double")
+    rep = rep.join(angle.groupBy("component").agg((F.max("angle") + ANGLE).alias("reach")), "component")
+    nt = max(1, -(-n // FAR_ROWS))
+    nr = max(1, -(-member.where("saturated").select("component").distinct().count() // FAR_REPS))
+    block = lambda c, k: F.pmod(F.xxhash64(c), F.lit(k)).cast("int")
+    every = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    none = F.lit(None)
+    rows = member.select("g", "component", "v", "mult", "vec", "saturated", none.cast("double").alias("reach"), every(nr).alias("rb"), block("v", nt).alias("tb")) \
+        .union(rep.select("g", "component", none.cast("long"), none.cast("long"), "rep", none.cast("boolean"), "reach", block("component", nr), every(nt)))
+    return rows.groupBy("rb", "tb").applyInArrow(lambda g: _far(g), "v long, mult long, vec binary, saturated boolean, component long, home long")
+
+
+def _enlarged(nodes: DataFrame, n: int, links: DataFrame, comp: DataFrame, saturated: DataFrame, at: str) -> tuple[DataFrame, DataFrame]:
+    """Number of links (v, n) and component (id, component) of the vectors, with all links of the saturated ones."""
+    member = nodes.join(comp.withColumnRenamed("id", "v"), "v", "left").join(saturated, "v", "left") \
+        .select("g", "v", "mult", "vec", F.coalesce("component", "v").alias("component"), F.coalesce("saturated", F.lit(False)).alias("saturated"))
+    member = stage(member, f"{at}/members")
+    cols = ["component", "home", "v", "mult", "vec", "saturated"]
+    beyond = stage(_beyond(member, n), f"{at}/beyond").select(*cols)
+    blocks = lambda c: F.greatest(F.lit(1), F.ceil(c / BLOCK)).cast("int")
+    target = member.withColumn("home", F.col("component")).select(*cols).union(beyond)
+    asks = F.col("saturated") & (F.col("home") == F.col("component"))
+    size = target.groupBy("component").agg(blocks(F.sum(asks.cast("int"))).alias("nq"), blocks(F.count(F.lit(1))).alias("nt"),
+                                           F.max(asks).alias("any")).where("any")
+    dealt = target.join(size, "component")
+    mine = lambda c: F.pmod(F.xxhash64("v"), F.col(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    pairs = dealt.select(*cols, F.lit(False).alias("ask"), every("nq").alias("qb"), mine("nt").alias("tb")) \
+        .union(dealt.where(asks).select(*cols, F.lit(True), mine("nq"), every("nt")))
+    wide = stage(pairs.groupBy("component", "qb", "tb").applyInArrow(lambda g: _block_counts(g), "v long, n long, other long"), f"{at}/wide")
+    counted = wide.where("other is null").groupBy("v").agg(F.sum("n").alias("n"))
+    named = wide.where("other is not null and n is not null").select("v", "other")
+    listed = links.join(saturated.select(F.col("v").alias("u")), "u", "left_anti").union(named).distinct()
+    listed = listed.join(nodes.select("v", "mult"), "v").groupBy(F.col("u").alias("v")).agg(F.sum("mult").alias("n"))
+    more = wide.where("n is null").select(F.col("v").alias("a"), F.col("other").alias("b"))
+    if more.limit(1).count():
+        comp = stage(components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), f"{at}/cc"), f"{at}/component")
+    return counted.union(listed), comp
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
@@ -233,9 +323,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
     audit = nodes.select("v", "g", "vec").orderBy(F.xxhash64("v"), "v").limit(AUDIT).collect()
     ids = [r["v"] for r in audit]
-    truth = {r["v"]: r["n"] for r in nodes.select("v", "g", "vec").mapInArrow(
-        _truth(ids, [r["g"] for r in audit], [r["vec"] for r in audit]), "v long, n long").groupBy("v").agg(F.sum("n").alias("n")).collect()}
-    goal = sum(min(x, LIST) for x in truth.values())
+    truth = nodes.select("v", "g", "vec", "mult").mapInArrow(
+        _truth(ids, [r["g"] for r in audit], [r["vec"] for r in audit]), "v long, n long, copies long") \
+        .groupBy("v").agg(F.sum("n").alias("n"), F.sum("copies").alias("copies")).collect()
+    goal, all_ = sum(min(r["n"], LIST) for r in truth), sum(r["copies"] for r in truth)
     reach = F.size(F.filter("near", lambda x: x["sim"] >= THRESHOLD))
     for k in range(1, MAX_ROUNDS + 1):
         lists = stage(_round(lists, nodes), f"{at}/lists-{k}")
@@ -247,23 +338,10 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     links = stage(edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), f"{at}/links")
     comp = stage(components(links.where("u > v").select(F.col("u").alias("a"), F.col("v").alias("b")), f"{at}/cc"), f"{at}/component")
     saturated = lists.where((F.size("near") >= LIST) & (F.element_at("near", -1)["sim"] >= THRESHOLD)).select(F.col("u").alias("v"), F.lit(True).alias("saturated"))
-    member = nodes.join(comp.withColumnRenamed("id", "v"), "v").join(saturated, "v", "left") \
-        .select("v", "mult", "vec", "component", F.coalesce("saturated", F.lit(False)).alias("saturated"))
-    member = stage(member, f"{at}/members")
-    blocks = lambda c: F.greatest(F.lit(1), F.ceil(c / BLOCK)).cast("int")
-    size = member.groupBy("component").agg(blocks(F.sum(F.col("saturated").cast("int"))).alias("nq"), blocks(F.count(F.lit(1))).alias("nt"),
-                                           F.max("saturated").alias("any")).where("any")
-    dealt = member.join(size, "component")
-    mine = lambda c: F.pmod(F.xxhash64("v"), F.col(c)).cast("int")
-    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    cols = ["component", "v", "mult", "vec", "saturated"]
-    pairs = dealt.select(*cols, F.lit(False).alias("ask"), every("nq").alias("qb"), mine("nt").alias("tb")) \
-        .union(dealt.where("saturated").select(*cols, F.lit(True), mine("nq"), every("nt")))
-    wide = stage(pairs.groupBy("component", "qb", "tb").applyInArrow(lambda g: _block_counts(g), "v long, n long, other long"), f"{at}/wide")
-    counted = wide.where("other is null").groupBy("v").agg(F.sum("n").alias("n"))
-    listed = links.join(saturated.select(F.col("v").alias("u")), "u", "left_anti").union(wide.where("other is not null").select("v", "other")).distinct()
-    listed = listed.join(nodes.select("v", "mult"), "v").groupBy(F.col("u").alias("v")).agg(F.sum("mult").alias("n"))
-    total = counted.union(listed)
+    total, whole = _enlarged(nodes, n, links, comp, saturated, f"{at}/enlarged")
+    if (total.where(F.col("v").isin(ids)).agg(F.sum("n")).first()[0] or 0) < RECALL * all_:
+        total, whole = _enlarged(nodes, n, links, comp, nodes.select("v", F.lit(True).alias("saturated")), f"{at}/all")
+    comp = whole
 
     named = nodes.select("h1", "h2", "v", "mult").join(total, "v", "left").join(comp.withColumnRenamed("id", "v"), "v", "left") \
         .select("h1", "h2", (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("component", "v").alias("component"))

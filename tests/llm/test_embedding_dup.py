@@ -67,3 +67,24 @@ def test_edges(spark):
     got = sorted(map(tuple, near_vectors(df).collect()), key=str)
     assert got == sorted([(None, 3, 7, False), (None, 3, 7, False), (7, 3, 7, True), (7, 3, 7, True), (None, 0, None, True)], key=str)
     assert near_vectors(df.limit(0)).collect() == []
+
+
+def test_links_between_tight_groups(spark):
+    """Lists full of their own group hold no link to the group beside it; a lone vector and a chain of groups too."""
+    rng = np.random.RandomState(8)
+    axes = np.linalg.qr(rng.randn(64, 64))[0]
+    rows = []
+
+    def put(centre, size, noise):
+        for _ in range(size):
+            x = centre + noise * rng.randn(64) / 8
+            rows.append((len(rows), [float(y) for y in x], 1))
+    for _ in range(300):
+        put(rng.randn(64), 1, 0)
+    for turn in (0, .17, .34):  # next groups at cosine 0.985, the first and the last at 0.943
+        put(np.cos(turn) * axes[0] + np.sin(turn) * axes[1], 60, .02)
+    put(np.cos(.17) * axes[0] + np.sin(.17) * axes[2], 1, 0)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted(map(tuple, near_vectors(df).collect()))
+    want = brute(rows)
+    assert got == want and max(w[1] for w in want) >= 179
