@@ -121,11 +121,12 @@ def shard_quotas(quota: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, source: Column, size: Column, key: Column, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """(row, size, source_size, target, draws, taken) for every input row, the row itself as a struct.
+    """(row, size, source_size, target, draws, taken, start) for every input row, the row itself as a struct.
 
     ``draws`` lists what the mix takes of the row: shard, pass, block (of the source's
     stream), words, and ``place``, the key that orders the shard. ``taken`` sums the words;
     it never exceeds CAP times the size, and a source's sum is within one block of its target.
+    ``start`` is the row's first word in its source's stream.
 
     Null or empty text has size 0 and no draws; a null source is a source of its own, last in
     order; equal rows are separate documents next to each other in the stream; a source of
@@ -180,8 +181,24 @@ def mix(docs: DataFrame, source: Column, size: Column, key: Column, shards: int
 
     taken = F.when((F.col("size") > 0) & (F.col("quota") > 0), F.flatten(F.transform(mine, draws)))
     none = F.array().cast("array<struct<shard:int,pass:bigint,block:bigint,words:bigint,place:bigint>>")
-    out = docs_.select("row", "size", "source_size", "target", F.coalesce(taken, none).alias("draws"))
-    return out.withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"]))
+    out = docs_.select("row", "size", "source_size", "target", F.coalesce(taken, none).alias("draws"), "start")
+    return out.withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])) \
+        .select("row", "size", "source_size", "target", "draws", "taken", "start")
+
+
+def whole_copies(mixed: DataFrame, seed: int = SEED) -> DataFrame:
+    """Adds ``times``, how often the mix takes a document if it takes whole ones, to (row.source, size, source_size, target, start).
+
+    Every document comes once for each whole pass over its source; the rest of the target is a stretch of the stream
+    (a circle) from a hashed place, and takes the documents whose middle word lies in it. So each document of a
+    source has the same chance of one more copy, and a source's words are within one document of its target.
+    """
+    passes = F.floor(F.col("target") / F.col("source_size"))
+    rest = F.round(F.col("target") - passes * F.col("source_size"))
+    first = F.pmod(F.xxhash64(F.lit(seed), F.lit("rest"), F.col("row.source")), F.col("source_size"))
+    middle = F.col("start") + F.floor(F.col("size") / 2)
+    more = F.pmod(middle - first, F.col("source_size")) < rest
+    return mixed.withColumn("times", F.when(F.col("size") > 0, passes + more.cast("int")).otherwise(F.lit(0)).cast("int"))
 
 
 def shuffled_shards(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:

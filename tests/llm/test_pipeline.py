@@ -1,6 +1,9 @@
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from riskspark.llm.mixing import mix_documents
 
 
 def test_stages_keep_columns_and_take_effect(spark):
@@ -28,3 +31,21 @@ def test_stages_take_odd_rows(spark):
             got = f(spark, df, "").collect()
             if name == "near_dedup":
                 assert len(got) == (4 if df.count() else 0)
+
+
+def test_mix_meets_targets(spark):
+    """Kept words of each source against its target, with documents far longer and far shorter than a block."""
+    rng = random.Random(4)
+    for scale in (1, 40):  # total words under 65,536 (blocks of one word), and far over
+        rows = []
+        for s, n, sizes in (("a", 60, (300, 5)), ("b", 40, (150, 1)), ("c", 30, (90, 30, 2)), (None, 20, (200,)), ("hot", 120, (250, 1))):
+            rows += [(len(rows) + k if s != "b" else None, " ".join([f"w{k}"] * rng.choice(sizes)), "en", s, 0) for k in range(n * scale)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+        plan = {r["source"]: r for r in mix_documents(df).groupBy("row.source").agg(
+            F.first("target").alias("target"), F.first("source_size").alias("size"), F.max("size").alias("longest")).collect()}
+        words = F.size(F.split("text", " "))
+        got = P.mixed(spark, df, "").groupBy("source").agg(F.sum(words).alias("kept"), F.count(F.lit(1)).alias("n")).collect()
+        kept = {r["source"]: r["kept"] for r in got}
+        assert any(p["target"] % p["size"] / p["size"] < .5 for p in plan.values())
+        for s, p in plan.items():
+            assert abs(kept.get(s, 0) - p["target"]) <= p["longest"] + 1, (scale, s)
