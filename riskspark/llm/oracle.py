@@ -96,3 +96,61 @@ select w.doc_id, len(ws) as n_words, coalesce(len(ps), 0) as n_removed,
          as kept_sha256
 from w left join gone on gone.doc_id = w.doc_id
 """
+
+SQL["op12_prefix_trie"] = """
+with recursive bits(i, k, v) as (
+  select cast(i as bigint), 0, cast(i as bigint) from range(256) t(i)
+  union all select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+tab as (select list(v order by i) as tb from bits where k = 8),
+turns as (select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+            row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place
+          from conversations where conv_id is not null),
+convs as (select c, c - c % 5 as b, xor(list_reduce(list_prepend(cast(4294967295 as bigint),
+              list_transform(string_split(cast(c as varchar), ''), lambda x: cast(ascii(x) as bigint))),
+              lambda a, x: xor(a >> 8, tb[1 + (xor(a, x) & 255)])), 4294967295) % 9 as h
+          from (select distinct c from turns), tab),
+parts as (select convs.c, place, role, text from convs join turns on turns.c = convs.b and place < h
+          union all select convs.c, place, role, text from convs join turns on turns.c = convs.c and place >= h),
+seqs as (select convs.c, coalesce(s, []) as s from convs left join (
+           select c, list([role, text] order by place) as s from parts group by c) l on l.c = convs.c),
+prefixes as (select c, s, d, s[1:d] as k from (select c, s, unnest(range(0, len(s) + 1)) as d from seqs)),
+nodes as (select k, d, min(c) as conv_id, count(*) as n_convs,
+            sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (len(s) = d), '')) as ends_sha256
+          from prefixes group by k, d),
+kids as (select k[1:d - 1] as k, d - 1 as d, count(*) as n_children from nodes where d > 0 group by 1, 2),
+own as (select nodes.*, coalesce(n_children, 0) as n_children, case when d = 0 then 0 else (n_convs - 1) * strlen(k[d][2]) end as saved
+        from nodes left join kids using (k, d)),
+up as (select k[1:e] as k, e as d, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum(saved) as saved_tokens
+       from (select *, unnest(range(0, d + 1)) as e from own) group by 1, 2)
+select own.conv_id, own.d as depth, top.conv_id as parent_conv_id, own.n_convs, own.n_children,
+       cast(n_leaves as bigint) as n_leaves, cast(saved_tokens as bigint) as saved_tokens, own.ends_sha256
+from own join up using (k, d) left join nodes top on top.d = own.d - 1 and top.k = own.k[1:own.d - 1]
+"""
+
+SQL["op13_source_divergence"] = r"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as id, coalesce(text, '') as text
+           from documents),
+t as (select lang, source, id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+kept as (select lang, term from t group by lang, term having count(distinct id) >= 10),
+c as (select lang, source, term, count(*) as n from t join kept using (lang, term) group by all),
+v as (select lang, count(*) as v from kept group by lang),
+g as (select distinct lang, source from d),
+gn as (select g.lang, g.source, cast(coalesce(sum(n), 0) as hugeint) as n from g left join c using (lang, source) group by all),
+ln as (select lang, sum(n) as n from gn group by lang),
+p as (select gn.lang, gn.source, kept.term, coalesce(c.n, 0) as cnt,
+        1 + cast(1000000000 as hugeint) * (coalesce(c.n, 0) + 2) // (gn.n + 2 * v.v) as p
+      from gn join kept on gn.lang = kept.lang join v on v.lang = gn.lang
+      left join c on c.lang = gn.lang and c.source = gn.source and c.term = kept.term),
+lp as (select kept.lang, kept.term, 1 + cast(1000000000 as hugeint) * (sum(c.n) + 2) // (any_value(ln.n) + 2 * any_value(v.v)) as q
+       from kept join c using (lang, term) join ln on ln.lang = kept.lang join v on v.lang = kept.lang group by all),
+pair as (select a.lang, a.source, b.source as item from g a join g b on a.lang = b.lang and a.source <> b.source),
+pv as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+       from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+r as (select lang, source, 'pair' as part, item, cast(coalesce(value, 0) as bigint) as value from pair left join pv using (lang, source, item)
+      union all
+      select p.lang, p.source, 'term', term, cast((p - q) * (p - q) // (p + q) as bigint)
+      from p join lp using (lang, term) where cnt > 0 and p > q),
+k as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from r)
+select lang, source, part, item, value, rank from k where part = 'pair' or rank <= 10
+"""

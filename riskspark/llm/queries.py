@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from riskspark.llm.bpe_chunks import encode_digests
 from riskspark.llm.common import stage, stage_dir, table
 from riskspark.llm.embedding_dup import near_vectors
+from riskspark.llm.language_id import identify
 from riskspark.llm.line_dedup import host_of, line_dedup, page_text
 from riskspark.llm.mixing import mix_documents
 from riskspark.llm.near_dup import near_duplicates
 from riskspark.llm.pii import personal_data
+from riskspark.llm.prefix_trie import prefix_trie
 from riskspark.llm.quality_model import classify
 from riskspark.llm.quality_rules import quality_rules
+from riskspark.llm.source_divergence import source_divergence
 from riskspark.llm.substring_dedup import substring_dedup
 from riskspark.llm.token_files import read_token_files, write_token_files
 from riskspark.llm.tokens import vocabulary
@@ -68,6 +71,18 @@ def op10_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_substring_dedup": op2_substring_dedup,
@@ -79,4 +94,7 @@ QUERIES = {
     "op8_semi_crf_pii": op8_semi_crf_pii,
     "op9_line_dedup": op9_line_dedup,
     "op10_nn_descent": op10_nn_descent,
+    "op11_language_id": op11_language_id,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_divergence": op13_source_divergence,
 }
