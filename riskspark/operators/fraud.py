@@ -1,21 +1,20 @@
 """Fraud behaviour features (O-23..O-29, O-33, O-34).
 
-Per-row sequence features use the skew-safe two-level helpers in
-``riskspark.functions.running`` (work is split per user-day, never per whole user).
+Per-row sequence features come from one segmented scan (``riskspark.functions.segscan``): rows
+range-partitioned by (user, time), so the rows of any user are spread evenly over the tasks.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions import running as RW
+from riskspark.functions.segscan import DAY_US, HOUR_US, scan, ts_micros
 
-HOUR_US = 3_600_000_000
 MINUTE_US = 60_000_000
-DAY_US = RW.DAY_US
 
 # ---- fixed values (rule context parameters of the baseline rule set) -----------------
 VELOCITY_WINDOW_MINUTES = 30
@@ -25,7 +24,7 @@ VELOCITY_MULTIPLIER = 3.5
 
 
 def with_ts_us(df: DataFrame, ts: str = "ts", out: str = "ts_us") -> DataFrame:
-    return df if out in df.columns else df.withColumn(out, RW.ts_micros(ts))
+    return df if out in df.columns else df.withColumn(out, ts_micros(ts))
 
 
 def parse_window(w: str) -> int:
@@ -38,100 +37,114 @@ def parse_window(w: str) -> int:
     return int(float(s) * 1_000_000)
 
 
-def exact_money(c) -> Column:
-    """Amounts as decimal(20,2): window sums built from prefix differences stay exact."""
+def cents(c) -> Column:
+    """Amounts as whole cents: running sums that add and take away stay exact."""
     c = F.col(c) if isinstance(c, str) else c
-    return c.cast("decimal(20,2)")
+    return (c.cast("decimal(20,2)") * 100).cast("bigint")
+
+
+def _money(c: str) -> Column:
+    return F.col(c) / F.lit(100.0)
 
 
 def _spike(short_sum: Column, base_sum: Column, base_cnt: Column, multiplier: float) -> Column:
     # short > m * (base_sum / base_cnt)  <=>  short * base_cnt > m * base_sum  (base_cnt > 0),
-    # evaluated in exact decimal arithmetic; no baseline -> false.
-    m = F.lit(Decimal(str(multiplier)))
-    return F.coalesce(F.when(base_cnt > 0, short_sum * base_cnt > m * base_sum), F.lit(False))
+    # in whole numbers of any size; no baseline -> false.
+    m = Fraction(Decimal(str(multiplier)))
+    wide = lambda c, k: c.cast("decimal(19,0)") * F.lit(k).cast("decimal(6,0)")
+    left = (wide(short_sum, m.denominator).cast("decimal(25,0)") * base_cnt.cast("decimal(13,0)"))
+    return F.coalesce(F.when(base_cnt > 0, left > wide(base_sum, m.numerator)), F.lit(False))
+
+
+def _mismatch(known: Column, country: Column, home: Column) -> Column:
+    """A NULL on either side counts as a mismatch; without an earlier row there is none."""
+    return F.coalesce(known & (country.isNull() | home.isNull() | (country != home)), F.lit(False))
 
 
 def rolling_amount(txn: DataFrame, window: str = "1h", user: str = "user_id", ts: str = "ts",
                    tx_id: str = "transaction_id", amount: str = "amount",
                    out: str = "rolling_amount_last_1h", positional: int | None = None,
-                   hot_threshold: int | None = None) -> DataFrame:
+                   parts: int | None = None) -> DataFrame:
     """O-23: sum of the user's amounts over the half-open window (ts - w, ts] (peers
     with the same ts included); ``positional`` sums the last so many rows by (ts, id)
-    instead, whatever their times."""
+    instead, whatever their times. ``parts`` tasks share the rows evenly."""
+    d = with_ts_us(txn, ts)
     if positional:
-        rows = Window.partitionBy(user).orderBy(ts, tx_id, amount).rowsBetween(1 - positional, 0)
-        return txn.withColumn(out, F.sum(exact_money(amount)).over(rows).cast("double"))
-    w = parse_window(window)
-    d = with_ts_us(txn, ts).withColumn("_amt", exact_money(amount))
-    r = RW.range_window_sums(d, user, "ts_us", tx_id, "_amt", {"_roll": (-(w - 1), 0)}, hot_threshold=hot_threshold)
-    return r.withColumn(out, F.col("_roll_sum").cast("double")).drop("_roll_sum", "_roll_cnt", "_amt")
+        r = scan(d, user, "ts_us", [tx_id], units=cents(amount), last_rows=positional, parts=parts)
+        return r.withColumn(out, _money("rows_sum")).drop("rows_sum")
+    r = scan(d, user, "ts_us", [tx_id], units=cents(amount), frames={"_roll": (1 - parse_window(window), 0)}, parts=parts)
+    return r.withColumn(out, _money("_roll_sum")).drop("_roll_sum", "_roll_cnt")
 
 
 def velocity_spike(txn: DataFrame, window_minutes: int = VELOCITY_WINDOW_MINUTES,
                    baseline_days: int = VELOCITY_BASELINE_DAYS, multiplier: float = VELOCITY_MULTIPLIER,
                    user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                   amount: str = "amount", hot_threshold: int | None = None) -> DataFrame:
+                   amount: str = "amount", parts: int | None = None) -> DataFrame:
     """O-24: spike = sum(amount) over (ts - 30m, ts] > multiplier x avg(amount) over
     [ts - 14d, ts - 30m]; no baseline rows -> false."""
-    w = window_minutes * MINUTE_US
-    b = baseline_days * DAY_US
-    d = with_ts_us(txn, ts).withColumn("_amt", exact_money(amount))
-    r = RW.range_window_sums(d, user, "ts_us", tx_id, "_amt",
-                             {"_short": (-(w - 1), 0), "_base": (-b, -w)}, hot_threshold=hot_threshold)
-    base_avg = F.when(F.col("_base_cnt") > 0, F.col("_base_sum").cast("double") / F.col("_base_cnt"))
-    return (r.withColumn("amount_30m", F.col("_short_sum").cast("double"))
+    w, b = window_minutes * MINUTE_US, baseline_days * DAY_US
+    r = scan(with_ts_us(txn, ts), user, "ts_us", [tx_id], units=cents(amount),
+             frames={"_short": (1 - w, 0), "_base": (-b, -w)}, parts=parts)
+    base_avg = F.when(F.col("_base_cnt") > 0, _money("_base_sum") / F.col("_base_cnt"))
+    return (r.withColumn("amount_30m", _money("_short_sum"))
              .withColumn("baseline_avg", base_avg)
              .withColumn("velocity_spike", _spike(F.col("_short_sum"), F.col("_base_sum"), F.col("_base_cnt"),
                                                   multiplier))
-             .drop("_short_sum", "_short_cnt", "_base_sum", "_base_cnt", "_amt"))
+             .drop("_short_sum", "_short_cnt", "_base_sum", "_base_cnt"))
 
 
 def geo_mismatch(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                 country: str = "country", hot_list=False, hot_threshold: int | None = None,
-                 profiles: DataFrame | None = None, profile_country: str = "home_country") -> DataFrame:
+                 country: str = "country", profiles: DataFrame | None = None, profile_country: str = "home_country",
+                 parts: int | None = None) -> DataFrame:
     """O-28 / O-25: ``home_country`` = modal country of the user's earlier rows (ties ->
     earliest first seen), or, where ``profiles`` (one row per user) is given, the country of
     the user's profile; ``geo_location_mismatch`` = country differs from it (a NULL on
-    either side counts as a mismatch); the user's first row is false."""
+    either side counts as a mismatch); the user's first row, or one without a profile, is false."""
     d = with_ts_us(txn, ts)
     if profiles is not None:
         known = profiles.select(F.col(user).alias("_pu"), F.col(profile_country).alias("home_country"))
-        r = d.join(known, d[user].eqNullSafe(known["_pu"]), "left").drop("_pu").withColumn("_has_prior", F.col("home_country").isNotNull())
+        r = d.join(known, d[user].eqNullSafe(known["_pu"]), "left").drop("_pu")
+        has = F.col("home_country").isNotNull()
     else:
-        r = RW.prior_mode(d, user, "ts_us", tx_id, country, out="home_country", has_prior="_has_prior", hot_list=hot_list,
-                          hot_threshold=hot_threshold)
-    mism = F.col("_has_prior") & (F.col(country).isNull() | F.col("home_country").isNull()
-                                  | (F.col(country) != F.col("home_country")))
-    return r.withColumn("geo_location_mismatch", F.coalesce(mism, F.lit(False))).drop("_has_prior")
+        r = scan(d, user, "ts_us", [tx_id], mode=country, parts=parts).withColumnRenamed("mode", "home_country")
+        has = F.col("has_mode")
+    return r.withColumn("geo_location_mismatch", _mismatch(has, F.col(country), F.col("home_country"))).drop("has_mode")
 
 
 def device_changes(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-                   device: str = "device_id", hot_threshold: int | None = None) -> DataFrame:
+                   device: str = "device_id", parts: int | None = None) -> DataFrame:
     """O-27: changed = the user has an earlier row AND (either device NULL or they differ)."""
-    d = with_ts_us(txn, ts)
-    r = RW.previous_value(d, user, "ts_us", tx_id, device, out="_prev_dev", has_prev="_has_prev",
-                          hot_threshold=hot_threshold)
-    ch = F.col("_has_prev") & (F.col(device).isNull() | F.col("_prev_dev").isNull()
-                               | (F.col(device) != F.col("_prev_dev")))
-    return r.withColumn("device_changed", F.coalesce(ch, F.lit(False))).drop("_prev_dev", "_has_prev")
+    r = scan(with_ts_us(txn, ts), user, "ts_us", [tx_id], prev=device, parts=parts)
+    text = F.col(device).cast("string")
+    return r.withColumn("device_changed", _mismatch(F.col("has_prev"), text, F.col("prev"))).drop("prev", "has_prev")
 
 
 def new_device(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
-               device: str = "device_id", hot_threshold: int | None = None) -> DataFrame:
+               device: str = "device_id", parts: int | None = None) -> DataFrame:
     """O-26: ``device_is_new`` on the first row (by (ts, id)) of each (user, device);
     a NULL device is one unknown device."""
-    d = with_ts_us(txn, ts)
-    return RW.first_seen(d, [user, device], "ts_us", tx_id, out="device_is_new", hot_threshold=hot_threshold)
+    return scan(with_ts_us(txn, ts), user, "ts_us", [tx_id], first=device, parts=parts).withColumnRenamed("first", "device_is_new")
 
 
 def user_avg_amount(txn: DataFrame, user: str = "user_id", amount: str = "amount",
                     out: str = "avg_amount_user", as_of: str | None = None, ts: str = "ts") -> DataFrame:
     """O-29: the user's mean amount on every row (aggregate + join, no per-user window);
     ``as_of`` (a timestamp literal) takes the mean over rows before it only."""
+    value = F.col(amount)
     if as_of:
-        amount_ = F.when(F.col(ts) < F.lit(as_of).cast(txn.schema[ts].dataType), F.col(amount))
-        return RW.key_aggregate(txn, [user], [F.avg(amount_).alias(out)])
-    return RW.key_aggregate(txn, [user], [F.avg(F.col(amount)).alias(out)])
+        value = F.when(F.col(ts) < F.lit(as_of).cast(txn.schema[ts].dataType), value)
+    mean = txn.groupBy(F.col(user).alias("_mu")).agg(F.avg(value).alias(out))
+    return txn.join(mean, txn[user].eqNullSafe(mean["_mu"]), "left").drop("_mu")
+
+
+def user_prior_avg_amount(txn: DataFrame, user: str = "user_id", amount: str = "amount", ts: str = "ts",
+                          tx_id: str = "transaction_id", out: str = "avg_amount_before", parts: int | None = None) -> DataFrame:
+    """O-29, per row: the mean of the user's amounts at times strictly before the row's own, in whole
+    cents; NULL where there is none. A row without a time has the user's rows without one."""
+    ever = 1 << 60
+    r = scan(with_ts_us(txn, ts), user, "ts_us", [tx_id], units=cents(amount), frames={"_before": (-ever, -1)}, parts=parts)
+    return r.withColumn(out, F.when(F.col("_before_cnt") > 0, _money("_before_sum") / F.col("_before_cnt"))) \
+        .drop("_before_sum", "_before_cnt")
 
 
 def user_daily_velocity(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
@@ -157,71 +170,23 @@ def merchant_chargeback_rate(txn: DataFrame, merchant: str = "merchant_id",
 
 def fraud_context(txn: DataFrame, user: str = "user_id", ts: str = "ts", tx_id: str = "transaction_id",
                   amount: str = "amount", country: str = "country", device: str = "device_id",
-                  hot_threshold: int | None = None) -> DataFrame:
+                  parts: int | None = None) -> DataFrame:
     """Rule context for every transaction: rolling 1h amount, velocity spike, home country /
     geo mismatch, new device, user mean amount.
 
-    The users are split once by the hot-key list. Ordinary users get every feature from
-    windows over one hash exchange on the user (all windows partition by the user, or
-    the user plus one more column, so the exchange is shared). Hot users take the
-    two-level per user-hour helpers, one after the other. The two parts are unioned and
-    hold every input row once, whatever ids or times repeat or are missing.
+    All features come from one scan: the rows are exchanged once, by ranges of (user, time), and
+    every input row comes back once, whatever ids or times repeat or are missing.
     """
-    d = with_ts_us(txn, ts)
-    hot = RW.hot_keys(d, user, hot_threshold)
-    hot_rows, rest = RW.split_hot(d, user, hot=hot)
-    plain = _context_plain(rest, user, tx_id, amount, country, device)
-    blocked = _context_two_level(hot_rows, user, tx_id, amount, country, device)
-    return plain.unionByName(blocked.select(*plain.columns))
-
-
-def _context_plain(d: DataFrame, user: str, tx_id: str, amount: str, country: str, device: str) -> DataFrame:
-    w30 = VELOCITY_WINDOW_MINUTES * MINUTE_US
-    amt = exact_money(amount)
-    wt = Window.partitionBy(user).orderBy("ts_us")
-    s_roll = F.sum(amt).over(wt.rangeBetween(-(HOUR_US - 1), 0))
-    s30 = F.sum(amt).over(wt.rangeBetween(-(w30 - 1), 0))
-    base = wt.rangeBetween(-VELOCITY_BASELINE_DAYS * DAY_US, -w30)
-    bsum, bcnt = F.sum(amt).over(base), F.count(amt).over(base)
-    order = [F.col("ts_us"), F.col(tx_id)]
-    v = F.coalesce(F.col(country).cast("string"), F.lit(RW.NULL_KEY))
-    by_value = [*order, v]
-    out = d.withColumns({
-        "rolling_amount_last_1h": s_roll.cast("double"),
-        "velocity_spike": _spike(s30, bsum, bcnt, VELOCITY_MULTIPLIER),
-        "_v": v,
-        "device_is_new": F.row_number().over(Window.partitionBy(user, device).orderBy(*order)) == 1,
-        "avg_amount_user": F.avg(F.col(amount)).over(Window.partitionBy(user)),
-    })
-    out = out.withColumns({
-        "_k": F.row_number().over(Window.partitionBy(user, "_v").orderBy(*order)),
-        "_fp": F.min(F.struct(*order, F.col("_v"))).over(Window.partitionBy(user, "_v")),
-    })
-    out = out.withColumn("_fr", F.dense_rank().over(Window.partitionBy(user).orderBy("_fp")))
-    prior = Window.partitionBy(user).orderBy(*by_value).rowsBetween(Window.unboundedPreceding, -1)
-    out = out.withColumn("_best", F.max(F.struct(F.col("_k").alias("k"), (-F.col("_fr")).alias("nf"),
-                                                 F.col("_v").alias("v"))).over(prior))
-    home = F.when(F.col("_best.v") == F.lit(RW.NULL_KEY), F.lit(None).cast("string")).otherwise(F.col("_best.v"))
-    out = out.withColumn("home_country", home)
-    mism = F.col("_best").isNotNull() & (F.col(country).isNull() | F.col("home_country").isNull()
-                                         | (F.col(country) != F.col("home_country")))
-    return out.withColumn("geo_location_mismatch", F.coalesce(mism, F.lit(False))) \
-              .drop("_v", "_k", "_fp", "_fr", "_best")
-
-
-def _context_two_level(d: DataFrame, user: str, tx_id: str, amount: str, country: str, device: str) -> DataFrame:
-    """The same features from the two-level helpers; each passes its rows on, so nothing is joined back by id."""
     w30 = VELOCITY_WINDOW_MINUTES * MINUTE_US
-    out = RW.range_window_sums(
-        d.withColumn("_amt", exact_money(amount)), user, "ts_us", tx_id, "_amt",
-        {"_roll": (-(HOUR_US - 1), 0), "_short": (-(w30 - 1), 0), "_base": (-VELOCITY_BASELINE_DAYS * DAY_US, -w30)},
-        hot_list=None)
-    out = out.withColumn("rolling_amount_last_1h", F.col("_roll_sum").cast("double")) \
-        .withColumn("velocity_spike", _spike(F.col("_short_sum"), F.col("_base_sum"), F.col("_base_cnt"), VELOCITY_MULTIPLIER)) \
-        .drop("_amt", *[f"{p}_{x}" for p in ("_roll", "_short", "_base") for x in ("sum", "cnt")])
-    out = geo_mismatch(out, user, "ts_us", tx_id, country, hot_list=None)
-    out = RW.first_seen(out, [user, device], "ts_us", tx_id, out="device_is_new", hot_list=None)
-    return RW.key_aggregate(out, [user], [F.avg(F.col(amount)).alias("avg_amount_user")])
+    frames = {"_roll": (1 - HOUR_US, 0), "_short": (1 - w30, 0), "_base": (-VELOCITY_BASELINE_DAYS * DAY_US, -w30)}
+    r = scan(with_ts_us(txn, ts), user, "ts_us", [tx_id], units=cents(amount), frames=frames, mode=country, first=device,
+             total=F.avg(F.col(amount)), parts=parts)
+    return r.withColumns({
+        "rolling_amount_last_1h": _money("_roll_sum"),
+        "velocity_spike": _spike(F.col("_short_sum"), F.col("_base_sum"), F.col("_base_cnt"), VELOCITY_MULTIPLIER),
+        "geo_location_mismatch": _mismatch(F.col("has_mode"), F.col(country), F.col("mode")),
+    }).withColumnsRenamed({"mode": "home_country", "first": "device_is_new", "total": "avg_amount_user"}) \
+        .drop("has_mode", *[f"{f}_{x}" for f in frames for x in ("sum", "cnt")])
 
 
 def signup_account_age(txn: DataFrame, events: DataFrame, user: str = "user_id", ts: str = "ts",

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions import running as RW
+from riskspark.functions.segscan import scan
 
 
 def expect_exists(column: str) -> dict:
@@ -184,9 +184,9 @@ def monotonic_and_enum(df: DataFrame, key: str, ts: str, tx_id: str, enum_col: s
                        allowed: Sequence[str]) -> DataFrame:
     """O-104: rows whose ts goes backwards within the key in arrival (id) order, and rows
     with an enum value outside ``allowed``; one aggregate."""
-    # previous row in arrival order, per (key, id block): skew-safe lag
-    d = RW.previous_value(df, key, tx_id, tx_id, ts, block_us=1_000_000, out="_prev_ts", has_prev="_hp")
-    d = d.withColumn("_back", F.col(ts) < F.col("_prev_ts"))
+    # previous row in arrival order: the ids take the place of the times in the scan
+    d = scan(df, key, tx_id, [tx_id], prev=ts)
+    d = d.withColumn("_back", F.col(ts) < F.col("prev").cast(df.schema[ts].dataType))
     return d.agg(F.count_if(F.coalesce(F.col("_back"), F.lit(False))).alias("non_monotonic_rows"),
                  F.count_if(~F.coalesce(F.col(enum_col).isin(list(allowed)), F.lit(False))).alias("bad_enum_rows"),
                  F.count(F.lit(1)).alias("rows"))

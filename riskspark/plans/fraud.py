@@ -12,16 +12,18 @@ from riskspark.plans.common import date_str, final
 from riskspark.sources import tables as T
 
 AB_PERCENT = 10
+#: Partitions of the ``hot_*`` queries: so many that the rows of one user lie in several.
+HOT_PARTS = 48
 
 
 def txn(spark: SparkSession, sf: str) -> DataFrame:
     return T.txn(spark, sf)
 
 
-def score_log(spark: SparkSession, sf: str, hot_threshold: int | None = None) -> DataFrame:
+def score_log(spark: SparkSession, sf: str, parts: int | None = None) -> DataFrame:
     """Decision log derived from the transactions: rule
     context -> structured rules -> model score -> decision, with arm, latency, label."""
-    ctx = FR.fraud_context(txn(spark, sf), hot_threshold=hot_threshold)
+    ctx = FR.fraud_context(txn(spark, sf), parts=parts)
     ctx = RU.evaluate_structured(ctx)
     ctx = ctx.withColumns({
         "proba": F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("amount") - F.lit(6000.0)) / F.lit(2000.0))),
@@ -85,6 +87,27 @@ def user_avg_amount(spark, sf):
     return final(r.select("transaction_id", "user_id", "avg_amount_user"), ratios=["avg_amount_user"])
 
 
+def rolling_amount_last_3(spark, sf):
+    """O-23, positional: the sum over the user's last three rows, whatever their times."""
+    r = FR.rolling_amount(txn(spark, sf), positional=3, out="rolling_amount_last_3")
+    return final(r.select("transaction_id", "user_id", "rolling_amount_last_3"), money=["rolling_amount_last_3"])
+
+
+def geo_mismatch_profiles(spark, sf):
+    """O-25 from profiles: the home country is that of the user's account (a nation of the user's number; one in ten has none)."""
+    t = txn(spark, sf)
+    home = F.when(F.col("user_id") % 10 != 0, F.element_at(F.array(*[F.lit(c) for c in ("US", "GB", "CA", "IN")]), (F.col("user_id") % 4 + 1).cast("int")))
+    profiles = t.select("user_id", home.alias("home_country")).distinct()
+    r = FR.geo_mismatch(t, profiles=profiles)
+    return r.select("transaction_id", "user_id", "country", "home_country", "geo_location_mismatch")
+
+
+def user_prior_avg_amount(spark, sf):
+    """O-29, as of each row: the mean of the user's earlier amounts."""
+    r = FR.user_prior_avg_amount(txn(spark, sf))
+    return final(r.select("transaction_id", "user_id", "avg_amount_before"), ratios=["avg_amount_before"])
+
+
 def user_daily_velocity(spark, sf):
     r = FR.user_daily_velocity(txn(spark, sf))
     r = r.withColumn("date", date_str("date"))
@@ -95,37 +118,37 @@ def merchant_chargeback_rate(spark, sf):
     return final(FR.merchant_chargeback_rate(txn(spark, sf)), ratios=["merchant_chargeback_rate"])
 
 
-# ---- the same features with every user on the path for hot keys ------------------------
+# ---- the same features with users spread over many partitions --------------------------
 
 def hot_rolling_amount_1h(spark, sf):
-    r = FR.rolling_amount(txn(spark, sf), "1h", hot_threshold=0)
+    r = FR.rolling_amount(txn(spark, sf), "1h", parts=HOT_PARTS)
     return final(r.select("transaction_id", "user_id", "rolling_amount_last_1h"), money=["rolling_amount_last_1h"])
 
 
 def hot_velocity_spike(spark, sf):
-    r = FR.velocity_spike(txn(spark, sf), hot_threshold=0)
+    r = FR.velocity_spike(txn(spark, sf), parts=HOT_PARTS)
     return final(r.select("transaction_id", "user_id", "amount_30m", "baseline_avg", "velocity_spike"),
                  money=["amount_30m"], ratios=["baseline_avg"])
 
 
 def hot_geo_mismatch(spark, sf):
-    r = FR.geo_mismatch(txn(spark, sf), hot_threshold=0)
+    r = FR.geo_mismatch(txn(spark, sf), parts=HOT_PARTS)
     return r.select("transaction_id", "user_id", "country", "home_country", "geo_location_mismatch")
 
 
 def hot_new_device(spark, sf):
-    r = FR.new_device(txn(spark, sf), hot_threshold=0)
+    r = FR.new_device(txn(spark, sf), parts=HOT_PARTS)
     return r.select("transaction_id", "user_id", "device_id", "device_is_new")
 
 
 def hot_device_changes(spark, sf):
-    r = FR.device_changes(txn(spark, sf), hot_threshold=0)
+    r = FR.device_changes(txn(spark, sf), parts=HOT_PARTS)
     return r.select("transaction_id", "user_id", "device_id", "device_changed")
 
 
 def hot_final_decisions(spark, sf):
-    """Rule context through the hot path, then rules and decision."""
-    r = score_log(spark, sf, hot_threshold=0)
+    """Rule context over many small partitions, then rules and decision."""
+    r = score_log(spark, sf, parts=HOT_PARTS)
     return final(r.select("transaction_id", "arm", "proba", "rules_count", "decision"), ratios=["proba"], longs=["rules_count"])
 
 

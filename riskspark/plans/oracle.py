@@ -216,6 +216,22 @@ FROM (SELECT *, lag(device_id) OVER w AS prev, row_number() OVER w AS rn FROM tx
       WINDOW w AS (PARTITION BY user_id ORDER BY ts, transaction_id))
 GROUP BY 1, 2"""
 
+Q["rolling_amount_last_3"] = with_(TXN) + """
+SELECT transaction_id, user_id, round(CAST(sum(CAST(amount AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, transaction_id
+         ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE), 2) AS rolling_amount_last_3
+FROM txn"""
+
+Q["geo_mismatch_profiles"] = with_(TXN) + """,
+p AS (SELECT *, CASE WHEN user_id % 10 <> 0 THEN ['US', 'GB', 'CA', 'IN'][CAST(user_id % 4 + 1 AS INTEGER)] END AS home_country FROM txn)
+SELECT transaction_id, user_id, country, home_country,
+       coalesce(home_country IS NOT NULL AND (country IS NULL OR country <> home_country), false) AS geo_location_mismatch
+FROM p"""
+
+Q["user_prior_avg_amount"] = with_(TXN) + """
+SELECT transaction_id, user_id, round(CAST(sum(CAST(amount AS DECIMAL(18,2))) OVER w AS DOUBLE) / nullif(count(amount) OVER w, 0), 6)
+         AS avg_amount_before
+FROM txn WINDOW w AS (PARTITION BY user_id ORDER BY epoch_us(ts) RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+
 Q["merchant_chargeback_rate"] = with_(TXN) + """
 SELECT merchant_id, count(*) AS txn_count, CAST(sum(is_chargeback) AS BIGINT) AS chargeback_count,
        round(CAST(sum(is_chargeback) AS DOUBLE) / count(*), 6) AS merchant_chargeback_rate

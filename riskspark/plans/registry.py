@@ -23,6 +23,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_mismatch": fraud.geo_mismatch,
     "new_device": fraud.new_device,
     "device_changes": fraud.device_changes,
+    "rolling_amount_last_3": fraud.rolling_amount_last_3,
+    "geo_mismatch_profiles": fraud.geo_mismatch_profiles,
+    "user_prior_avg_amount": fraud.user_prior_avg_amount,
     "hot_rolling_amount_1h": fraud.hot_rolling_amount_1h,
     "hot_velocity_spike": fraud.hot_velocity_spike,
     "hot_geo_mismatch": fraud.hot_geo_mismatch,

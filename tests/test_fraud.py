@@ -90,15 +90,24 @@ def test_arm_buckets(spark):
     assert got[""][1] == "prod"
 
 
-def test_fraud_context_paths_agree(spark):
-    """Plain (one user exchange) and two-level paths give identical context rows."""
+def test_fraud_context_partitions_agree(spark):
+    """One partition and many give identical context rows."""
     from riskspark.sources import tables as T
 
     tx = T.txn(spark, "/root/testdata/sf0.001")
     cols = ["transaction_id", "rolling_amount_last_1h", "velocity_spike", "home_country", "geo_location_mismatch",
             "device_is_new", "avg_amount_user"]
-    a = {r.transaction_id: tuple(r) for r in FR.fraud_context(tx, hot_threshold=10**9).select(*cols).collect()}
-    b = {r.transaction_id: tuple(r) for r in FR.fraud_context(tx, hot_threshold=0).select(*cols).collect()}
-    c = {r.transaction_id: tuple(r) for r in FR.fraud_context(tx, hot_threshold=5).select(*cols).collect()}
+    a, b, c = ({r.transaction_id: tuple(r) for r in FR.fraud_context(tx, parts=p).select(*cols).collect()} for p in (1, 7, 64))
     assert len(a) == tx.count()
     assert a == b == c
+
+
+def test_positional_profiles_and_prior_average(spark):
+    d = tx(spark)
+    last2 = {r.transaction_id: r.rolling_amount_last_1h for r in FR.rolling_amount(d, positional=2).collect()}
+    assert last2 == {"T1": 120.5, "T2": 200.5, "T3": 15.75, "T4": 580.0, "T5": 56.0}
+    profiles = spark.createDataFrame([("U1", "CA")], "user_id string, home_country string")
+    geo = {r.transaction_id: (r.home_country, r.geo_location_mismatch) for r in FR.geo_mismatch(d, profiles=profiles).collect()}
+    assert geo == {"T1": ("CA", True), "T2": ("CA", True), "T3": (None, False), "T4": ("CA", False), "T5": (None, False)}
+    before = {r.transaction_id: r.avg_amount_before for r in FR.user_prior_avg_amount(d).collect()}
+    assert before == {"T1": None, "T2": 120.5, "T3": None, "T4": 100.25, "T5": 15.75}
