@@ -2,9 +2,9 @@
 
 Two rule dialects share one evaluator:
 
-* flat   ``[{name, condition, action}]``: ``condition`` is a boolean SQL expression over
+* flat   ``[{name, condition, action}]``: ``condition`` is a boolean expression over
   the frame's columns (``amount > 5000 and account_age < 30``). A rule whose columns do
-  not resolve evaluates to 0, as does a NULL comparison.
+  not resolve evaluates to 0, as does a NULL comparison and a row on which it fails.
 * structured ``{defaults, rules: [{id, enabled, params, when: {all|any: [...]}, effect}]}``:
   each condition is ``<operand> <op> <operand>`` with operands ``tx.<col>``,
   ``ctx.<col>``, ``params.<name>`` or a literal, and ops ``>= > <= < == != in``. The
@@ -25,6 +25,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.functions.conditions import condition
+
 # ---- fixed values --------------------------------------------------------------------
 SEVERITY_RANK = {"low": 1, "medium": 2, "high": 3}
 FLAGGED_DECISIONS = ["block", "review", "manual_review"]
@@ -118,7 +120,10 @@ def compile_structured(rules: Mapping[str, Any], df: DataFrame | None = None) ->
         text = condition_sql(c, params)
         if cols is not None and any(n.lower() not in cols for n in re.findall(r"`([^`]+)`", text)):
             return F.lit(False)
-        return F.expr(text)
+        if df is None:
+            return F.expr(text)
+        found = condition(df, text)
+        return F.lit(False) if found is None else found
 
     out = []
     for r in rules.get("rules") or []:
@@ -167,46 +172,16 @@ def evaluate_structured(df: DataFrame, rules: Mapping[str, Any] = BASELINE_RULES
                            "severity": F.when(rank.isNotNull(), sev), "reasons": reasons})
 
 
-def resolved(df: DataFrame, text: str) -> Column | None:
-    """A boolean condition as Spark itself analyses it over the frame's columns, or None when it
-    cannot (syntax, unknown name or function, types). No job runs: analysis is on an empty
-    frame of the same schema. Run-time errors (a bad cast, a division by zero) give NULL, since
-    the condition is evaluated without ANSI errors where Spark has a ``try`` form of it."""
-    empty = df.sparkSession.createDataFrame([], df.schema)
-    text_cols = {f.name.lower() for f in df.schema.fields if f.dataType.typeName() == "string"}
-    for t in (_try_forms(text, text_cols), text):
-        try:
-            probe = empty.select(F.expr(t).alias("c"))
-            kind = probe.schema["c"].dataType.typeName()
-            cond = F.expr(t)
-            return cond if kind == "boolean" else cond.try_cast("boolean") if kind in _TO_BOOLEAN else None
-        except Exception:  # noqa: BLE001 - whatever analysis finds wrong, the rule gives 0
-            continue
-    return None
-
-
-_TO_BOOLEAN = ("string", "byte", "short", "integer", "long", "float", "double", "decimal", "void")
-_COMPARED = re.compile(r"(`[^`]+`|\b[A-Za-z_]\w*\b)\s*(<=|>=|<>|!=|<|>|==?)\s*(-?\d+(?:\.\d+)?)(?![\w.])")
-
-
-def _try_forms(text: str, text_cols: set[str]) -> str:
-    """Text columns compared with numbers through ``try_cast``; casts as ``try_cast``. Quoted text stays."""
-    parts = re.split(r"('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\")", text)
-    for k in range(0, len(parts), 2):
-        parts[k] = re.sub(r"(?i)\bcast\s*\(", "try_cast(", parts[k])
-        parts[k] = _COMPARED.sub(lambda m: f"try_cast({m[1]} AS double) {m[2]} {m[3]}" if m[1].strip("`").lower() in text_cols else m[0], parts[k])
-    return "".join(parts)
-
-
 def evaluate_flat(df: DataFrame, rules: Sequence[Mapping[str, Any]]) -> DataFrame:
     """O-64: one 0/1 column ``rule__<name>`` per rule, plus rule_flag / rule_review (OR of
-    the rules with that action). A condition that Spark cannot analyse gives 0; NULL -> 0."""
+    the rules with that action). A condition that cannot be read or analysed gives 0 everywhere; one
+    that is unknown, or fails, on a row gives 0 there (:mod:`riskspark.functions.conditions`)."""
     cols: dict[str, Column] = {}
     flag, review = F.lit(0), F.lit(0)
     for i, r in enumerate(rules):
         name = str(r.get("name", f"rule_{i}"))
-        cond = resolved(df, str(r["condition"]))
-        hit = F.lit(0) if cond is None else F.coalesce(cond, F.lit(False)).cast("int")
+        cond = condition(df, str(r["condition"]))
+        hit = F.lit(0) if cond is None else cond.cast("int")
         cols[f"rule__{name}"] = hit
         if r.get("action") == "flag":
             flag = F.greatest(flag, hit)

@@ -171,6 +171,25 @@ def rule_hits_flat(spark, sf):
     return r.select("transaction_id", *[f"rule__{x['name']}" for x in FLAT_RULES], "rule_flag", "rule_review")
 
 
+#: Conditions that fail on some rows: each gives 0 there and the right answer on the others.
+FAILING_RULES = [{"name": n, "condition": c, "action": "flag"} for n, c in (
+    ("zero_denominator", "amount / days > 2000"), ("zero_modulus", "100 % days = 0"), ("text_below", "5 < code"),
+    ("text_between", "code between 1 and 9"), ("text_in", "code in (1, 2, 7)"), ("text_sum", "code + 1 > 3"), ("text_cast", "int(code) = 7"),
+    ("index_past_end", "element_at(array(1, 2), days) = 1"), ("overflow", "days * 2000000000 > 5"), ("bad_date", "to_date(code) is null"),
+    ("bad_date_or", "amount > 5000 or to_date(code) is null"), ("not_reached", "amount > 5000 and amount / days > 2000"),
+    ("chained", "1 < days <= 3 & not code == 7"), ("case_branch", "case when days = 0 then amount > 100 else amount / days > 2000 end"))]
+
+
+def rule_hits_failing(spark, sf):
+    """O-64 on rows where conditions fail: text that is no number or date, zeros, an index past the end, overflow."""
+    k = F.col("transaction_id") % 5
+    t = txn(spark, sf).withColumns({
+        "days": (F.col("account_age_days") % 4).cast("int"),
+        "code": F.when(k == 0, F.lit("7")).when(k == 1, F.lit("2024-02-30")).when(k == 2, F.lit("2024-02-28")).when(k == 3, F.col("country"))})
+    r = RU.evaluate_flat(t, FAILING_RULES)
+    return r.select("transaction_id", *[f"rule__{x['name']}" for x in FAILING_RULES], "rule_flag")
+
+
 def rule_hits_structured(spark, sf):
     r = score_log(spark, sf)
     return final(r.select("transaction_id", F.array_join("rules_hit", ",").alias("rules_hit"), "score_delta",

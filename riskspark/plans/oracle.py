@@ -249,6 +249,20 @@ SELECT transaction_id,
          AS rule_review
 FROM txn"""
 
+_FAILING = {
+    "zero_denominator": "amount / nullif(days, 0) > 2000", "zero_modulus": "100 % nullif(days, 0) = 0", "text_below": "5 < n",
+    "text_between": "n BETWEEN 1 AND 9", "text_in": "n IN (1, 2, 7)", "text_sum": "n + 1 > 3", "text_cast": "n = 7",
+    "index_past_end": "days = 1", "overflow": "days = 1", "bad_date": "code IS NULL", "bad_date_or": "amount > 5000 OR code IS NULL",
+    "not_reached": "amount > 5000 AND amount / nullif(days, 0) > 2000", "chained": "days > 1 AND days <= 3 AND NOT n = 7",
+    "case_branch": "CASE WHEN days = 0 THEN amount > 100 ELSE amount / days > 2000 END"}
+
+Q["rule_hits_failing"] = with_(TXN) + """,
+t AS (SELECT *, account_age_days % 4 AS days, CASE transaction_id % 5 WHEN 0 THEN '7' WHEN 1 THEN '2024-02-30' WHEN 2 THEN '2024-02-28'
+             WHEN 3 THEN country END AS code FROM txn),
+u AS (SELECT *, try_cast(code AS DOUBLE) AS n FROM t),
+h AS (SELECT transaction_id, """ + ", ".join(f"CAST(coalesce({c}, false) AS INTEGER) AS rule__{n}" for n, c in _FAILING.items()) + """ FROM u)
+SELECT *, greatest(""" + ", ".join(f"rule__{n}" for n in _FAILING) + """) AS rule_flag FROM h"""
+
 Q["rule_hits_structured"] = LOG + """
 SELECT transaction_id, array_to_string(rules_hit, ',') AS rules_hit, round(CAST(score_delta AS DOUBLE), 6) AS score_delta, severity,
        array_to_string(reasons, ',') AS reasons

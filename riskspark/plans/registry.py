@@ -36,6 +36,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_daily_velocity": fraud.user_daily_velocity,
     "merchant_chargeback_rate": fraud.merchant_chargeback_rate,
     "rule_hits_flat": fraud.rule_hits_flat,
+    "rule_hits_failing": fraud.rule_hits_failing,
     "rule_hits_structured": fraud.rule_hits_structured,
     "final_decisions": fraud.final_decisions,
     "arm_assignment": fraud.arm_assignment,
