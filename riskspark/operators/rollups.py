@@ -62,16 +62,19 @@ def freshness_across(tables: Sequence[DataFrame], date_col: str = "date") -> Dat
     return u.agg(F.max("d").alias("freshest_date"))
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] | None) -> DataFrame:
-    """O-09: old + new with missing columns allowed; per key the **last** row wins
-    (new over old); without keys, exact duplicate rows collapse to one.
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] | None, order: Sequence[str] = ()) -> DataFrame:
+    """O-09: old + new with missing columns allowed; per key the **last** row wins: new over old, and
+    inside a batch the last by ``order``, then by position in the frame. Without keys, exact
+    duplicate rows collapse to one.
 
     Written as a new version of the table (no in-place MERGE here)."""
-    u = old.withColumn("_batch", F.lit(0)).unionByName(new.withColumn("_batch", F.lit(1)), allowMissingColumns=True)
+    at = lambda df, k: df.withColumns({"_batch": F.lit(k), "_at": F.monotonically_increasing_id()})
+    u = at(old, 0).unionByName(at(new, 1), allowMissingColumns=True)
     if not keys:
-        return u.drop("_batch").distinct()
-    other = [c for c in u.columns if c not in keys and c != "_batch"]
-    g = u.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in other]), F.col("_batch")).alias("_r"))
+        return u.drop("_batch", "_at").distinct()
+    other = [c for c in u.columns if c not in keys and c not in ("_batch", "_at")]
+    last = F.struct("_batch", *[F.col(c) for c in order], "_at")
+    g = u.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in other]), last).alias("_r"))
     return g.select(*keys, *[F.col(f"_r.`{c}`").alias(c) for c in other])
 
 

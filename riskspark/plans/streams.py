@@ -20,7 +20,7 @@ def stream_daily_kpis(spark, sf):
     """Four micro-batches with late rows; each day is rewritten only by the epochs that touch it."""
     out = S.work_dir(spark, "daily_kpis")
     ev = S.event_files(spark, sf, PARTS, disorder=True)
-    path = S.run_upsert_stream(S.daily_txn_kpis(S.txn_stream(spark, ev), SPAN), ["w"], out, F.col("w.start"))
+    path = S.run_upsert_stream(S.daily_txn_kpis(ev.stream(spark), SPAN), ["w"], out, F.col("w.start"))
     r = S.read_upserted(spark, path).select(F.date_format("w.start", "yyyy-MM-dd").alias("date"), "txns", "amount",
                                             "chargebacks", "max_amount")
     return final(r, money=["amount", "max_amount"])
@@ -30,11 +30,11 @@ def stream_daily_kpis_restart(spark, sf):
     """The same, stopped after half of the files and started again with the same folders."""
     out = S.work_dir(spark, "daily_kpis_restart")
     ev = S.event_files(spark, sf, PARTS)
-    files = sorted(S.parquet_files(spark, ev))
+    files = S.parquet_files(spark, ev.path)
     first = S.work_dir(spark, "event_files")
     for k, f in enumerate(files):  # the source folder fills up between the runs
         spark.read.schema(S.EVENTS_SCHEMA).parquet(f).write.mode("append").parquet(first)
-        if k % 2:
+        if k % 2 or k == len(files) - 1:
             path = S.run_upsert_stream(S.daily_txn_kpis(S.txn_stream(spark, first), SPAN), ["w"], out, F.col("w.start"))
     r = S.read_upserted(spark, path).select(F.date_format("w.start", "yyyy-MM-dd").alias("date"), "txns", "amount",
                                             "chargebacks", "max_amount")
@@ -44,7 +44,7 @@ def stream_daily_kpis_restart(spark, sf):
 def stream_sliding_velocity(spark, sf):
     out = S.work_dir(spark, "sliding_velocity")
     ev = S.event_files(spark, sf, PARTS)
-    path = S.run_upsert_stream(S.sliding_velocity(S.txn_stream(spark, ev)), ["user_id", "w"], out, F.col("w.start"))
+    path = S.run_upsert_stream(S.sliding_velocity(ev.stream(spark)), ["user_id", "w"], out, F.col("w.start"))
     r = S.read_upserted(spark, path).select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                                             "txns", "amount")
     return final(r, money=["amount"])
@@ -55,7 +55,7 @@ def stream_scored(spark, sf):
     out = S.work_dir(spark, "scored")
     ev = S.event_files(spark, sf, PARTS, disorder=True, closing=True)
     rates = FR.merchant_chargeback_rate(T.txn(spark, sf))
-    ctx = S.stateful_user_features(S.txn_stream(spark, ev), SPAN)
+    ctx = S.stateful_user_features(ev.stream(spark), SPAN)
     scored = S.enrich_and_score(ctx, rates).select(
         "transaction_id", "merchant_chargeback_rate", "proba", F.array_join("rules_hit", ",").alias("rules_hit"),
         "decision")
@@ -66,7 +66,7 @@ def stream_scored(spark, sf):
 def stream_user_state(spark, sf):
     out = S.work_dir(spark, "user_state")
     ev = S.event_files(spark, sf, PARTS, disorder=True, closing=True)
-    feats = S.stateful_user_features(S.txn_stream(spark, ev), SPAN).select(
+    feats = S.stateful_user_features(ev.stream(spark), SPAN).select(
         "transaction_id", "user_id", "rolling_amount_last_1h", "home_country", "geo_location_mismatch", "velocity_spike", "device_is_new")
     r = spark.read.parquet(S.run_append_stream(feats, out))
     return final(r, money=["rolling_amount_last_1h"])
@@ -76,9 +76,9 @@ def stream_dedupe(spark, sf):
     """O-96: every event arrives twice, in files that overlap; each is kept once."""
     out = S.work_dir(spark, "dedupe")
     ev = S.event_files(spark, sf, PARTS, disorder=True)
-    for f in sorted(S.parquet_files(spark, ev)):
-        spark.read.schema(S.EVENTS_SCHEMA).parquet(f).where("event_id % 3 = 0").write.mode("append").parquet(ev)
-    d = S.dedupe_late(S.txn_stream(spark, ev), watermark=SPAN).select("transaction_id", "user_id")
+    for f in S.parquet_files(spark, ev.path):
+        spark.read.schema(S.EVENTS_SCHEMA).parquet(f).where("event_id % 3 = 0").write.mode("append").parquet(ev.path)
+    d = S.dedupe_late(ev.stream(spark), watermark=SPAN).select("transaction_id", "user_id")
     return spark.read.parquet(S.run_append_stream(d, out))
 
 
@@ -88,9 +88,9 @@ def stream_shadow_join(spark, sf):
     out = S.work_dir(spark, "shadow_join")
     logistic = lambda mid, scale: F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("amount") - F.lit(mid)) / F.lit(scale)))
     ev = S.event_files(spark, sf, PARTS)
-    prod = S.txn_stream(spark, ev).select(
+    prod = ev.stream(spark).select(
         "transaction_id", "ts", F.when(logistic(6000.0, 2000.0) >= 0.5, "flag").otherwise("allow").alias("prod_decision"))
-    cand = S.txn_stream(spark, ev).select(
+    cand = ev.stream(spark).select(
         F.col("transaction_id").alias("c_transaction_id"),
         (F.col("ts") + F.expr("INTERVAL 3 SECONDS")).alias("c_ts"),
         F.when(logistic(5000.0, 1500.0) >= 0.5, "flag").otherwise("allow").alias("cand_decision"))

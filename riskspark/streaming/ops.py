@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
@@ -29,10 +30,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riskspark.operators import fraud as FR
 from riskspark.operators import rules as RU
-from riskspark.operators.rollups import upsert
 from riskspark.session import ensure_checkpoint_dir
 from riskspark.sources import files as FS
 from riskspark.sources import tables as T
+from riskspark.sources.snapshots import SnapshotTable
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -47,16 +48,27 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
 
 
-def txn_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
-    """O-89: event files (a folder with events.parquet, or of :func:`event_files`) as a
-    stream, ``max_files`` to a micro-batch, projected to transactions."""
+def txn_stream(spark: SparkSession, path: str, max_files: int | None = 1, glob: str | None = None) -> DataFrame:
+    """O-89: event files in a folder as a stream, ``max_files`` to a micro-batch, projected to
+    transactions; with ``glob`` only files of such names."""
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    # the file source watches a directory: of a driver folder the events file only
-    path = path.rstrip("/")
-    ev = r.parquet(path) if "/event_files-" in path else r.option("pathGlobFilter", "events.parquet").parquet(path)
-    return T.txn_from_events(ev).withColumn("ts", F.col("ts").cast("timestamp"))
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return T.txn_from_events(r.parquet(path.rstrip("/"))).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@dataclass(frozen=True)
+class EventFiles:
+    """A folder of event files in time order; every part of it is ``files`` files."""
+
+    path: str
+    files: int
+
+    def stream(self, spark: SparkSession) -> DataFrame:
+        """The transactions, a part to a micro-batch."""
+        return txn_stream(spark, self.path, self.files)
 
 
 def decision_log_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -114,82 +126,83 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def parquet_files(spark: SparkSession, path: str) -> list[str]:
-    """The data files in a folder (their number is bounded by the writes that made them)."""
+    """The data files in a folder, oldest first (their number is bounded by the writes that made them)."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)
-    return [f.getPath().toString() for f in found if f.getPath().getName().endswith(".parquet")]
+    files = sorted(found, key=lambda f: (f.getModificationTime(), f.getPath().getName()))
+    return [f.getPath().toString() for f in files if f.getPath().getName().endswith(".parquet")]
+
 
+#: Rows of an event file.
+FILE_ROWS = 1_000_000
 
-def event_files(spark: SparkSession, sf_dir: str, parts: int = 4, disorder: bool = False, closing: bool = False) -> str:
-    """The events table as ``parts`` files in time order, for streams of several micro-batches.
 
-    ``disorder`` moves every seventh row to the next file, so events arrive late; ``closing``
-    adds a last file with one event of user -1 far in the future, which moves the watermark
-    past all others (and itself waits for later events for ever)."""
-    out = work_dir(spark, "event_files")
+def event_files(spark: SparkSession, sf_dir: str, parts: int = 4, disorder: bool = False, closing: bool = False) -> EventFiles:
+    """The events table in ``parts`` parts in time order, for streams of several micro-batches.
+
+    The table is read once and dealt to a folder for each part; each part then lands in turn as
+    so many files as its rows ask for. ``disorder`` moves every seventh row to the next part, so
+    events arrive late; ``closing`` adds a last file with one event of user -1 far in the future,
+    which moves the watermark past all others (and itself waits for later events for ever)."""
+    out, dealt = work_dir(spark, "event_files"), work_dir(spark, "event_parts")
     ev = T.read_table(spark, sf_dir, "events").select(*[c.split()[0] for c in EVENTS_SCHEMA.split(", ")])
-    b = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    b = ev.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (b["lo"], b["hi"]))
     span = F.unix_micros(hi.cast("timestamp")) - F.unix_micros(lo.cast("timestamp")) + 1
     part = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(lo.cast("timestamp"))) * parts / span)
     if disorder:
         part = F.least(F.lit(parts - 1), part + (F.col("event_id") % 7 == 0).cast("long"))
-    ev = ev.withColumn("_part", F.coalesce(part, F.lit(0)).cast("int"))
-    for k in range(parts):  # one write each: the file source takes files by modification time
-        ev.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(out)
+    ev.withColumn("_part", F.coalesce(part, F.lit(0)).cast("int")).write.partitionBy("_part").parquet(dealt)
+    files = max(1, -(-b["n"] // (parts * FILE_ROWS)))
+    for k in range(parts):  # one landing each: the file source takes files by modification time
+        if path_exists(spark, f"{dealt}/_part={k}"):
+            spark.read.schema(EVENTS_SCHEMA).parquet(f"{dealt}/_part={k}").repartition(files).write.mode("append").parquet(out)
+    remove(spark, dealt)
     if closing:
         last = spark.range(1).select(
             F.lit(None).cast("bigint").alias("event_id"), (hi + F.expr("INTERVAL 400 DAYS")).alias("ts"),
             F.lit(-1).cast("bigint").alias("user_id"), F.lit(None).cast("string").alias("event_type"),
             F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("props"))
-        last.coalesce(1).write.mode("append").parquet(out)
-    return out
+        last.write.mode("append").parquet(out)
+    return EventFiles(out, files)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def run_upsert_stream(agg: DataFrame, key_cols: list[str], out_dir: str, day: Column) -> str:
     """O-97: run an update-mode aggregate; every micro-batch upserts its changed rows into
     the table below ``out_dir``; returns the table's path (read it with :func:`read_upserted`).
 
-    The table is partitioned by ``day`` (a date of the row, e.g. of its window), each epoch
-    writes only the days it touches, as version ``_v=<epoch>``; the highest version of a day
-    is the day. Versions are found in the table itself: with the same ``out_dir`` a restarted
-    query goes on from what is there, and a retried epoch reads only versions below its own
-    and overwrites its own."""
+    The table is a :class:`riskspark.sources.snapshots.SnapshotTable` by ``day`` (a date of the row,
+    e.g. of its window): an epoch reads and writes only the days it touches, spread by the hash
+    of their keys, and is one commit. With the same ``out_dir`` a restarted query goes on from
+    what is there, and a retried epoch finds itself committed. Old folders go every few epochs."""
     spark = agg.sparkSession
-    table = os.path.join(out_dir, "table")
+    table = SnapshotTable(spark, os.path.join(out_dir, "table"))
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch = batch.withColumn("_day", F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.lit("none"))).persist()
-        try:
-            days = [r["_day"] for r in batch.select("_day").distinct().collect()]  # the days of one micro-batch
-            if not days:
-                return
-            merged = batch
-            if path_exists(spark, table):
-                old = _latest(spark, table, F.col("_v") < epoch).where(F.col("_day").isin(days)).drop("_v")
-                merged = upsert(old, batch, [*key_cols, "_day"])
-            merged.repartition("_day").write.mode("overwrite").partitionBy("_day").parquet(os.path.join(table, f"_v={epoch}"))
-        finally:
-            batch.unpersist()
+        if table.upsert(batch, key_cols, day, epoch, writer="stream") and epoch % VACUUM_EPOCHS == VACUUM_EPOCHS - 1:
+            table.vacuum(keep=2)
 
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", os.path.join(out_dir, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
-    if not path_exists(spark, table):
+    if not table.versions():
         raise RuntimeError("stream produced no batches")
-    return table
+    return table.path
 
 
-def _latest(spark: SparkSession, table: str, which: Column) -> DataFrame:
-    rows = spark.read.option("basePath", table).parquet(os.path.join(table, "_v=*")).where(which) \
-        .withColumn("_v", F.col("_v").cast("bigint")).withColumn("_day", F.col("_day").cast("string"))
-    last = rows.groupBy(F.col("_day").alias("_d")).agg(F.max("_v").alias("_m"))
-    return rows.join(last, (F.col("_day") == F.col("_d")) & (F.col("_v") == F.col("_m"))).drop("_d", "_m")
+#: Epochs between two clean-ups of a stream's table.
+VACUUM_EPOCHS = 8
 
 
 def read_upserted(spark: SparkSession, table: str) -> DataFrame:
     """The current rows of a table written by :func:`run_upsert_stream`."""
-    return _latest(spark, table, F.lit(True)).drop("_v", "_day")
+    return SnapshotTable(spark, table).read()
 
 
 def run_append_stream(df: DataFrame, out_dir: str) -> str:

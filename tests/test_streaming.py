@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def test_stateful_features_equal_batch(spark):
     out = S.work_dir(spark, "t_state")
     path = S.run_append_stream(S.stateful_user_features(
-        S.txn_stream(spark, S.event_files(spark, SF, 3, disorder=True, closing=True)), "60 days"), out)
+        S.event_files(spark, SF, 3, disorder=True, closing=True).stream(spark), "60 days"), out)
     got = spark.read.parquet(path).toPandas().set_index("transaction_id").sort_index()
     from riskspark.sources import tables as T
 
@@ -29,7 +29,7 @@ def test_stateful_features_equal_batch(spark):
 
 def test_daily_kpi_stream_equals_batch(spark):
     out = S.work_dir(spark, "t_daily")
-    path = S.run_upsert_stream(S.daily_txn_kpis(S.txn_stream(spark, SF)), ["w"], out, F.col("w.start"))
+    path = S.run_upsert_stream(S.daily_txn_kpis(S.txn_stream(spark, SF, glob="events.parquet")), ["w"], out, F.col("w.start"))
     got = {r.d: (r.txns, round(r.amount, 2)) for r in
            S.read_upserted(spark, path).select(F.to_date("w.start").alias("d"), "txns", "amount").collect()}
     from riskspark.sources import tables as T
