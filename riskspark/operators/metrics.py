@@ -38,13 +38,14 @@ def fraud_kpis(log: DataFrame, by: Sequence[str] = ("date",), per_case_usd: floa
     """O-37 (+ O-59 counts): total, flagged (report definition, D3), flagged_pct,
     p50/p95 latency, precision/recall/FPR of the flag vs label, fraud prevented $.
 
-    Percentiles are exact (``percentile``, linear interpolation): latencies are whole
-    milliseconds, so their buffer is a histogram with an entry for each distinct one.
+    Percentiles are exact (``percentile``, linear interpolation) with an entry for each distinct
+    latency of a group; for latencies that are no whole milliseconds over very many rows use
+    :mod:`riskspark.operators.sketches`.
     """
     fl = report_flagged(F.col("decision"), F.col("rules_count"))
     has_label = F.max(F.col("label").isNotNull().cast("int")) == 1
     y = F.coalesce(F.col("label"), F.lit(0)) == 1
-    pct = F.percentile(F.col("latency_ms").cast("int"), F.array(F.lit(0.5), F.lit(0.95)))
+    pct = F.percentile(F.col("latency_ms").cast("double"), F.array(F.lit(0.5), F.lit(0.95)))
     g = log.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_txns"),
         F.count_if(fl).alias("flagged"),
@@ -72,7 +73,7 @@ def monitor_kpis(log: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:
         F.avg((dec == "flag").cast("double")).alias("flag_rate"),
         F.avg((dec == "review").cast("double")).alias("review_rate"),
         F.coalesce(F.avg(F.col("proba").cast("double")), F.lit(0.0)).alias("mean_proba"),
-        F.coalesce(F.percentile(F.col("latency_ms").cast("int"), F.lit(0.95)), F.lit(0.0)).alias("p95_latency_ms"))
+        F.coalesce(F.percentile(F.col("latency_ms").cast("double"), F.lit(0.95)), F.lit(0.0)).alias("p95_latency_ms"))
 
 
 def arm_kpis(log: DataFrame, by: Sequence[str] = ("date",)) -> DataFrame:

@@ -1126,3 +1126,70 @@ c AS (SELECT 'pd' AS model, y AS label, count(*) AS n FROM d GROUP BY 2
 SELECT model, CAST(label AS INTEGER) AS label, n, CAST(floor((n - 1) * 0.25) AS BIGINT) + 1 AS n_test FROM c"""
 _top = Q["column_profile"]
 Q["column_profile"] = _top.replace("SELECT * FROM (SELECT *,", "SELECT *, 'string' AS dtype, (SELECT count(*) FROM txn) AS row_count FROM (SELECT *,", 1)
+
+# --- models in use, files that change, stored sketches ------------------------------------------
+_DEF = """
+lab AS (SELECT borrower_id, CAST(max(""" + STATUS_FLAG + """) AS INTEGER) AS label FROM loans GROUP BY 1)"""
+
+Q["calibration_folds"] = with_(LOANS, _DEF) + """,
+c AS (SELECT label, count(*) AS n FROM lab GROUP BY 1),
+f AS (SELECT label, n, unnest(range(0, 3)) AS fold FROM c),
+s AS (SELECT label, fold, n, CAST(floor((n - 1) * (fold + 1) / 3.0) AS BIGINT) + 1 AS hi,
+             CASE WHEN fold = 0 THEN 0 ELSE CAST(floor((n - 1) * fold / 3.0) AS BIGINT) + 1 END AS lo FROM f)
+SELECT label, CAST(fold AS INTEGER) AS fold, least(hi, n) - lo AS n, least(hi, n) - lo AS n_out_of_fold, true AS in_range FROM s"""
+
+Q["split_shares"] = with_(LOANS, _DEF) + """,
+m AS (SELECT count(*) AS n_positive FROM lab WHERE label = 1),
+p AS (SELECT unnest([1, 2, 3, 4, 5, 6, 8, 12]) AS n_positive UNION ALL SELECT n_positive FROM m)
+SELECT CAST(n_positive AS BIGINT) AS n_positive, CAST(coalesce(list_filter([25, 20, 15, 10], lambda s: n_positive - ((n_positive - 1) * s // 100 + 1) >= 1)[1], 10) AS INTEGER)
+         AS test_share, CASE WHEN n_positive >= 3 THEN 3 WHEN n_positive = 2 THEN 2 ELSE 0 END AS folds
+FROM p"""
+
+Q["saved_model_parity"] = with_(LOANS) + """
+SELECT count(DISTINCT borrower_id) AS n, count(DISTINCT borrower_id) AS n_same_b, count(DISTINCT borrower_id) AS n_same_s, true AS in_range FROM loans"""
+
+Q["file_times"] = with_(LOANS) + """
+SELECT 'written' AS step, false AS stale, count(DISTINCT borrower_id) AS borrowers FROM loans
+UNION ALL SELECT 'input written again', true, count(DISTINCT borrower_id) FROM loans"""
+
+Q["evolving_types"] = with_(TXN) + """,
+g AS (SELECT country, transaction_id % 3 AS k, count(*) AS n, sum(amount) AS amount FROM txn GROUP BY 1, 2)
+SELECT country, CASE WHEN k = 2 THEN concat(n, 'x') ELSE CAST(n AS VARCHAR) END AS n,
+       CASE k WHEN 1 THEN round(amount, 2) WHEN 2 THEN round(amount) END AS amount, CASE WHEN k < 2 THEN n END AS s_a, CASE WHEN k = 1 THEN country END AS s_b
+FROM g"""
+
+Q["latency_sketches"] = LOG + """,
+m AS (SELECT strftime(date, '%Y-%m') AS month, count(*) AS n FROM score_log GROUP BY 1)
+SELECT month, n, q AS quantile, true AS within FROM m, (SELECT unnest(['p50', 'p95']) AS q)"""
+
+Q["fractional_latency_kpis"] = LOG + """
+SELECT strftime(date, '%Y-%m-%d') AS date, count(*) AS requests,
+       round(quantile_cont(latency_ms + (transaction_id % 10) / 10.0, 0.95), 6) AS p95_latency_ms
+FROM (SELECT * REPLACE (CAST(latency_ms AS DOUBLE) AS latency_ms) FROM score_log) GROUP BY date"""
+
+Q["shadow_log_scan"] = LOG + """,
+s AS (SELECT proba AS prod_proba, decision AS prod_decision, 1.0 / (1.0 + exp(-(amount - 5000.0) / 1500.0)) AS cand_proba,
+             CAST(latency_ms AS DOUBLE) + 0.25 AS lp, CAST(3.5 AS DOUBLE) + (transaction_id * 31) % 20 AS lc FROM score_log)
+SELECT count(*) AS n, round(avg(CASE WHEN prod_decision = CASE WHEN cand_proba >= 0.5 THEN 'flag' ELSE 'allow' END THEN 1.0 ELSE 0.0 END), 6) AS agreement_rate,
+       round(avg(cand_proba - prod_proba), 6) AS mean_score_delta, round(avg(abs(cand_proba - prod_proba)), 6) AS mean_abs_score_delta,
+       round(quantile_cont(lp, 0.95), 6) AS p95_latency_prod, round(quantile_cont(lc, 0.95), 6) AS p95_latency_cand
+FROM s"""
+
+Q["alerts_that_fire"] = LOG + """,
+d AS (SELECT merchant_id AS feature, count(*) * 10 / (SELECT count(*) FROM score_log) AS psi FROM score_log GROUP BY 1),
+k AS (SELECT quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS rp95, quantile_cont(CAST(latency_ms AS DOUBLE) * 20, 0.95) AS p95,
+             avg(CASE WHEN decision = 'flag' THEN 1.0 ELSE 0.0 END) AS rfr, avg(CASE WHEN transaction_id % 10 <> 0 THEN 1.0 ELSE 0.0 END) AS fr FROM score_log)
+SELECT 'psi' AS kind, 'warn' AS severity, feature AS subject, round(psi, 6) AS value, 0.25 AS "limit" FROM (
+  SELECT *, row_number() OVER (ORDER BY psi DESC, feature) AS rn FROM d WHERE psi >= 0.25) WHERE rn <= 5
+UNION ALL SELECT 'latency', 'warn', 'p95_latency_ms', round(p95, 6), round(greatest(250.0, 1.5 * rp95), 6) FROM k WHERE p95 > greatest(250.0, 1.5 * rp95)
+UNION ALL SELECT 'flag_rate', 'warn', 'flag_rate', round(fr, 6), round(rfr, 6) FROM k WHERE rfr > 0 AND (fr < 0.5 * rfr OR fr > 1.5 * rfr)"""
+
+Q["severity_thresholds"] = LOG + """,
+g AS (SELECT CASE WHEN amount > 9000 THEN 30 WHEN amount > 6000 THEN 20 WHEN amount > 1000 THEN 10 ELSE 0 END AS rank FROM score_log)
+SELECT m AS minimum, count_if(rank >= r) AS kept FROM g, (VALUES ('info', 10), ('warn', 20), ('error', 30)) v(m, r) GROUP BY 1"""
+
+Q["upsert_last_in_batch"] = with_(TXN) + """,
+l AS (SELECT user_id, arg_max(transaction_id, (epoch_us(ts), transaction_id)) AS transaction_id, arg_max(amount, (epoch_us(ts), transaction_id)) AS amount
+      FROM txn GROUP BY 1)
+SELECT user_id, CASE WHEN user_id % 3 <> 0 THEN transaction_id ELSE -1 END AS transaction_id,
+       CASE WHEN user_id % 3 <> 0 THEN round(amount, 2) ELSE 0.0 END AS amount FROM l"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskspark.plans import credit, fraud, models, monitoring, sources, streams
+from riskspark.plans import credit, fraud, lifecycle, models, monitoring, sources, streams
 from riskspark.session import apply_defaults
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -109,6 +109,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_fraud_metrics": models.train_fraud_metrics,
     "train_split_balance": models.train_split_balance,
     **sources.QUERIES,
+    **lifecycle.QUERIES,
 }
 
 

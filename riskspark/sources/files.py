@@ -34,7 +34,7 @@ SHADOW_LOG_SCHEMA = T.StructType([
     T.StructField("prod", T.StructType([T.StructField("proba", T.DoubleType()), T.StructField("decision", T.StringType()),
                                         T.StructField("rules_hit", T.ArrayType(T.StringType()))])),
     T.StructField("cand", T.StructType([T.StructField("proba", T.DoubleType()), T.StructField("decision", T.StringType())])),
-    T.StructField("latency_ms", T.StructType([T.StructField("prod", T.IntegerType()), T.StructField("cand", T.IntegerType())])),
+    T.StructField("latency_ms", T.StructType([T.StructField("prod", T.DoubleType()), T.StructField("cand", T.DoubleType())])),
     T.StructField("model_ts", T.StructType([T.StructField("prod", T.StringType()), T.StructField("cand", T.StringType())]))])
 # ----------------------------------------------------------------------------------------
 
@@ -129,6 +129,118 @@ def union_evolving(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def file_time(df: DataFrame) -> DataFrame:
+    """O-87: one row with the newest modification time of the files that a frame reads (NULL without files).
+
+    Only the file's metadata is asked for, so no column is read."""
+    return df.select(F.col("_metadata.file_modification_time").alias("t")).agg(F.max("t").alias("modified"))
+
+
+def stale_against(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
+    """O-87: whether outputs are older than the inputs they were made from: ``stale`` (true where there are no outputs)."""
+    o, i = file_time(outputs), file_time(inputs)
+    j = o.select(F.col("modified").alias("outputs_at")).crossJoin(i.select(F.col("modified").alias("inputs_at")))  # one row each
+    return j.withColumn("stale", F.coalesce(F.col("inputs_at") > F.col("outputs_at"), F.col("inputs_at").isNotNull()))
+
+
+# ---- files whose columns and types change ------------------------------------------------
+
+#: Types that widen into the next one; any other pair of different types meets as text.
+_WIDENING = (("boolean", "byte", "short", "integer", "long", "double"), ("float", "double"), ("date", "timestamp"), ("date", "timestamp_ntz"))
+
+
+def wider_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds both: along a widening chain, field by field of structs, element by element; else text."""
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return wider_schema([a, b])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(wider_type(a.elementType, b.elementType))
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType) and a.keyType == b.keyType:
+        return T.MapType(a.keyType, wider_type(a.valueType, b.valueType))
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        whole = max(a.precision - a.scale, b.precision - b.scale)
+        return T.DecimalType(min(whole + scale, 38), scale) if whole + scale <= 38 else T.DoubleType()
+    x, y = a.typeName(), b.typeName()
+    if {x, y} <= {"decimal", "byte", "short", "integer", "long", "float", "double"} and "decimal" in (x, y):
+        return T.DoubleType()
+    for chain in _WIDENING:
+        if x in chain and y in chain:
+            return a if chain.index(x) > chain.index(y) else b
+    return T.StringType()
+
+
+def wider_schema(schemas: Sequence[T.StructType]) -> T.StructType:
+    """One schema for all: columns in order of first sight, names without regard to case, every field nullable."""
+    found: dict[str, T.StructField] = {}
+    for s in schemas:
+        for f in s.fields:
+            old = found.get(f.name.lower())
+            found[f.name.lower()] = T.StructField(old.name if old else f.name, wider_type(old.dataType, f.dataType) if old else f.dataType)
+    return T.StructType(list(found.values()))
+
+
+def _as_type(c, have: T.DataType, want: T.DataType):
+    """``c`` as the wider type; nested values meet text as JSON."""
+    if have == want:
+        return c
+    if isinstance(want, T.StructType) and isinstance(have, T.StructType):
+        own = {f.name.lower(): f for f in have.fields}
+        fields = [(_as_type(c[own[f.name.lower()].name], own[f.name.lower()].dataType, f.dataType) if f.name.lower() in own
+                   else F.lit(None).cast(f.dataType)).alias(f.name) for f in want.fields]
+        return F.when(c.isNotNull(), F.struct(*fields)).cast(want)
+    if isinstance(want, T.ArrayType) and isinstance(have, T.ArrayType):
+        return F.transform(c, lambda e: _as_type(e, have.elementType, want.elementType))
+    if isinstance(want, T.StringType) and isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(c)
+    if isinstance(have, T.BooleanType) and not isinstance(want, T.StringType):
+        return c.cast("int").cast(want)
+    return c.cast(want)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the given (wider) schema; absent columns are NULL."""
+    own = {f.name.lower(): f for f in df.schema.fields}
+    return df.select(*[(_as_type(F.col(f"`{own[f.name.lower()].name}`"), own[f.name.lower()].dataType, f.dataType) if f.name.lower() in own
+                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that match, in order of their names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
+def read_evolving(spark: SparkSession, pattern: str, fmt: str = "parquet") -> DataFrame:
+    """O-06: all files or dated folders that a glob matches, as one table whose columns and types hold every layout.
+
+    Schemas come from the footers, one of each match; matches of one schema are one scan, cast once."""
+    layouts: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path in glob_paths(spark, pattern):
+        schema = spark.read.format(fmt).load(path).schema
+        layouts.setdefault(schema.json(), (schema, []))[1].append(path)
+    if not layouts:
+        raise FileNotFoundError(f"nothing matches {pattern}")
+    whole = wider_schema([s for s, _ in layouts.values()])
+    frames = [conform(spark.read.format(fmt).schema(schema).load(paths), whole) for schema, paths in layouts.values()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def read_shadow_log(spark: SparkSession, path: str) -> DataFrame:
+    """O-62: shadow log lines as nested prod / cand records with both latencies; blank and malformed lines are left out."""
+    raw = spark.read.text(path).where(F.length(F.trim(F.col("value"))) > 0)
+    r = raw.select(F.from_json("value", SHADOW_LOG_SCHEMA, {"mode": "PERMISSIVE"}).alias("r")).where("r.prod is not null and r.cand is not null")
+    return r.select(C.to_ts("r.ts").alias("ts"), "r.payload", "r.prod", "r.cand", "r.latency_ms", "r.model_ts")
+
+
 def write_dated_parquet(df: DataFrame, path: str, date_col: str = "as_of_date") -> None:
     """O-07: partitioned by date; re-running a day replaces only that day's partition."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
