@@ -1,8 +1,8 @@
 """Site-relative line de-duplication (numbered operator 9), in DataFrame functions only.
 
 A line is boilerplate of its host when the share of the host's pages that contain it exceeds
-``ratio`` (and at least ``min_pages`` pages do, so that small hosts keep their lines). Such
-lines are removed from every page of that host.
+``ratio``; a line of one page only is no repetition, whatever its share. Such lines are removed
+from every page of that host.
 
 Pages are split into lines in place and only line hashes are shuffled: counted per (host,
 line) with map-side sums, and met again with the few boilerplate lines to list, per page, what
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import stage, stage_dir
 
 RATIO = 0.1
-MIN_PAGES = 8
+#: One page is no repetition.
+MIN_PAGES = 2
 #: White space that does not count at the ends of a line.
 _BLANK = " \t\r\u000b\f"
 

@@ -8,10 +8,11 @@ leaves, by weight). With capped sources first in order of cap / weight this is o
 
 Draws: the documents of a source, in hashed order, are one stream of words, cut into blocks
 of equal length. A source gives an exact number of blocks: whole passes over its stream, then
-a part of one more pass. A binary tree over the output shards splits those block quotas: each
-node hands its left half a multivariate-hypergeometric part, as if all blocks had been dealt
-in random order. Every shard then owns a range of each source's permuted blocks, so shards
-are disjoint, need no coordination and are shuffled within themselves.
+a stretch of one more pass from a hashed place. A binary tree over the output shards splits those
+block quotas: each node hands its left half a multivariate-hypergeometric part, as if all blocks
+had been dealt in random order. Every shard then owns a range of each source's blocks in a
+permuted order, so shards are disjoint, need no coordination and are shuffled within themselves.
+Taken by whole documents, a document comes once for each drawn block that holds its middle word.
 
 Everything is a seeded hash, so reruns agree. Hot sources are spread: a document's place in
 its source's stream comes from per-bucket sums (about sqrt(rows) buckets in a source).
@@ -28,8 +29,10 @@ from riskspark.llm.common import let, stage, stage_dir, word_count
 CAP = 3
 SHARDS = 16
 SEED = 11
-#: The mix is cut into about so many blocks in all.
-BLOCKS = 1 << 16
+#: A source is cut into about so many blocks, so that rounding to blocks is a small part of any source.
+BLOCKS = 1 << 13
+#: One splitting tree deals so many sources; more sources have trees of their own.
+TREE_SOURCES = 4096
 #: The per-source table is broadcast up to so many sources (some 200 bytes each).
 BROADCAST_SOURCES = 20_000
 _PRIMES = (1_000_003, 998_244_353, 104_729, 15_485_863, 32_452_843, 49_979_687, 67_867_967)
@@ -90,8 +93,10 @@ def targets(sources: DataFrame, cap: int = CAP) -> DataFrame:
 
 
 def shard_quotas(quota: DataFrame, shards: int, seed: int) -> DataFrame:
-    """(rank, ends): for each source the cumulative number of its blocks that shards 0, 1, ... take, from (rank, quota)."""
-    node = quota.agg(F.array_sort(F.collect_list(F.struct("rank", "quota"))).alias("q")) \
+    """(rank, ends): for each source the cumulative number of its blocks that shards 0, 1, ... take, from (rank, quota).
+
+    A node's row holds the sources of one tree, at most TREE_SOURCES."""
+    node = quota.groupBy(F.floor((F.col("rank") - 1) / TREE_SOURCES).alias("tree")).agg(F.array_sort(F.collect_list(F.struct("rank", "quota"))).alias("q")) \
         .select(F.lit(0).alias("lo"), F.lit(shards).alias("m"), "q")
     width = shards
     while width > 1:
@@ -121,12 +126,12 @@ def shard_quotas(quota: DataFrame, shards: int, seed: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, source: Column, size: Column, key: Column, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """(row, size, source_size, target, draws, taken, start) for every input row, the row itself as a struct.
+    """(row, size, source_size, target, draws, taken, middle) for every input row, the row itself as a struct.
 
     ``draws`` lists what the mix takes of the row: shard, pass, block (of the source's
     stream), words, and ``place``, the key that orders the shard. ``taken`` sums the words;
     it never exceeds CAP times the size, and a source's sum is within one block of its target.
-    ``start`` is the row's first word in its source's stream.
+    ``middle`` is the block of the row's middle word.
 
     Null or empty text has size 0 and no draws; a null source is a source of its own, last in
     order; equal rows are separate documents next to each other in the stream; a source of
@@ -138,19 +143,26 @@ def mix(docs: DataFrame, source: Column, size: Column, key: Column, shards: int
                        F.xxhash64(F.lit(seed), key).alias("order"))
     facts = base.select("source", "size", "order")
     sums = stage(facts.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), f"{at}/sources")
-    all_ = sums.agg(F.sum("source_size").alias("size"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("sources")).first()
-    block = max(1, -(-(all_["size"] or 0) // BLOCKS))
+    all_ = sums.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("sources")).first()
     buckets = max(1, round((all_["n"] or 0) ** 0.5))
     plan = targets(sums.drop("n"))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    plan = plan.withColumn("passes", passes).withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long")) \
+    block = F.col("block")
+    plan = plan.withColumn("passes", passes).withColumn("block", F.greatest(F.ceil(F.col("source_size") / BLOCKS), F.lit(1)).cast("long")) \
+        .withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long")) \
         .withColumn("rest", F.round((F.col("target") - F.col("passes") * F.col("source_size")) / block).cast("long")) \
         .withColumn("quota", F.col("passes") * F.col("blocks") + F.col("rest"))
     plan = stage(plan, f"{at}/targets")
-    step = F.coalesce(*[F.when(F.col("blocks") % p != 0, F.lit(p)) for p in _PRIMES], F.lit(1)).cast("long")
-    plan = plan.join(shard_quotas(plan.select("rank", "quota"), shards, seed), "rank") \
-        .withColumn("step", F.when(F.col("blocks") > 0, step % F.col("blocks"))) \
-        .withColumn("shift", F.when(F.col("blocks") > 0, F.pmod(F.xxhash64(F.lit(seed), F.col("rank")), F.col("blocks"))))
+    def permuting(n: Column, salt: int) -> tuple[Column, Column]:
+        """Step and shift of a permutation of 0 .. n-1."""
+        step = F.coalesce(*[F.when(n % p != 0, F.lit(p)) for p in _PRIMES], F.lit(1)).cast("long")
+        return F.when(n > 0, step % n), F.when(n > 0, F.pmod(F.xxhash64(F.lit(seed + salt), F.col("rank")), n))
+
+    plan = plan.join(shard_quotas(plan.select("rank", "quota"), shards, seed), "rank")
+    for name, n, salt in (("", F.col("blocks"), 0), ("rest_", F.col("rest"), 1)):
+        step, shift = permuting(n, salt)
+        plan = plan.withColumn(f"{name}step", step).withColumn(f"{name}shift", shift)
+    plan = plan.withColumn("first", F.when(F.col("blocks") > 0, F.pmod(F.xxhash64(F.lit(seed), F.lit("rest"), "rank"), F.col("blocks"))))
     plan = stage(plan, f"{at}/plan")
     plan = plan.withColumnRenamed("source", "_source")
     if all_["sources"] <= BROADCAST_SOURCES:
@@ -173,40 +185,42 @@ def mix(docs: DataFrame, source: Column, size: Column, key: Column, shards: int
     def draws(b: Column) -> Column:
         part_ = F.least(end, (b + 1) * block) - F.greatest(F.col("start"), b * block)
         place = F.pmod(b * F.col("step") + F.col("shift"), F.col("blocks"))
-        times = F.filter(F.sequence(F.lit(0).cast("long"), F.col("passes")),
-                         lambda t: (t < F.col("passes")) | (place < F.col("rest")))
+        along = F.pmod(b - F.col("first"), F.col("blocks"))  # the last pass takes a stretch of blocks, a circle from a hashed one
+        in_rest = F.when(F.col("rest") > 0, F.pmod(along * F.col("rest_step") + F.col("rest_shift"), F.col("rest")))
+        times = F.filter(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda t: (t < F.col("passes")) | (along < F.col("rest")))
+        at_ = lambda t: t * F.col("blocks") + F.when(t < F.col("passes"), place).otherwise(in_rest)
         return F.transform(times, lambda t: F.struct(
-            F.size(F.filter("ends", lambda e: e <= t * F.col("blocks") + place)).alias("shard"), t.alias("pass"),
+            F.size(F.filter("ends", lambda e: e <= at_(t))).alias("shard"), t.alias("pass"),
             b.alias("block"), part_.alias("words"), F.xxhash64(F.lit(seed), F.col("rank"), t, b).alias("place")))
 
     taken = F.when((F.col("size") > 0) & (F.col("quota") > 0), F.flatten(F.transform(mine, draws)))
     none = F.array().cast("array<struct<shard:int,pass:bigint,block:bigint,words:bigint,place:bigint>>")
-    out = docs_.select("row", "size", "source_size", "target", F.coalesce(taken, none).alias("draws"), "start")
+    out = docs_.select("row", "size", "source_size", "target", F.coalesce(taken, none).alias("draws"),
+                       F.floor((F.col("start") + F.floor(F.col("size") / 2)) / block).cast("long").alias("middle"))
     return out.withColumn("taken", F.aggregate("draws", F.lit(0).cast("long"), lambda a, d: a + d["words"])) \
-        .select("row", "size", "source_size", "target", "draws", "taken", "start")
+        .select("row", "size", "source_size", "target", "draws", "taken", "middle")
 
 
-def whole_copies(mixed: DataFrame, seed: int = SEED) -> DataFrame:
-    """Adds ``times``, how often the mix takes a document if it takes whole ones, to (row.source, size, source_size, target, start).
+def whole_copies(mixed: DataFrame, parts: int | None = None) -> DataFrame:
+    """(shard, place, row): the mix in whole documents, in order of shard and place over ``parts`` partitions.
 
-    Every document comes once for each whole pass over its source; the rest of the target is a stretch of the stream
-    (a circle) from a hashed place, and takes the documents whose middle word lies in it. So each document of a
-    source has the same chance of one more copy, and a source's words are within one document of its target.
+    A document comes once for each draw of the block that holds its middle word: once a whole pass, and once more if
+    the last pass's stretch of blocks holds it. So each document of a source has the same chance of one more copy, and a source's
+    words are within a document and a block of its target. Documents of one block are in hashed order.
     """
-    passes = F.floor(F.col("target") / F.col("source_size"))
-    rest = F.round(F.col("target") - passes * F.col("source_size"))
-    first = F.pmod(F.xxhash64(F.lit(seed), F.lit("rest"), F.col("row.source")), F.col("source_size"))
-    middle = F.col("start") + F.floor(F.col("size") / 2)
-    more = F.pmod(middle - first, F.col("source_size")) < rest
-    return mixed.withColumn("times", F.when(F.col("size") > 0, passes + more.cast("int")).otherwise(F.lit(0)).cast("int"))
+    n = parts or int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.filter("draws", lambda d: d["block"] == F.col("middle"))
+    each = mixed.select("row", F.explode(own).alias("d")).select("d.shard", F.xxhash64("d.place", "row").alias("place"), "row")
+    return each.repartitionByRange(n, "shard", "place").sortWithinPartitions("shard", "place")
 
 
-def shuffled_shards(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """One row per draw, dealt out by shard and shuffled inside it: (shard, row, pass, block, words)."""
+def shuffled_shards(mixed: DataFrame, parts: int | None = None) -> DataFrame:
+    """One row per draw, in order of shard and place over ``parts`` partitions: (shard, row, pass, block, words)."""
+    n = parts or int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = mixed.select("row", F.explode("draws").alias("d")).select("d.shard", "row", "d.pass", "d.block", "d.words", "d.place")
-    return each.repartition(shards, "shard").sortWithinPartitions("shard", "place").drop("place")
+    return each.repartitionByRange(n, "shard", "place").sortWithinPartitions("shard", "place").drop("place")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mix of a documents table: ``mix`` with words as size."""
-    return mix(docs, F.col("source"), word_count(F.col("text")), F.col("doc_id"))
+    return mix(docs, F.col("source"), word_count(F.col("text")), F.struct("doc_id", F.xxhash64("text")))

@@ -42,7 +42,7 @@ l as (select page_id, host, unnest(list_distinct(list_filter(list_transform(stri
         lambda x: {_TRIM.format('x')}), lambda x: x <> ''))) as line from p),
 total as (select host, count(*) as pages from p group by host),
 bad as (select l.host, line from l join total on l.host is not distinct from total.host
-        group by l.host, line, pages having count(*) >= 8 and count(*) > 0.1 * pages),
+        group by l.host, line, pages having count(*) >= 2 and count(*) > 0.1 * pages),
 badly as (select host, list(line) as ls from bad group by host),
 q as (select p.*, string_split(t, chr(10)) as a, coalesce(ls, []) as ls
       from p left join badly on p.host is not distinct from badly.host)

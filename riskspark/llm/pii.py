@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -309,7 +311,7 @@ def find_spans(text: str, model: Model | None) -> tuple[list[tuple[str, int, int
     base = base_spans(text)
     if model is None:
         return base, base
-    taken = sorted((a, b) for _, a, b in base)
+    taken = _Taken(base)
     more = []
     for a, b in regions(text):
         if b - a < 6 or not _hopeful(text, a, b, taken):
@@ -317,14 +319,33 @@ def find_spans(text: str, model: Model | None) -> tuple[list[tuple[str, int, int
         r = Region(text, a, b)
         for i, j, kind, margin in model.best(r):
             x, y = r.spans[i][0], r.spans[j - 1][1]
-            if margin >= MARGIN and not any(p < y and x < q for p, q in taken):
+            if margin >= MARGIN and not taken.touch(x, y):
                 more.append((KINDS[kind], x, y))
     return base, sorted(base + more, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
-def _hopeful(text: str, a: int, b: int, taken: list[tuple[int, int]]) -> bool:
+class _Taken:
+    """Base spans in order of their starts, with the largest end so far: each question is one search."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]) -> None:
+        order = sorted((a, b) for _, a, b in spans)
+        self.starts = [a for a, _ in order]
+        self.ends = list(accumulate((b for _, b in order), max))
+
+    def hold(self, x: int, y: int) -> bool:
+        """Whether some span contains [x, y)."""
+        k = bisect_right(self.starts, x)
+        return k > 0 and self.ends[k - 1] >= y
+
+    def touch(self, x: int, y: int) -> bool:
+        """Whether some span shares a character with [x, y)."""
+        k = bisect_left(self.starts, y)
+        return k > 0 and self.ends[k - 1] > x
+
+
+def _hopeful(text: str, a: int, b: int, taken: _Taken) -> bool:
     """Whether a trigger of the region lies outside every base span; else nothing can be added."""
-    return any(not any(p <= m.start() + a and m.end() + a <= q for p, q in taken) for m in _TRIGGER.finditer(text[a:b]))
+    return any(not taken.hold(m.start() + a, m.end() + a) for m in _TRIGGER.finditer(text[a:b]))
 
 
 def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +355,10 @@ def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", documents: int = TRAIN_DOCS, most: int = TRAIN_REGIONS) -> Model | None:
-    """A model from at most ``most`` regions of a hashed sample of about ``documents`` documents; None without any region."""
+    """A model from at most ``most`` regions of a hashed sample of about ``documents`` documents; None without any region.
+
+    Regions longer than eight times the longest span (MAX_CHARS) are left out of the fit, so that it is bounded; spans are
+    looked for in regions of any length."""
     n = docs.count()
     share = int(min(1.0, documents / max(n, 1)) * (1 << 20))
     src = docs.select(F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.octet_length(text_col)), F.lit(1 << 20)).alias("h"))

@@ -51,9 +51,10 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target is fixed by the sources; taken by seeded draws, which SQL elsewhere cannot repeat."""
+    """The target is fixed by the sources; taken by seeded draws, which SQL elsewhere cannot repeat. ``shards`` lists the draws as shard:words."""
+    listed = F.array_join(F.transform("draws", lambda d: F.concat_ws(":", d["shard"].cast("string"), d["words"].cast("string"))), ",")
     return mix_documents(table(spark, sf_dir, "documents")).select(
-        "row.doc_id", "size", "source_size", "target", "taken")
+        "row.doc_id", "size", "source_size", "target", "taken", listed.alias("shards"))
 
 
 def op8_semi_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

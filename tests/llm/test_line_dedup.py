@@ -39,3 +39,17 @@ def test_page_text(spark):
         .select(page_text(F.col("html")).alias("t"), host_of(F.col("url")).alias("h")).collect()
     assert [x for x in r[0]["t"].split("\n") if x.strip()] == ["X", "One & two", "three"] and r[0]["h"] == "blog.example.com"
     assert r[1]["t"] is None and r[1]["h"] is None
+
+
+def test_the_ratio_decides_on_small_and_large_hosts(spark):
+    """Hosts of 3, 10 and 50 pages: lines on one page stay, lines above the ratio on two or more go, lines at the ratio stay."""
+    rows = []
+    for host, pages in (("three", 3), ("ten", 10), ("fifty", 50)):
+        for i in range(pages):
+            lines = [f"own {host} {i}"] + ["on two"] * (i < 2) + ["tenth"] * (i < pages // 10) + ["over"] * (i < pages // 10 + 1)
+            rows.append((host, i, "\n".join(lines)))
+    df = spark.createDataFrame(rows, "host string, i long, text string")
+    got = {(r["row"]["host"], r["row"]["i"]): r["text"].split("\n") for r in line_dedup(df, F.col("host"), F.col("text")).collect()}
+    left = {h: {x for (k, _), v in got.items() if k == h for x in v if not x.startswith("own")} for h in ("three", "ten", "fifty")}
+    assert left == {"three": {"over"}, "ten": {"tenth"}, "fifty": {"on two", "tenth"}}
+    assert all(f"own {h} {i}" in v for (h, i), v in got.items())

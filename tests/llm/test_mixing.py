@@ -41,11 +41,11 @@ def test_targets_and_draws(spark):
         assert r["size"] == len((r["text"] or "").split())
         sizes[r["source"]] = sizes.get(r["source"], 0) + r["size"]
     want = reshare(sizes)
-    block = max(1, -(-sum(sizes.values()) // 65536))
     for s in sizes:
         mine = [r for r in got if r["source"] == s]
         assert {r["source_size"] for r in mine} == {sizes[s]}
         assert all(abs(r["target"] - want[s]) < 1e-6 * max(1, want[s]) for r in mine)
+        block = max(1, -(-sizes[s] // 8192))
         assert abs(sum(r["t"] for r in mine) - want[s]) <= block + 1
     assert all(0 <= r["t"] <= 3 * r["size"] for r in got)
     # shards: disjoint draws, nearly equal block counts
@@ -77,3 +77,37 @@ def test_empty_and_sizeless(spark):
     assert mix_documents(df.limit(0)).collect() == []
     none = mix(df, F.col("source"), F.lit(0), F.col("doc_id")).collect()
     assert len(none) == df.count() and all(r["taken"] == 0 and r["target"] == 0 for r in none)
+
+
+def test_the_tree_decides_the_shards(spark, monkeypatch):
+    """Other quotas from the tree, and trees of few sources: other shards, the same words from every source."""
+    from riskspark.llm import mixing as M
+
+    df = table(spark, random.Random(3), 40)
+    shards = lambda m: {(r["row"]["doc_id"], d["pass"], d["block"]): d["shard"] for r in m.collect() for d in r["draws"]}
+    one = shards(mix_documents(df))
+    other = shards(mix(df, F.col("source"), M.word_count(F.col("text")), F.struct("doc_id", F.xxhash64("text")), shards=5))
+    assert one.keys() == other.keys() and max(other.values()) <= 4 < max(one.values())
+    monkeypatch.setattr(M, "TREE_SOURCES", 2)
+    small = shards(mix_documents(df))
+    assert small.keys() == one.keys() and small != one
+
+
+def test_many_small_sources_meet_their_targets(spark):
+    rows = [(i * 10 + k, "w " * (1 + (i + k) % 4), f"s{i:05d}") for i in range(3000) for k in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    off = mix_documents(df).groupBy("row.source").agg(F.sum("taken").alias("t"), F.first("target").alias("target")).where("abs(t - target) > 0.5 + 1e-9")
+    assert off.count() == 0
+
+
+def test_whole_documents_come_by_shard_and_place(spark):
+    from riskspark.llm.mixing import whole_copies
+
+    df = table(spark, random.Random(5), 60)
+    out = whole_copies(mix_documents(df), parts=7).withColumn("part", F.spark_partition_id()).collect()
+    keys = [(r["part"], r["shard"], r["place"]) for r in out]
+    assert keys == sorted(keys) and {r["shard"] for r in out} == set(range(16))
+    by_shard = {}
+    for r in out:
+        by_shard.setdefault(r["shard"], []).append((r["part"], r["place"]))
+    assert all(v == sorted(v) for v in by_shard.values())

@@ -120,3 +120,16 @@ def test_query_shape_and_edges(spark):
                     sum(s[0] == "email" for s in by_patterns(t or ""))) for d, t, _ in rows}
     assert personal_data(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert regions("no digits here") == []
+
+
+def test_a_megabyte_of_addresses_in_seconds():
+    import time
+
+    from riskspark.llm.pii import find_spans, fit
+
+    model = fit(["call +1 555 010 9999 now", "mail a.b@c.org today", "card 4111 1111 1111 1111 ok"])
+    text = " ".join(f"user{i}@mail{i % 97}.example.org" for i in range(40_000))
+    start = time.time()
+    base, every = find_spans(text, model)
+    assert len(text) > 1 << 20 and len(base) == 40_000 and every[:1] == base[:1]
+    assert time.time() - start < 15  # it grows with the text, not with its square

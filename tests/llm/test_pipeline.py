@@ -30,7 +30,7 @@ def test_stages_take_odd_rows(spark):
         for name, f in P.STAGES:
             got = f(spark, df, "").collect()
             if name == "near_dedup":
-                assert len(got) == (4 if df.count() else 0)
+                assert len(got) == (5 if df.count() else 0)  # one of the two copies with text goes; wordless rows are no copies
 
 
 def test_mix_meets_targets(spark):
