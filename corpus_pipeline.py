@@ -38,22 +38,25 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the least id.
+    """One row of each group of near copies: the one with the least id (a missing id comes last), then the first in the table.
 
-    Of rows with one id, one stays; rows without an id all stay.
+    Rows are told apart by a number of their own, so different texts of one id both stay, and
+    copies without an id are copies all the same.
     """
-    keep = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).where("_kept_id is not null").distinct()
-    one = docs.where("doc_id is not null").join(keep, F.col("doc_id") == F.col("_kept_id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.union(docs.where("doc_id is null"))
+    rows = stage(docs.withColumn("_n", F.monotonically_increasing_id()), f"{stage_dir(spark)}/numbered")
+    groups = near_duplicates(rows.select(F.col("_n").alias("doc_id"), "text")).select(F.col("doc_id").alias("_n"), "component_id")
+    first = rows.select("_n", "doc_id").join(groups, "_n").groupBy("component_id") \
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_n").alias("keep"))).alias("first"))
+    return rows.join(first.select(F.col("first.keep").alias("_n")), "_n", "left_semi").drop("_n")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix in whole documents (none comes more than three times): each source's words are within one document of its target.
+    """The mix in whole documents (none comes more than three times), in order of output shard and place: each source's words are
+    within a document and a block of its target.
 
     Wordless documents have nothing to draw and go. The stream's order is by id and text, so rows without an id have places of their own.
     """
-    out = whole_copies(mix(docs, F.col("source"), word_count(F.col("text")), F.struct("doc_id", "text")))
-    return out.where("times > 0").select(F.explode(F.sequence(F.lit(1), F.col("times"))).alias("_copy"), "row").select("row.*")
+    return whole_copies(mix(docs, F.col("source"), word_count(F.col("text")), F.struct("doc_id", F.xxhash64("text")))).select("row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
