@@ -45,11 +45,10 @@ def pick_col(df_or_cols, candidates: Sequence[str], required: bool = False,
     """O-11: the alias of highest priority that is present, an exact spelling before any other.
     Schema-only, runs no job."""
     cols = list(df_or_cols.columns if isinstance(df_or_cols, DataFrame) else df_or_cols)
-    rank = {name: k for k, name in enumerate(reversed(candidates))}
-    found = max((c for c in cols if c in rank), key=rank.__getitem__, default=None)
+    found = next((name for name in candidates if name in cols), None)
     if found is None and case_insensitive:
-        folded = {name.casefold(): k for name, k in rank.items()}
-        found = max((c for c in cols if c.casefold() in folded), key=lambda c: folded[c.casefold()], default=None)
+        folded = {c.casefold(): c for c in reversed(cols)}
+        found = next((folded[name.casefold()] for name in candidates if name.casefold() in folded), None)
     if found is None and required:
         raise KeyError(f"none of the columns {', '.join(candidates)} is present")
     return found

@@ -114,10 +114,10 @@ def left_join_keep_first(left: DataFrame, right: DataFrame, key: str, order: Seq
     """O-74: left join onto a right side deduplicated keep-first (so m:1 holds by
     construction). ``validate`` additionally asserts the right side was unique."""
     r = dedupe_keep_first(right, [key], order)
-    if validate:
-        n, d = right.agg(F.count(F.lit(1)), F.count_distinct(F.col(key))).first()
-        if n != d:
-            raise AssertionError(f"right side of m:1 join has {n - d} duplicate {key} rows")
+    if validate:  # counted in the plan itself: a repeated key ends the query that uses it
+        many = right.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_many"))
+        once = F.when(F.col("_many") > 1, F.raise_error(F.concat(F.lit(f"duplicate {key}: "), F.col("_key").cast("string")))).otherwise(F.lit(True))
+        r = r.join(many, r[key].eqNullSafe(many["_key"])).where(once.cast("boolean")).drop("_key", "_many")
     return left.join(r, key, "left")
 
 

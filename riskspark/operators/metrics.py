@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.session import stage_table
+from riskspark.functions.quantiles import same_partition
 
 from riskspark.operators.rules import report_flagged
 
@@ -163,20 +163,22 @@ def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
 def score_prefix(counts: DataFrame, descending: bool = True, buckets: int | None = None) -> DataFrame:
     """Adds inclusive running ``cpos``/``cneg`` over distinct scores (descending by
     default) and the totals ``P``/``N``, without a single-partition window over scores: they
-    are range-partitioned (``buckets``, by default the session's shuffle partitions), written
-    once with the partition number, and prefixed by the totals of the partitions before."""
+    are range-partitioned (``buckets``, by default the session's shuffle partitions) in one exchange
+    that is read twice, for the totals of the partitions and for the running sums in each."""
     n = buckets or int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions", "16"))
-    d = counts.withColumn("_o", -F.col("score") if descending else F.col("score"))
-    d = stage_table(d.repartitionByRange(n, "_o").withColumn("_bk", F.spark_partition_id()))
+    order = F.col("score").desc() if descending else F.col("score").asc()
+    d = counts.select("score", "pos", "neg").repartitionByRange(n, order).withColumn("_bk", F.spark_partition_id())
     tot = d.groupBy("_bk").agg(F.sum("pos").alias("_bp"), F.sum("neg").alias("_bn"))
     before, whole = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()  # n rows
     tot = tot.select(F.col("_bk").alias("_b"), F.coalesce(F.sum("_bp").over(before), F.lit(0)).alias("_op"),
-                     F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"),
+                     F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_on"), (F.col("_bp") + F.col("_bn")).alias("_all"),
                      F.sum("_bp").over(whole).alias("P"), F.sum("_bn").over(whole).alias("N"))
     d = d.join(F.broadcast(tot), F.col("_bk") == F.col("_b"))  # one row for each partition
-    wi = Window.partitionBy("_bk").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
+    part = Window.partitionBy("_bk")
+    wi = part.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    here = F.sum(F.col("pos") + F.col("neg")).over(part)
     return d.select("score", "pos", "neg", "P", "N",
-                    (F.col("_op") + F.sum("pos").over(wi)).alias("cpos"),
+                    same_partition(F.col("_op") + F.sum("pos").over(wi), here, F.col("_all")).alias("cpos"),
                     (F.col("_on") + F.sum("neg").over(wi)).alias("cneg"))
 
 

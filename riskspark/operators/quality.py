@@ -6,10 +6,11 @@ only the one result row per expectation reaches the driver (if at all).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskspark.functions.segscan import scan
@@ -57,19 +58,19 @@ def expect_some_value(column: str) -> dict:
     return {"type": "some_value", "column": column}
 
 
-def run_expectations(df: DataFrame, suite: Sequence[Mapping[str, Any]], suite_name: str = "suite") -> DataFrame:
-    """O-84: (suite, idx, expectation, column, success, observed, element_count).
-
-    ``mostly``: pass when valid / non-NULL >= mostly (NULLs are not counted against a
-    between/in-set expectation, as in the usual expectation semantics)."""
-    cols = set(df.columns)
+def _measures(cols: set[str], suite: Sequence[Mapping[str, Any]]) -> list[Column]:
+    """What a suite needs to know of a frame with these columns, as aggregates."""
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, e in enumerate(suite):
         if e["type"] in ("between", "in_set", "not_null", "some_value") and e["column"] in cols:
             aggs.append(F.count(F.col(e["column"])).alias(f"_nn{i}"))
             if e["type"] not in ("not_null", "some_value"):
                 aggs.append(F.count_if(F.col(e["column"]).isNotNull() & _valid(e)).alias(f"_ok{i}"))
-    row = df.agg(*aggs)
+    return aggs
+
+
+def _judge(row: DataFrame, cols: set[str], suite: Sequence[Mapping[str, Any]], suite_name: str) -> DataFrame:
+    """One row for each expectation from the one row of measures."""
     recs = []
     n = F.col("_n")
     for i, e in enumerate(suite):
@@ -96,6 +97,34 @@ def run_expectations(df: DataFrame, suite: Sequence[Mapping[str, Any]], suite_na
     return row.select(F.explode(F.array(*recs)).alias("r")).select("r.*")
 
 
+def run_expectations(df: DataFrame, suite: Sequence[Mapping[str, Any]], suite_name: str = "suite") -> DataFrame:
+    """O-84: (suite, idx, expectation, column, success, observed, element_count).
+
+    ``mostly``: pass when valid / non-NULL >= mostly (NULLs are not counted against a
+    between/in-set expectation, as in the usual expectation semantics)."""
+    cols = set(df.columns)
+    return _judge(df.agg(*_measures(cols, suite)), cols, suite, suite_name)
+
+
+def write_checked(df: DataFrame, path: str, suites: Mapping[str, Sequence[Mapping[str, Any]]]) -> DataFrame:
+    """O-81 / O-84 without a second scan: write ``df`` as Parquet and judge it by measures taken of the rows as they are written.
+
+    Returns the rows of all suites; the table is there whatever they say."""
+    spark, cols = df.sparkSession, set(df.columns)
+    seen = {name: Observation(f"{name}-{uuid.uuid4().hex[:8]}") for name in suites}
+    watched = df
+    for name, suite in suites.items():
+        watched = watched.observe(seen[name], *_measures(cols, suite))
+    watched.write.mode("overwrite").parquet(path)
+    out = None
+    for name, suite in suites.items():
+        got = seen[name].get
+        row = spark.createDataFrame([tuple(got.values())], ", ".join(f"{k} long" for k in got))
+        judged = _judge(row, cols, suite, name)
+        out = judged if out is None else out.unionByName(judged)
+    return out
+
+
 # ---- suites (fixed values: the original expectation suites and contract checks) ------
 
 def fraud_log_suite() -> list[dict]:

@@ -8,11 +8,12 @@ from riskspark.operators import credit as CR
 from riskspark.operators import drift as DR
 from riskspark.operators import experiments as EX
 from riskspark.operators import metrics as M
+from riskspark.operators import quality as QL
 from riskspark.operators import rollups as RO
 from riskspark.operators import scoring as SC
 from riskspark.operators import sketches as SK
 from riskspark.plans.common import date_str, final
-from riskspark.plans.credit import default_labels
+from riskspark.plans.credit import default_labels, scored_borrowers
 from riskspark.plans.fraud import decision_log_table
 from riskspark.plans.models import CREDIT_FEATURES
 from riskspark.session import stage_table
@@ -150,6 +151,14 @@ def upsert_last_in_batch(spark, sf):
     return final(out.select("user_id", "transaction_id", "amount"), money=["amount"])
 
 
+def contracts_while_writing(spark, sf):
+    """O-81 / O-84: the PD table written once, its contract judged by measures of the same pass, and again on the written table."""
+    at = work_dir(spark, "checked")
+    seen = QL.write_checked(scored_borrowers(spark, sf), at, {"pd_scores": QL.pd_scores_suite()})
+    again = QL.run_expectations(spark.read.parquet(at), QL.pd_scores_suite(), "pd_scores").select("idx", F.col("success").alias("success_later"))
+    return final(seen.join(again, "idx"), ratios=["observed"])
+
+
 QUERIES = {f.__name__: f for f in (
     calibration_folds, split_shares, saved_model_parity, file_times, evolving_types, latency_sketches, fractional_latency_kpis, shadow_log_scan,
-    alerts_that_fire, severity_thresholds, upsert_last_in_batch)}
+    alerts_that_fire, severity_thresholds, upsert_last_in_batch, contracts_while_writing)}

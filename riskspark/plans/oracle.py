@@ -1193,3 +1193,5 @@ l AS (SELECT user_id, arg_max(transaction_id, (epoch_us(ts), transaction_id)) AS
       FROM txn GROUP BY 1)
 SELECT user_id, CASE WHEN user_id % 3 <> 0 THEN transaction_id ELSE -1 END AS transaction_id,
        CASE WHEN user_id % 3 <> 0 THEN round(amount, 2) ELSE 0.0 END AS amount FROM l"""
+
+Q["contracts_while_writing"] = "SELECT *, success AS success_later FROM (" + Q["contract_pd_scores"] + ")"

@@ -96,3 +96,26 @@ def test_sketches_merge_within_their_bound(spark):
         r = SK.rank_error(d.withColumn("all", F.lit(1)), whole, ["all"], "v", name, p).first()
         assert r.n == 50_000 and r.rank_error <= SK.RANK_ERROR
     assert SK.sketch_quantiles(days, {"p": .5}).where("day = 99").first()["p"] is None
+
+
+def test_contract_of_the_rows_as_they_are_written(spark):
+    from riskspark.operators import quality as QL
+
+    at = work_dir(spark, "t_checked")
+    d = spark.createDataFrame([("a", .5), ("b", 1.5), (None, None)], "borrower_id string, PD double")
+    suites = {"pd": QL.pd_scores_suite(), "health": [QL.expect_between("PD", 0, 2), QL.expect_exists("nothing")]}
+    got = QL.write_checked(d, at, suites).collect()
+    want = [r for name, suite in suites.items() for r in QL.run_expectations(spark.read.parquet(at), suite, name).collect()]
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str) and not all(r.success for r in got)
+    assert QL.write_checked(d.limit(0), at, {"pd": QL.pd_scores_suite()}).where("idx = 4").first()["success"] is False
+
+
+def test_a_repeated_key_ends_the_validated_join(spark):
+    from riskspark.operators.credit import left_join_keep_first
+
+    left = spark.createDataFrame([(1,), (2,)], "k int")
+    once, twice = (spark.createDataFrame(rows, "k int, v int") for rows in ([(1, 5), (None, 6)], [(1, 5), (1, 6)]))
+    assert {(r.k, r.v) for r in left_join_keep_first(left, once, "k", ["v"], validate=True).collect()} == {(1, 5), (2, None)}
+    checked = left_join_keep_first(left, twice, "k", ["v"], validate=True)  # no job yet
+    with pytest.raises(Exception, match="duplicate k"):
+        checked.collect()
