@@ -133,3 +133,21 @@ def test_a_megabyte_of_addresses_in_seconds():
     base, every = find_spans(text, model)
     assert len(text) > 1 << 20 and len(base) == 40_000 and every[:1] == base[:1]
     assert time.time() - start < 15  # it grows with the text, not with its square
+
+
+def test_query_columns_against_the_patterns(spark):
+    """Every count, the digest and the listed base spans of all documents; added spans overlap none of them."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    got = personal_data(docs).collect()
+    assert len(got) == len(texts)
+    order = {k: i for i, k in enumerate(KINDS)}
+    for r in got:
+        base = sorted(by_patterns(texts[r["doc_id"]] or ""), key=lambda s: (order[s[0]], s[1]))
+        assert [r[f"n_{k}"] for k in KINDS] == [sum(s[0] == k for s in base) for k in KINDS]
+        listed = ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert r["base_sha256"] == hashlib.sha256(listed.encode()).hexdigest()
+        spans = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in r["spans"].split(",") if x)]
+        assert set(base) <= set(spans) and spans == sorted(spans, key=lambda s: (order[s[0]], s[1]))
+        for k, a, b in set(spans) - set(base):
+            assert not any(p < b and a < q for _, p, q in base)

@@ -1,9 +1,11 @@
+import math
 import random
 import re
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from riskspark.llm import quality_model as Q
 from riskspark.llm.common import table
 from riskspark.llm.quality_model import classify, estimate
 from riskspark.llm.quality_rules import quality_rules
@@ -74,3 +76,64 @@ def test_classifier_edges(spark):
     assert len(r) == 5 and all(x["kept"] for x in r if not (x["row"]["text"] or "").strip())
     assert len({x["score"] for x in r if x["row"]["doc_id"] == 3}) == 1
     assert classify(df.limit(0)).collect() == []
+
+
+def _plain_estimate(votes, rounds=Q.ROUNDS):
+    """Expectation-maximisation document by document, in plain Python."""
+    n, labellers = len(votes), len(votes[0])
+    post = [.1 if 2 in v else .9 for v in votes]
+    theta = prior = None
+    for _ in range(rounds):
+        theta = [[[0.0] * 3 for _ in range(labellers)] for _ in range(2)]
+        for v, p in zip(votes, post):
+            for k, x in enumerate(v):
+                theta[0][k][x] += 1 - p
+                theta[1][k][x] += p
+        for c in range(2):
+            for row in theta[c]:
+                for x in range(3):
+                    row[x] += Q.BELIEF * n * Q._BELIEVED[c][x]
+                total = sum(row)
+                for x in range(3):
+                    row[x] /= total
+        prior = (sum(post) + 1) / (n + 2)
+        new = []
+        for v in votes:
+            good, bad = math.log(prior), math.log(1 - prior)
+            for k, x in enumerate(v):
+                good += math.log(theta[1][k][x])
+                bad += math.log(theta[0][k][x])
+            new.append(1 / (1 + math.exp(min(max(bad - good, -60), 60))))
+        post = new
+    return post
+
+
+def _plain_score(text, weights):
+    raw = text.encode()
+    m = {k: v[0] for k, v in Q.measures(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).items()}
+    x = [0.0] * Q.DIM
+    for a, b in zip(raw, raw[1:]):
+        x[((a * 257 + b) * 2654435761 % 2**32) >> 20] += 1
+    total = max(sum(x), 1)
+    x = [math.sqrt(v / total) for v in x]
+    for k, name in enumerate(Q.LABELLERS):
+        step = min(int(m[name] * (1 if name == "length" else 10)), 30)
+        x[int(Q.mix(np.array([step + 64 * k], np.uint64))[0] % Q.DIM)] += .5
+    return 1 / (1 + math.exp(-(sum(w * v for w, v in zip(weights, x)) + weights[-1])))
+
+
+def test_whole_query_against_a_plain_twin(spark):
+    """Posteriors by a loop over documents, scores by a loop over byte pairs with the fitted weights."""
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    rows = [r for r in docs.select("doc_id", "text").collect()]
+    got = {r["row"]["doc_id"]: r for r in classify(docs).select("row", "posterior", "score", "kept").collect()}
+    votes = []
+    for r in rows:
+        raw = r["text"].encode()
+        votes.append(Q.votes(Q.measures(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))[0].tolist())
+    model = Q.train(docs, F.col("text"), F.col("doc_id"))
+    for r, p in zip(rows, _plain_estimate(votes)):
+        assert abs(got[r["doc_id"]]["posterior"] - p) < 1e-6
+    for r in rows[::7]:
+        s = _plain_score(r["text"], model.weights.tolist())
+        assert abs(got[r["doc_id"]]["score"] - s) < 2e-3 and got[r["doc_id"]]["kept"] == (got[r["doc_id"]]["score"] >= Q.THRESHOLD)
