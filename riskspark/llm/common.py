@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.session import ensure_checkpoint_dir
+from riskspark.session import ensure_checkpoint_dir, scratch
 
 #: Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stage_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir`` (shared by driver and executors) for one operator run."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return scratch(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}")
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
