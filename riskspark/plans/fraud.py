@@ -45,11 +45,11 @@ def decision_log_table(spark: SparkSession, sf: str) -> DataFrame:
     queries read it like the daily log files the scoring service writes. Writing it
     cuts the long feature/rules lineage, so several passes over the log (edges then
     counts, prefix sums) and executor loss never recompute the scoring chain."""
-    from riskspark.streaming.ops import work_dir
+    from riskspark.streaming.ops import path_exists, work_dir
 
     key = (spark.sparkContext.applicationId, sf, T.fingerprint(spark, f"{sf.rstrip('/')}/events.parquet"))
     path = _LOG_TABLES.get(key)
-    if path is None:
+    if path is None or not path_exists(spark, path):
         path = work_dir(spark, "decision_log_table")
         score_log(spark, sf).write.mode("overwrite").parquet(path)
         _LOG_TABLES[key] = path

@@ -79,10 +79,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def scratch(spark: SparkSession, path: str) -> str:
+    """``path``, remembered as a folder of this application that nothing needs once its results are written."""
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the stage tables, stream folders and work folders that this application has made; returns how many.
+
+    Results are lazy and read them, so call it when results are written and streams have stopped."""
+    gone = 0
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    return gone
+
+
 def stage_table(df: DataFrame) -> DataFrame:
     """Write ``df`` once below the checkpoint folder and read it back: several passes over it
     (or a loss of executors) do not compute it again, and what depends on the partitioning
     of the moment, such as partition numbers, stays fixed."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/stage-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -30,7 +30,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from riskspark.operators import fraud as FR
 from riskspark.operators import rules as RU
-from riskspark.session import ensure_checkpoint_dir
+from riskspark.session import ensure_checkpoint_dir, scratch
 from riskspark.sources import files as FS
 from riskspark.sources import tables as T
 from riskspark.sources.snapshots import SnapshotTable
@@ -45,7 +45,7 @@ BASE_US = FR.VELOCITY_BASELINE_DAYS * FR.DAY_US
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run under the shared checkpoint directory."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:8]}")
+    return scratch(spark, os.path.join(base, "streams", f"{name}-{uuid.uuid4().hex[:8]}"))
 
 
 def txn_stream(spark: SparkSession, path: str, max_files: int | None = 1, glob: str | None = None) -> DataFrame:

@@ -48,3 +48,18 @@ def test_aliases_and_locale(spark):
     r = C.rename_aliases(df, {"loan_amount": ["loan_amnt"]}, case_insensitive=True)
     assert "loan_amount" in r.columns
     assert df.select(C.chargeback_flag(F.lit("Y")), C.chargeback_flag(F.lit("maybe"))).collect()[0] == (1, 0)
+
+
+def test_scratch_folders_go(spark):
+    from riskspark import session as SE
+    from riskspark.streaming.ops import path_exists, work_dir
+
+    app = spark.sparkContext.applicationId
+    before = SE._SCRATCH.pop(app, [])  # those of other tests stay
+    table = SE.stage_table(spark.range(5))
+    folder = work_dir(spark, "t_scratch")
+    spark.range(2).write.parquet(folder)
+    made = list(SE._SCRATCH[app])
+    assert table.count() == 5 and len(made) == 2 and all(path_exists(spark, p) for p in made)
+    assert SE.clear_scratch(spark) == 2 and not any(path_exists(spark, p) for p in made) and app not in SE._SCRATCH
+    SE._SCRATCH[app] = before
