@@ -4,7 +4,7 @@ Vectors of one label are linked at cosine >= THRESHOLD. A neighbour graph finds
 start from vectors that lie side by side in several random-hyperplane orders, then rounds of
 NN-descent compare, around every vector, its neighbours with each other, forward and reverse,
 and keep each vector's best LIST. Rounds stop when an audit against brute force (AUDIT hashed
-vectors, in blocks) reaches RECALL of the links that lists can hold.
+vectors, more where few of them have links) reaches RECALL of the links that lists can hold.
 
 A list whose last entry still reaches the threshold is saturated: its vector may have more
 links. Such lists are enlarged to all links: the vector is compared, block by block, with every
@@ -41,6 +41,8 @@ BESIDE = 2
 GROUP = 48
 MAX_ROUNDS, MIN_ROUNDS = 6, 2
 AUDIT, RECALL = 200, 0.99
+#: The audit grows fourfold until its vectors have so many links, or are AUDIT_MOST or all of them.
+AUDIT_LINKS, AUDIT_MOST = 200, 12_800
 BLOCK = 1024
 #: Vectors, and representatives, in a block of the search beyond the components.
 FAR_ROWS, FAR_REPS = 4096, 16_384
@@ -155,15 +157,17 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _edges(*got)
 
 
-def _round(lists: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One round of NN-descent: neighbours of a vector, forward and reverse, are compared with each other."""
+def _round(lists: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """Round ``k`` of NN-descent: neighbours of a vector, forward and reverse, are compared with each other.
+
+    A hub's are dealt to other groups in every round, so no two of them are kept apart for good."""
     full = F.size("near") >= LIST
     node = nodes.join(lists, nodes["v"] == lists["u"]).select(
         "v", "vec", "near", F.when(full, F.element_at("near", -1)["sim"]).otherwise(F.lit(-2.0)).alias("worst"))
     edge = lists.select(F.col("u").alias("c"), F.explode("near.v").alias("m"))
     both = edge.union(edge.select(F.col("m").alias("c"), F.col("c").alias("m"))).distinct()
     degree = both.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
-    both = both.join(degree, "c").select("c", F.pmod(F.xxhash64("m"), F.col("groups")).alias("salt"), "m")
+    both = both.join(degree, "c").select("c", F.pmod(F.xxhash64("m", F.lit(k)), F.col("groups")).alias("salt"), "m")
     own = degree.select("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("salt")).withColumn("m", F.col("c"))
     member = both.union(own).join(node.select(F.col("v").alias("m"), "worst", "vec"), "m")
     found = member.repartition("c", "salt").sortWithinPartitions("c", "salt").mapInArrow(_compare, _EDGE)
@@ -195,6 +199,20 @@ def _truth(ids: list[int], groups: list[str], vecs: list[bytes]):
     return run
 
 
+def audit(nodes: DataFrame, n: int) -> tuple[list[int], list]:
+    """Hashed vectors and their true links by brute force (rows v, n, copies): so many that they have AUDIT_LINKS links, if the bounds allow."""
+    size = AUDIT
+    while True:
+        chosen = nodes.select("v", "g", "vec").orderBy(F.xxhash64("v"), "v").limit(size).collect()
+        ids = [r["v"] for r in chosen]
+        truth = nodes.select("v", "g", "vec", "mult").mapInArrow(
+            _truth(ids, [r["g"] for r in chosen], [r["vec"] for r in chosen]), "v long, n long, copies long") \
+            .groupBy("v").agg(F.sum("n").alias("n"), F.sum("copies").alias("copies")).collect()
+        if sum(r["n"] for r in truth) >= AUDIT_LINKS or size >= min(n, AUDIT_MOST):
+            return ids, truth
+        size *= 4
+
+
 def _angles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Angle between the vector and the representative of each row."""
     for b in batches:
@@ -297,7 +315,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
     Rows with a null label, a null, empty or zero vector, or null or non-finite components link
     with nothing; so do vectors of different lengths. Equal rows are other vectors of cosine 1.
-    Rows with a null id link through their copies only: with no id among them they have no
+    Rows with a null id link through their copies only, and count as links of these: with no id among them they have no
     links and a null component. Ties in a list go to the larger id. An empty table gives no
     rows; other columns are ignored.
     """
@@ -321,15 +339,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
         .select(F.concat_ws("/", F.col("tree").cast("string"), "g").alias("g"), "v", "vec").mapInArrow(_beside, _EDGE)
     lists = stage(_lists(start), f"{at}/lists-0")
 
-    audit = nodes.select("v", "g", "vec").orderBy(F.xxhash64("v"), "v").limit(AUDIT).collect()
-    ids = [r["v"] for r in audit]
-    truth = nodes.select("v", "g", "vec", "mult").mapInArrow(
-        _truth(ids, [r["g"] for r in audit], [r["vec"] for r in audit]), "v long, n long, copies long") \
-        .groupBy("v").agg(F.sum("n").alias("n"), F.sum("copies").alias("copies")).collect()
+    ids, truth = audit(nodes, n)
     goal, all_ = sum(min(r["n"], LIST) for r in truth), sum(r["copies"] for r in truth)
     reach = F.size(F.filter("near", lambda x: x["sim"] >= THRESHOLD))
     for k in range(1, MAX_ROUNDS + 1):
-        lists = stage(_round(lists, nodes), f"{at}/lists-{k}")
+        lists = stage(_round(lists, nodes, k), f"{at}/lists-{k}")
         found = lists.where(F.col("u").isin(ids)).agg(F.sum(reach)).first()[0] or 0
         if k >= MIN_ROUNDS and found >= RECALL * goal:
             break

@@ -88,3 +88,31 @@ def test_links_between_tight_groups(spark):
     got = sorted(map(tuple, near_vectors(df).collect()))
     want = brute(rows)
     assert got == want and max(w[1] for w in want) >= 179
+
+
+def test_the_audit_grows_where_links_are_sparse(spark, monkeypatch):
+    """Few linked vectors: the audit goes on until it has links to measure, and the recall of the result is measured too."""
+    from riskspark.llm import embedding_dup as E
+
+    rng = np.random.RandomState(4)
+    rows = []
+    for _ in range(700):
+        rows.append((len(rows), [float(y) for y in rng.randn(24)], 1))
+    for _ in range(30):  # isolated pairs
+        x = rng.randn(24)
+        rows += [(len(rows) + k, [float(y) for y in x + .02 * rng.randn(24)], 1) for k in range(2)]
+    seen = []
+    one = E.audit
+
+    def watched(nodes, n):
+        ids, truth = one(nodes, n)
+        seen.append((len(ids), sum(r["n"] for r in truth)))
+        return ids, truth
+    monkeypatch.setattr(E, "audit", watched)
+    monkeypatch.setattr(E, "AUDIT_LINKS", 40)
+    got = sorted(map(tuple, near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()))
+    want = brute(rows)
+    assert seen[0][0] == 760 and seen[0][1] == 60
+    found, true = sum(g[1] for g in got), sum(w[1] for w in want)
+    print(f"recall of sparse links: {found / true:.3f}")
+    assert true == 60 and found >= .9 * true
