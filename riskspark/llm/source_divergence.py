@@ -107,23 +107,28 @@ class Block:
         """The block as term-sorted segments of each shard and language."""
         for lang in sorted(self.counts):
             names = sorted(self.counts[lang])
-            postings: dict[bytes, list[tuple[int, int]]] = {}
-            for k, name in enumerate(names):
-                for term, n in self.counts[lang][name].items():
-                    postings.setdefault(term, []).append((k, n))
-            docs, seed = self.docs[lang], zlib.crc32(lang.encode("utf-8"))
-            dealt: dict[int, list[bytes]] = {}
-            for term in sorted(postings):
-                dealt.setdefault(zlib.crc32(term, seed) % shards, []).append(term)
-            for shard, terms in dealt.items():
-                for a in range(0, len(terms), SEGMENT):
-                    part = terms[a: a + SEGMENT]
-                    rows = [postings[t] for t in part]
-                    used = sorted({k for r in rows for k, _ in r})
-                    at = {k: i for i, k in enumerate(used)}
-                    yield {"shard": shard, "lang": lang, "first": part[0], "terms": part, "docs": [docs.get(t, 0) for t in part],
-                           "ends": np.cumsum([len(r) for r in rows]).tolist(), "names": [names[k] for k in used],
-                           "which": [at[k] for r in rows for k, _ in r], "counts": [n for r in rows for _, n in r]}
+            counters = [self.counts[lang][name] for name in names]
+            terms = sorted(set().union(*counters))
+            number = {t: i for i, t in enumerate(terms)}
+            # postings by term, then source
+            term = np.concatenate([np.fromiter(map(number.__getitem__, c), np.int64, len(c)) for c in counters])
+            order = np.argsort(term, kind="stable")
+            which = np.repeat(np.arange(len(names), dtype=np.int32), [len(c) for c in counters])[order]
+            count = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in counters])[order]
+            begin = np.searchsorted(term[order], np.arange(len(terms) + 1))
+            seen, seed = self.docs[lang], zlib.crc32(lang.encode("utf-8"))
+            docs = np.fromiter((seen.get(t, 0) for t in terms), np.int64, len(terms))
+            shard = np.fromiter((zlib.crc32(t, seed) % shards for t in terms), np.int64, len(terms))
+            dealt = np.argsort(shard, kind="stable")
+            for mine in np.split(dealt, np.flatnonzero(np.diff(shard[dealt])) + 1):
+                for a in range(0, len(mine), SEGMENT):
+                    part = mine[a: a + SEGMENT]
+                    n = begin[part + 1] - begin[part]
+                    ends = np.cumsum(n)
+                    rows = np.repeat(begin[part] - (ends - n), n) + np.arange(ends[-1])
+                    used, at = np.unique(which[rows], return_inverse=True)
+                    yield {"shard": int(shard[part[0]]), "lang": lang, "first": terms[part[0]], "terms": [terms[i] for i in part],
+                           "docs": docs[part], "ends": ends, "names": [names[k] for k in used], "which": at, "counts": count[rows]}
 
 
 def _index(shards: int):
@@ -176,15 +181,15 @@ def merge(segments: Iterator[dict]) -> Iterator[tuple[str, bytes, int, dict[str,
     term, docs, found = None, 0, {}
     lang = here = None
 
-    def advance(k: int, rows: Iterator) -> None:
-        row = next(rows, None)
-        if row is not None:
-            heapq.heappush(heap, (row[0], k, row, rows))
-
     def drain(until: bytes | None) -> Iterator[tuple]:
         nonlocal term, docs, found
         while heap and (until is None or heap[0][0] < until):
-            t, k, row, rows = heapq.heappop(heap)
+            t, k, row, rows = heap[0]
+            after = next(rows, None)
+            if after is None:
+                heapq.heappop(heap)
+            else:
+                heapq.heapreplace(heap, (after[0], k, after, rows))
             if t != term:
                 if term is not None:
                     yield lang, term, docs, found
@@ -192,7 +197,6 @@ def merge(segments: Iterator[dict]) -> Iterator[tuple[str, bytes, int, dict[str,
             docs += row[1]
             for name, n in zip(row[2], row[3], strict=True):
                 found[name] = found.get(name, 0) + n
-            advance(k, rows)
         if until is None and term is not None:
             yield lang, term, docs, found
             term = None
@@ -203,14 +207,18 @@ def merge(segments: Iterator[dict]) -> Iterator[tuple[str, bytes, int, dict[str,
             here, lang = (segment["shard"], segment["lang"]), segment["lang"]
         else:
             yield from drain(segment["first"])
-        advance(k, _postings(segment))
+        rows = _postings(segment)
+        row = next(rows)  # a segment has a term
+        heapq.heappush(heap, (row[0], k, row, rows))
     yield from drain(None)
 
 
 def _merge(min_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _ARROW_RUN.names
-        segments = ({c: b.column(c)[i].as_py() for c in columns} for b in batches for i in range(b.num_rows))
+        def cell(column: pa.Array, i: int):  # numbers by way of numpy
+            return column[i].values.to_numpy().tolist() if pa.types.is_list(column.type) and pa.types.is_integer(column.type.value_type) else column[i].as_py()
+
+        segments = ({c: cell(b.column(c), i) for c in _ARROW_RUN.names} for b in batches for i in range(b.num_rows))
         kept = ({"lang": lang, "term": term.decode("utf-8"), "names": list(found), "counts": list(found.values())}
                 for lang, term, docs, found in merge(segments) if docs >= min_docs)
         yield from _batches(kept, _ARROW_FREQUENCY, 4096)
