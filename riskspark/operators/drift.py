@@ -78,14 +78,24 @@ def psi_numeric_tagged(df: DataFrame, features: Sequence[str], sample_col: str =
         binc = F.least(F.greatest(idx, F.lit(1)), nb)
     else:
         binc = F.when((F.col("value") >= lo) & (F.col("value") <= hi), F.least(idx, nb))
-    d = d.withColumn("bin", F.when(nb >= 1, binc))
+    d = d.select("feature", "sample", nb.alias("nb"), F.when(nb >= 1, binc).alias("bin"))
     # bin NULL = out of range (or < 2 edges): counted for sample presence only
-    counts = d.groupBy("feature", "bin").agg(F.count_if(F.col("sample") == "ref").alias("r"),
-                                             F.count_if(F.col("sample") == "cur").alias("c"))
-    present = counts.groupBy("feature").agg(F.sum("r").alias("nr"), F.sum("c").alias("nc"))
-    grid = edges.where(F.size("edges") >= 2).select("feature", F.explode(F.sequence(F.lit(1), nb)).alias("bin"))
-    full = grid.join(counts.where(F.col("bin").isNotNull()), ["feature", "bin"], "left").fillna(0, ["r", "c"])
-    return _psi_from_counts(full, eps, present)
+    counts = d.groupBy("feature", "nb", "bin").agg(F.count_if(F.col("sample") == "ref").alias("r"),
+                                                   F.count_if(F.col("sample") == "cur").alias("c"))
+    # a feature's bins are few, so they meet in one row: empty ones are filled in there, without another pass for edges or totals
+    known = F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", F.struct("r", "c"))))
+    g = counts.groupBy("feature").agg(F.max("nb").alias("nb"), F.sum("r").alias("nr"), F.sum("c").alias("nc"), F.map_from_entries(known).alias("m"))
+    none = F.struct(F.lit(0).cast("bigint").alias("r"), F.lit(0).cast("bigint").alias("c"))
+    bins = F.when(F.col("nb") >= 1, F.transform(F.sequence(F.lit(1), "nb"), lambda b: F.coalesce(F.try_element_at("m", b), none)))
+    total = lambda f: F.aggregate("bins", F.lit(0).cast("bigint"), lambda acc, x: acc + x[f])
+    g = g.withColumn("bins", bins).select("feature", "nb", "nr", "nc", "bins", total("r").alias("rt"), total("c").alias("ct"))
+
+    def share(x: Column, f: str) -> Column:
+        return (x[f] + F.lit(eps)) / (F.col(f"{f}t") + F.lit(eps) * F.col("nb"))
+
+    psi = F.aggregate("bins", F.lit(0.0), lambda acc, x: acc + (share(x, "c") - share(x, "r")) * F.log(share(x, "c") / share(x, "r")))
+    ok = (F.col("nr") > 0) & (F.col("nc") > 0) & (F.col("rt") > 0)
+    return g.select("feature", F.when(ok, psi).alias("psi"))
 
 
 def psi_categorical(ref: DataFrame, cur: DataFrame, features: Sequence[str], eps: float = PSI_EPS) -> DataFrame:
