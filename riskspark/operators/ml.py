@@ -22,6 +22,8 @@ from riskspark.functions.quantiles import exact_quantiles
 from riskspark.operators import metrics as M
 
 HASHED_CATEGORIES = 512
+#: Rows that one task of a training works on: the boosted trees hold four bytes for each row and slot of the features.
+TRAIN_ROWS = 100_000
 
 
 def hash_split(df: DataFrame, id_col: str, test_pct: int = 25, seed: int = 42, label: str | None = None) -> DataFrame:
@@ -37,6 +39,12 @@ def hash_split(df: DataFrame, id_col: str, test_pct: int = 25, seed: int = 42, l
         .drop("_h", "_y", "_q")  # one row for each class
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly to tasks of at most about TRAIN_ROWS rows; a table of so few stays as it is."""
+    n = df.count()
+    return df.repartition(-(-n // TRAIN_ROWS)) if n > TRAIN_ROWS else df
+
+
 def balanced_weights(df: DataFrame, label: str, out: str = "w") -> DataFrame:
     """w = N / (classes * n_class): one small aggregate joined back (broadcast: one row per class)."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
@@ -69,7 +77,7 @@ def train_gbt(train: DataFrame, numeric: Sequence[str], categorical: Sequence[st
     stages.append(VectorAssembler(inputCols=[*numeric, *(["_cats"] if cats else [])], outputCol="_x", handleInvalid="keep"))
     stages.append(GBTClassifier(featuresCol="_x", labelCol=label, weightCol="w", maxIter=max_iter,
                                 maxDepth=max_depth, seed=seed))
-    return Pipeline(stages=stages).fit(balanced_weights(train, label))
+    return Pipeline(stages=stages).fit(balanced_weights(spread(train), label))
 
 
 def score_with(model, df: DataFrame, out: str = "score") -> DataFrame:

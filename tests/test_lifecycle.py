@@ -119,3 +119,13 @@ def test_a_repeated_key_ends_the_validated_join(spark):
     checked = left_join_keep_first(left, twice, "k", ["v"], validate=True)  # no job yet
     with pytest.raises(Exception, match="duplicate k"):
         checked.collect()
+
+
+def test_tree_training_tasks_are_bounded_by_rows(spark, data, monkeypatch):
+    from riskspark.operators import ml as ML
+
+    seen, weigh = [], ML.balanced_weights
+    monkeypatch.setattr(ML, "TRAIN_ROWS", 50, raising=False)
+    monkeypatch.setattr(ML, "balanced_weights", lambda d, label: (seen.append(d.rdd.getNumPartitions()), weigh(d, label))[1])
+    ML.train_gbt(data.coalesce(1), ["x", "z"], [], "y", max_iter=1)
+    assert seen == [5]
