@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from riskspark.functions.coerce import finite
 from riskspark.functions.quantiles import exact_quantiles
 from riskspark.operators import ml as ML
+from riskspark.session import stage_table
 
 # ---- fixed values --------------------------------------------------------------------
 TEST_SHARES = (25, 20, 15, 10)
@@ -140,7 +141,7 @@ def train_calibrated(train: DataFrame, features: Sequence[str], label: str, id_c
     if not folds:
         one = ScoreModel(feats, [ML.train_pd_logistic(train, feats, label)], [None], 0)
         return one, train.withColumns({"fold": F.lit(None).cast("int"), "oof": F.lit(None).cast("double")})
-    d = with_folds(train, id_col, label, folds)
+    d = stage_table(with_folds(train, id_col, label, folds))  # read some six times a fold: the cuts are found once
     pipelines, sigmoids, scored = [], [], []
     for k in range(folds):
         model = ML.train_pd_logistic(d.where(F.col("fold") != k), feats, label)

@@ -46,7 +46,8 @@ def split_shares(spark, sf):
 def saved_model_parity(spark, sf):
     """O-70: a calibrated model trained, saved and loaded scores a batch and a stream as the one in memory does."""
     d = _labelled(spark, sf)
-    model, _ = SC.train_calibrated(SC.stratified_split(d, "borrower_id", "default_flag").where("not is_test"), CREDIT_FEATURES, "default_flag", "borrower_id")
+    train = stage_table(SC.stratified_split(d, "borrower_id", "default_flag").where("not is_test"))
+    model, _ = SC.train_calibrated(train, CREDIT_FEATURES, "default_flag", "borrower_id")
     at = work_dir(spark, "saved_model")
     model.save(f"{at}/model")
     loaded = SC.ScoreModel.load(spark, f"{at}/model")

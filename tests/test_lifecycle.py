@@ -129,3 +129,8 @@ def test_tree_training_tasks_are_bounded_by_rows(spark, data, monkeypatch):
     monkeypatch.setattr(ML, "balanced_weights", lambda d, label: (seen.append(d.rdd.getNumPartitions()), weigh(d, label))[1])
     ML.train_gbt(data.coalesce(1), ["x", "z"], [], "y", max_iter=1)
     assert seen == [5]
+
+
+def test_folds_are_cut_once(spark, data):
+    _, scored = SC.train_calibrated(data, ["x", "z"], "y", "id")
+    assert "Window" not in scored._jdf.queryExecution().optimizedPlan().toString()  # the cuts are read, not found again
