@@ -90,11 +90,12 @@ def cut_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def pack_ids(ids: np.ndarray) -> bytes:
     """Compressed ids: the frequent ones of this list as one byte, others as two, with the list of ids by frequency."""
-    u, back, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-count, kind="stable")
-    rank = np.empty(len(u), np.int64)
-    rank[order] = np.arange(len(u))
-    r, one = rank[back], 256
+    count = np.bincount(ids)  # ids are below the size of the vocabulary: counted without sorting the list
+    u = np.flatnonzero(count)
+    order = np.argsort(-count[u], kind="stable")
+    rank = np.empty(len(count), np.int64)
+    rank[u[order]] = np.arange(len(u))
+    r, one = rank[ids], 256
     if len(u) > 256:
         one = next((c for c in range(255, -1, -1) if c + ((len(u) - 1 - c) >> 8) <= 255), -1)
     kind = "<u2" if not len(u) or u[-1] < 1 << 16 else "<u4"
