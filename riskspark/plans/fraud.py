@@ -9,6 +9,7 @@ from riskspark.functions.hashing import assign_arm, sha1_mod100
 from riskspark.operators import fraud as FR
 from riskspark.operators import rules as RU
 from riskspark.plans.common import date_str, final
+from riskspark.session import arrow_by_rows
 from riskspark.sources import tables as T
 
 AB_PERCENT = 10
@@ -51,7 +52,8 @@ def decision_log_table(spark: SparkSession, sf: str) -> DataFrame:
     path = _LOG_TABLES.get(key)
     if path is None or not path_exists(spark, path):
         path = work_dir(spark, "decision_log_table")
-        score_log(spark, sf).write.mode("overwrite").parquet(path)
+        with arrow_by_rows(spark):
+            score_log(spark, sf).write.mode("overwrite").parquet(path)
         _LOG_TABLES[key] = path
     return spark.read.parquet(path)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +57,19 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def arrow_by_rows(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, batches for Python are bounded by their rows alone: Spark measures the bytes of all columns
+    anew for every row, which costs more than the rows. For jobs that run inside it on short rows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str((1 << 31) - 1))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def is_local(master: str | None) -> bool:
     """Whether driver and executors are one process (so a machine-local folder is shared)."""
     return master == "local" or (master or "").startswith("local[")

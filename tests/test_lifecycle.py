@@ -121,6 +121,11 @@ def test_a_repeated_key_ends_the_validated_join(spark):
         checked.collect()
 
 
+def test_folds_are_cut_once(spark, data):
+    _, scored = SC.train_calibrated(data, ["x", "z"], "y", "id")
+    assert "Window" not in scored._jdf.queryExecution().optimizedPlan().toString()  # the cuts are read, not found again
+
+
 def test_tree_training_tasks_are_bounded_by_rows(spark, data, monkeypatch):
     from riskspark.operators import ml as ML
 
@@ -131,6 +136,12 @@ def test_tree_training_tasks_are_bounded_by_rows(spark, data, monkeypatch):
     assert seen == [5]
 
 
-def test_folds_are_cut_once(spark, data):
-    _, scored = SC.train_calibrated(data, ["x", "z"], "y", "id")
-    assert "Window" not in scored._jdf.queryExecution().optimizedPlan().toString()  # the cuts are read, not found again
+def test_decision_log_is_written_in_batches_by_rows(spark, monkeypatch):
+    from riskspark.plans import fraud as PF
+
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key, None)
+    monkeypatch.setattr(PF, "_LOG_TABLES", {})
+    monkeypatch.setattr(PF, "score_log", lambda s, sf: (seen.append(s.conf.get(key, None)), s.range(1))[1])
+    PF.decision_log_table(spark, "/root/testdata/sf0.001")
+    assert seen == [str((1 << 31) - 1)] and spark.conf.get(key, None) == before
