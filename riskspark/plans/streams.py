@@ -66,7 +66,7 @@ def stream_scored(spark, sf):
 def stream_user_state(spark, sf):
     out = S.work_dir(spark, "user_state")
     ev = S.event_files(spark, sf, PARTS, disorder=True, closing=True)
-    feats = S.stateful_user_features(ev.stream(spark), SPAN).select(
+    feats = S.stateful_user_features(ev.stream(spark), SPAN, keys=ev.keys).select(
         "transaction_id", "user_id", "rolling_amount_last_1h", "home_country", "geo_location_mismatch", "velocity_spike", "device_is_new")
     r = spark.read.parquet(S.run_append_stream(feats, out))
     return final(r, money=["rolling_amount_last_1h"])

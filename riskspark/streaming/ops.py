@@ -8,7 +8,8 @@
 * O-94 stream-static enrichment (broadcast merchant rates) + rules + decision;
 * O-96 late-data bound and duplicate removal within the watermark;
 * O-90/O-91 exact per-user rolling amount and prior-mode country with
-  ``applyInPandasWithState`` (state = the user's last hour of amounts + country counts).
+  ``applyInPandasWithState`` (state = the users' baseline amounts, country counts, devices and
+  waiting rows, as compressed Arrow tables; one call works on all users of a key).
 
 Checkpoints and sink tables live under the session's ``spark.checkpoint.dir`` (a shared
 folder on a cluster), so a restarted query resumes after executor or driver loss.
@@ -24,9 +25,12 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import IntegralType
 
 from riskspark.operators import fraud as FR
 from riskspark.operators import rules as RU
@@ -61,15 +65,21 @@ def txn_stream(spark: SparkSession, path: str, max_files: int | None = 1, glob:
 
 @dataclass(frozen=True)
 class EventFiles:
-    """A folder of event files in time order; every part of it is ``files`` files."""
+    """A folder of event files in time order; every part of it is ``files`` files, ``rows`` events in all."""
 
     path: str
     files: int
+    rows: int
 
     def stream(self, spark: SparkSession) -> DataFrame:
         """The transactions, a part to a micro-batch."""
         return txn_stream(spark, self.path, self.files)
 
+    @property
+    def keys(self) -> int:
+        """State keys for the users of these events."""
+        return max(MIN_KEYS, -(-self.rows // KEY_ROWS))
+
 
 def decision_log_stream(spark: SparkSession, path: str) -> DataFrame:
     """O-89 / O-03: JSON-lines decision log as a stream (blank and malformed lines dropped,
@@ -135,6 +145,8 @@ def parquet_files(spark: SparkSession, path: str) -> list[str]:
 
 #: Rows of an event file.
 FILE_ROWS = 1_000_000
+#: Events to a key of the user state, and the least number of keys.
+KEY_ROWS, MIN_KEYS = 4096, 64
 
 
 def event_files(spark: SparkSession, sf_dir: str, parts: int = 4, disorder: bool = False, closing: bool = False) -> EventFiles:
@@ -164,7 +176,7 @@ def event_files(spark: SparkSession, sf_dir: str, parts: int = 4, disorder: bool
             F.lit(-1).cast("bigint").alias("user_id"), F.lit(None).cast("string").alias("event_type"),
             F.lit(None).cast("double").alias("value"), F.lit(None).cast("string").alias("props"))
         last.write.mode("append").parquet(out)
-    return EventFiles(out, files)
+    return EventFiles(out, files, b["n"])
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -216,96 +228,163 @@ def run_append_stream(df: DataFrame, out_dir: str) -> str:
 
 # ---- O-90 / O-91 and the rule context: stateful per-user features ----------------------------
 
-STATE_SCHEMA = ("past_ts array<bigint>, past_cents array<bigint>, past_known array<boolean>, countries array<string>, "
-                "counts array<bigint>, devices array<string>, wait_ts array<bigint>, wait_id array<bigint>, "
-                "wait_cents array<bigint>, wait_known array<boolean>, wait_country array<string>, wait_device array<string>, "
-                "wait_row array<string>")
+STATE_SCHEMA = "past binary, homes binary, devices binary, last binary, waiting binary"
 OUT_SCHEMA = ("row string, rolling_amount_last_1h double, velocity_spike boolean, home_country string, "
               "geo_location_mismatch boolean, device_is_new boolean")
-NULL_VALUE = "\u0000"
+TEXT = pa.large_string()
+
+
+def _pack(t: pa.Table) -> bytes:
+    """A table as one compressed value of the state."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, t.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(t)
+    return out.getvalue().to_pybytes()
+
+
+def _unpack(b: bytes) -> pa.Table:
+    with pa.ipc.open_stream(b) as r:
+        return r.read_all()
+
+
+def _ints(t: pa.Table, c: str) -> np.ndarray:
+    return t[c].to_numpy()
 
 
-def _window_sums(ts: np.ndarray, cents: np.ndarray, known: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sum and count of known amounts with lo <= ts < hi, for sorted ts."""
+def _codes(*cols: pa.ChunkedArray) -> tuple[list[np.ndarray], pa.Array]:
+    """Numbers of the values of several columns, and the values; NULL is a value too."""
+    d = pc.dictionary_encode(pa.chunked_array([k for c in cols for k in c.chunks], cols[0].type).combine_chunks(),
+                             null_encoding="encode")
+    at = np.cumsum([len(c) for c in cols])[:-1]
+    return np.split(d.indices.to_numpy(zero_copy_only=False).astype(np.int64), at), d.dictionary
+
+
+def _window_sums(user: np.ndarray, ts: np.ndarray, cents: np.ndarray, known: np.ndarray, of: np.ndarray,
+                 bounds: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each (lo, hi): sum and count of the known amounts with lo <= ts < hi of the user ``of``; rows sorted by (user, ts)."""
     s, n = np.concatenate([[0], np.cumsum(cents * known)]), np.concatenate([[0], np.cumsum(known)])
-    a, b = np.searchsorted(ts, lo, "left"), np.searchsorted(ts, hi, "left")
-    return s[b] - s[a], n[b] - n[a]
-
-
-def _prior_modes(values: list[str], names: list[str], counts: list[int]) -> tuple[list[str | None], list[str], list[int]]:
-    """Most frequent earlier value before each one (ties to the first seen), and the table of values after them all."""
-    names, index = list(names), {v: k for k, v in enumerate(names)}
-    for v in values:
-        if v not in index:
-            index[v] = len(names)
-            names.append(v)
-    start = np.array([*counts, *[0] * (len(names) - len(counts))], np.int64)
-    at = np.array([index[v] for v in values], np.int64)
-    seen = np.zeros((len(values) + 1, len(names)), np.int64)
-    seen[0] = start
-    seen[np.arange(1, len(values) + 1), at] += 1
-    seen = np.cumsum(seen, axis=0)
-    best = np.argmax(seen[:-1], axis=1)  # the first of equal counts, and names are in order of first sight
-    return [names[b] if seen[k, b] else None for k, b in enumerate(best)], names, seen[-1].tolist()
-
-
-#: Rows of a user that one vectorised step works on.
+    times = np.unique(ts)  # places among the times: (user, place) is one number, whatever the times are
+    width = len(times) + 1
+    keys = user * width + np.searchsorted(times, ts)
+    out = []
+    for lo, hi in bounds:
+        a, b = (np.searchsorted(keys, of * width + np.searchsorted(times, x)) for x in (lo, hi))
+        out.append((s[b] - s[a], n[b] - n[a]))
+    return out
+
+
+def _prior_modes(user: np.ndarray, value: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Most frequent earlier value of the user before each row (ties to the first seen; -1: no earlier row), the first
+    row of each (user, value) in order, and its total. Row k stands for ``n[k]`` rows; a user's rows are in order."""
+    rows = np.arange(len(user))
+    _, first, pair = np.unique(user * (value.max(initial=0) + 1) + value, return_index=True, return_inverse=True)
+    by_pair = np.argsort(pair, kind="stable")
+    total = np.cumsum(n[by_pair])
+    starts = np.searchsorted(pair[by_pair], np.arange(len(first)))
+    ends = np.append(starts[1:], len(user)) - 1
+    before = total[starts] - n[by_pair][starts]
+    count = np.empty(len(user), np.int64)
+    count[by_pair] = total - before[pair[by_pair]]
+    # the value whose latest row has the greatest (count, first sight reversed) is the mode
+    ranked = np.lexsort((-first[pair], count))
+    rank = np.empty_like(rows)
+    rank[ranked] = rows
+    by_user = np.argsort(user, kind="stable")
+    base = user[by_user] * len(user)
+    best = value[ranked[np.maximum.accumulate(base + rank[by_user]) - base]]
+    same = user[by_user][1:] == user[by_user][:-1]
+    prior = np.full(len(user), -1, np.int64)
+    prior[by_user[1:][same]] = best[:-1][same]
+    order = np.argsort(first)
+    return prior, first[order], (total[ends] - before)[order]
+
+
+#: Rows of an output batch.
 STEP_ROWS = 20_000
 
 
+def _input_rows(df: pd.DataFrame) -> pa.Table:
+    text = lambda c: pa.array(df[c], TEXT, from_pandas=True)
+    return pa.table({
+        "user": pa.array(df["user"]), "ts": df["ts_us"].to_numpy(np.int64), "id": df["id"].to_numpy(np.int64),
+        "cents": np.rint(df["amount"].fillna(0).to_numpy(np.float64) * 100).astype(np.int64),
+        "known": df["amount"].notna().to_numpy(), "country": text("country"), "device": text("device_id"), "row": text("row")})
+
+
 def _user_features(key, pdfs: Iterator[pd.DataFrame], state: GroupState, idle_us: int | None) -> Iterator[pd.DataFrame]:
-    """``row`` is the whole input row. Rows wait in the state until the watermark has passed them, then leave in event-time order."""
-    cols = [list(x) for x in state.get] if state.exists else [[] for _ in range(13)]
-    past_ts, past_cents, past_known, countries, counts, devices = cols[:6]
-    wait = [np.array(c, dtype=t) for c, t in zip(cols[6:], (np.int64, np.int64, np.int64, bool, object, object, object))]
-    for df in pdfs:
-        known = df["amount"].notna().to_numpy()
-        text = lambda c: np.array([NULL_VALUE if v is None or v != v else str(v) for v in c], dtype=object)
-        new = (df["ts_us"].to_numpy(np.int64), df["transaction_id"].to_numpy(np.int64),
-               np.rint(df["amount"].fillna(0).to_numpy(np.float64) * 100).astype(np.int64), known, text(df["country"]), text(df["device_id"]),
-               df["row"].to_numpy(object))
-        wait = [np.concatenate([w, n]) for w, n in zip(wait, new)]
+    """The rows of a key's users; ``row`` is the whole input row. Rows wait in the state until the watermark has passed
+    them, then leave in event-time order of their user."""
+    new = [_input_rows(df) for df in pdfs if len(df)]
+    if state.exists:
+        past, homes, devices, last, waiting = (_unpack(b) for b in state.get)
+    else:
+        waiting = new[0].slice(0, 0)
+        past = waiting.select(["user", "ts", "cents", "known"])
+        homes = waiting.select(["user", "country"]).append_column("n", pa.chunked_array([], pa.int64()))
+        devices, last = waiting.select(["user", "device"]), waiting.select(["user", "ts"])
     mark = state.getCurrentWatermarkMs() * 1000
-    order = np.lexsort((wait[1], wait[0]))
-    wait = [w[order] for w in wait]
-    ready = int(np.searchsorted(wait[0], mark, "left"))  # a row at the watermark itself may still get peers
-    old = [np.array(past_ts, np.int64), np.array(past_cents, np.int64), np.array(past_known, bool)]
-    ts, cents, known = (np.concatenate([o, w[:ready]]) for o, w in zip(old, (wait[0], wait[2], wait[3])))
-    known_devices = set(devices)
-    for a in range(0, ready, STEP_ROWS):
-        b = min(a + STEP_ROWS, ready)
-        t = wait[0][a:b]
-        roll, n_roll = _window_sums(ts, cents, known, t - ROLL_US + 1, t + 1)
-        short, _ = _window_sums(ts, cents, known, t - SHORT_US + 1, t + 1)
-        base, n_base = _window_sums(ts, cents, known, t - BASE_US, t - SHORT_US + 1)
+    rows = pa.concat_tables([waiting, *new])
+    is_ready = _ints(rows, "ts") < mark  # a row at the watermark itself may still get peers
+    waiting, ready = rows.filter(pa.array(~is_ready)), rows.filter(pa.array(is_ready))
+    if len(ready):
+        (user,), _ = _codes(ready["user"])
+        ready = ready.take(pa.array(np.lexsort((_ints(ready, "id"), _ints(ready, "ts"), user))))
+        (u_past, u_homes, u_devices, user), _ = _codes(*(t["user"] for t in (past, homes, devices, ready)))
+        ts = _ints(ready, "ts")
+        sums = pa.concat_tables([past, ready.select(past.column_names)])
+        order = np.lexsort((_ints(sums, "ts"), np.concatenate([u_past, user])))
+        (roll, n_roll), (short, _), (base, n_base) = _window_sums(
+            np.concatenate([u_past, user])[order], *(_ints(sums, c)[order] for c in ("ts", "cents", "known")), user,
+            [(ts - ROLL_US + 1, ts + 1), (ts - SHORT_US + 1, ts + 1), (ts - BASE_US, ts - SHORT_US + 1)])
+        past = sums.take(pa.array(order))
         m = Fraction(str(FR.VELOCITY_MULTIPLIER))
-        home, countries, counts = _prior_modes(wait[4][a:b].tolist(), countries, counts)
-        fresh = []
-        for d in wait[5][a:b]:
-            fresh.append(d not in known_devices)
-            known_devices.add(d)
-        yield pd.DataFrame({
-            "row": wait[6][a:b],
-            "rolling_amount_last_1h": np.where(n_roll > 0, roll / 100.0, np.nan),
-            "velocity_spike": (n_base > 0) & (short * n_base * m.denominator > m.numerator * base),
-            "home_country": [None if h in (None, NULL_VALUE) else h for h in home],
-            "geo_location_mismatch": [h is not None and (h == NULL_VALUE or c == NULL_VALUE or h != c) for h, c in zip(home, wait[4][a:b])],
-            "device_is_new": fresh})
-    rest = [w[ready:].tolist() for w in wait]
-    last = int(ts[-1]) if len(ts) else mark
-    if idle_us is not None and not rest[0] and mark >= last + idle_us:
+
+        (c_homes, country), names = _codes(homes["country"], ready["country"])
+        home, kept, n = _prior_modes(np.concatenate([u_homes, user]), np.concatenate([c_homes, country]),
+                                     np.concatenate([_ints(homes, "n"), np.ones(len(ready), np.int64)]))
+        home = home[len(homes):]
+        homes = pa.concat_tables([homes.select(["user", "country"]), ready.select(["user", "country"])]).take(pa.array(kept)) \
+            .append_column("n", pa.array(n))
+        unknown = np.array([not v.is_valid for v in names], bool)
+        differs = (home >= 0) & ((home != country) | unknown[country])
+        home = names.take(pa.array(home, mask=home < 0))
+
+        (d_known, device), kinds = _codes(devices["device"], ready["device"])
+        first = np.sort(np.unique(np.concatenate([u_devices, user]) * len(kinds) + np.concatenate([d_known, device]), return_index=True)[1])
+        fresh = np.zeros(len(ready), bool)
+        fresh[first[first >= len(devices)] - len(devices)] = True
+        devices = pa.concat_tables([devices, ready.select(["user", "device"])]).take(pa.array(first))
+
+        last = pa.concat_tables([last, ready.select(["user", "ts"])]).group_by("user").aggregate([("ts", "max")]) \
+            .rename_columns(["user", "ts"])
+        for a in range(0, len(ready), STEP_ROWS):
+            b = min(a + STEP_ROWS, len(ready))
+            yield pd.DataFrame({
+                "row": ready["row"].slice(a, b - a).to_pandas(),
+                "rolling_amount_last_1h": np.where(n_roll[a:b] > 0, roll[a:b] / 100.0, np.nan),
+                "velocity_spike": (n_base[a:b] > 0) & (short[a:b] * n_base[a:b] * m.denominator > m.numerator * base[a:b]),
+                "home_country": home.slice(a, b - a).to_pandas(),
+                "geo_location_mismatch": differs[a:b],
+                "device_is_new": fresh[a:b]})
+    past = past.filter(pa.array(_ints(past, "ts") >= mark - BASE_US))
+    due = [int(_ints(waiting, "ts").min())] if len(waiting) else []
+    if idle_us is not None:
+        resting = ~pc.is_in(last["user"], value_set=waiting["user"].combine_chunks()).to_numpy()
+        end = _ints(last, "ts") + idle_us
+        gone = last.filter(pa.array(resting & (mark >= end)))["user"].combine_chunks()
+        past, homes, devices, last = (t.filter(pc.invert(pc.is_in(t["user"], value_set=gone))) for t in (past, homes, devices, last))
+        due += end[resting & (mark < end)].tolist()
+    if not len(homes) and not len(waiting):
         state.remove()
         return
-    keep = ts >= mark - BASE_US
-    state.update((ts[keep].tolist(), cents[keep].tolist(), known[keep].tolist(), countries, counts, sorted(known_devices), *rest))
-    if rest[0]:
-        state.setTimeoutTimestamp(max(rest[0][0] // 1000 + 1, mark // 1000 + 1))
-    elif idle_us is not None:
-        state.setTimeoutTimestamp(max((last + idle_us) // 1000 + 1, mark // 1000 + 1))
+    state.update(tuple(_pack(t) for t in (past, homes, devices, last, waiting)))
+    if due:
+        state.setTimeoutTimestamp(max(min(due) // 1000 + 1, mark // 1000 + 1))
 
 
-def stateful_user_features(stream: DataFrame, watermark: str = "1 hour", idle_us: int | None = None) -> DataFrame:
-    """O-90 / O-91 with ``applyInPandasWithState`` keyed by user, and the rest of the rule context:
+def stateful_user_features(stream: DataFrame, watermark: str = "1 hour", idle_us: int | None = None,
+                           keys: int | None = None) -> DataFrame:
+    """O-90 / O-91 with ``applyInPandasWithState``, and the rest of the rule context:
     rolling hour amount, velocity spike, home country and mismatch, new device.
 
     A row is scored when the watermark has passed its time, so rows that arrive out of order
@@ -313,16 +392,25 @@ def stateful_user_features(stream: DataFrame, watermark: str = "1 hour", idle_us
     are rows without a time or user. State per user: amounts of the baseline period, counts per
     country, devices seen, and waiting rows; with ``idle_us`` the state of a user goes when
     that much event time has passed since the last row (its history is then forgotten). Rows
-    after the last watermark wait for later events. All input columns are passed on."""
+    after the last watermark wait for later events. All input columns are passed on.
+
+    A state belongs to one user, or with ``keys`` to all users of one of so many hash values: a
+    micro-batch then costs a call for each of these instead of each user, and takes all their state
+    through it. Let ``keys`` grow with the rows, and keep it for as long as the checkpoint lives."""
     cols = stream.columns
+    whole = isinstance(stream.schema["user_id"].dataType, IntegralType)
+    user = F.col("user_id") if whole else F.col("user_id").cast("string")
+    by = F.col("user_id") if keys is None else F.pmod(F.xxhash64("user_id"), F.lit(keys))
     s = stream.where(F.col("ts").isNotNull() & F.col("user_id").isNotNull()).withWatermark("ts", watermark) \
-        .select("transaction_id", "user_id", "ts", F.unix_micros("ts").alias("ts_us"), "amount", "country", "device_id",
+        .select(F.coalesce("transaction_id", F.lit(-1 << 63)).alias("id"), user.alias("user"), "ts",
+                F.unix_micros("ts").alias("ts_us"), "amount", F.col("country").cast("string").alias("country"),
+                F.col("device_id").cast("string").alias("device_id"), by.alias("key"),
                 F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("row"))
 
     def fn(key, pdfs, state):
         return _user_features(key, pdfs, state, idle_us)
 
-    out = s.groupBy("user_id").applyInPandasWithState(fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    out = s.groupBy("key").applyInPandasWithState(fn, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
     return out.withColumn("row", F.from_json("row", stream.schema)).select("row.*", *[c.split()[0] for c in OUT_SCHEMA.split(", ")[1:]])
 
 
