@@ -55,7 +55,7 @@ def stream_scored(spark, sf):
     out = S.work_dir(spark, "scored")
     ev = S.event_files(spark, sf, PARTS, disorder=True, closing=True)
     rates = FR.merchant_chargeback_rate(T.txn(spark, sf))
-    ctx = S.stateful_user_features(ev.stream(spark), SPAN)
+    ctx = S.stateful_user_features(ev.stream(spark), SPAN, keys=ev.keys)
     scored = S.enrich_and_score(ctx, rates).select(
         "transaction_id", "merchant_chargeback_rate", "proba", F.array_join("rules_hit", ",").alias("rules_hit"),
         "decision")
